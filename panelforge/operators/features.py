@@ -132,11 +132,11 @@ def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_first: b
 
 
 # ---------------------------------------------------------------- composite features
-def weighted_score(df: DataFrame, parts: Mapping[str | Column, float], eps: float | None = 1e-9,
-                   constant_value: float = 0.5) -> Column:
+def weighted_score(df: DataFrame, parts: Sequence[tuple[str | Column, float]] | Mapping[str, float],
+                   eps: float | None = 1e-9, constant_value: float = 0.5) -> Column:
     """FEA-1..5: Σ wᵢ · minmax(xᵢ) over global min/max (one scalar subquery per part)."""
     out = None
-    for c, w in parts.items():
+    for c, w in (parts.items() if isinstance(parts, Mapping) else parts):
         term = F.lit(w) * minmax(c, df, eps=eps, constant_value=constant_value)
         out = term if out is None else out + term
     return out

@@ -46,7 +46,7 @@ def flagship(spark, sf_dir, top_n: int = 5):
     w = Window.partitionBy(SPEC.key).orderBy(SPEC.period).rowsBetween(-2, 0)
     f = p.withColumns({
         "momentum": F.avg("entity_growth_yoy").over(w),
-        "score": weighted_score(p, {"big_rate": 0.40, "price": 0.35, F.lit(100) - F.col("tax") * 1000: 0.25}),
+        "score": weighted_score(p, [("big_rate", 0.40), ("price", 0.35), (F.lit(100) - F.col("tax") * 1000, 0.25)]),
     })
     g = (f.groupBy(SPEC.key, SPEC.name)
          .agg(F.avg("entity_growth_yoy").alias("mean_growth"),
@@ -492,7 +492,7 @@ def q_top3(spark, sf_dir):
 
 
 @query("top4_sort_abs", "TOP-4", """
-SELECT event_id, value - (SELECT avg(value) FROM events) AS dev FROM events
+SELECT * FROM (SELECT event_id, value - (SELECT avg(value) FROM events) AS dev FROM events)
 ORDER BY abs(dev) DESC, event_id LIMIT 20""")
 def q_top4(spark, sf_dir):
     e = read_table(spark, sf_dir, "events")
