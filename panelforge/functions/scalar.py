@@ -106,17 +106,14 @@ def verdict(value: ColumnOrName, threshold: float, below: str = "PASS", above: s
 
 
 def rule_score(growth: ColumnOrName, internet: ColumnOrName, unemployment: ColumnOrName,
-               stability: ColumnOrName, defaults: Sequence[float] = (3.0, 60.0, 5.0, 0.5)) -> Column:
-    """PRJ-14: fallback score ``2 + .8g + .3(i/10) − .2u + 3s`` with default inputs.
+               innovation: ColumnOrName | None = None, innovation_default: float = 0.5) -> Column:
+    """PRJ-14: fallback score when no model is available.
 
-    Fixed values (coefficients and defaults) of the rule-based score:
-    intercept 2, growth 0.8, internet/10 0.3, unemployment -0.2, stability 3.
+    Fixed values of the reference heuristic: 2 + 0.8·growth + 0.3·(internet/10)
+    − 0.2·unemployment + 3·innovation, innovation defaulting to 0.5.
     """
-    g = F.coalesce(col(growth), F.lit(defaults[0]))
-    i = F.coalesce(col(internet), F.lit(defaults[1]))
-    u = F.coalesce(col(unemployment), F.lit(defaults[2]))
-    s = F.coalesce(col(stability), F.lit(defaults[3]))
-    return F.lit(2.0) + 0.8 * g + 0.3 * (i / 10.0) - 0.2 * u + 3.0 * s
+    inn = F.lit(innovation_default) if innovation is None else F.coalesce(col(innovation), F.lit(innovation_default))
+    return F.lit(2.0) + 0.8 * col(growth) + 0.3 * (col(internet) / 10.0) - 0.2 * col(unemployment) + 3.0 * inn
 
 
 def has_edge_whitespace(c: ColumnOrName) -> Column:

@@ -101,16 +101,13 @@ def health_score(df: DataFrame, pass_at: float = 80.0) -> DataFrame:
                       F.when(score >= pass_at, "PASS").otherwise("NEEDS CLEANING").alias("status"))
 
 
-def validate_panel(df: DataFrame, key: str, period: str, period_label: str,
+def validate_panel(df: DataFrame, key: str, period: str, period_label: str, labels: Sequence[str],
                    range_columns: Sequence[str]) -> DataFrame:
-    """DQ-8: rows, distinct keys, sorted years, period counts and min/max of chosen columns (one row)."""
-    period_counts = (df.groupBy(period_label).agg(F.count(F.lit(1)).alias("n"))
-                     .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(period_label, "n"))))
-                          .alias("period_counts")))
-    base = df.agg(F.count(F.lit(1)).alias("total_rows"), F.countDistinct(key).alias("n_keys"),
+    """DQ-8: rows, distinct keys, sorted periods, rows per period label and min/max of chosen columns (one row)."""
+    return df.agg(F.count(F.lit(1)).alias("total_rows"), F.countDistinct(key).alias("n_keys"),
                   F.sort_array(F.collect_set(period)).alias("periods"),
+                  *[F.sum(S.flag(F.col(period_label) == F.lit(v))).cast("long").alias(f"n_{v}") for v in labels],
                   *[e for c in range_columns for e in (F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))])
-    return base.withColumn("period_counts", period_counts.select("period_counts").scalar())
 
 
 def flat_series(df: DataFrame, key: str, period: str, value: str, last_n: int = 4) -> DataFrame:
