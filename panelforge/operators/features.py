@@ -171,3 +171,55 @@ def feature_list(df: DataFrame, named: Sequence[str], scaled_suffix: str = "_sca
             seen.add(c)
             uniq.append(c)
     return uniq
+
+
+# ---------------------------------------------------------------- feature stages
+def create_features_g1(df: DataFrame, r: Mapping[str, str]) -> DataFrame:
+    """FEA-10 (first generation, FEA-1/2/6, PRJ-6/7): seven columns in one projection.
+
+    ``r`` maps roles → columns: count, funding, population, internet, gdp_pc, rd, growth,
+    unemployment, pandemic.  Min-max here maps a constant column to 0.5 (no ε).
+    """
+    c = lambda k: F.col(r[k])
+    internet = minmax(r["internet"], df)
+    gdp_pc = minmax(r["gdp_pc"], df)
+    rd_filled = F.coalesce(c("rd"), F.lit(0.0))
+    rd = minmax(rd_filled, df.withColumn(r["rd"], rd_filled))
+    return df.withColumns({
+        "startup_density": S.safe_ratio(c("count"), F.nullif(c("population"), F.lit(0)) / 1e6),
+        "funding_per_startup_mn": F.try_divide(c("funding"), F.nullif(c("count"), F.lit(0)) * 1e6),
+        "innovation_score": 0.4 * internet + 0.4 * gdp_pc + 0.2 * rd,
+        "digital_readiness_score": 0.6 * internet + 0.4 * gdp_pc,
+        "investment_efficiency": S.safe_ratio(c("count"), F.nullif(c("funding"), F.lit(0)) / 1e9),
+        "economic_momentum": S.difference(c("growth"), c("unemployment")),
+        "pandemic_interaction": S.interaction(c("pandemic"), c("internet")),
+    })
+
+
+def engineer_features_g2(df: DataFrame, r: Mapping[str, str], key: str, period: str,
+                         period_label: str = "period", pre: str = "pre", post: str = "post") -> DataFrame:
+    """FEA-10 (second generation, FEA-3/4/5/7/8/9, WIN-3, PRJ-11): twelve columns.
+
+    Roles: rd, internet, rank, gdp_pc, unicorns, funding, growth, unemployment, count_growth,
+    funding_growth, gdp, count, cum_unicorns, deals.  Min-max uses max−min+1e-9.
+    """
+    from pyspark.sql import Window
+    c = lambda k: F.col(r[k])
+    mm = lambda e: minmax(e, df, eps=1e-9)
+    w3 = Window.partitionBy(key).orderBy(period).rowsBetween(-2, 0)
+    out = df.withColumns({
+        "innovation_score": 0.40 * mm(c("rd")) + 0.35 * mm(c("internet")) + 0.25 * mm(F.lit(100) - c("rank")),
+        "digital_readiness": 0.50 * mm(c("internet")) + 0.30 * mm(c("rd")) + 0.20 * mm(c("gdp_pc")),
+        "investment_efficiency": F.try_divide(c("unicorns"), c("funding") / 1000 + 1e-6),
+        "economic_stability": 0.60 * mm(c("growth") + 10) + 0.40 * mm(F.lit(20) - c("unemployment")),
+        "startup_momentum": F.avg(c("count_growth")).over(w3),
+        "funding_momentum": F.avg(c("funding_growth")).over(w3),
+        "gdp_per_startup": F.try_divide(c("gdp") * 1e9, c("count") + 1),
+        "unicorn_pipeline": F.try_divide(c("cum_unicorns"), c("count") + 1) * 1000,
+        "funding_per_deal": F.try_divide(c("funding"), c("deals") + 1),
+        "year_idx": F.col(period) - df.select(F.min(period)).scalar(),
+    })
+    pre_median = df.filter(F.col(period_label) == pre).select(median(r["count_growth"])).scalar()
+    out = out.withColumn("strong_recovery",
+                         S.flag((F.col(period_label) == post) & (c("count_growth") > pre_median)))
+    return out.withColumn("high_innovation", above_median_flag(out, "innovation_score"))
