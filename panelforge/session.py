@@ -35,6 +35,8 @@ def build_session(master: str | None = None, app_name: str = "panelforge",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
@@ -71,3 +73,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Cut lineage before a multi-pass operator: a reliable checkpoint in the shared folder.
+
+    Multi-pass operators (regressions with robust errors, rank tests, model fits)
+    scan their input several times; the checkpoint makes the expensive upstream
+    plan run once and survives executor loss (unlike a local checkpoint).
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
