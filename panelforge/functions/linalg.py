@@ -143,6 +143,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (), interc
         g = g.join(totals, gcols)
     else:
         g = g.withColumns({"_nabs": F.lit(0), "_sst": F.lit(None).cast("double")})
+    g = materialize(g)  # one row per group; reused by the fit and the HC3 pass
     names = (["const"] if intercept else []) + list(xs)
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in g.schema.fields if f.name in gcols)
     schema = (key_schema + ", " if key_schema else "") + (
@@ -168,7 +169,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (), interc
             out.insert(0, c, r[c])
         return out
 
-    coefs = g.groupBy(*gcols).applyInPandas(fit, schema)
+    coefs = materialize(g.groupBy(*gcols).applyInPandas(fit, schema))
     if cov.upper() == "HC3":
         coefs = _hc3(data if by else data.withColumn(GROUP, F.lit(0)), g, coefs, y, xs, gcols, intercept, names,
                      absorb)
@@ -183,23 +184,19 @@ def _hc3(data: DataFrame, g: DataFrame, coefs: DataFrame, y: str, xs: Sequence[s
     sol = (coefs.groupBy(*gcols).agg(F.first("inv_z").alias("inv_z"), F.first("beta_z").alias("beta_z"))
            .join(g.select(*gcols, "mu", "sd"), gcols))
     rows = data.join(sol, gcols)  # one small row per group; AQE broadcasts it
-    zy = (F.col(y) - F.col("mu")[0]) / F.col("sd")[0]
-    zx = ([F.lit(1.0)] if intercept else []) + [(F.col(c) - F.col("mu")[i + 1]) / F.col("sd")[i + 1]
-                                                for i, c in enumerate(xs)]
-    h = None
-    for i in range(k):
-        for j in range(k):
-            term = zx[i] * F.col("inv_z")[i * k + j] * zx[j]
-            h = term if h is None else h + term
+    # staged projections keep every expression small (each stage references columns only)
+    rows = rows.withColumns({"_zy": (F.col(y) - F.col("mu")[0]) / F.col("sd")[0],
+                             **{f"_zx{i + 1}": (F.col(c) - F.col("mu")[i + 1]) / F.col("sd")[i + 1]
+                                for i, c in enumerate(xs)}})
+    zx = ([F.lit(1.0)] if intercept else []) + [F.col(f"_zx{i + 1}") for i in range(len(xs))]
+    quad = [zx[i] * F.col("inv_z")[i * k + j] * zx[j] for i in range(k) for j in range(k)]
+    h = F.aggregate(F.array(*quad), F.lit(0.0), lambda acc, v: acc + v)
     if absorb:
         h = h + 1.0 / F.col("_ng")
-    fitted = None
-    for i in range(k):
-        t = F.col("beta_z")[i] * zx[i]
-        fitted = t if fitted is None else fitted + t
-    e = (zy - fitted) * F.col("sd")[0]
-    w = (e * e) / F.pow(1 - h, 2)
-    meat = rows.groupBy(*gcols).agg(*[F.sum(w * zx[i] * zx[j]).alias(f"_m_{i}_{j}")
+    fitted = F.aggregate(F.array(*[F.col("beta_z")[i] * zx[i] for i in range(k)]), F.lit(0.0), lambda a, v: a + v)
+    rows = rows.withColumns({"_h": h, "_e": (F.col("_zy") - fitted) * F.col("sd")[0]})
+    rows = rows.withColumn("_w", (F.col("_e") * F.col("_e")) / F.pow(1 - F.col("_h"), 2))
+    meat = rows.groupBy(*gcols).agg(*[F.sum(F.col("_w") * zx[i] * zx[j]).alias(f"_m_{i}_{j}")
                                       for i in range(k) for j in range(k)])
     meat = meat.select(*gcols, F.array(*[F.col(f"_m_{i}_{j}") for i in range(k) for j in range(k)]).alias("meat"))
     j = coefs.join(meat, gcols).join(g.select(*gcols, "sd"), gcols)

@@ -29,3 +29,89 @@ def did_2x2(df: DataFrame, y: str, treated: str, post: str) -> DataFrame:
     out = df.agg(cell(1, 1).alias("t_post"), cell(1, 0).alias("t_pre"),
                  cell(0, 1).alias("c_post"), cell(0, 0).alias("c_pre"))
     return out.withColumn("did", (F.col("t_post") - F.col("t_pre")) - (F.col("c_post") - F.col("c_pre")))
+
+
+def did_regression(df: DataFrame, y: str, treated: str, post: str, controls=(), absorb: str | None = None,
+                   cov: str = "HC3", extra_terms: dict | None = None) -> DataFrame:
+    """CAU-4/5/6: y ~ treated + post + treated·post (+ controls, + extra terms, + key fixed effects).
+
+    With ``absorb`` the key effects are removed by within-demeaning; ``treated`` is then
+    constant within key and drops out (rank-deficient column → zero coefficient, as a
+    pseudo-inverse does).
+    """
+    from panelforge.operators.stats import regression
+    data = df.withColumn("did", F.col(treated) * F.col(post))
+    terms = [treated, post, "did"]
+    for name, expr in (extra_terms or {}).items():
+        data = data.withColumn(name, expr)
+        terms.append(name)
+    return regression(data, y, [*terms, *controls], cov=cov, absorb=absorb)
+
+
+def event_study(df: DataFrame, y: str, treated: str, period: str, base, controls=(), cov: str = "HC3") -> DataFrame:
+    """CAU-7: per period Y ≠ base, on rows of {base, Y}: y ~ treated + event + treated·event + controls.
+
+    Rows of the base period fan out to every subset (one copy per other period); one grouped
+    regression fits all subsets at once.  The base period is reported with coefficient 0, p 1.
+    """
+    from panelforge.operators.stats import regression
+    periods = df.select(period).distinct()
+    others = periods.filter(F.col(period) != F.lit(base)).agg(F.collect_list(period).alias("_all"))
+    data = df.dropna(subset=[y]).withColumn("_others", others.select("_all").scalar())
+    fan = data.withColumn("subset", F.explode(
+        F.when(F.col(period) == F.lit(base), F.col("_others")).otherwise(F.array(F.col(period))))).drop("_others")
+    fan = fan.withColumns({"event_post": (F.col(period) == F.col("subset")).cast("int"),
+                           "event_did": F.col(treated) * (F.col(period) == F.col("subset")).cast("int")})
+    res = regression(fan, y, [treated, "event_post", "event_did", *controls], by=["subset"], cov=cov)
+    est = res.filter(F.col("term") == "event_did").select(
+        F.col("subset").alias(period), "coef", "ci_lo", "ci_hi", F.col("p_value").alias("p"))
+    spark = df.sparkSession
+    base_row = spark.range(1).select(F.lit(base).cast(est.schema[period].dataType).alias(period),
+                                     F.lit(0.0).alias("coef"), F.lit(0.0).alias("ci_lo"), F.lit(0.0).alias("ci_hi"),
+                                     F.lit(1.0).alias("p"))
+    return est.unionByName(base_row)
+
+
+def propensity(df: DataFrame, treated: str, covariates, id_cols=(), name: str = "propensity") -> DataFrame:
+    """CAU-8: logistic regression (L2, C = 1) on z-scored covariates → P(treated).
+
+    The library's objective is mean log-loss + λ/2‖w‖²; the reference's is Σ log-loss +
+    ½‖w‖²/C, equal for λ = 1/(C·n).  Intercept unpenalised in both.
+    """
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from panelforge.operators.features import zscore
+    data = df.dropna(subset=[*covariates, treated])
+    z = zscore(data, covariates, suffix="_z")
+    n = data.count()
+    va = VectorAssembler(inputCols=[f"{c}_z" for c in covariates], outputCol="_features")
+    lr = LogisticRegression(featuresCol="_features", labelCol="_label", regParam=1.0 / n, elasticNetParam=0.0,
+                            standardization=False, maxIter=500, tol=1e-10)
+    prepared = va.transform(z).withColumn("_label", F.col(treated).cast("double"))
+    model = lr.fit(prepared)
+    from pyspark.ml.functions import vector_to_array
+    scored = model.transform(prepared).withColumn(name, vector_to_array("probability")[1])
+    return scored.select(*id_cols, treated, *covariates, name)
+
+
+def att(df: DataFrame, y: str, treated: str, post_filter) -> DataFrame:
+    """CAU-10: mean(treated) − mean(control) over post rows, with the Student t statistic.
+
+    (Uses all post rows, not the matched pairs — the reference's behaviour.)
+    """
+    from panelforge.operators.stats import t_statistics
+    post = df.filter(post_filter).filter(F.col(y).isNotNull())
+    means = post.agg(F.avg(F.when(F.col(treated) == 1, F.col(y))).alias("treated_mean"),
+                     F.avg(F.when(F.col(treated) == 0, F.col(y))).alias("control_mean"))
+    t = t_statistics(post, treated, y, 1, 0).select(F.struct("t_student", "df_student")).scalar()
+    return means.select((F.col("treated_mean") - F.col("control_mean")).alias("att"), "treated_mean",
+                        "control_mean", t["t_student"].alias("t_stat"), t["df_student"].alias("dof"))
+
+
+def att_matched(pairs: DataFrame, outcomes: DataFrame, id_col: str, y: str) -> DataFrame:
+    """CAU-10 (``matched=True``): mean over matched pairs of y(treated) − y(control)."""
+    t = outcomes.select(F.col(id_col).alias(f"treated_{id_col}"), F.col(y).alias("_yt"))
+    c = outcomes.select(F.col(id_col).alias(f"control_{id_col}"), F.col(y).alias("_yc"))
+    j = pairs.join(t, f"treated_{id_col}").join(c, f"control_{id_col}")
+    return j.agg(F.avg(F.col("_yt") - F.col("_yc")).alias("att_matched"), F.count(F.lit(1)).alias("n_pairs"))
