@@ -1 +1,169 @@
-"""Registered queries."""
+"""Registered queries: many-series forecasting (events per user per day; panel per nation)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelforge.operators import forecast as FC
+from panelforge.plans.registry import query
+from panelforge.session import materialize
+from panelforge.sources.panel import panel, with_panel
+from panelforge.sources.tables import read_table
+
+# DuckDB twin of the per-user daily series with the coverage filter.
+SER_SQL = """
+s0 AS (SELECT user_id, CAST(dayofyear(ts) AS INTEGER) AS t, sum(value) AS y FROM events GROUP BY 1, 2),
+cnt AS (SELECT user_id, count(*) AS c FROM s0 GROUP BY 1),
+s AS (SELECT s0.* FROM s0 JOIN cnt USING (user_id) WHERE c >= (SELECT max(c) FROM cnt) - 1)"""
+
+
+def with_ser(sql: str) -> str:
+    body = sql.strip()
+    if body.upper().startswith("WITH "):
+        return "WITH " + SER_SQL + ",\n" + body[5:]
+    return "WITH " + SER_SQL + "\n" + body
+
+
+def series(spark, sf_dir):
+    e = read_table(spark, sf_dir, "events")
+    return FC.load_series(e, "user_id", F.dayofyear("ts"), "value")
+
+
+def nation_series(spark, sf_dir):
+    return panel(spark, sf_dir).select("nation", F.col("yr").alias("t"), F.col("entity_count").cast("double").alias("y"))
+
+
+@query("fc1_load_series", "FC-1,AGG-17", with_ser("SELECT * FROM s"))
+def q_fc1(spark, sf_dir):
+    return series(spark, sf_dir)
+
+
+@query("fc2_global_series", "FC-2,SET-1", with_ser("""
+SELECT CAST(user_id AS VARCHAR) AS user_id, t, y FROM s UNION ALL SELECT 'GLOBAL', t, sum(y) FROM s GROUP BY t"""))
+def q_fc2(spark, sf_dir):
+    return FC.global_series(series(spark, sf_dir), "user_id")
+
+
+@query("fc3_adf_t_lag0", "FC-3,WIN-4", with_ser("""
+WITH d AS (SELECT user_id, y - lag(y) OVER (PARTITION BY user_id ORDER BY t) AS dy,
+                  lag(y) OVER (PARTITION BY user_id ORDER BY t) AS ylag FROM s),
+g AS (SELECT user_id, regr_slope(dy, ylag) b, regr_sxx(dy, ylag) sxx, regr_syy(dy, ylag) syy, regr_sxy(dy, ylag) sxy,
+             regr_count(dy, ylag) n FROM d GROUP BY user_id)
+SELECT user_id, n, b / sqrt((syy - sxy * sxy / sxx) / (n - 2) / sxx) AS adf_t FROM g"""))
+def q_fc3(spark, sf_dir):
+    return FC.adf_t_lag0(series(spark, sf_dir), "user_id")
+
+
+@query("fc3_adf", "FC-3")
+def q_fc3b(spark, sf_dir):
+    return FC.adf(materialize(series(spark, sf_dir)), "user_id", max_lag=2)
+
+
+@query("fc4_arima_order", "FC-4")
+def q_fc4(spark, sf_dir):
+    return FC.arima_select(materialize(series(spark, sf_dir)), "user_id")
+
+
+@query("fc5_arima_forecast", "FC-5,FC-6")
+def q_fc5(spark, sf_dir):
+    s = materialize(series(spark, sf_dir))
+    return FC.arima_forecast(s, FC.arima_select(s, "user_id"), "user_id", steps=3)
+
+
+@query("fc6_random_walk", "FC-6", with_ser("""
+SELECT user_id, CAST(h AS INTEGER) AS step, CAST(max(t) + h AS INTEGER) AS t, arg_max(y, t) AS forecast
+FROM s, range(1, 4) r(h) GROUP BY user_id, h"""))
+def q_fc6(spark, sf_dir):
+    return FC.random_walk(series(spark, sf_dir), "user_id", steps=3)
+
+
+@query("fc7_backtest", "FC-7,WIN-6,ML-10")
+def q_fc7(spark, sf_dir):
+    s = materialize(series(spark, sf_dir))
+    train, test = FC.split_tail(s, "user_id", "t", 2)
+    train = materialize(train)
+    fc = FC.arima_forecast(train, FC.arima_select(train, "user_id"), "user_id", steps=2)
+    return FC.holdout_metrics(test, fc, "user_id", by=["user_id"])
+
+
+@query("fc8_cagr_projection", "FC-8,WIN-5,TOP-1", with_panel("""
+WITH s AS (SELECT nation, yr AS t, CAST(entity_count AS DOUBLE) AS y FROM panel),
+r AS (SELECT nation, y, row_number() OVER (PARTITION BY nation ORDER BY t DESC) AS rn FROM s),
+e AS (SELECT nation, max(CASE WHEN rn = 1 THEN y END) AS last_value, max(CASE WHEN rn = 4 THEN y END) AS b,
+             count(*) AS n FROM r GROUP BY nation),
+c AS (SELECT nation, last_value, CASE WHEN n > 3 AND b > 0 AND last_value > 0 THEN pow(last_value / b, 1.0 / 3) - 1
+                                      ELSE 0.0 END AS cagr FROM e)
+SELECT nation, last_value, cagr, last_value * (1 + cagr) AS next_value FROM c ORDER BY cagr DESC, nation LIMIT 5"""))
+def q_fc8(spark, sf_dir):
+    return FC.cagr_projection(nation_series(spark, sf_dir), "nation", "t", 3, 5)
+
+
+@query("fc9_linear_extrapolation", "FC-9", with_ser("""
+WITH i AS (SELECT user_id, t, y, row_number() OVER (PARTITION BY user_id ORDER BY t) AS pos FROM s),
+f AS (SELECT user_id, regr_slope(y, pos) b, regr_intercept(y, pos) a, max(pos) n, max(t) lt FROM i GROUP BY user_id)
+SELECT user_id, CAST(h AS INTEGER) AS step, CAST(lt + h AS INTEGER) AS t, a + b * (n + h) AS forecast
+FROM f, range(1, 4) r(h)"""))
+def q_fc9(spark, sf_dir):
+    return FC.linear_trend(series(spark, sf_dir), "user_id", steps=3)
+
+
+@query("fc10_pooled_lag_regression", "FC-10,WIN-7,SCL-4")
+def q_fc10(spark, sf_dir):
+    return FC.pooled_lag_regression(materialize(series(spark, sf_dir)), "user_id", lookback=3, steps=3)
+
+
+FC11_SQL = with_ser("""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t DESC) AS rn FROM s),
+tr AS (SELECT user_id, t, y FROM r WHERE rn > 2), te AS (SELECT user_id, t, y FROM r WHERE rn <= 2),
+i AS (SELECT user_id, t, y, row_number() OVER (PARTITION BY user_id ORDER BY t) AS pos FROM tr),
+lf AS (SELECT user_id, regr_slope(y, pos) b, regr_intercept(y, pos) a, max(pos) n, max(t) lt,
+              arg_max(y, t) AS last_y, avg(y) AS mean_y FROM i GROUP BY user_id),
+fc AS (SELECT user_id, CAST(lt + h AS INTEGER) AS t, 'linear' AS model, a + b * (n + h) AS forecast FROM lf, range(1, 3) r(h)
+       UNION ALL SELECT user_id, CAST(lt + h AS INTEGER), 'random_walk', last_y FROM lf, range(1, 3) r(h)
+       UNION ALL SELECT user_id, CAST(lt + h AS INTEGER), 'mean', mean_y FROM lf, range(1, 3) r(h)),
+m AS (SELECT model, sqrt(avg((forecast - y) ** 2)) AS rmse, avg(abs(forecast - y)) AS mae,
+             avg(abs((forecast - y) / nullif(y, 0))) * 100 AS mape, count(*) AS n
+      FROM fc JOIN te USING (user_id, t) GROUP BY model)
+SELECT *, rmse = min(rmse) OVER () AS best FROM m""")
+
+
+@query("fc11_model_comparison", "FC-11,JN-10,ML-10", FC11_SQL)
+def q_fc11(spark, sf_dir):
+    s = materialize(series(spark, sf_dir))
+    train, test = FC.split_tail(s, "user_id", "t", 2)
+    mean_fc = (train.groupBy("user_id").agg(F.avg("y").alias("forecast"), F.max("t").alias("_l"))
+               .select("user_id", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("step"), "forecast", "_l")
+               .select("user_id", (F.col("_l") + F.col("step")).alias("t"), "forecast"))
+    fc = (FC.linear_trend(train, "user_id", steps=2).select("user_id", "t", "forecast").withColumn("model", F.lit("linear"))
+          .unionByName(FC.random_walk(train, "user_id", steps=2).select("user_id", "t", "forecast")
+                       .withColumn("model", F.lit("random_walk")))
+          .unionByName(mean_fc.withColumn("model", F.lit("mean"))))
+    m = FC.holdout_metrics(test, fc, "user_id")
+    return m.withColumn("best", F.col("rmse") == m.select(F.min("rmse")).scalar())
+
+
+@query("fc12_forecast_matrix", "FC-12,AGG-6,RSH-2", with_ser("""
+WITH i AS (SELECT user_id, t, y, row_number() OVER (PARTITION BY user_id ORDER BY t) AS pos FROM s),
+f AS (SELECT user_id, regr_slope(y, pos) b, regr_intercept(y, pos) a, max(pos) n FROM i GROUP BY user_id)
+SELECT user_id, a + b * (n + 1) AS "1", a + b * (n + 2) AS "2", a + b * (n + 3) AS "3" FROM f"""))
+def q_fc12(spark, sf_dir):
+    fc = FC.linear_trend(series(spark, sf_dir), "user_id", steps=3)
+    return fc.groupBy("user_id").pivot("step", [1, 2, 3]).agg(F.first("forecast"))
+
+
+@query("fc12_mape_verdict", "FC-12,PRJ-13")
+def q_fc12v(spark, sf_dir):
+    from panelforge.functions import scalar as S
+    m = q_fc11(spark, sf_dir)
+    return m.select("model", "mape", S.verdict("mape", 15.0, "PASS", "FAIL").alias("verdict"))
+
+
+@query("snk4_save_forecasts", "SNK-4,SET-1")
+def q_snk4(spark, sf_dir):
+    s = materialize(series(spark, sf_dir))
+    per_key = FC.arima_forecast(s, FC.arima_select(s, "user_id"), "user_id", steps=3)
+    g = FC.global_series(s, "user_id").filter(F.col("user_id") == "GLOBAL")
+    glob = FC.linear_trend(g, "user_id", steps=3)
+    rows = (per_key.select(F.col("user_id").cast("string").alias("key"), "t", F.lit("arima").alias("model"), "forecast")
+            .unionByName(glob.select(F.col("user_id").alias("key"), "t", F.lit("linear").alias("model"), "forecast")))
+    return rows.withColumn("forecast", F.round("forecast", 1))
