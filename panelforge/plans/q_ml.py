@@ -193,3 +193,19 @@ def q_xai7(spark, sf_dir):
     attr = _attributions(spark, sf_dir)[3].withColumn("row_id", F.concat_ws("-", "k", "yr"))
     top = [r[0] for r in X.mean_abs_shap(attr, 10).collect()]
     return X.heatmap(attr, "row_id", top, 4)
+
+
+@query("snk7_model_save_load", "SNK-7,ML-21")
+def q_snk7(spark, sf_dir):
+    """Persist the fitted pipeline to the shared folder, load it back and score with the loaded copy."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from panelforge.sources.sinks import new_scratch
+    df, feats = ml_frame(spark, sf_dir)
+    pipe = Pipeline(stages=[M.estimator("linear", TARGET)])
+    model = pipe.fit(M.assemble(df.filter(F.col("split") == "train"), feats))
+    path = new_scratch(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    scored = loaded.transform(M.assemble(df, feats))
+    return M.residual_frame(scored, TARGET, IDS)

@@ -544,3 +544,15 @@ def q_rsh1(spark, sf_dir):
 def q_rsh2(spark, sf_dir):
     p = panel(spark, sf_dir)
     return reshape.long_to_wide(p, "k", "yr", "funding", YEARS)
+
+
+@query("jn9_scalar_attach", "JN-9,FEA-8", """
+SELECT event_id, value - (SELECT quantile_cont(value, 0.5) FROM events) AS dev_from_median,
+       value / (SELECT max(value) FROM events) AS share_of_max FROM events""")
+def q_jn9(spark, sf_dir):
+    """Global scalars attached to every row as scalar subqueries (no cross join, no global window)."""
+    from panelforge.functions.quantile import median
+    e = read_table(spark, sf_dir, "events")
+    st = e.agg(F.struct(median("value").alias("med"), F.max("value").alias("mx"))).scalar()
+    return e.select("event_id", (F.col("value") - st["med"]).alias("dev_from_median"),
+                    F.try_divide(F.col("value"), st["mx"]).alias("share_of_max"))
