@@ -134,10 +134,19 @@ def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_first: b
 # ---------------------------------------------------------------- composite features
 def weighted_score(df: DataFrame, parts: Sequence[tuple[str | Column, float]] | Mapping[str, float],
                    eps: float | None = 1e-9, constant_value: float = 0.5) -> Column:
-    """FEA-1..5: Σ wᵢ · minmax(xᵢ) over global min/max (one scalar subquery per part)."""
+    """FEA-1..5: Σ wᵢ · minmax(xᵢ) over global min/max — all parts' extremes in one aggregate."""
+    items = list(parts.items() if isinstance(parts, Mapping) else parts)
+    st = df.agg(F.struct(*[F.struct(F.min(S.col(c)).cast("double").alias("lo"),
+                                    F.max(S.col(c)).cast("double").alias("hi")).alias(f"p{i}")
+                           for i, (c, _) in enumerate(items)])).scalar()
     out = None
-    for c, w in (parts.items() if isinstance(parts, Mapping) else parts):
-        term = F.lit(w) * minmax(c, df, eps=eps, constant_value=constant_value)
+    for i, (c, w) in enumerate(items):
+        x, lo, hi = S.col(c), st[f"p{i}"]["lo"], st[f"p{i}"]["hi"]
+        if eps is not None:
+            mm = (x - lo) / (hi - lo + F.lit(eps))
+        else:
+            mm = F.when(x.isNull(), None).when(hi == lo, F.lit(constant_value)).otherwise((x - lo) / (hi - lo))
+        term = F.lit(w) * mm
         out = term if out is None else out + term
     return out
 
