@@ -235,27 +235,32 @@ def permutation_importance(df: DataFrame, model, features: Sequence[str], label:
                            seed: int = 42) -> DataFrame:
     """XAI-5: R² drop when one feature is permuted; mean and std over repeats.
 
-    Every (feature, repeat) permutation is built as a join of two independent random
-    orderings on their positions; all copies are scored in one transform and one
-    grouped metric aggregate.
+    All (feature, repeat) copies are built in one plan: rows are exploded once per copy,
+    each copy numbers its rows twice (by a seeded random key and by row id, windows
+    partitioned by copy), and the permuted feature value is joined from the random
+    order.  One transform and one grouped metric aggregate score every copy.
     """
+    from pyspark.sql import Window
+
     from panelforge.operators.ml import assemble, regression_metrics
     from panelforge.session import materialize
-    base_df = materialize(df.select(*features, label).dropna().withColumn("_rid", F.monotonically_increasing_id()))
-    base_r2 = regression_metrics(model.transform(assemble(base_df, features)), label).select("r2").scalar()
-    copies = None
-    for i, f in enumerate(features):
-        for r in range(repeats):
-            s = seed + 1000 * i + r
-            src = distributed_positions(base_df.select(f, F.rand(s).alias("_o")), "_o", "_p").select(
-                F.col(f).alias("_perm"), "_p")
-            dst = distributed_positions(base_df.withColumn("_o", F.rand(s + 500_000)), "_o", "_p")
-            c = (dst.join(src, "_p").withColumn(f, F.col("_perm")).drop("_perm", "_p", "_o")
-                 .withColumns({"_feature": F.lit(f), "_repeat": F.lit(r)}))
-            copies = c if copies is None else copies.unionByName(c)
-    scored = model.transform(assemble(copies, features))
-    m = regression_metrics(scored, label, by=["_feature", "_repeat"])
-    return (m.groupBy(F.col("_feature").alias("feature"))
+    feats = list(features)
+    base_df = materialize(df.select(*feats, label).dropna().withColumn("_rid", F.monotonically_increasing_id()))
+    base_r2 = regression_metrics(model.transform(assemble(base_df, feats)), label).select("r2").scalar()
+    n_copies = len(feats) * repeats
+    copies = base_df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(n_copies - 1))))
+    copies = copies.withColumn("_fidx", (F.col("_copy") / repeats).cast("int"))
+    vals = F.array(*[F.col(f).cast("double") for f in feats])
+    src = copies.select("_copy", F.element_at(vals, F.col("_fidx") + 1).alias("_perm"),
+                        F.row_number().over(Window.partitionBy("_copy").orderBy(
+                            F.xxhash64(F.lit(seed), F.col("_copy"), F.col("_rid")), "_rid")).alias("_p"))
+    dst = copies.withColumn("_p", F.row_number().over(Window.partitionBy("_copy").orderBy("_rid")))
+    perm = dst.join(src, ["_copy", "_p"]).withColumns(
+        {f: F.when(F.col("_fidx") == i, F.col("_perm")).otherwise(F.col(f).cast("double")) for i, f in enumerate(feats)})
+    scored = model.transform(assemble(perm, feats))
+    m = regression_metrics(scored, label, by=["_fidx", "_copy"])
+    names = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("_fidx") + 1)
+    return (m.groupBy(names.alias("feature"))
             .agg((base_r2 - F.avg("r2")).alias("importance_mean"), F.stddev_pop("r2").alias("importance_std"))
             .orderBy(F.col("importance_mean").desc(), "feature"))
 

@@ -203,7 +203,7 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, kind: str
 
 
 def search(df: DataFrame, features: Sequence[str], label: str, kind: str, grid: Sequence[Mapping],
-           fold: str = "fold", parallelism: int = 4, seed: int = 42) -> DataFrame:
+           fold: str = "fold", parallelism: int = 8, seed: int = 42) -> DataFrame:
     """ML-15/16/17/18: cross-validated search over parameter maps with Spark's CrossValidator
     (shared fold column → identical folds for every strategy).  Rows: trial, params, cv_r2, cv_r2_std."""
     data = assemble(df, features).select(FEATURES, label, fold)
@@ -216,8 +216,9 @@ def search(df: DataFrame, features: Sequence[str], label: str, kind: str, grid:
             pm[stage.getParam(k)] = v
         maps.append(pm)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold,
-                        parallelism=parallelism, seed=seed)
+    n_folds = data.select(F.max(fold)).first()[0] + 1
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold, numFolds=int(n_folds),
+                        parallelism=parallelism, seed=seed)  # folds come from the shared fold column
     model = cv.fit(data)
     rows = [(i, ";".join(f"{k}={v}" for k, v in sorted(g.items())), float(m), float(s))
             for i, (g, m, s) in enumerate(zip(grid, model.avgMetrics, model.stdMetrics))]
