@@ -23,37 +23,37 @@ MAX_NODES = 2_000_000  # bound on the broadcast ensemble size
 def extract_ensemble(model) -> dict:
     """Flatten a Spark tree-ensemble regressor into arrays (one dict per tree) plus tree weights.
 
-    RandomForest predictions are the mean of the trees; GBT predictions the weighted sum.
+    The model is written with its own writer to the shared folder and its node table
+    (id, prediction, impurity statistics, children, split) is read back as a DataFrame —
+    one job instead of a walk over JVM objects.  The node count is checked against the
+    broadcast bound.  RandomForest predictions are the mean of the trees; GBT the weighted sum.
     """
     from pyspark.ml.regression import RandomForestRegressionModel
+
+    from panelforge.sources.sinks import new_scratch
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    path = new_scratch(spark, "ensemble")
+    model.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    n = nodes.count()
+    if n > MAX_NODES:
+        raise ValueError(f"ensemble has {n} nodes, above the broadcast bound {MAX_NODES}")
+    pdf = nodes.select("treeID", F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("prediction"),
+                       F.col("nodeData.impurityStats").alias("stats"), F.col("nodeData.rawCount").alias("raw"),
+                       F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
+                       F.col("nodeData.split.featureIndex").alias("feature"),
+                       F.col("nodeData.split.leftCategoriesOrThreshold").alias("thr")).toPandas()
     trees = []
-    total = 0
-    for t in model.trees:
-        left, right, feat, thr, val, cover = [], [], [], [], [], []
-        stack = [(t._java_obj.rootNode(), -1, False)]
-        while stack:
-            node, parent, is_right = stack.pop()
-            idx = len(feat)
-            if parent >= 0:
-                (right if is_right else left)[parent] = idx
-            left.append(-1)
-            right.append(-1)
-            val.append(float(node.prediction()))
-            cover.append(float(node.impurityStats().count()))
-            if node.getClass().getSimpleName() == "InternalNode":
-                split = node.split()
-                feat.append(int(split.featureIndex()))
-                thr.append(float(split.threshold()))
-                stack.append((node.rightChild(), idx, True))
-                stack.append((node.leftChild(), idx, False))
-            else:
-                feat.append(-1)
-                thr.append(0.0)
-        total += len(feat)
-        trees.append({"left": np.array(left), "right": np.array(right), "feature": np.array(feat),
-                      "threshold": np.array(thr), "value": np.array(val), "cover": np.array(cover)})
-    if total > MAX_NODES:
-        raise ValueError(f"ensemble has {total} nodes, above the broadcast bound {MAX_NODES}")
+    for tid in sorted(pdf["treeID"].unique()):
+        t = pdf[pdf["treeID"] == tid].sort_values("id")
+        leaf = t["left"].to_numpy() < 0
+        thr = np.array([float(v[0]) if v is not None and len(v) else 0.0 for v in t["thr"]])
+        cover = np.array([float(st[0]) if st is not None and len(st) else float(r) for st, r in zip(t["stats"], t["raw"])])
+        trees.append({"left": t["left"].to_numpy().astype(int), "right": t["right"].to_numpy().astype(int),
+                      "feature": np.where(leaf, -1, t["feature"].to_numpy()).astype(int),
+                      "threshold": np.where(leaf, 0.0, thr), "value": t["prediction"].to_numpy(dtype=float),
+                      "cover": cover})
     w = np.array(model.treeWeights, dtype=float)
     if isinstance(model, RandomForestRegressionModel):
         w = w / w.sum()
