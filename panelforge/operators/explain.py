@@ -181,7 +181,11 @@ def attributions(df: DataFrame, model, features: Sequence[str], ids: Sequence[st
             out["prediction"] = np.repeat(pred, k)
             yield out
 
-    return df.select(*ids, *feats).dropna().mapInPandas(run, schema)
+    data = df.select(*ids, *feats).dropna()
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < par:  # small inputs: spread the per-row recursion over all cores
+        data = data.repartition(par)
+    return data.mapInPandas(run, schema)
 
 
 def mean_abs_shap(attr: DataFrame, top: int | None = None) -> DataFrame:
