@@ -153,7 +153,9 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (), interc
         g = g.join(totals, gcols)
     else:
         g = g.withColumns({"_nabs": F.lit(0), "_sst": F.lit(None).cast("double")})
-    g = materialize(g)  # one row per group; reused by the fit and the HC3 pass
+    robust = cov.upper() == "HC3"
+    if robust:
+        g = materialize(g)  # one row per group; reused by the fit and the HC3 pass
     names = (["const"] if intercept else []) + list(xs)
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in g.schema.fields if f.name in gcols)
     schema = (key_schema + ", " if key_schema else "") + (
@@ -179,8 +181,9 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], by: Sequence[str] = (), interc
             out.insert(0, c, r[c])
         return out
 
-    coefs = materialize(g.groupBy(*gcols).applyInPandas(fit, schema))
-    if cov.upper() == "HC3":
+    coefs = g.groupBy(*gcols).applyInPandas(fit, schema)
+    if robust:
+        coefs = materialize(coefs)
         coefs = _hc3(data if by else data.withColumn(GROUP, F.lit(0)), g, coefs, y, xs, gcols, intercept, names,
                      absorb)
     out = coefs.drop("inv_z", "beta_z")
