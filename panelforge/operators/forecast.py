@@ -78,7 +78,8 @@ def adf(series: DataFrame, key: str, period: str = "t", max_lag: int = 1, min_ro
              .select(key, F.lit(p).alias("lag"), F.col("n").alias("_n"), F.col("ssr").alias("_ssr")))
         fits = r if fits is None else fits.unionByName(r)
     fits = fits.withColumn("aic", F.col("_n") * F.log(F.try_divide(F.col("_ssr"), F.col("_n"))) + 2 * (F.col("lag") + 2))
-    best = fits.groupBy(key).agg(F.min_by("lag", F.struct("aic", "lag")).alias("lag"))
+    # one small row per (key, lag); materialized so the refits below do not re-run every candidate fit
+    best = materialize(fits.groupBy(key).agg(F.min_by("lag", F.struct("aic", "lag")).alias("lag")))
     out = None
     for p in range(max_lag + 1):
         xs = ["_ylag", *[f"_dy{i}" for i in range(1, p + 1)]]
@@ -115,7 +116,7 @@ def arima_select(series: DataFrame, key: str, period: str = "t", orders: Sequenc
     """FC-4: per key, the (p, d, q) with the lowest AIC; a constant only when d = 0; (1,1,1) if none fits.
 
     Design rows are exploded once per candidate order and every (key, order) is one
-    group of a single grouped least-squares fit.
+    group of a single grouped least-squares fit (unused regressors zeroed).
     """
     w = Window.partitionBy(key).orderBy(period)
     max_p = max(o[0] for o in orders)
@@ -139,18 +140,26 @@ def arima_select(series: DataFrame, key: str, period: str = "t", orders: Sequenc
         st = st.filter(F.col("_pos") > start).withColumn("_d", F.lit(d)).withColumn("_v", F.col(v))
         fr.append(st.select(key, "_pos", "_d", "_v", *[f"_w{i}" for i in range(1, max_p + 1)],
                             *[f"_e{i}" for i in range(1, max_q + 1)]))
-    rows = materialize(fr[0].unionByName(fr[1]))
-    out = None
-    for (p, d, q) in orders:
-        xs = [f"_w{i}" for i in range(1, p + 1)] + [f"_e{i}" for i in range(1, q + 1)]
-        sub = rows.filter(F.col("_d") == d)
-        if xs:
-            fit = ols(sub, "_v", xs, [key], intercept=(d == 0))
-        else:
-            fit = _mean_only(sub, key, d == 0)
-        r = (fit.groupBy(key).agg(F.first("ssr").alias("ssr"), F.first("n").alias("n"))
-             .select(key, F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q"), "ssr", "n"))
-        out = r if out is None else out.unionByName(r)
+    rows = fr[0].unionByName(fr[1])
+    # every row is copied once per candidate order of its differencing; regressors an order does
+    # not use are zeroed (the pseudo-inverse drops them), the constant is a column present only when
+    # d = 0 — so all (key, order) pairs are the groups of ONE grouped least-squares aggregate
+    ords = list(orders)
+    ids = {d: [i for i, o in enumerate(ords) if o[1] == d] for d in (0, 1)}
+    ex = rows.withColumn("_o", F.explode(F.when(F.col("_d") == 0, F.array(*[F.lit(i) for i in ids[0]]))
+                                         .otherwise(F.array(*[F.lit(i) for i in ids[1]]))))
+    p_of = F.element_at(F.array(*[F.lit(o[0]) for o in ords]), F.col("_o") + 1)
+    q_of = F.element_at(F.array(*[F.lit(o[2]) for o in ords]), F.col("_o") + 1)
+    ex = ex.withColumns({"_c": F.when(F.col("_d") == 0, F.lit(1.0)).otherwise(F.lit(0.0)),
+                         **{f"_w{i}": F.when(p_of >= i, F.col(f"_w{i}")).otherwise(F.lit(0.0))
+                            for i in range(1, max_p + 1)},
+                         **{f"_e{i}": F.when(q_of >= i, F.col(f"_e{i}")).otherwise(F.lit(0.0))
+                            for i in range(1, max_q + 1)}})
+    xs = ["_c", *[f"_w{i}" for i in range(1, max_p + 1)], *[f"_e{i}" for i in range(1, max_q + 1)]]
+    fit = ols(materialize(ex), "_v", xs, [key, "_o"], intercept=False)
+    out = (fit.groupBy(key, "_o").agg(F.first("ssr").alias("ssr"), F.first("n").alias("n"))
+           .select(key, p_of.alias("p"), F.element_at(F.array(*[F.lit(o[1]) for o in ords]), F.col("_o") + 1).alias("d"),
+                   q_of.alias("q"), "ssr", "n"))
     k = F.col("p") + F.col("q") + F.when(F.col("d") == 0, 1).otherwise(0)
     out = out.withColumn("aic", F.when((F.col("n") > k) & (F.col("ssr") > 0),
                                        F.col("n") * F.log(F.col("ssr") / F.col("n")) + 2 * k))
@@ -162,15 +171,6 @@ def arima_select(series: DataFrame, key: str, period: str = "t", orders: Sequenc
         F.coalesce(F.col("o.q"), F.lit(1)).alias("q"), "aic")
 
 
-def _mean_only(sub: DataFrame, key: str, with_const: bool) -> DataFrame:
-    v = F.col("_v")
-    if with_const:
-        ssr = F.sum(v * v) - F.pow(F.sum(v), 2) / F.count(v)
-    else:
-        ssr = F.sum(v * v)
-    return sub.groupBy(key).agg(ssr.alias("ssr"), F.count(v).alias("n"))
-
-
 def arima_forecast(series: DataFrame, orders: DataFrame, key: str, period: str = "t", steps: int = 3,
                    alpha: float = 0.2) -> DataFrame:
     """FC-5 / FC-6: fit the chosen order per key (CSS) and iterate forward ``steps``; (1−α) interval.
