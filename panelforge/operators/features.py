@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
-from panelforge.functions.quantile import median, quantiles
+from panelforge.functions.quantile import grouped_quantiles, median, quantiles
 
 
 # ---------------------------------------------------------------- outliers
@@ -33,10 +33,23 @@ def winsorize_counts(df: DataFrame, columns: Sequence[str], lower_pct: float = 0
     return wide.unpivot([], list(columns), "column_name", "n_changed")
 
 
-def iqr_bounds(df: DataFrame, keys: Sequence[str], columns: Sequence[str], k: float = 1.5) -> DataFrame:
-    """Per-key Q1/Q3 and IQR fences of each column (one grouped aggregate)."""
-    aggs = [quantiles(c, [0.25, 0.75]).alias(f"_q_{c}") for c in columns]
-    b = df.groupBy(*keys).agg(*aggs)
+def iqr_bounds(df: DataFrame, keys: Sequence[str], columns: Sequence[str], k: float = 1.5,
+               skew_safe: bool = True) -> DataFrame:
+    """Per-key Q1/Q3 and IQR fences of each column.
+
+    ``skew_safe`` (default): exact quartiles from distributed order statistics
+    (``grouped_quantiles``), so one key holding most rows is still spread over tasks;
+    otherwise one grouped ``percentile`` aggregate.
+    """
+    keys = list(keys)
+    if skew_safe:
+        b = None
+        for c in columns:
+            q = grouped_quantiles(df, c, [0.25, 0.75], keys).select(
+                *keys, F.array("q0", "q1").alias(f"_q_{c}"))
+            b = q if b is None else b.join(q, keys, "full_outer")
+    else:
+        b = df.groupBy(*keys).agg(*[quantiles(c, [0.25, 0.75]).alias(f"_q_{c}") for c in columns])
     exprs = []
     for c in columns:
         q1, q3 = F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]

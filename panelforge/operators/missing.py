@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.functions.quantile import median
+from panelforge.functions.quantile import grouped_quantiles, median
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None, threshold_pct: float = 50.0) -> DataFrame:
@@ -85,11 +85,14 @@ def fill_global_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fill_key_median(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """MIS-5: NULL → median of the key's own values.
 
-    Grouped exact median (partial aggregation, skew-tolerant) joined back on the
-    key; the per-key table is broadcast by AQE when small.
+    Exact per-key medians from distributed order statistics joined back on the key;
+    the per-key table is broadcast by AQE when small.
     """
     keys = list(keys)
-    meds = df.groupBy(*keys).agg(*[median(c).alias(f"_med_{c}") for c in columns])
+    meds = None
+    for c in columns:  # exact medians from distributed order statistics (hot keys spread over tasks)
+        m = grouped_quantiles(df, c, [0.5], keys).select(*keys, F.col("q0").alias(f"_med_{c}"))
+        meds = m if meds is None else meds.join(m, keys, "full_outer")
     out = df.join(meds, keys, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c)
                         for c in df.columns])

@@ -188,3 +188,17 @@ def test_repartition_invariance(spark):
     a = kruskal(df.repartition(1), "g", "x").first()["h_stat"]
     b = kruskal(df.repartition(8), "g", "x").first()["h_stat"]
     assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_grouped_quantiles_hot_group_matches_numpy(spark):
+    from panelforge.functions.quantile import grouped_quantiles
+    rng = np.random.default_rng(11)
+    g = np.where(rng.random(3000) < 0.7, 0, rng.integers(1, 6, 3000))  # group 0 holds most rows
+    x = np.round(rng.normal(size=3000), 2)
+    df = spark.createDataFrame(pd.DataFrame({"g": g.astype("int64"), "x": x}))
+    got = grouped_quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0], ["g"], n_ranges=16).toPandas().set_index("g")
+    for k in np.unique(g):
+        exp = np.quantile(x[g == k], [0.0, 0.25, 0.5, 0.9, 1.0])
+        np.testing.assert_allclose(got.loc[k, ["q0", "q1", "q2", "q3", "q4"]].to_numpy(dtype=float), exp, rtol=1e-12)
+    one = grouped_quantiles(df, "x", [0.5]).first()["q0"]
+    assert one == pytest.approx(np.median(x))
