@@ -91,3 +91,19 @@ def grouped_quantiles(df, value: str, probs: Sequence[float], by: Sequence[str]
     q = pair.select(*by, "_qi", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).alias("_q"))
     return q.groupBy(*by).pivot("_qi", list(range(len(probs)))).agg(F.first("_q")) \
         .select(*by, *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))])
+
+
+def quantile_scalars(df, columns: Sequence[str], probs: Sequence[float]):
+    """Global exact quantiles of several columns as ONE scalar struct ``s[col][i]``.
+
+    Each column goes through ``grouped_quantiles`` (distributed order statistics), so no
+    task ever holds a whole column; the few result numbers are attached to the plan as a
+    scalar subquery.
+    """
+    from pyspark.sql import functions as F
+    row = None
+    for i, c in enumerate(columns):
+        q = grouped_quantiles(df, c, probs).select(F.array(*[F.col(f"q{j}") for j in range(len(probs))]).alias(c))
+        q = q.withColumn("_one", F.lit(1))
+        row = q if row is None else row.join(q, "_one")
+    return row.select(F.struct(*[F.col(c) for c in columns])).scalar()

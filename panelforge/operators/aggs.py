@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
-from panelforge.functions.quantile import median, quantiles
+from panelforge.functions.quantile import grouped_quantiles, median, quantile_scalars
 
 _AGG = {"mean": F.avg, "avg": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
         "std": F.stddev_samp, "var": F.var_samp, "nunique": F.countDistinct, "median": median}
@@ -91,8 +91,8 @@ def histogram(df: DataFrame, column: str, bins: int = 10, keys: Sequence[str] =
 def box_stats(df: DataFrame, keys: Sequence[str], value: str, k: float = 1.5) -> DataFrame:
     """AGG-15: Q1, median, Q3, whiskers (most extreme points within the fences) and outlier count."""
     keys = list(keys)
-    q = df.groupBy(*keys).agg(quantiles(value, [0.25, 0.5, 0.75]).alias("_q"))
-    q = q.select(*keys, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = grouped_quantiles(df, value, [0.25, 0.5, 0.75], keys).select(
+        *keys, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     j = df.join(q, keys)
     lo = F.col("q1") - k * (F.col("q3") - F.col("q1"))
     hi = F.col("q3") + k * (F.col("q3") - F.col("q1"))
@@ -105,7 +105,8 @@ def box_stats(df: DataFrame, keys: Sequence[str], value: str, k: float = 1.5) ->
 def eda_overview(df: DataFrame, key: str, value: str, period_label: str, pre: str, post: str) -> DataFrame:
     """AGG-16: one-row overview: rows, columns, mean, median, std, min, max, pre/post means, best/worst key."""
     base = df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_cols"),
-                  F.avg(value).alias("mean"), median(value).alias("median"), F.stddev_samp(value).alias("std"),
+                  F.avg(value).alias("mean"), quantile_scalars(df, [value], [0.5])[value][0].alias("median"),
+                  F.stddev_samp(value).alias("std"),
                   F.min(value).alias("min"), F.max(value).alias("max"),
                   F.avg(F.when(F.col(period_label) == pre, F.col(value))).alias("pre_mean"),
                   F.avg(F.when(F.col(period_label) == post, F.col(value))).alias("post_mean"))

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
-from panelforge.functions.quantile import median
+from panelforge.functions.quantile import quantile_scalars
 
 
 def treat_by_baseline(df: DataFrame, key: str, period: str, value: str, baseline, name: str = "treated") -> DataFrame:
     """CAU-1: treated = the key's baseline-period value ≥ the median over keys; carried to all its rows."""
     base = df.filter(F.col(period) == F.lit(baseline))
-    med = base.select(median(value)).scalar()
+    med = quantile_scalars(base, [value], [0.5])[value][0]
     flags = df.groupBy(key).agg(
         S.flag(F.max(F.when(F.col(period) == F.lit(baseline), F.col(value))) >= med).alias(name))
     return df.join(flags, key, "left")

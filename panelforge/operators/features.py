@@ -14,20 +14,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
-from panelforge.functions.quantile import grouped_quantiles, median, quantiles
+from panelforge.functions.quantile import grouped_quantiles, median, quantile_scalars, quantiles
 
 
 # ---------------------------------------------------------------- outliers
 def winsorize(df: DataFrame, columns: Sequence[str], lower_pct: float = 0.01, upper_pct: float = 0.99) -> DataFrame:
     """OUT-1: clip each column to its global lower/upper percentiles."""
-    q = df.agg(F.struct(*[quantiles(c, [lower_pct, upper_pct]).alias(c) for c in columns])).scalar()
+    q = quantile_scalars(df, columns, [lower_pct, upper_pct])
     return df.withColumns({c: F.least(F.greatest(F.col(c), q[c][0]), q[c][1]) for c in columns})
 
 
 def winsorize_counts(df: DataFrame, columns: Sequence[str], lower_pct: float = 0.01,
                      upper_pct: float = 0.99) -> DataFrame:
     """OUT-1 report: values changed by clipping, per column."""
-    q = df.agg(F.struct(*[quantiles(c, [lower_pct, upper_pct]).alias(c) for c in columns])).scalar()
+    q = quantile_scalars(df, columns, [lower_pct, upper_pct])
     wide = df.agg(*[F.sum(S.flag((F.col(c) < q[c][0]) | (F.col(c) > q[c][1]))).cast("long").alias(c)
                     for c in columns])
     return wide.unpivot([], list(columns), "column_name", "n_changed")
@@ -167,7 +167,7 @@ def weighted_score(df: DataFrame, parts: Sequence[tuple[str | Column, float]] |
 def above_median_flag(df: DataFrame, value: str, subset: Column | None = None) -> Column:
     """FEA-8 / FEA-9: value > median of value (over all rows or a filtered subset)."""
     src = df.filter(subset) if subset is not None else df
-    return S.flag(F.col(value) > src.select(median(value)).scalar())
+    return S.flag(F.col(value) > quantile_scalars(src, [value], [0.5])[value][0])
 
 
 def feature_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -241,7 +241,7 @@ def engineer_features_g2(df: DataFrame, r: Mapping[str, str], key: str, period:
         "funding_per_deal": F.try_divide(c("funding"), c("deals") + 1),
         "year_idx": F.col(period) - df.select(F.min(period)).scalar(),
     })
-    pre_median = df.filter(F.col(period_label) == pre).select(median(r["count_growth"])).scalar()
+    pre_median = quantile_scalars(df.filter(F.col(period_label) == pre), [r["count_growth"]], [0.5])[r["count_growth"]][0]
     out = out.withColumn("strong_recovery",
                          S.flag((F.col(period_label) == post) & (c("count_growth") > pre_median)))
     return out.withColumn("high_innovation", above_median_flag(out, "innovation_score"))

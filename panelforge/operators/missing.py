@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.functions.quantile import grouped_quantiles, median
+from panelforge.functions.quantile import grouped_quantiles, quantile_scalars
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None, threshold_pct: float = 50.0) -> DataFrame:
@@ -78,8 +78,8 @@ def ffill_bfill(df: DataFrame, keys: Sequence[str], order: str, columns: Sequenc
 
 def fill_global_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """MIS-4: remaining NULL → the column's global median (one aggregate, scalar subquery)."""
-    med = df.agg(*[median(c).alias(c) for c in columns])
-    return df.withColumns({c: F.coalesce(F.col(c), med.select(c).scalar()) for c in columns})
+    med = quantile_scalars(df, columns, [0.5])
+    return df.withColumns({c: F.coalesce(F.col(c), med[c][0]) for c in columns})
 
 
 def fill_key_median(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

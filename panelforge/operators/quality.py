@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions import scalar as S
-from panelforge.functions.quantile import quantiles
+from panelforge.functions.quantile import quantile_scalars
 from panelforge.operators.filters import numeric_columns
 
 
@@ -68,7 +68,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, k: float =
     count per column against the scalar bounds.
     """
     cols = list(columns or numeric_columns(df))
-    q = df.agg(F.struct(*[quantiles(c, [0.25, 0.75]).alias(c) for c in cols]).alias("q")).scalar()
+    q = quantile_scalars(df, cols, [0.25, 0.75])  # distributed exact quartiles, one scalar struct
     exprs = []
     for c in cols:
         arr = q[c]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from panelforge.functions import dist
 from panelforge.functions import scalar as S
 from panelforge.functions.linalg import ols
-from panelforge.functions.quantile import median, quantiles
+from panelforge.functions.quantile import grouped_quantiles, quantile_scalars
 from panelforge.session import materialize
 
 
@@ -189,7 +189,7 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def levene(df: DataFrame, group: str, value: str) -> DataFrame:
     """STA-10: Brown–Forsythe Levene: one-way ANOVA on |x − group median|."""
-    meds = df.groupBy(group).agg(median(value).alias("_med"))
+    meds = grouped_quantiles(df, value, [0.5], [group]).select(group, F.col("q0").alias("_med"))
     z = df.join(meds, group).select(group, F.abs(F.col(value) - F.col("_med")).alias("_z"))
     return anova_oneway(z, group, "_z")
 
@@ -322,7 +322,7 @@ def probplot(df: DataFrame, value: str, log1p: bool = False) -> DataFrame:
 
 def qcut(df: DataFrame, value: str, q: int, name: str = "bin", labels: Sequence[str] | None = None) -> DataFrame:
     """STA-16: equal-frequency bins from interpolated quantile edges; right-closed, lowest included."""
-    edges = df.select(quantiles(value, [i / q for i in range(q + 1)])).scalar()
+    edges = quantile_scalars(df, [value], [i / q for i in range(q + 1)])[value]
     x = F.col(value)
     b = None
     for i in range(q):
