@@ -96,14 +96,15 @@ def grouped_quantiles(df, value: str, probs: Sequence[float], by: Sequence[str]
 def quantile_scalars(df, columns: Sequence[str], probs: Sequence[float]):
     """Global exact quantiles of several columns as ONE scalar struct ``s[col][i]``.
 
-    Each column goes through ``grouped_quantiles`` (distributed order statistics), so no
-    task ever holds a whole column; the few result numbers are attached to the plan as a
-    scalar subquery.
+    The columns are stacked into (column, value) rows and go through ``grouped_quantiles``
+    together (one distributed order-statistics pass, grouped by column name), so no task
+    ever holds a whole column; the few result numbers are attached as a scalar subquery.
     """
     from pyspark.sql import functions as F
-    row = None
-    for i, c in enumerate(columns):
-        q = grouped_quantiles(df, c, probs).select(F.array(*[F.col(f"q{j}") for j in range(len(probs))]).alias(c))
-        q = q.withColumn("_one", F.lit(1))
-        row = q if row is None else row.join(q, "_one")
-    return row.select(F.struct(*[F.col(c) for c in columns])).scalar()
+    cols = list(columns)
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v"))
+                                         for c in cols])).alias("_s")).select("_s._col", "_s._v")
+    q = grouped_quantiles(long, "_v", probs, ["_col"])
+    arr = F.array(*[F.col(f"q{j}") for j in range(len(probs))])
+    wide = q.groupBy().pivot("_col", cols).agg(F.first(arr))
+    return wide.select(F.struct(*[F.col(c) for c in cols])).scalar()

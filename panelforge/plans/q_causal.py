@@ -32,7 +32,7 @@ def with_cp(sql: str) -> str:
 
 def causal_panel(spark, sf_dir):
     """Confirmed rows, growth filled with the key's median, treatment and period flags."""
-    p = panel(spark, sf_dir).filter(F.col("is_partial") == 0)
+    p = materialize(panel(spark, sf_dir).filter(F.col("is_partial") == 0))  # several passes follow
     p = p.withColumns({"growth_proxy": F.col("disc") * 100, "unemp_proxy": F.col("tax") * 100})
     p = fill_key_median(p, ["k"], ["entity_growth_yoy"])
     p = C.treat_by_baseline(p, "k", "yr", "price", SPEC.baseline_year)
