@@ -202,3 +202,16 @@ def test_grouped_quantiles_hot_group_matches_numpy(spark):
         np.testing.assert_allclose(got.loc[k, ["q0", "q1", "q2", "q3", "q4"]].to_numpy(dtype=float), exp, rtol=1e-12)
     one = grouped_quantiles(df, "x", [0.5]).first()["q0"]
     assert one == pytest.approx(np.median(x))
+
+
+def test_quantile_scalars_stacked_columns(spark):
+    from panelforge.functions.quantile import quantile_scalars
+    rng = np.random.default_rng(12)
+    a = rng.normal(size=500)
+    b = np.round(rng.exponential(size=500), 1)
+    b[::7] = np.nan
+    df = spark.createDataFrame(pd.DataFrame({"a": a, "b": b})).withColumn("b", F.nanvl("b", F.lit(None)))
+    s = quantile_scalars(df, ["a", "b"], [0.01, 0.5, 0.99])
+    got = spark.range(1).select(s["a"].alias("a"), s["b"].alias("b")).first()
+    np.testing.assert_allclose(got["a"], np.quantile(a, [0.01, 0.5, 0.99]), rtol=1e-12)
+    np.testing.assert_allclose(got["b"], np.quantile(b[~np.isnan(b)], [0.01, 0.5, 0.99]), rtol=1e-12)
