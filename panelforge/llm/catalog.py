@@ -30,7 +30,7 @@ def _register(name: str, sql: str | None = None):
 @_register("op3_minhash_near_dedup", """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS sh
       FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 3, 1))) AS i FROM w WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
