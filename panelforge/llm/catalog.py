@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelforge.llm import minhash
+from panelforge.llm import chat, decontaminate, embed_join, langid, minhash, pieces, quality, sharding, tokencount, toxicity
 from panelforge.llm.common import read_table
 from panelforge.session import prepare
 
@@ -46,3 +47,103 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN m ON m.d = d.doc_id
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over 4-word shingles."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), width=4)
+
+
+@_register("op2_balanced_label_propagation")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of equal row counts; equal texts stay together where they fit."""
+    return sharding.document_shards(read_table(spark, sf_dir, "documents"), 40)
+
+
+@_register("op5_epsilon_grid_order_join", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+r AS (SELECT vec_id AS d, vec_id AS c FROM embeddings UNION SELECT r.d, l.b FROM r JOIN l ON l.a = r.c),
+m AS (SELECT d, min(c) AS c FROM r GROUP BY d),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, m.c AS component_id, e.vec_id = m.c AS kept
+FROM embeddings e JOIN m ON m.d = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of at least 0.93 within labels."""
+    return embed_join.similar_vectors(read_table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@_register("op6_kneser_ney_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by character models learned from the rows that are not held out."""
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+@_register("op10_longest_match_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece lengths of all documents."""
+    return tokencount.count_tokens(read_table(spark, sf_dir, "documents"), tokencount.vocabulary())
+
+
+@_register("op1_weak_label_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes, posterior, score and decision of every document."""
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs))
+
+
+@_register("op4_template_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold benchmark items, word by word or with other numbers, names and units."""
+    return decontaminate.document_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@_register("op7_sentencepiece_lattice")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece counts, a hash of the ids and the round trip of every document."""
+    return pieces.round_trip(read_table(spark, sf_dir, "documents"), pieces.Pieces.load())
+
+
+@_register("op8_levenshtein_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of held-out documents are not read."""
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+@_register("op9_preference_format", """
+WITH t AS (SELECT DISTINCT CAST(conv_id AS BIGINT) AS conv_id, coalesce(CAST(turn AS BIGINT), -1) AS turn,
+                  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'assistant') AS last,
+             min({'turn': turn, 'text': text}) FILTER (WHERE role = 'assistant') AS first FROM t GROUP BY conv_id),
+b AS (SELECT t.*, i.last, CASE WHEN role = 'assistant' AND turn = last THEN
+               CASE WHEN i.first.turn < last THEN i.first.text
+                    ELSE array_to_string(string_split(text, ' ')[1:len(string_split(text, ' ')) // 2], ' ') END
+             ELSE text END AS weak
+      FROM t JOIN i USING (conv_id) WHERE last IS NULL OR turn <= last),
+s AS (SELECT conv_id, turn, role, text, 1 AS c, 0 AS r FROM b UNION ALL SELECT conv_id, turn, role, weak, 0, 1 FROM b),
+m AS (SELECT conv_id, turn, role, text, max(c) AS c, max(r) AS r FROM s GROUP BY ALL),
+e AS (SELECT conv_id, min(turn) FILTER (WHERE c <> r) AS split FROM m GROUP BY conv_id),
+x AS (SELECT m.*, (split IS NULL OR turn < split) AS shared,
+             '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered FROM m JOIN e USING (conv_id))
+SELECT conv_id AS pair_id, CAST(floor(greatest(turn, 0) / 64) AS BIGINT) AS part,
+       count(*) FILTER (WHERE shared) AS prompt_turns,
+       md5(coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (WHERE shared), '')) AS prompt_md5,
+       md5(coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (WHERE NOT shared AND c = 1), '')) AS chosen_md5,
+       md5(coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (WHERE NOT shared AND r = 1), '')) AS rejected_md5,
+       CAST(coalesce(sum(length(text) + 10) FILTER (WHERE NOT shared AND c = 1 AND role = 'assistant'), 0) AS BIGINT) AS chosen_loss_chars,
+       CAST(coalesce(sum(length(text) + 10) FILTER (WHERE NOT shared AND r = 1 AND role = 'assistant'), 0) AS BIGINT) AS rejected_loss_chars
+FROM x GROUP BY 1, 2
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference rows of all conversations, each against itself with a weaker last reply."""
+    rows = chat.preference_rows(chat.with_weaker_reply(chat.turns_of(read_table(spark, sf_dir, "conversations"))))
+
+    def loss(spans: str) -> Column:
+        return F.aggregate(F.transform(spans, lambda s: (s["end"] - s["start"]).cast("long")), F.lit(0).cast("long"),
+                           lambda a, b: a + b)
+    return rows.select("pair_id", "part", F.col("prompt_turns").cast("long").alias("prompt_turns"),
+                       *[F.md5(F.col(c).cast("binary")).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
+                       loss("chosen_spans").alias("chosen_loss_chars"), loss("rejected_spans").alias("rejected_loss_chars"))

@@ -6,10 +6,13 @@ bounded number of bytes, so a task's memory does not follow the length of a text
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +39,12 @@ def fold_of(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a value of bounded size, classes by value; the function returned reads it inside a task."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -190,3 +199,49 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
             if batch.num_rows:
                 yield fn(batch)
     return df.mapInArrow(run, schema)
+
+
+# ---------------------------------------------------------------- semi-join reduction
+
+BITMAP_BITS = 1 << 24
+_BUCKET_BITS = 1 << 15
+
+
+def id_bitmap(ids: DataFrame, column: str) -> DataFrame:
+    """Bitmap of fixed size (BITMAP_BITS / 8 bytes) over the hashes of an id column, as rows (_bucket, _bits)."""
+    at = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(BITMAP_BITS))
+    return (ids.where(F.col(column).isNotNull())
+            .select(F.floor(at / _BUCKET_BITS).cast("int").alias("_bucket"), (at % _BUCKET_BITS).alias("_at"))
+            .groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_bits")))
+
+
+def possible(rows: DataFrame, column: str, bitmap: DataFrame, out: str = "_possible") -> DataFrame:
+    """Add a boolean that is true for every row whose id is in the bitmap and false for most others; null ids: false.
+
+    The bitmap is broadcast; its size is fixed, so texts of rows without a partner need no shuffle.
+    """
+    at = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(BITMAP_BITS))
+    bit = at % _BUCKET_BITS
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_byte as int), 1)")), 16, 10).cast("int")
+    marked = (rows.withColumn("_bucket", F.floor(at / _BUCKET_BITS).cast("int"))
+              .withColumn("_byte", F.floor(bit / 8) + 1).withColumn("_bit", (bit % 8).cast("int"))
+              .join(F.broadcast(bitmap), "_bucket", "left"))
+    hit = F.col(column).isNotNull() & F.col("_bits").isNotNull() & (F.getbit(byte, F.col("_bit")) == 1)
+    return marked.withColumn(out, F.coalesce(hit, F.lit(False))).drop("_bucket", "_byte", "_bit", "_bits")
+
+
+def drop_ids(docs: DataFrame, gone: DataFrame, doubled: DataFrame | None = None) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not in gone(doc_id), with all their columns.
+
+    Rows with an id in doubled(doc_id) that agree in doc_id and text are kept once.  Only
+    rows that the bitmap of these ids lets through are shuffled.
+    """
+    gone = gone.select(F.col("doc_id").cast("long").alias("_gone")).distinct()
+    wanted = gone if doubled is None else gone.union(doubled.select(F.col("doc_id").cast("long")))
+    marked = possible(docs, "doc_id", cut(id_bitmap(wanted, "_gone")))
+    sure = marked.where("not _possible").drop("_possible")
+    rest = marked.where("_possible").drop("_possible")
+    rest = rest.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    if doubled is not None:
+        rest = rest.dropDuplicates(["doc_id", "text"])
+    return sure.unionByName(rest)

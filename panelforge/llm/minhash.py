@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import WordHasher, cut, list_array, shingle_hashes
+from panelforge.llm.common import WordHasher, cut, drop_ids, id_bitmap, list_array, possible, shingle_hashes
 from panelforge.llm.graph import components
 
 SKETCH = 96
@@ -134,6 +134,7 @@ def _whole_sets(lists: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(sig, own): whole sorted shingle sets of the classes that stand in a list."""
     wanted = lists.select("sig", "rep").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
+    texts = possible(texts, "rep", cut(id_bitmap(wanted, "rep"))).where("_possible")
 
     def run(batches):
         hasher = WordHasher()
@@ -259,3 +260,10 @@ def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, com
             root[max(u, v)] = min(u, v)
             out.append((i, j))
     return out
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One document of each component, with all its columns; rows that repeat doc_id and text are kept once."""
+    found = cut(near_duplicates(docs, width, threshold))
+    doubled = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return drop_ids(docs, found.where("doc_id is not null and not kept"), doubled)
