@@ -32,53 +32,52 @@ UNITS = ("mm cm m km mg g kg t ml l s h min ms kb mb gb tb hz khz mhz ghz w kw v
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
                 "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand "
                 "million billion").split()
-_NUMBER = r"^[+\-−]?[$€£¥]?\d[\d.,:/]*(st|nd|rd|th|%|[$€£¥])?$"
-_EDGES = r"^[^\p{L}\p{N}$€£¥+\-−]+|[^\p{L}\p{N}%$€£¥]+$"
-_NAME = r"^\p{Lu}\p{Ll}+$"
+_LETTERS = r"[\p{L}\p{N}]"
+#: A capitalised word that does not begin a sentence.
+_NAME = r"\p{Lu}(?<=[^\s.!?:]\s{1,3}\p{Lu})\p{Ll}+(?!" + _LETTERS + ")"
+_NUMBER = r"[$€£¥]?\d+(?:[.,:/]\d+)*(?:%|(?:st|nd|rd|th)(?!" + _LETTERS + "))?"
+_UNIT = r"(<num=[^>]*>\s{0,3})(" + "|".join(UNITS) + ")(?!" + _LETTERS + ")"
 
 
-def _words(text: Column) -> Column:
-    """Words with their outer punctuation cut off, and whether a sentence begins there: array of (w, b)."""
-    raw = F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), r"\s+"), lambda w: w != "")
-    return raw
-
-
-def _canonical(raw: Column) -> Column:
-    """Array of (c, v): the template word and, for placeholders, the value it stands for."""
-    units, numbers = (F.array(*[F.lit(x) for x in words]) for words in (UNITS, NUMBER_WORDS))
-
-    def one(word: Column, i: Column) -> Column:
-        bare = F.regexp_replace(word, _EDGES, "")
-        low = F.lower(bare)
-        begins = (i == 0) | F.get(raw, i - 1).rlike(r"[.!?:]['\")\]»”]*$")
-        before = F.regexp_replace(F.get(raw, F.greatest(i - 1, F.lit(0))), _EDGES, "")
-        return (F.when(bare.rlike(_NUMBER) | F.array_contains(numbers, low), F.struct(F.lit("<num>").alias("c"), low.alias("v")))
-                .when((i > 0) & before.rlike(_NUMBER) & F.array_contains(units, low),
-                      F.struct(F.lit("<unit>").alias("c"), low.alias("v")))
-                .when(~begins & bare.rlike(_NAME), F.struct(F.lit("<name>").alias("c"), low.alias("v")))
-                .otherwise(F.struct(F.when(low == "", word).otherwise(low).alias("c"), F.lit(None).cast("string").alias("v"))))
-    return F.transform(raw, one)
+def _marked(text: Column) -> Column:
+    """Lower-case text with placeholders that still hold their values: <num=..>, <unit=..>, <name=..>."""
+    t = F.coalesce(text.cast("string"), F.lit(""))
+    t = F.when(F.contains(t, F.lit("<")) | F.contains(t, F.lit(">")), F.regexp_replace(t, "[<>]", " ")).otherwise(t)
+    return F.lower(F.regexp_replace(F.regexp_replace(t, _NUMBER, "<num=$0>"), _NAME, "<name=$0>"))
 
 
 def template_windows(rows: DataFrame, key: str, width: int = WIDTH) -> DataFrame:
-    """(key, at, h, slots): every window of the row's template with few placeholders; slots are their values or null.
+    """(key, h, slots): every window of the row's template with few placeholders; slots are their values or null.
 
     Rows with fewer words than ``width`` have one window, rows without words none.
     """
-    words = rows.select(key, _words(F.col("text")).alias("_raw")).where(F.size("_raw") > 0)
-    words = words.select(key, _canonical(F.col("_raw")).alias("_w"))
-    words = words.select(key, F.col("_w.c").alias("_c"), F.col("_w.v").alias("_v"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("_c") - width + 1, F.lit(1)))
-
-    def window(i: Column) -> Column:
-        return F.struct(i.alias("at"), F.xxhash64(F.slice("_c", i, width)).alias("h"),
-                        F.slice("_v", i, width).alias("slots"))
-
-    out = words.select(key, F.explode(F.transform(starts, window)).alias("_x"))
-    out = out.select(key, "_x.at", "_x.h", "_x.slots")
-    filled = F.size(F.filter("slots", lambda v: v.isNotNull()))
-    return (out.withColumn("_n", filled).where(F.col("_n") <= MAX_SLOTS)
-            .withColumn("slots", F.when(F.col("_n") > 0, F.col("slots"))).drop("_n"))
+    words = rows.select(key, _marked(F.col("text")).alias("_m"))
+    words = words.select(key, F.when(F.contains("_m", F.lit("<num=")), F.regexp_replace("_m", _UNIT, "$1<unit=$2>"))
+                         .otherwise(F.col("_m")).alias("_m"))
+    filled = F.contains("_m", F.lit("<"))
+    plain = F.when(filled, F.regexp_replace("_m", "=[^>]*>", ">")).otherwise(F.col("_m"))
+    token = F.lit(r"<[a-z]+>|[\p{L}\p{N}]+")
+    valued = F.regexp_extract_all("_m", F.lit(r"<[a-z]+=[^>]*>|[\p{L}\p{N}]+"), F.lit(0))
+    words = words.select(key, "_m", F.regexp_extract_all(plain, token, F.lit(0)).alias("_c"))
+    hashed = F.transform("_c", lambda w: F.xxhash64(w))  # number words are placeholders too
+    number = F.xxhash64(F.lit("<num>"))
+    spelled = [F.xxhash64(F.lit(w)) for w in NUMBER_WORDS]
+    hashed = F.transform(hashed, lambda h: F.when(h.isin(*spelled), number).otherwise(h))
+    words = words.select(key, "_m", hashed.alias("_c"))
+    slot = F.transform(valued, lambda t: F.when(F.startswith(t, F.lit("<")) | t.isin(*NUMBER_WORDS), t))
+    words = words.select(key, "_c", F.when(F.contains("_m", F.lit("<")) | F.array_contains("_c", number), slot).alias("_v"))
+    # shifted slices side by side: windows are then rows of plain columns, hashed in generated code
+    count = F.greatest(F.size("_c") - width + 1, F.lit(1))
+    shifted = [F.slice("_c", k + 1, count).alias(f"c{k}") for k in range(width)]
+    values = F.coalesce("_v", F.array().cast("array<string>"))
+    shifted += [F.slice(values, k + 1, count).alias(f"v{k}") for k in range(width)]
+    out = words.select(key, F.explode(F.arrays_zip(*shifted)).alias("_x"))
+    slots = F.array(*[F.col(f"_x.v{k}") for k in range(width)])
+    some = F.coalesce(*[F.col(f"_x.v{k}") for k in range(width)]).isNotNull()
+    out = out.select(key, F.xxhash64(*[F.col(f"_x.c{k}") for k in range(width)]).alias("h"), F.when(some, slots).alias("slots"))
+    held = F.size(F.filter("slots", lambda v: v.isNotNull()))
+    out = out.withColumn("_n", F.when(F.col("slots").isNull(), 0).otherwise(held)).where(F.col("_n") <= MAX_SLOTS)
+    return out.drop("_n")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -91,7 +90,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> D
     windows are all made of placeholders match nothing.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
-    bench = cut(template_windows(items, "item_id", width).withColumnsRenamed({"slots": "item_slots", "at": "item_at"}))
+    bench = cut(template_windows(items, "item_id", width).withColumnRenamed("slots", "item_slots").distinct())
     need = bench.groupBy("item_id").agg(F.countDistinct("h").alias("total"))
     side = F.broadcast(bench) if bench.count() <= BROADCAST_WINDOWS else bench
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")

@@ -10,6 +10,7 @@ bound are encoded where they occur, by the same recurrence over the same pieces.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +27,8 @@ from panelforge.llm.tokencount import VOCABULARY
 SPACE = "▁"
 #: Most units in the broadcast dictionary, and the longest unit (characters) that the lattice takes.
 DICTIONARY, LONGEST = 1 << 17, 32
+#: Offset of Zipf's law for files whose scores are ranks.
+ZIPF_OFFSET = 2.7
 #: Score of a character without a piece below the worst piece, as the public library sets it.
 UNKNOWN_MARGIN = 10.0
 _UNITS = rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+"
@@ -44,7 +47,12 @@ class Pieces:
 
     @classmethod
     def load(cls, path: str = VOCABULARY) -> Pieces:
-        """From a SentencePiece model file with byte fallback, identity normalisation and a dummy prefix."""
+        """From a SentencePiece model file with byte fallback, identity normalisation and a dummy prefix.
+
+        Viterbi paths need log probabilities.  The scores of a pair-merging file are negative ranks
+        (whole numbers from 0 down); they become log probabilities by Zipf's law over the ranks, rounded so that sums are exact
+        and ties are ties.
+        """
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         table, surface, base = {}, [], -1
@@ -58,6 +66,10 @@ class Pieces:
             else:
                 table[piece] = i, float(model.get_score(i))
                 surface.append(piece.replace(SPACE, " ").encode())
+        if table and all(s <= 0 and s == int(s) for _, s in table.values()):
+            rank = {p: min(-s, len(table)) + ZIPF_OFFSET for p, (_, s) in table.items()}
+            total = math.log(sum(1 / r for r in rank.values()))
+            table = {p: (i, round((-math.log(rank[p]) - total) * 65536) / 65536) for p, (i, _) in table.items()}
         return cls.of(table, surface, base)
 
     @classmethod
@@ -153,14 +165,14 @@ def build_dictionary(docs: DataFrame, pieces: Pieces, bound: int = DICTIONARY) -
 
 
 class _Paths(dict):
-    """Unit -> ids: the broadcast dictionary first, then paths found here, remembered up to a bound."""
+    """Unit -> ids, found when missing and remembered up to a bound; ``lead`` is put before a unit that is looked up."""
 
-    def __init__(self, known: dict[str, tuple[int, ...]], pieces: Pieces):
+    def __init__(self, known: dict[str, tuple[int, ...]], lead: str, pieces: Pieces):
         super().__init__(known)
-        self.known, self.pieces, self.extra = known, pieces, 0
+        self.known, self.lead, self.pieces, self.extra = known, lead, pieces, 0
 
     def __missing__(self, unit: str) -> tuple[int, ...]:
-        ids = best_path(unit, self.pieces)
+        ids = best_path(self.lead + unit, self.pieces)
         if len(unit) <= 2 * LONGEST:
             self.extra += 1
             if self.extra > _REMEMBERED:
@@ -174,16 +186,45 @@ class _Paths(dict):
 _FIND = re.compile(_UNITS)
 
 
-def _unit_runs(text: str) -> Iterator[list[str]]:
-    """Units of a text in runs of bounded size."""
-    whole = SPACE + text.replace(" ", SPACE)
-    at = 0
-    while at < len(whole):
-        end = at + _SLICE
-        while end < len(whole) and not (whole[end] == SPACE and whole[end - 1] != SPACE):
-            end += 1
-        yield _FIND.findall(whole[at:end] if at or end < len(whole) else whole)
-        at = end
+class Encoder:
+    """Ids of whole texts from a dictionary of unit paths, built inside a task."""
+
+    def __init__(self, known: dict[str, tuple[int, ...]], pieces: Pieces):
+        spaced = {u[1:]: ids for u, ids in known.items() if u[0] == SPACE and u[1:2] not in ("", SPACE)}
+        self.spaced, self.bare = _Paths(spaced, SPACE, pieces), _Paths(known, "", pieces)
+
+    def ids(self, text: str) -> np.ndarray:
+        if not text:
+            return np.empty(0, np.int32)
+        parts = [np.fromiter(chain.from_iterable(run), np.int32) for run in self._runs(text)]
+        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+    def _runs(self, text: str) -> Iterator[list[tuple[int, ...]]]:
+        """Paths of the units in order, in runs of bounded size."""
+        out: list[tuple[int, ...]] = []
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.append(self.bare["\n"])
+            if len(line) <= _SLICE and line:
+                words = line.split(" ")
+                if "" not in words:  # single spaces only: every word but a line's first has one space mark
+                    out.append(self.bare[words[0]] if k else self.spaced[words[0]])
+                    out.extend(map(self.spaced.__getitem__, words[1:]))
+                    line = ""
+                whole = line and (SPACE * (not k) + line.replace(" ", SPACE))
+            else:
+                whole = SPACE * (not k) + line.replace(" ", SPACE)
+            at = 0
+            while at < len(whole):
+                end = at + _SLICE
+                while end < len(whole) and not (whole[end] == SPACE and whole[end - 1] != SPACE):
+                    end += 1
+                out.extend(map(self.bare.__getitem__, _FIND.findall(whole[at:end])))
+                at = end
+                if len(out) > _SLICE:
+                    yield out
+                    out = []
+        yield out
 
 
 def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIONARY) -> DataFrame:
@@ -197,15 +238,13 @@ def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIO
     shared = share(spark, (build_dictionary(docs, pieces, bound), pieces))
 
     def run(batches):
-        paths = _Paths(*shared())
+        encoder = Encoder(*shared())
         for batch in batches:
             parts, valid = [], []
             for text in batch.column("text"):
                 text = text.as_py()
                 valid.append(text is not None)
-                found = [np.fromiter(chain.from_iterable(map(paths.__getitem__, run)), np.int32)
-                         for run in _unit_runs(text)] if text else []
-                parts.append(np.concatenate(found) if found else np.empty(0, np.int32))
+                parts.append(encoder.ids(text or ""))
             ids = list_array(parts, pa.int32())
             if not all(valid):
                 ids = pa.ListArray.from_arrays(ids.offsets, ids.values, mask=~pa.array(valid).to_numpy(False))
