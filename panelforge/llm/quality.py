@@ -92,31 +92,37 @@ def votes(text: str | None) -> str:
         vote(suffixes / n, 0.03, 0.4)))
 
 
-def accuracies(patterns: dict[str, int], rounds: int = 100) -> tuple[float, np.ndarray, dict[str, float]]:
+def accuracies(patterns: dict[str, int], rounds: int = 200) -> tuple[float, np.ndarray, dict[str, float]]:
     """Expectation-maximisation over vote patterns: (share of good, accuracy per labeller and class, posteriors).
 
-    Accuracy [j, y] is the chance that labeller j, when it votes, votes y for a document of class y.
-    Labellers are written to vote bad on clear signs only, each on its own kind of junk, so the start
-    puts a document on the bad side with its first bad vote; this also fixes which class is which.
+    Junk comes in kinds that trip different labellers, so the latent classes are good and one kind of
+    bad per labeller; within a class votes are independent.  Labellers vote bad on clear signs only: the start
+    deals a document with bad votes to the kinds of these labellers, which also fixes which class is which.
+    Accuracy [j, y] is the chance that labeller j, when it votes, votes y for a document of class y (1 good, 0 bad).
     """
     names = sorted(patterns)
+    kinds = len(LABELLERS)
     weight = np.array([patterns[p] for p in names], float)
-    v = np.array([[int(c) for c in p] for p in names], int).reshape(len(names), len(LABELLERS))
-    good, bad = v == 1, v == 0
-    post = 0.95 * 0.25 ** bad.sum(axis=1)
-    share, table = 0.5, np.full((len(LABELLERS), 2), 0.8)
+    v = np.array([[int(c) for c in p] for p in names], int).reshape(len(names), kinds)
+    good, bad = (v == 1).astype(float), (v == 0).astype(float)
+    some = bad.sum(axis=1, keepdims=True)
+    post = np.column_stack([np.where(some > 0, 0.1, 0.98), np.where(some > 0, 0.9 * bad / np.maximum(some, 1), 0.02 / kinds)])
+    share, chance = np.full(kinds + 1, 1 / (kinds + 1)), np.full((kinds + 1, kinds), 0.5)
     for _ in range(rounds):
-        g, b = weight * post, weight * (1 - post)
-        share = (g.sum() + 1) / (weight.sum() + 2)
-        table = np.column_stack([(b @ bad + 8) / (b @ (good | bad) + 10), (g @ good + 8) / (g @ (good | bad) + 10)])
-        log_good = np.log(share) + good @ np.log(table[:, 1]) + bad @ np.log(1 - table[:, 1])
-        log_bad = np.log(1 - share) + bad @ np.log(table[:, 0]) + good @ np.log(1 - table[:, 0])
-        new = 1 / (1 + np.exp(np.clip(log_bad - log_good, -50, 50)))
-        if len(new) and np.abs(new - post).max() < 1e-8:
-            post = new
-            break
+        mass = weight[:, None] * post
+        share = (mass.sum(axis=0) + 1) / (weight.sum() + kinds + 1)
+        chance = (mass.T @ good + 0.5) / (mass.T @ (good + bad) + 1)  # of a good vote, per class and labeller
+        log = np.log(share) + good @ np.log(chance).T + bad @ np.log(1 - chance).T
+        new = np.exp(log - log.max(axis=1, keepdims=True)) if len(names) else log
+        new /= new.sum(axis=1, keepdims=True)
+        settled = not len(names) or np.abs(new - post).max() < 1e-8
         post = new
-    return float(share), table, dict(zip(names, post.tolist(), strict=True))
+        if settled:
+            break
+    mass = weight[:, None] * post
+    junk = mass[:, 1:].sum(axis=1)
+    table = np.column_stack([(junk @ bad + 0.5) / (junk @ (good + bad) + 1), chance[0]])
+    return float(share[0]), table, dict(zip(names, post[:, 0].tolist(), strict=True))
 
 
 @dataclass
@@ -215,8 +221,8 @@ def _linear(cells: list, shares: list, target: np.ndarray, rounds: int = 150) ->
         g, gb = np.bincount(col, error[row] * val, CELLS) + 1e-7 * w, error.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         fix = np.sqrt(1 - 0.99 ** t) / (1 - 0.9 ** t)
-        w = w - 0.2 * fix * m / (np.sqrt(v) + 1e-9)
-        bias -= 0.2 * fix * mb / (np.sqrt(vb) + 1e-9)
+        w = w - 0.4 * fix * m / (np.sqrt(v) + 1e-9)
+        bias -= 0.4 * fix * mb / (np.sqrt(vb) + 1e-9)
     return w, float(bias)
 
 
