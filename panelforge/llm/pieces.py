@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding with a relational lattice.
 
-A text is cut into units at white space; no piece crosses such a cut.  The substrings of
+A text is cut into units at spaces and line breaks; no piece crosses such a cut.  The substrings of
 bounded length of a unit are equi-joined to the piece table, the matches are the edges of
 the unit's lattice, and a fold over the edges (Spark's higher-order aggregate) keeps the
 best path to every position.  The lattice runs once per distinct frequent unit, not per
@@ -12,28 +12,33 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import cut, list_array, share
 from panelforge.llm.tokencount import VOCABULARY
 
 SPACE = "▁"
-#: Most units in the broadcast dictionary, and the longest unit (characters) that the lattice takes.
-DICTIONARY, LONGEST = 1 << 17, 32
+#: Most units in the broadcast dictionary (about 200 bytes each), and the longest unit (characters) that the lattice takes.
+DICTIONARY, LONGEST = 1 << 18, 32
 #: Offset of Zipf's law for files whose scores are ranks.
 ZIPF_OFFSET = 2.7
 #: Score of a character without a piece below the worst piece, as the public library sets it.
 UNKNOWN_MARGIN = 10.0
 _UNITS = rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+"
 _SLICE = 1 << 20
-_REMEMBERED = 1 << 17
+_REMEMBERED = 1 << 18
+#: Rows of a batch that are encoded or decoded at once.
+_ROWS = 1024
 
 
 @dataclass
@@ -80,42 +85,57 @@ class Pieces:
                    min((s for _, s in table.values()), default=0.0) - UNKNOWN_MARGIN)
 
 
+    @cached_property
+    def trie(self) -> dict:
+        """Pieces by character; the entry under the empty string holds (id, score)."""
+        root: dict = {}
+        for piece, own in self.table.items():
+            node = root
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = own
+        return root
+
+
 def best_path(unit: str, pieces: Pieces) -> tuple[int, ...]:
     """Ids of the best-scoring segmentation; on equal scores the last piece is the longest possible."""
     n = len(unit)
-    score, back = [0.0] + [-float("inf")] * n, [(0, ())] * (n + 1)
-    table, longest = pieces.table, pieces.longest
-    for end in range(1, n + 1):
-        for start in range(max(0, end - longest), end):
-            own = table.get(unit[start:end])
-            if own is not None:
-                s, ids = score[start] + own[1], (own[0],)
-            elif start == end - 1:
-                s = score[start] + pieces.unknown
-                ids = tuple(pieces.byte_base + b for b in unit[start].encode())
-            else:
-                continue
-            if s > score[end]:
-                score[end], back[end] = s, (start, ids)
-    out: list[tuple[int, ...]] = []
+    score, back = [0.0] + [-float("inf")] * n, [(0, -1)] * (n + 1)
+    root, unknown = pieces.trie, pieces.unknown
+    for start in range(n):
+        base, node, end = score[start], root, start
+        for c in unit[start: start + pieces.longest]:
+            node = node.get(c)
+            if node is None:
+                break
+            end += 1
+            own = node.get("")
+            if own is not None and base + own[1] > score[end]:
+                score[end], back[end] = base + own[1], (start, own[0])
+        if base + unknown > score[start + 1] and "" not in root.get(unit[start], ()):
+            score[start + 1], back[start + 1] = base + unknown, (start, -1)
+    out: list[int] = []
     while n:
-        n, ids = back[n]
-        out.append(ids)
-    return tuple(chain.from_iterable(reversed(out)))
-
-
-def _escaped(text: Column) -> Column:
-    return F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
+        start, own = back[n]
+        if own < 0:
+            out.extend(pieces.byte_base + b for b in reversed(unit[start].encode()))
+        else:
+            out.append(own)
+        n = start
+    return tuple(reversed(out))
 
 
 def frequent_units(docs: DataFrame, bound: int = DICTIONARY) -> DataFrame:
-    """(unit): the most frequent units that occur more than once, at most ``bound``, whole count classes at a time."""
-    text = F.col("text").cast("string")
-    units = docs.where(text.isNotNull() & (text != "")).select(
-        F.explode(F.regexp_extract_all(_escaped(text), F.lit(_UNITS), F.lit(0))).alias("unit"))
+    """(unit): the most frequent words with a space mark before them, at most ``bound``, whole count classes at a time.
+
+    Words that occur once or are longer than the lattice takes are left out.
+    """
+    text = F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" "))
+    units = docs.where(F.col("text").isNotNull()).select(F.explode(F.split(text, " ")).alias("unit"))
+    units = units.where((F.col("unit") != "") & ~F.contains("unit", F.lit(SPACE)))
     counts = (units.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
-              .where((F.col("n") > 1) & (F.char_length("unit") <= LONGEST)))
-    counts = cut(counts.select("unit", F.floor(F.log2("n") * 8).cast("int").alias("level")))
+              .where((F.col("n") > 1) & (F.char_length("unit") < LONGEST)))
+    counts = cut(counts.select(F.concat(F.lit(SPACE), "unit").alias("unit"), F.floor(F.log2("n") * 8).cast("int").alias("level")))
     room, least = bound, None
     for r in counts.groupBy("level").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect():
         room -= r["n"]  # at most a few hundred levels
@@ -158,27 +178,35 @@ def lattice_paths(units: DataFrame, pieces: Pieces) -> DataFrame:
     return edges.select("unit", path.alias("ids"))
 
 
-def build_dictionary(docs: DataFrame, pieces: Pieces, bound: int = DICTIONARY) -> dict[str, tuple[int, ...]]:
-    """Paths of the frequent units, at most ``bound`` rows."""
+def build_dictionary(docs: DataFrame, pieces: Pieces, bound: int = DICTIONARY) -> dict[str, bytes]:
+    """Words (without their space mark) with the packed ids of their paths, at most ``bound``."""
     rows = lattice_paths(frequent_units(docs, bound), pieces).toArrow()
-    return dict(zip(rows.column("unit").to_pylist(), map(tuple, rows.column("ids").to_pylist()), strict=True))
+    out = {}
+    for chunk in rows.to_batches():
+        out |= {u[1:]: _packed(ids) for u, ids in zip(chunk.column("unit").to_pylist(), chunk.column("ids").to_pylist(),
+                                                      strict=True)}
+    return out
+
+
+def _packed(ids) -> bytes:
+    return array("i", ids).tobytes()
 
 
 class _Paths(dict):
-    """Unit -> ids, found when missing and remembered up to a bound; ``lead`` is put before a unit that is looked up."""
+    """Unit -> ids as bytes, found when missing and remembered up to a bound; ``lead`` is put before the unit."""
 
-    def __init__(self, known: dict[str, tuple[int, ...]], lead: str, pieces: Pieces):
+    def __init__(self, known: dict[str, bytes], lead: str, pieces: Pieces):
         super().__init__(known)
-        self.known, self.lead, self.pieces, self.extra = known, lead, pieces, 0
+        self.lead, self.pieces, self.extra = lead, pieces, []
 
-    def __missing__(self, unit: str) -> tuple[int, ...]:
-        ids = best_path(self.lead + unit, self.pieces)
+    def __missing__(self, unit: str) -> bytes:
+        ids = _packed(best_path(self.lead + unit, self.pieces))
         if len(unit) <= 2 * LONGEST:
-            self.extra += 1
-            if self.extra > _REMEMBERED:
-                self.clear()
-                self.update(self.known)
-                self.extra = 1
+            if len(self.extra) >= _REMEMBERED:
+                for old in self.extra:
+                    del self[old]
+                self.extra.clear()
+            self.extra.append(unit)
             self[unit] = ids
         return ids
 
@@ -187,44 +215,54 @@ _FIND = re.compile(_UNITS)
 
 
 class Encoder:
-    """Ids of whole texts from a dictionary of unit paths, built inside a task."""
+    """Ids of whole texts from a dictionary of unit paths (without their space mark), built inside a task."""
 
-    def __init__(self, known: dict[str, tuple[int, ...]], pieces: Pieces):
-        spaced = {u[1:]: ids for u, ids in known.items() if u[0] == SPACE and u[1:2] not in ("", SPACE)}
-        self.spaced, self.bare = _Paths(spaced, SPACE, pieces), _Paths(known, "", pieces)
+    def __init__(self, known: dict[str, bytes], pieces: Pieces):
+        self.spaced, self.bare = _Paths(known, SPACE, pieces), _Paths({}, "", pieces)
 
     def ids(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
-        parts = [np.fromiter(chain.from_iterable(run), np.int32) for run in self._runs(text)]
-        return parts[0] if len(parts) == 1 else np.concatenate(parts)
+        return np.frombuffer(b"".join(self._runs(text)), np.int32)
 
-    def _runs(self, text: str) -> Iterator[list[tuple[int, ...]]]:
-        """Paths of the units in order, in runs of bounded size."""
-        out: list[tuple[int, ...]] = []
+    def _runs(self, text: str) -> Iterator[bytes]:
+        """Packed ids of the units in order, a line or a slice of a line at a time."""
         for k, line in enumerate(text.split("\n")):
             if k:
-                out.append(self.bare["\n"])
-            if len(line) <= _SLICE and line:
+                yield self.bare["\n"]
+            if line and len(line) <= _SLICE:
                 words = line.split(" ")
-                if "" not in words:  # single spaces only: every word but a line's first has one space mark
-                    out.append(self.bare[words[0]] if k else self.spaced[words[0]])
-                    out.extend(map(self.spaced.__getitem__, words[1:]))
-                    line = ""
-                whole = line and (SPACE * (not k) + line.replace(" ", SPACE))
-            else:
-                whole = SPACE * (not k) + line.replace(" ", SPACE)
-            at = 0
+                if "" not in words:  # single spaces only: every word but a later line's first has one space mark
+                    yield self.bare[words[0]] if k else self.spaced[words[0]]
+                    yield b"".join(map(self.spaced.__getitem__, words[1:]))
+                    continue
+            whole, at = ("" if k else SPACE) + line.replace(" ", SPACE), 0
             while at < len(whole):
                 end = at + _SLICE
                 while end < len(whole) and not (whole[end] == SPACE and whole[end - 1] != SPACE):
                     end += 1
-                out.extend(map(self.bare.__getitem__, _FIND.findall(whole[at:end])))
+                yield b"".join(map(self.bare.__getitem__, _FIND.findall(whole[at:end])))
                 at = end
-                if len(out) > _SLICE:
-                    yield out
-                    out = []
-        yield out
+
+
+class Decoder:
+    """Texts of id arrays, built inside a task."""
+
+    def __init__(self, surface: list[bytes]):
+        self.surface = pa.array(surface, pa.binary())
+
+    def texts(self, parts: list[np.ndarray]) -> list[str]:
+        """Surfaces joined, the leading space taken off; bytes that are no UTF-8 become replacement characters."""
+        flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
+        joined = self.surface.take(pa.array(flat))
+        ends = np.frombuffer(joined.buffers()[1], np.int32, len(joined) + 1)
+        data = joined.buffers()[2].to_pybytes() if joined.buffers()[2] is not None else b""
+        at, out = 0, []
+        for part in parts:
+            text = data[ends[at]: ends[at + len(part)]].decode("utf-8", "replace")
+            out.append(text[1:] if text[:1] == " " else text)
+            at += len(part)
+        return out
 
 
 def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIONARY) -> DataFrame:
@@ -234,55 +272,67 @@ def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIO
     for this kind of model; characters without a piece are spelled in bytes.  A null text
     has null ids, an empty one an empty array.  Null and repeated doc_ids make no difference.
     """
-    spark = docs.sparkSession
-    shared = share(spark, (build_dictionary(docs, pieces, bound), pieces))
+    shared = share(docs.sparkSession, (build_dictionary(docs, pieces, bound), pieces))
 
     def run(batches):
         encoder = Encoder(*shared())
-        for batch in batches:
-            parts, valid = [], []
-            for text in batch.column("text"):
-                text = text.as_py()
-                valid.append(text is not None)
-                parts.append(encoder.ids(text or ""))
-            ids = list_array(parts, pa.int32())
-            if not all(valid):
-                ids = pa.ListArray.from_arrays(ids.offsets, ids.values, mask=~pa.array(valid).to_numpy(False))
+        for batch in _sliced(batches):
+            texts = batch.column("text").to_pylist()
+            ids = list_array([encoder.ids(t or "") for t in texts], pa.int32())
+            if None in texts:
+                ids = pa.ListArray.from_arrays(ids.offsets, ids.values, mask=pa.array([t is None for t in texts]))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "piece_ids"])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    return rows.mapInArrow(run, f"{kinds}, piece_ids array<int>")
+    return rows.mapInArrow(run, f"{_kinds(docs, keep)}, piece_ids array<int>")
+
+
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
+def _kinds(rows: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
 
 
 def decode(rows: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns and decoded (string) from piece_ids: surfaces joined, the leading space taken off."""
-    spark: SparkSession = rows.sparkSession
-    shared = share(spark, pieces.surface)
+    """The ``keep`` columns and decoded (string) from piece_ids; null ids give a null text."""
+    shared = share(rows.sparkSession, pieces.surface)
 
     def run(batches):
-        surface = shared()
-        for batch in batches:
-            out = []
-            column = batch.column("piece_ids")
-            offsets, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-            for i, ok in enumerate(column.is_valid().to_numpy(zero_copy_only=False)):
-                ids = flat[offsets[i]: offsets[i + 1]].tolist() if ok else []
-                text = b"".join(map(surface.__getitem__, ids)).decode("utf-8", "replace")
-                out.append((text[1:] if text[:1] == " " else text) if ok else None)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, pa.string())],
-                                             [*keep, "decoded"])
-
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.select(*dict.fromkeys([*keep, "piece_ids"])).mapInArrow(run, f"{kinds}, decoded string")
+        decoder = Decoder(shared())
+        for batch in _sliced(batches):
+            ids = batch.column("piece_ids").to_pylist()
+            texts = decoder.texts([np.array(x or (), np.int32) for x in ids])
+            out = pa.array([None if x is None else t for x, t in zip(ids, texts, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), out], [*keep, "decoded"])
+
+    return rows.select(*dict.fromkeys([*keep, "piece_ids"])).mapInArrow(run, f"{_kinds(rows, keep)}, decoded string")
 
 
 def round_trip(docs: DataFrame, pieces: Pieces, bound: int = DICTIONARY) -> DataFrame:
-    """doc_id, n_pieces, ids_hash and exact (decoding gives the text back) of every row.
+    """doc_id, n_pieces, ids_crc32 (of the ids as little-endian 32-bit integers) and exact (decoding gives the text back).
 
-    exact is false for texts that hold the space mark itself, and null for null texts.
+    Encodes and decodes in one pass.  exact is false for texts that hold the space mark
+    itself; null texts have no pieces, a null ids_crc32 and a null exact.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    coded = decode(encode(rows, pieces, ["doc_id", "text"], bound), pieces, ["doc_id", "text", "piece_ids"])
-    return coded.select("doc_id", F.when(F.col("piece_ids").isNull(), 0).otherwise(F.size("piece_ids")).cast("long").alias("n_pieces"),
-                        F.xxhash64("piece_ids").alias("ids_hash"), (F.col("decoded") == F.col("text")).alias("exact"))
+    shared = share(docs.sparkSession, (build_dictionary(rows, pieces, bound), pieces))
+
+    def run(batches):
+        known, own = shared()
+        encoder, decoder = Encoder(known, own), Decoder(own.surface)
+        for batch in _sliced(batches):
+            texts = batch.column("text").to_pylist()
+            ids = [encoder.ids(t or "") for t in texts]
+            back = decoder.texts(ids)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
+                 pa.array([None if t is None else zlib.crc32(x.astype("<i4").tobytes())
+                           for t, x in zip(texts, ids, strict=True)], pa.int64()),
+                 pa.array([None if t is None else t == u for t, u in zip(texts, back, strict=True)], pa.bool_())],
+                ["doc_id", "n_pieces", "ids_crc32", "exact"])
+
+    return rows.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, exact boolean")
