@@ -45,6 +45,17 @@ def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(held.value)
 
 
+def hand_back() -> None:
+    """Give memory that the driver's Python has freed back to the system; fitted models are small, what made them is not."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

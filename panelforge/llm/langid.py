@@ -148,6 +148,8 @@ def fit(docs: DataFrame, order: int = ORDER) -> Model:
     langs = [r["lang"] for r in top.groupBy("lang").agg(F.sum("n").alias("n"))
              .orderBy(F.desc("n"), "lang").limit(KEPT_LANGUAGES).collect()]
     langs.sort()
+    if not langs:
+        return Model([], order, [], [], [], [], np.zeros(0))
     tables, counts = {}, top
     for length in range(order, 0, -1):
         ranked = counts.withColumn("context", F.expr(f"left(gram, {length - 1})") if length > 1 else F.lit(""))

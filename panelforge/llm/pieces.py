@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import cut, list_array, share
+from panelforge.llm.common import cut, hand_back, list_array, share
 from panelforge.llm.tokencount import VOCABULARY
 
 SPACE = "▁"
@@ -273,6 +273,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIO
     has null ids, an empty one an empty array.  Null and repeated doc_ids make no difference.
     """
     shared = share(docs.sparkSession, (build_dictionary(docs, pieces, bound), pieces))
+    hand_back()
 
     def run(batches):
         encoder = Encoder(*shared())
@@ -320,6 +321,7 @@ def round_trip(docs: DataFrame, pieces: Pieces, bound: int = DICTIONARY) -> Data
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = share(docs.sparkSession, (build_dictionary(rows, pieces, bound), pieces))
+    hand_back()
 
     def run(batches):
         known, own = shared()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import share
+from panelforge.llm.common import hand_back, share
 
 from panelforge.llm.tokencount import slices
 
@@ -197,22 +197,26 @@ def fit(docs: DataFrame) -> Model:
                                               pa.array(post, pa.float64())], ["cells", "shares", "post"])
 
     sample = (texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut_off).limit(2 * SAMPLE).select("text")
-              .mapInArrow(describe, "cells array<int>, shares array<double>, post double").toPandas())
-    weights, bias = _linear(sample["cells"].tolist(), sample["shares"].tolist(), sample["post"].to_numpy(float))
+              .mapInArrow(describe, "cells array<int>, shares array<double>, post double").toArrow().combine_chunks())
+    weights, bias = _linear(*(c.chunk(0) if c.num_chunks else None for c in sample.columns)) if sample.num_rows else _linear()
+    del sample
+    hand_back()
     return Model(good, table, posterior, weights, bias)
 
 
-def _linear(cells: list, shares: list, target: np.ndarray, rounds: int = 150) -> tuple[np.ndarray, float]:
+def _linear(cells: pa.ListArray | None = None, shares: pa.ListArray | None = None, target: pa.Array | None = None,
+            rounds: int = 150) -> tuple[np.ndarray, float]:
     """Logistic weights over cells for soft targets, by adaptive full-batch steps with a small ridge."""
     w, bias = np.zeros(CELLS), 0.0
-    if not len(cells):
+    if cells is None:
         return w, bias
-    lengths = np.array([len(c) for c in cells])
+    lengths = np.diff(cells.offsets.to_numpy())
     some = np.flatnonzero(lengths)
-    row = np.repeat(np.arange(len(cells)), lengths)
+    row = np.repeat(np.arange(len(cells), dtype=np.int32), lengths)
     begin = np.concatenate([[0], np.cumsum(lengths)])[some]
-    col = np.concatenate([np.asarray(c, np.int64) for c in cells])
-    val = np.concatenate([np.asarray(s, float) for s in shares])
+    col = cells.flatten().to_numpy()
+    val = shares.flatten().to_numpy().astype(np.float32)
+    target = target.to_numpy()
     m, v, mb, vb = np.zeros(CELLS), np.zeros(CELLS), 0.0, 0.0
     for t in range(1, rounds + 1):
         z = np.full(len(cells), bias)

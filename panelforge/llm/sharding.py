@@ -96,8 +96,14 @@ def _round(state: DataFrame, capacity: list[int]) -> tuple[DataFrame, int]:
                      F.pmod(F.xxhash64("key", "shard"), F.lit(QUOTA_PARTS)).cast("int").alias("part")))
     moves = cut(moves)
     asked = moves.groupBy("target", "part").agg(F.sum("n").alias("asked"))
-    asked = asked.withColumn("all", F.sum("asked").over(Window.partitionBy("target")))
-    quota = F.least(F.col("asked"), F.floor(_by_shard(F.col("target"), free).cast("double") * F.col("asked") / F.col("all")))
+    # shares of the free capacity, rounded so that they add up to it
+    target = Window.partitionBy("target")
+    asked = (asked.withColumn("all", F.sum("asked").over(target))
+             .withColumn("upto", F.sum("asked").over(target.orderBy("part"))))
+    free_rows = _by_shard(F.col("target"), free).cast("double")
+    share = [F.floor(F.least(free_rows, F.col("all")) * F.col(c) / F.col("all")) for c in ("upto", "before")]
+    asked = asked.withColumn("before", F.col("upto") - F.col("asked"))
+    quota = share[0] - share[1]
     before = (Window.partitionBy("target", "part").orderBy(F.col("gain").desc(), "key", "shard")
               .rowsBetween(Window.unboundedPreceding, -1))
     taken = (moves.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
