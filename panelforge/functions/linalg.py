@@ -21,19 +21,16 @@ from panelforge.session import materialize
 GROUP = "_grp"
 
 
-PILOT_ROWS = 100_000
-
-
 def _standardise(df: DataFrame, cols: Sequence[str], centre: bool = True) -> tuple[DataFrame, Column]:
     """Centre (with an intercept) and scale columns for conditioning.
 
-    Any shift and scale give the same fit after the exact back-transform; they only
-    need to be close to the data's location and spread, so they come from a bounded
-    pilot of ``PILOT_ROWS`` rows (a scalar subquery over a LIMIT, not a full pass).
+    Mean and σ are taken over all rows (one map-side combined aggregate): the solve cuts
+    directions by their relative size, so a scale from part of the rows would make the
+    result depend on their order.
     """
     mu = (lambda c: F.avg(c)) if centre else (lambda c: F.lit(0.0))
     sdf = (lambda c: F.stddev_pop(c)) if centre else (lambda c: F.sqrt(F.avg(F.col(c) * F.col(c))))
-    st = df.limit(PILOT_ROWS).agg(F.struct(*[F.struct(mu(c).cast("double").alias("mu"), sdf(c).alias("sd")).alias(f"s{i}")
+    st = df.agg(F.struct(*[F.struct(mu(c).cast("double").alias("mu"), sdf(c).alias("sd")).alias(f"s{i}")
                            for i, c in enumerate(cols)])).scalar()
     exprs = {}
     for i, c in enumerate(cols):

@@ -1,10 +1,9 @@
 """Clustering entities (CLU-1..10) with Spark ML k-means.
 
-Silhouette: the exact Euclidean form needs every point's distance to every
-other point, so it runs only when the point table is under a checked bound (it
-is broadcast once and each partition scores its own rows with numpy).  Above
-the bound ``silhouette`` uses the squared-Euclidean form, which decomposes into
-per-cluster sums (count, Σy, Σ‖y‖²) and is exact for that metric at any size.
+Silhouette: the Euclidean form needs every point's distance to every other point;
+points are dealt to blocks, pairs of blocks give distance sums per point and cluster,
+and these are added up.  The squared-Euclidean form decomposes into per-cluster sums
+(count, Σy, Σ‖y‖²) and costs one pass.  The metric is a parameter and means the same at any size.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from panelforge.operators.features import zscore
 from panelforge.operators.filters import numeric_columns
+from panelforge.session import materialize
 
-MAX_EXACT_POINTS = 50_000  # n·d doubles broadcast for the exact Euclidean silhouette
+SILHOUETTE_BLOCK = 1024  # points per block of the Euclidean silhouette
 FEATURES = "features"
 
 
@@ -58,48 +59,50 @@ def fit_kmeans(df: DataFrame, k: int, restarts: int = 50, seed: int = 42, weight
     return best
 
 
-def silhouette(df: DataFrame, label: str, exact_bound: int = MAX_EXACT_POINTS, id_col: str | None = None) -> DataFrame:
-    """CLU-4: per-point silhouette (b − a)/max(a, b); Euclidean when the point count is within the bound."""
+def silhouette(df: DataFrame, label: str, metric: str = "euclidean", id_col: str | None = None) -> DataFrame:
+    """CLU-4: per-point silhouette (b − a)/max(a, b) under ``metric`` ("euclidean" or "sqeuclidean")."""
     pts = df.select(*([id_col] if id_col else []), label, vector_to_array(FEATURES).alias("_x"))
-    n = pts.limit(exact_bound + 1).count()
-    if n <= exact_bound:
-        return _silhouette_exact(pts, label, id_col)
-    return _silhouette_sq(pts, label, id_col)
-
-
-def _silhouette_exact(pts: DataFrame, label: str, id_col: str | None) -> DataFrame:
-    allp = pts.select(label, "_x").toPandas()
-    X = np.vstack(allp["_x"].to_numpy()).astype(float)
-    lab = allp[label].to_numpy()
-    bc = pts.sparkSession.sparkContext.broadcast((X, lab))
-    fields = [f for f in pts.schema.fields if f.name != "_x"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", silhouette double"
-    cols = [f.name for f in fields]
-
-    def run(it):
-        Xa, la = bc.value
-        uniq = np.unique(la)
-        for pdf in it:
-            if pdf.empty:
-                continue
-            P = np.vstack(pdf["_x"].to_numpy()).astype(float)
-            D = np.sqrt(np.maximum(((P[:, None, :] - Xa[None, :, :]) ** 2).sum(-1), 0.0))
-            own = pdf[label].to_numpy()
-            out = np.zeros(len(P))
-            for i in range(len(P)):
-                same = la == own[i]
-                ns = same.sum()
-                if ns <= 1:
-                    out[i] = 0.0
-                    continue
-                a = D[i, same].sum() / (ns - 1)
-                b = min(D[i, la == c].mean() for c in uniq if c != own[i]) if len(uniq) > 1 else 0.0
-                out[i] = (b - a) / max(a, b) if max(a, b) > 0 else 0.0
-            res = pdf[cols].copy()
-            res["silhouette"] = out
-            yield res
-
-    return pts.mapInPandas(run, schema)
+    if metric == "sqeuclidean":
+        return _silhouette_sq(pts, label, id_col)
+    if metric != "euclidean":
+        raise ValueError(f"unknown metric {metric}")
+    return _silhouette_blocks(pts, label, id_col)
+
+
+def _silhouette_blocks(pts: DataFrame, label: str, id_col: str | None) -> DataFrame:
+    keep = [*([id_col] if id_col else []), label]
+    pts = materialize(pts.withColumn("_pid", F.monotonically_increasing_id()))
+    blocks = max(1, -(-pts.count() // SILHOUETTE_BLOCK))
+    own = pts.select("_pid", F.col(label).alias("_l"), "_x", F.pmod(F.xxhash64("_pid"), F.lit(blocks)).cast("int").alias("_b"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = own.select("_b", every.alias("_o"), F.lit(0).alias("_side"), "_pid", "_l", "_x")
+    right = own.select(every.alias("_b"), F.col("_b").alias("_o"), F.lit(1).alias("_side"), "_pid", "_l", "_x")
+    kind = pts.schema[label].dataType.simpleString()
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]
+        out = []
+        if len(a) and len(b):
+            x, y = np.vstack(a["_x"].to_numpy()).astype(float), np.vstack(b["_x"].to_numpy()).astype(float)
+            for lab, rows in b.groupby("_l").indices.items():
+                total = np.zeros(len(x))
+                for at in range(0, len(rows), 64):
+                    total += np.sqrt(((x[:, None, :] - y[rows[at: at + 64]][None, :, :]) ** 2).sum(-1)).sum(1)
+                out.append(pd.DataFrame({"_pid": a["_pid"].to_numpy(), "_l": a["_l"].to_numpy(), "_m": lab,
+                                         "_total": total, "_n": len(rows)}))
+        return pd.concat(out) if out else pd.DataFrame({"_pid": [], "_l": [], "_m": [], "_total": [], "_n": []})
+
+    part = left.union(right).groupBy("_b", "_o").applyInPandas(
+        sums, f"_pid long, _l {kind}, _m {kind}, _total double, _n long")
+    per = part.groupBy("_pid", "_l", "_m").agg(F.sum("_total").alias("_total"), F.sum("_n").alias("_n"))
+    same = F.col("_l") == F.col("_m")
+    ab = per.groupBy("_pid").agg(
+        F.max(F.when(same & (F.col("_n") > 1), F.try_divide(F.col("_total"), F.col("_n") - 1))).alias("_a"),
+        F.min(F.when(~same, F.try_divide(F.col("_total"), F.col("_n")))).alias("_bb"))
+    b = F.coalesce("_bb", F.lit(0.0))
+    value = F.when(F.col("_a").isNull(), 0.0).otherwise(
+        F.coalesce(F.try_divide(b - F.col("_a"), F.greatest(F.col("_a"), b)), F.lit(0.0)))
+    return pts.join(ab, "_pid", "left").select(*keep, value.alias("silhouette"))
 
 
 def _silhouette_sq(pts: DataFrame, label: str, id_col: str | None) -> DataFrame:

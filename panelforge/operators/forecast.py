@@ -316,6 +316,8 @@ def pooled_lag_regression(series: DataFrame, key: str, period: str = "t", lookba
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(period)
         hist = list(pdf["_ys"].to_numpy(dtype=float))
+        if len(hist) < lookback:  # too short for the lags: no forecast
+            return pd.DataFrame({key: [], "step": [], period: [], "forecast": []})
         mxv = float(pdf["_mx"].iloc[0]) or 1.0
         out = []
         for _ in range(steps):

@@ -132,6 +132,10 @@ def group_moments(df: DataFrame, group: str, value: str) -> DataFrame:
             .agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var")))
 
 
+def _per(n: Column) -> Column:
+    return F.try_divide(F.lit(1.0), n)
+
+
 def ttest_ind(df: DataFrame, group: str, value: str, a, b, equal_var: bool | None = None) -> DataFrame:
     """STA-9: two-sample t (Student or Welch).  ``equal_var=None`` picks Student when Levene's p > .05."""
     m = group_moments(df.filter(F.col(group).isin(a, b)), group, value)
@@ -139,11 +143,11 @@ def ttest_ind(df: DataFrame, group: str, value: str, a, b, equal_var: bool | Non
     gb = m.filter(F.col(group) == F.lit(b)).select(F.struct("n", "mean", "var")).scalar()
     na, nb = ga["n"].cast("double"), gb["n"].cast("double")
     diff = ga["mean"] - gb["mean"]
-    sp = ((na - 1) * ga["var"] + (nb - 1) * gb["var"]) / (na + nb - 2)
-    t_student = diff / F.sqrt(sp * (1 / na + 1 / nb))
-    va, vb = ga["var"] / na, gb["var"] / nb
-    t_welch = diff / F.sqrt(va + vb)
-    df_welch = F.pow(va + vb, 2) / (F.pow(va, 2) / (na - 1) + F.pow(vb, 2) / (nb - 1))
+    sp = F.try_divide((na - 1) * ga["var"] + (nb - 1) * gb["var"], na + nb - 2)
+    t_student = F.try_divide(diff, F.sqrt(sp * (_per(na) + _per(nb))))
+    va, vb = F.try_divide(ga["var"], na), F.try_divide(gb["var"], nb)
+    t_welch = F.try_divide(diff, F.sqrt(va + vb))
+    df_welch = F.try_divide(F.pow(va + vb, 2), F.try_divide(F.pow(va, 2), na - 1) + F.try_divide(F.pow(vb, 2), nb - 1))
     base = df.sparkSession.range(1)
     if equal_var is None:
         lev = levene(df.filter(F.col(group).isin(a, b)), group, value).select(F.struct("f_stat", "df_between",
@@ -166,12 +170,12 @@ def t_statistics(df: DataFrame, group: str, value: str, a, b) -> DataFrame:
     gb = m.filter(F.col(group) == F.lit(b)).select(F.struct("n", "mean", "var")).scalar()
     na, nb = ga["n"].cast("double"), gb["n"].cast("double")
     diff = ga["mean"] - gb["mean"]
-    sp = ((na - 1) * ga["var"] + (nb - 1) * gb["var"]) / (na + nb - 2)
-    va, vb = ga["var"] / na, gb["var"] / nb
+    sp = F.try_divide((na - 1) * ga["var"] + (nb - 1) * gb["var"], na + nb - 2)
+    va, vb = F.try_divide(ga["var"], na), F.try_divide(gb["var"], nb)
     return df.sparkSession.range(1).select(
-        (diff / F.sqrt(sp * (1 / na + 1 / nb))).alias("t_student"), (na + nb - 2).alias("df_student"),
-        (diff / F.sqrt(va + vb)).alias("t_welch"),
-        (F.pow(va + vb, 2) / (F.pow(va, 2) / (na - 1) + F.pow(vb, 2) / (nb - 1))).alias("df_welch"))
+        F.try_divide(diff, F.sqrt(sp * (_per(na) + _per(nb)))).alias("t_student"), (na + nb - 2).alias("df_student"),
+        F.try_divide(diff, F.sqrt(va + vb)).alias("t_welch"),
+        F.try_divide(F.pow(va + vb, 2), F.try_divide(F.pow(va, 2), na - 1) + F.try_divide(F.pow(vb, 2), nb - 1)).alias("df_welch"))
 
 
 def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -183,7 +187,8 @@ def anova_oneway(df: DataFrame, group: str, value: str) -> DataFrame:
                 F.sum(F.coalesce((F.col("n") - 1) * F.col("var"), F.lit(0.0))).alias("ssw"))
     return out.select((F.col("k") - 1).alias("df_between"), (F.col("n_total") - F.col("k")).alias("df_within"),
                       "ssb", "ssw",
-                      F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("n_total") - F.col("k")))
+                      F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1),
+                                   F.try_divide(F.col("ssw"), F.col("n_total") - F.col("k")))
                       .alias("f_stat"))
 
 
@@ -207,23 +212,23 @@ def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:
     g = ranked.groupBy(group).agg(F.sum("_r").alias("_rs"), F.count(F.lit(1)).alias("_n"))
     out = g.agg(F.sum("_n").alias("n_total"), F.count(F.lit(1)).alias("k"),
                 F.sum(F.pow(F.col("_rs"), 2) / F.col("_n")).alias("_s"))
-    h = 12.0 / (F.col("n_total") * (F.col("n_total") + 1)) * F.col("_s") - 3 * (F.col("n_total") + 1)
-    c = 1 - ties / (F.pow(F.col("n_total"), 3) - F.col("n_total"))
-    return out.select("n_total", "k", (h / c).alias("h_stat"), (F.col("k") - 1).alias("dof"))
+    h = F.try_divide(F.lit(12.0), F.col("n_total") * (F.col("n_total") + 1)) * F.col("_s") - 3 * (F.col("n_total") + 1)
+    c = 1 - F.coalesce(F.try_divide(ties, F.pow(F.col("n_total"), 3) - F.col("n_total")), F.lit(0.0))
+    return out.select("n_total", "k", F.try_divide(h, c).alias("h_stat"), (F.col("k") - 1).alias("dof"))
 
 
 def tukey_hsd(df: DataFrame, group: str, value: str, alpha: float = 0.05, with_p: bool = True) -> DataFrame:
     """STA-13: all group pairs: mean difference, q, adjusted p and simultaneous CI (pooled variance)."""
     from panelforge.operators.joins import group_pairs
     m = group_moments(df, group, value)
-    a = anova_oneway(df, group, value).select(F.struct((F.col("ssw") / F.col("df_within")).alias("mse"),
+    a = anova_oneway(df, group, value).select(F.struct(F.try_divide(F.col("ssw"), F.col("df_within")).alias("mse"),
                                                        F.col("df_within"), (F.col("df_between") + 1).alias("k"))).scalar()
     pairs = group_pairs(m, group)
     se = F.sqrt(a["mse"] / 2 * (1 / F.col("n_1") + 1 / F.col("n_2")))
     out = pairs.select(F.col(f"{group}_1").alias("group1"), F.col(f"{group}_2").alias("group2"),
                        (F.col("mean_2") - F.col("mean_1")).alias("meandiff"), se.alias("_se"),
                        a["k"].alias("_k"), a["df_within"].alias("_dfw"))
-    out = out.withColumn("q", F.abs(F.col("meandiff")) / F.col("_se"))
+    out = out.withColumn("q", F.try_divide(F.abs(F.col("meandiff")), F.col("_se")))
     if not with_p:
         return out.drop("_se", "_k", "_dfw")
     out = out.withColumns({"p_adj": dist.tukey_pvalue(F.col("q"), F.col("_k").cast("double"), F.col("_dfw").cast("double")),

@@ -29,13 +29,13 @@ def q_clu1(spark, sf_dir):
 
 @query("clu2_select_k", "CLU-2,CLU-3,CLU-4")
 def q_clu2(spark, sf_dir):
-    return CL.select_k(materialize(_emb(spark, sf_dir)), range(2, 8), restarts=3)
+    return CL.select_k(materialize(_emb(spark, sf_dir)), range(2, 8), restarts=20)
 
 
 @query("clu3_fit_kmeans", "CLU-3,SNK-5")
 def q_clu3(spark, sf_dir):
     e = materialize(_emb(spark, sf_dir))
-    model, _ = CL.fit_kmeans(e, 10, restarts=5)
+    model, _ = CL.fit_kmeans(e, 10, restarts=50)
     return CL.assignments(model.transform(e).withColumnRenamed("prediction", "c"), "vec_id", "c")
 
 
@@ -54,10 +54,17 @@ def q_clu4(spark, sf_dir):
     return CL.silhouette(_emb(spark, sf_dir), "label", id_col="vec_id")
 
 
-@query("clu4_silhouette_sq_form", "CLU-4")
+@query("clu4_silhouette_sq_form", "CLU-4", f"""
+WITH e AS (SELECT vec_id, label, {_EMB_D} AS x FROM embeddings),
+d AS (SELECT a.vec_id, a.label AS la, b.label AS lb, list_distance(a.x, b.x) * list_distance(a.x, b.x) AS dist
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+m AS (SELECT vec_id, la, lb, avg(dist) AS md FROM d GROUP BY vec_id, la, lb),
+ab AS (SELECT vec_id, la, max(CASE WHEN la = lb THEN md END) AS a, min(CASE WHEN la <> lb THEN md END) AS b
+       FROM m GROUP BY vec_id, la)
+SELECT vec_id, la AS label, CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM ab""")
 def q_clu4b(spark, sf_dir):
-    """Squared-Euclidean silhouette through per-cluster sums (the form used above the exact bound)."""
-    return CL.silhouette(_emb(spark, sf_dir), "label", exact_bound=0, id_col="vec_id")
+    """Squared-Euclidean silhouette through per-cluster sums."""
+    return CL.silhouette(_emb(spark, sf_dir), "label", metric="sqeuclidean", id_col="vec_id")
 
 
 @query("clu5_pca", "CLU-5")
@@ -66,7 +73,7 @@ def q_clu5(spark, sf_dir):
     return scores.withColumns({"explained_1": F.lit(ratio[0]), "explained_2": F.lit(ratio[1])})
 
 
-_D = [0, 1, 2, 3]
+_D = list(range(64))
 
 
 def _emb_dims(spark, sf_dir):

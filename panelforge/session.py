@@ -58,11 +58,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Read from the session; only when it is unset (tests, laptops) a fresh
-    local folder is taken.
+    Read from the session; only when it is unset under a local master (tests,
+    laptops) a fresh local folder is taken.  On a cluster an unset folder is an error.
     """
     path = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not path:
+        if not (spark.sparkContext.master + "[").startswith("local["):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="panelforge-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, path)
     if spark.sparkContext.getCheckpointDir() is None:

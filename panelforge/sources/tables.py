@@ -90,9 +90,7 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def largest_table(tables: dict[str, DataFrame]) -> DataFrame:
     """SRC-4: the table with the most rows (ties → first name)."""
-    counts = table_row_counts(tables)
-    return counts.agg(F.max_by("table_name", F.struct(F.col("n_rows"), -F.length("table_name"))).alias("table_name"),
-                      F.max("n_rows").alias("n_rows"))
+    return table_row_counts(tables).orderBy(F.desc("n_rows"), "table_name").limit(1)
 
 
 def resolve_column(df: DataFrame, candidates: Sequence[str], forced: str | None = None,
