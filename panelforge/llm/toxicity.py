@@ -24,12 +24,10 @@ from panelforge.llm.tokencount import slices
 #: Labelled rows that the lexicon and the model are fitted on: those with the smallest hash of doc_id.
 TRAINING_ROWS = 30_000
 #: Terms of the lexicon and harmless look-alikes, the strongest first.
-LEXICON_TERMS = 60_000
+LEXICON_TERMS = 20_000
 LOOK_ALIKES = 50_000
 #: A term stands in this many unlike toxic documents and its likelihood ratio against chance is this high.
-MIN_DOCUMENTS, MIN_RATIO = 4, 18.0
-#: Lengths of word beginnings that can be terms of their own, written with a star: inflected and compounded terms.
-STEMS = (4, 5, 6)
+MIN_DOCUMENTS, MIN_RATIO = 6, 30.0
 THRESHOLD = 0.3
 WINDOW = 8
 EDIT_FACTOR, QUOTE_FACTOR, REPORT_FACTOR, ADDRESS_FACTOR = 0.6, 0.25, 0.5, 1.25
@@ -44,10 +42,6 @@ _QUOTES = {"“": "”", "«": "»", "„": "“", "‹": "›"}
 _LEET = str.maketrans("013457@$", "oieastas")
 
 
-def with_stems(words: set[str]) -> set[str]:
-    return words | {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k}
-
-
 def edits_allowed(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
 
@@ -56,8 +50,6 @@ class FuzzyLexicon:
     """Lazily determinised product of a lexicon trie with Levenshtein automata."""
 
     def __init__(self, terms: dict[str, float], harmless: frozenset[str] = frozenset()):
-        self.stems = {t[:-1]: w for t, w in terms.items() if t.endswith("*")}
-        terms = {t: w for t, w in terms.items() if not t.endswith("*")}
         self.terms, self.harmless = terms, harmless
         self.child: list[dict[str, int]] = [{}]
         self.weight, self.allowed, self.slack = [0.0], [0], [0]
@@ -125,9 +117,6 @@ class FuzzyLexicon:
         word = word.lower()
         if word in self.terms:
             return self.terms[word], 0
-        stem = max((self.stems.get(word[:k], 0.0) for k in STEMS), default=0.0) if self.stems else 0.0
-        if stem:
-            return stem, 0
         if any(c.isdigit() or c in "@$" for c in word) and any(c.isalpha() for c in word):
             word = word.translate(_LEET)
         if word in self.harmless:
@@ -241,7 +230,7 @@ def _toxic_words(rows: DataFrame) -> dict[str, int]:
                     words: set[str] = set()
                     for part in slices(text.as_py()):
                         words.update(_WORD.findall(part.lower()))
-                    out += [(w, int(own[0])) for w in with_stems(words)]
+                    out += [(w, int(own[0])) for w in words]
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()),
                                               pa.array([k for _, k in out], pa.int64())], ["word", "kind"])
 
@@ -251,8 +240,8 @@ def _toxic_words(rows: DataFrame) -> dict[str, int]:
     return {r["word"]: r["n"] for r in top.collect()}
 
 
-def _counted(rows: DataFrame, choose, stems: bool) -> DataFrame:
-    """(word, n): documents in which a word (or, with ``stems``, a beginning) that ``choose`` (built in the task) accepts stands."""
+def _counted(rows: DataFrame, choose) -> DataFrame:
+    """(word, n): documents in which a word that ``choose`` (built in the task) accepts stands."""
     def run(batches):
         chosen = choose()
         for batch in batches:
@@ -261,7 +250,7 @@ def _counted(rows: DataFrame, choose, stems: bool) -> DataFrame:
                 words: set[str] = set()
                 for part in slices(text.as_py()):
                     words.update(_WORD.findall(part.lower()))
-                for w in with_stems(words) if stems else words:
+                for w in words:
                     if chosen(w):
                         total[w] = total.get(w, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()),
@@ -291,12 +280,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return Model({}, frozenset(), prior if n_t + n_c else -3.0, (0.0, 0.0, 0.0))
     toxic = _toxic_words(rows)
     candidates = share(spark, frozenset(toxic))
-    clean = {r["word"]: r["n"] for r in _counted(rows.where("toxic = 0"), lambda: candidates().__contains__,
-                                                          True).collect()}
+    clean = {r["word"]: r["n"] for r in _counted(rows.where("toxic = 0"), lambda: candidates().__contains__).collect()}
     terms = {}
     for word, t in toxic.items():
         c = clean.get(word, 0)
-        if word.rstrip("*").isdigit() or len(word) < 3:
+        if word.isdigit() or len(word) < 3:
             continue
         odds = math.log((t + 0.5) / (n_t + 1)) - math.log((c + 0.5) / (n_c + 1))
         if odds > math.log(5) and _likelihood_ratio(min(t, n_t), n_t, c, n_c) >= MIN_RATIO:
@@ -310,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         return lambda w: (matches[w] or (0.0, 0))[1] > 0
 
     # look-alikes come from other rows than the weights, so that the weights see unknown look-alikes as they occur
-    harmless = frozenset(r["word"] for r in _counted(rows.where("toxic = 0 and fold = 0"), look_alike, False)
+    harmless = frozenset(r["word"] for r in _counted(rows.where("toxic = 0 and fold = 0"), look_alike)
                          .orderBy(F.desc("n"), "word").limit(LOOK_ALIKES).collect())
     model = Model(terms, harmless, prior, (0.0, 0.0, 0.0))
     held = share(spark, model)
@@ -339,14 +327,25 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, tuple[float, float,
     w = np.zeros(4)
     w[0] = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
     ridge = np.diag([1e-3, 0.2, 0.2, 0.2])
-    for _ in range(50):
+
+    def loss(v: np.ndarray) -> float:
+        u = z @ v
+        return float(np.sum(np.logaddexp(0, u) - y * u) + v @ ridge @ v / 2)
+
+    at = loss(w)
+    for _ in range(200):  # steps are halved until the loss falls, so the fit can't run away
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         h = (z * (p * (1 - p))[:, None]).T @ z + ridge
-        new = w + np.linalg.solve(h, z.T @ (y - p) - ridge @ w)
-        new[1:3], new[3] = np.maximum(new[1:3], 0), min(new[3], 0)
-        if np.abs(new - w).max() < 1e-6:
+        step, gain = np.linalg.solve(h, z.T @ (y - p) - ridge @ w), 1.0
+        while gain > 1e-6:
+            new = w + gain * step
+            new[1:3], new[3] = np.maximum(new[1:3], 0), min(new[3], 0)
+            if loss(new) < at - 1e-9:
+                break
+            gain /= 2
+        else:
             break
-        w = new
+        w, at = new, loss(new)
     return float(w[0]), (float(w[1]), float(w[2]), float(w[3]))
 
 
