@@ -45,6 +45,17 @@ def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(held.value)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files and checkpoints that nothing refers to any more.
+
+    Its cleaner learns of them by the driver's garbage collection, which a driver with little
+    work of its own may not do for the whole run while the executors' disks fill up.
+    """
+    import gc
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def hand_back() -> None:
     """Give memory that the driver's Python has freed back to the system; fitted models are small, what made them is not."""
     import ctypes

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import WordHasher, cut, drop_ids, id_bitmap, list_array, possible, shingle_hashes
+from panelforge.llm.common import WordHasher, cut, drop_ids, id_bitmap, list_array, possible, release, shingle_hashes
 from panelforge.llm.graph import components
 
 SKETCH = 96
@@ -71,17 +71,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, k:
     doc_ids are independent rows.  Other columns are ignored.
     """
     percent = round(threshold * 100)
-    base = cut(sketches(docs, width, k))
-    full = base.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = cut(full.groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
-                                          F.first("sketch").alias("sketch")))
+    some = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    # sketches are written once a class; the rows of all documents are made without them
+    classes = cut(sketches(docs, width, k).where(some).groupBy("sig").agg(
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
+    base = cut(sketches(docs, width, 0).drop("sketch"))
+    full = base.where(some)
     lists = cut(_lists(classes, percent, k))
+    release(docs.sparkSession)
     sets = cut(_whole_sets(lists, docs, width))
     leaders = cut(lists.groupBy("v", "band").agg(F.min(F.struct("rep", "sig", "n")).alias("m"),
                                                  F.count(F.lit(1)).alias("size")).where("size > 1")
                   .select("v", "band", F.col("m.sig").alias("leader"), F.col("m.n").alias("leader_n")))
     grouped = cut(lists.join(leaders, ["v", "band"]).select("leader", "leader_n", "sig", "n").distinct())
-    first = cut(components(_star_links(grouped, classes, sets, percent, k)))
+    low = possible(classes.select("sig", "sketch"), "sig", cut(id_bitmap(grouped, "sig"))).where("_possible")
+    first = cut(components(_star_links(grouped, low.drop("_possible"), sets, percent, k)))
+    release(docs.sparkSession)
     across = _across(grouped, first, sets, percent)
     group = components(across.union(first.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     named = classes.select("sig", "rep").join(group.withColumnRenamed("node", "sig"), "sig")
@@ -120,11 +125,11 @@ def _lists(classes: DataFrame, percent: int, k: int) -> DataFrame:
     shared = values.groupBy("v").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     own = (values.join(shared, "v").groupBy("sig")
            .agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("own")))
-    size = F.size("sketch")
-    unique = size - F.size("own")
-    rare = size - _needed(F.col("n"), percent, k) + 1 - unique
+    unique = F.col("held") - F.size("own")
+    rare = F.col("held") - _needed(F.col("n"), percent, k) + 1 - unique
     step = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(percent / 100)) + 1e-9)
-    rows = own.join(classes, "sig").withColumn("rare", rare.cast("int")).where("rare > 0")
+    sizes = classes.select("sig", "rep", "n", F.size("sketch").alias("held"))
+    rows = own.join(sizes, "sig").withColumn("rare", rare.cast("int")).where("rare > 0")
     return (rows.select("sig", "rep", "n", F.explode(F.array(step, step + 1)).alias("band"),
                         F.slice("own.v", F.lit(1), F.greatest("rare", F.lit(0))).alias("own"))
             .select("sig", "rep", "n", "band", F.explode("own").alias("v")))
@@ -149,11 +154,10 @@ def _whole_sets(lists: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return found.dropDuplicates(["sig"])
 
 
-def _star_links(grouped: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, k: int) -> DataFrame:
-    """Verified links (a, b) of list members with the leaders of their lists."""
+def _star_links(grouped: DataFrame, low: DataFrame, sets: DataFrame, percent: int, k: int) -> DataFrame:
+    """Verified links (a, b) of list members with the leaders of their lists; low(sig, sketch) has the members' sketches."""
     near = grouped.where((F.col("sig") != F.col("leader"))
                          & (F.least("n", "leader_n") * 100 >= F.greatest("n", "leader_n") * percent))
-    low = classes.select("sig", "sketch")
     both = (near.join(low.withColumnRenamed("sketch", "sb"), "sig")
             .join(low.select(F.col("sig").alias("leader"), F.col("sketch").alias("sa")), "leader"))
     common = F.size(F.array_intersect("sa", "sb"))
