@@ -67,6 +67,16 @@ def hand_back() -> None:
         trim(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """A task function for mapInArrow whose worker hands its memory back when the task ends; workers stay for later stages."""
+    def own(batches):
+        try:
+            yield from run(batches)
+        finally:
+            hand_back()
+    return own
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import cut, fold_of, mix64, share
+from panelforge.llm.common import cut, fold_of, mix64, share, tidy
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -128,7 +128,7 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     rows = docs.where("lang is not null and text is not null").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidy(run), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -295,7 +295,7 @@ def identify(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 ["doc_id", "held_out", "lang", "lang_pred", "cross_entropy", "bin"])
 
     scored = cut(rows.select("doc_id", "held_out", "lang", "text").mapInArrow(
-        run, "doc_id long, held_out boolean, lang string, lang_pred string, cross_entropy double, bin int"))
+        tidy(run), "doc_id long, held_out boolean, lang string, lang_pred string, cross_entropy double, bin int"))
     learned = scored.where("not held_out and lang is not null and lang_pred != 'und'")
     bins = {r["bin"]: (r["n"], r["right"]) for r in learned.groupBy("bin").agg(
         F.count(F.lit(1)).alias("n"), F.sum((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")).collect()}

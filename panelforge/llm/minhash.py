@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import WordHasher, cut, drop_ids, id_bitmap, list_array, possible, release, shingle_hashes
+from panelforge.llm.common import WordHasher, cut, drop_ids, id_bitmap, list_array, possible, release, shingle_hashes, tidy
 from panelforge.llm.graph import components
 
 SKETCH = 96
@@ -48,7 +48,7 @@ def sketches(docs: DataFrame, width: int, k: int = SKETCH) -> DataFrame:
                 [batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(sig, pa.int64()),
                  list_array(low, pa.int64())], ["doc_id", "n_shingles", "sig", "sketch"])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, sig long, sketch array<long>")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, sig long, sketch array<long>")
 
 
 def _signature(own: np.ndarray) -> int:
@@ -150,7 +150,7 @@ def _whole_sets(lists: DataFrame, docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([sig[i] for i in keep], pa.int64()),
                                               list_array([own[i] for i in keep], pa.int64())], ["sig", "own"])
 
-    found = texts.join(wanted, "rep").select("sig", "text").mapInArrow(run, "sig long, own array<long>")
+    found = texts.join(wanted, "rep").select("sig", "text").mapInArrow(tidy(run), "sig long, own array<long>")
     return found.dropDuplicates(["sig"])
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import cut, hand_back, list_array, share
+from panelforge.llm.common import cut, hand_back, list_array, share, tidy
 from panelforge.llm.tokencount import VOCABULARY
 
 SPACE = "▁"
@@ -285,7 +285,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIO
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "piece_ids"])
 
     rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    return rows.mapInArrow(run, f"{_kinds(docs, keep)}, piece_ids array<int>")
+    return rows.mapInArrow(tidy(run), f"{_kinds(docs, keep)}, piece_ids array<int>")
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +310,7 @@ def decode(rows: DataFrame, pieces: Pieces, keep: list[str]) -> DataFrame:
             out = pa.array([None if x is None else t for x, t in zip(ids, texts, strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), out], [*keep, "decoded"])
 
-    return rows.select(*dict.fromkeys([*keep, "piece_ids"])).mapInArrow(run, f"{_kinds(rows, keep)}, decoded string")
+    return rows.select(*dict.fromkeys([*keep, "piece_ids"])).mapInArrow(tidy(run), f"{_kinds(rows, keep)}, decoded string")
 
 
 def round_trip(docs: DataFrame, pieces: Pieces, bound: int = DICTIONARY) -> DataFrame:
@@ -337,4 +337,4 @@ def round_trip(docs: DataFrame, pieces: Pieces, bound: int = DICTIONARY) -> Data
                  pa.array([None if t is None else t == u for t, u in zip(texts, back, strict=True)], pa.bool_())],
                 ["doc_id", "n_pieces", "ids_crc32", "exact"])
 
-    return rows.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, exact boolean")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_pieces long, ids_crc32 long, exact boolean")

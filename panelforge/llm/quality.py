@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import hand_back, share
+from panelforge.llm.common import hand_back, share, tidy
 
 from panelforge.llm.tokencount import slices
 
@@ -179,7 +179,7 @@ def fit(docs: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()),
                                               pa.array(list(total.values()), pa.int64())], ["pattern", "n"])
 
-    patterns = {r["pattern"]: r["n"] for r in texts.select("text").mapInArrow(vote, "pattern string, n long")
+    patterns = {r["pattern"]: r["n"] for r in texts.select("text").mapInArrow(tidy(vote), "pattern string, n long")
                 .groupBy("pattern").agg(F.sum("n").alias("n")).collect()}
     good, table, posterior = accuracies(patterns)
     total = max(1, sum(patterns.values()))
@@ -197,7 +197,7 @@ def fit(docs: DataFrame) -> Model:
                                               pa.array(post, pa.float64())], ["cells", "shares", "post"])
 
     sample = (texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut_off).limit(2 * SAMPLE).select("text")
-              .mapInArrow(describe, "cells array<int>, shares array<double>, post double").toArrow().combine_chunks())
+              .mapInArrow(tidy(describe), "cells array<int>, shares array<double>, post double").toArrow().combine_chunks())
     weights, bias = _linear(*(c.chunk(0) if c.num_chunks else None for c in sample.columns)) if sample.num_rows else _linear()
     del sample
     hand_back()
@@ -282,7 +282,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                  pa.array([score(t) for t in texts], pa.float64())], ["doc_id", "votes", "posterior", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = rows.mapInArrow(run, "doc_id long, votes string, posterior double, score double")
+    out = rows.mapInArrow(tidy(run), "doc_id long, votes string, posterior double, score double")
     return out.withColumn("accepted", F.col("score") >= THRESHOLD)
 
 
@@ -296,4 +296,4 @@ def drop_rejected(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([score(t.as_py()) >= THRESHOLD for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

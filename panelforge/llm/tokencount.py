@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import share
+from panelforge.llm.common import share, tidy
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 WORD_START = "▁"
@@ -139,4 +139,4 @@ def count_tokens(docs: DataFrame, pieces: list[str]) -> DataFrame:
                 ["doc_id", "n_words", "n_tokens", "n_unknown"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_tokens long, n_unknown long")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_words long, n_tokens long, n_unknown long")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import WordHasher, cut, fold_of, hand_back, share, shingle_hashes
+from panelforge.llm.common import WordHasher, cut, fold_of, hand_back, share, shingle_hashes, tidy
 from panelforge.llm.tokencount import slices
 
 #: Labelled rows that the lexicon and the model are fitted on: those with the smallest hash of doc_id.
@@ -234,7 +234,7 @@ def _toxic_words(rows: DataFrame) -> dict[str, int]:
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()),
                                               pa.array([k for _, k in out], pa.int64())], ["word", "kind"])
 
-    found = rows.where("toxic = 1").select("text").mapInArrow(run, "word string, kind long").distinct()
+    found = rows.where("toxic = 1").select("text").mapInArrow(tidy(run), "word string, kind long").distinct()
     top = (found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
            .orderBy(F.desc("n"), "word").limit(LEXICON_TERMS))
     return {r["word"]: r["n"] for r in top.collect()}
@@ -256,7 +256,7 @@ def _counted(rows: DataFrame, choose) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()),
                                               pa.array(list(total.values()), pa.int64())], ["word", "n"])
 
-    return rows.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(tidy(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _likelihood_ratio(t: float, n_t: float, c: float, n_c: float) -> float:
@@ -311,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.float64()) for v in zip(*x, strict=True)]
                                              + [batch.column("toxic")], ["a", "d", "q", "toxic"])
 
-    sample = (rows.where("fold != 0").select("text", "toxic").mapInArrow(run, "a double, d double, q double, toxic int")
+    sample = (rows.where("fold != 0").select("text", "toxic").mapInArrow(tidy(run), "a double, d double, q double, toxic int")
               .limit(TRAINING_ROWS).toArrow())
     if sample.num_rows:
         model.bias, model.weights = _logistic(np.column_stack([sample.column(c).to_numpy() for c in "adq"]),
@@ -377,7 +377,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                                               pa.array([h for _, h in out], pa.int64())], ["doc_id", "score", "hits"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = rows.mapInArrow(run, "doc_id long, score double, hits long")
+    out = rows.mapInArrow(tidy(run), "doc_id long, score double, hits long")
     held: Column = F.coalesce(fold_of(F.col("doc_id")) == 2, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score",
                       (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "hits")
@@ -394,4 +394,4 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
             keep = [score(t.as_py())[0] < THRESHOLD for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
