@@ -2,8 +2,9 @@
 
 Words are canonicalised to templates: numbers, units and names become typed placeholders,
 everything else its lower-case letters.  Windows of the templates are hash-joined with the
-benchmark's; where a matched window holds placeholders, the values found are checked: within
-a document and an item, one value of the item must stand for one value of the document.
+benchmark's, counted by region of the document; where a matched window holds other values than
+the item, these are checked: around a region, one value of the item must stand for one value
+of the document.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ MAX_SLOTS = 2
 ENOUGH_WINDOWS, ENOUGH_SHARE = 9, 0.8
 #: Share of an item's slot occurrences that must follow one assignment of values.
 CONSISTENT_SHARE = 0.8
+#: Item lengths to each side of a region in which other values of its slots count against it.
+NEAR = 2
 #: Benchmark windows up to this number are broadcast (about 100 bytes each), beyond it they are shuffled.
 BROADCAST_WINDOWS = 200_000
 
@@ -47,7 +50,7 @@ def _marked(text: Column) -> Column:
 
 
 def template_windows(rows: DataFrame, key: str, width: int = WIDTH) -> DataFrame:
-    """(key, h, slots): every window of the row's template with few placeholders; slots are their values or null.
+    """(key, pos, h, slots): every window of the row's template with few placeholders; slots are their values or null.
 
     Rows with fewer words than ``width`` have one window, rows without words none.
     """
@@ -71,10 +74,10 @@ def template_windows(rows: DataFrame, key: str, width: int = WIDTH) -> DataFrame
     shifted = [F.slice("_c", k + 1, count).alias(f"c{k}") for k in range(width)]
     values = F.coalesce("_v", F.array().cast("array<string>"))
     shifted += [F.slice(values, k + 1, count).alias(f"v{k}") for k in range(width)]
-    out = words.select(key, F.explode(F.arrays_zip(*shifted)).alias("_x"))
+    out = words.select(key, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_x"))
     slots = F.array(*[F.col(f"_x.v{k}") for k in range(width)])
     some = F.coalesce(*[F.col(f"_x.v{k}") for k in range(width)]).isNotNull()
-    out = out.select(key, F.xxhash64(*[F.col(f"_x.c{k}") for k in range(width)]).alias("h"), F.when(some, slots).alias("slots"))
+    out = out.select(key, "pos", F.xxhash64(*[F.col(f"_x.c{k}") for k in range(width)]).alias("h"), F.when(some, slots).alias("slots"))
     held = F.size(F.filter("slots", lambda v: v.isNotNull()))
     out = out.withColumn("_n", F.when(F.col("slots").isNull(), 0).otherwise(held)).where(F.col("_n") <= MAX_SLOTS)
     return out.drop("_n")
@@ -83,31 +86,45 @@ def template_windows(rows: DataFrame, key: str, width: int = WIDTH) -> DataFrame
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, item_id, windows, share, consistency): the items found in documents.
 
-    ``windows`` is the number of distinct windows of the item that the document holds, ``share``
-    their share of the item's windows, ``consistency`` the share of slot occurrences that
-    follow one assignment (1 without placeholders).  Rows with the same doc_id are judged
-    together.  Null doc_ids and item_ids, null, empty and blank texts match nothing; items whose
-    windows are all made of placeholders match nothing.
+    Documents are judged by regions of two item lengths that overlap by one, so windows scattered
+    over a long text are no copy.  ``windows`` is the number of distinct windows of the item
+    that the best region holds, ``share`` their share of the item's windows.  Windows with the item's
+    own values, or without any, are verbatim: a region with enough of them is found whatever
+    else the text holds (consistency 1).  Otherwise ``consistency`` is the share of slot occurrences
+    within the region and NEAR item lengths around it that follow one assignment (1 without
+    placeholders).  Rows with the same doc_id are judged together, each from its first word.  Null
+    doc_ids and item_ids, null, empty and blank texts match nothing; items whose windows are all
+    made of placeholders match nothing.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
-    bench = cut(template_windows(items, "item_id", width).withColumnRenamed("slots", "item_slots").distinct())
-    need = bench.groupBy("item_id").agg(F.countDistinct("h").alias("total"))
+    bench = cut(template_windows(items, "item_id", width).withColumnRenamed("slots", "item_slots"))
+    need = cut(bench.groupBy("item_id").agg(F.countDistinct("h").alias("total"), (F.max("pos") + 1).alias("length")))
+    bench = cut(bench.select("item_id", "h", "item_slots").distinct().join(need.select("item_id", "length"), "item_id"))
     side = F.broadcast(bench) if bench.count() <= BROADCAST_WINDOWS else bench
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     hits = cut(template_windows(texts, "doc_id", width).join(side, "h")
-               .select("doc_id", "item_id", "h", "slots", "item_slots").distinct())
-    found = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("h").alias("windows")).join(need, "item_id")
-    found = cut(found.where(F.col("windows") >= F.least(F.lit(ENOUGH_WINDOWS), F.ceil(F.col("total") * ENOUGH_SHARE))))
-    filled = hits.where("slots is not null and item_slots is not null").join(
-        found.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")
-    pairs = (filled.select("doc_id", "item_id", F.explode(F.arrays_zip("item_slots", "slots")).alias("p"))
-             .select("doc_id", "item_id", F.col("p.item_slots").alias("theirs"), F.col("p.slots").alias("ours"))
+               .select("doc_id", "item_id", "h", F.floor(F.col("pos") / F.col("length")).alias("place"),
+                       F.col("slots").eqNullSafe(F.col("item_slots")).cast("int").alias("same"), "slots", "item_slots").distinct())
+    region = ["doc_id", "item_id", "region"]
+    each = hits.withColumn("region", F.explode(F.array(F.col("place") - 1, F.col("place"))))
+    each = each.groupBy(*region, "h").agg(F.max("same").alias("same"))
+    found = each.groupBy(*region).agg(F.count(F.lit(1)).alias("windows"), F.sum("same").alias("exact")).join(need, "item_id")
+    enough = F.least(F.lit(ENOUGH_WINDOWS), F.ceil(F.col("total") * ENOUGH_SHARE))
+    found = cut(found.where(F.col("windows") >= enough).withColumn("verbatim", F.col("exact") >= enough))
+    filled = hits.where("slots is not null and item_slots is not null").withColumn(
+        "region", F.explode(F.sequence(F.col("place") - 1 - NEAR, F.col("place") + NEAR)))
+    filled = filled.join(found.where("not verbatim").select(*region), region, "left_semi")
+    pairs = (filled.select(*region, "h", "slots", "item_slots").distinct()
+             .select(*region, F.explode(F.arrays_zip("item_slots", "slots")).alias("p"))
+             .select(*region, F.col("p.item_slots").alias("theirs"), F.col("p.slots").alias("ours"))
              .where("theirs is not null and ours is not null"))
-    each = pairs.groupBy("doc_id", "item_id", "theirs", "ours").agg(F.count(F.lit(1)).alias("n"))
-    each = each.groupBy("doc_id", "item_id", "theirs").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
-    each = each.groupBy("doc_id", "item_id").agg((F.sum("top") / F.sum("n")).alias("consistency"))
-    out = found.join(each, ["doc_id", "item_id"], "left").withColumn("consistency", F.coalesce("consistency", F.lit(1.0)))
+    each = pairs.groupBy(*region, "theirs", "ours").agg(F.count(F.lit(1)).alias("n"))
+    each = each.groupBy(*region, "theirs").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
+    each = each.groupBy(*region).agg((F.sum("top") / F.sum("n")).alias("consistency"))
+    out = found.join(each, region, "left").withColumn("consistency", F.coalesce("consistency", F.lit(1.0)))
     return (out.where(F.col("consistency") >= CONSISTENT_SHARE)
+            .groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.max("total").alias("total"),
+                                              F.max("consistency").alias("consistency"))
             .select("doc_id", "item_id", "windows", (F.col("windows") / F.col("total")).alias("share"), "consistency"))
 
 

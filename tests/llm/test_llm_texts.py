@@ -185,6 +185,20 @@ def test_templates_find_changed_parameters(spark):
     assert document_report(_docs(spark, []), bench).count() == 0
 
 
+def test_decontamination_judges_regions(spark):
+    from panelforge.llm.decontaminate import contaminated
+    item = "A train leaves the old station with 120 people and Anna gives 7 tickets to Boris before the trip starts again at 9 km"
+    other = item.replace("120", "98").replace("Anna", "Clara").replace("Boris", "Dmitri").replace(" 7 ", " 3 ").replace("9 km", "4 miles")
+    third = item.replace("120", "51").replace("Anna", "Elena").replace("Boris", "Farid").replace(" 7 ", " 8 ").replace("9 km", "6 miles")
+    gap, words = " nothing to see here" * 60, item.split()
+    scattered = gap.join(" ".join(words[i: i + 5]) for i in range(0, len(words) - 4, 2))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = _docs(spark, [(1, item + ". " + other), (2, other + gap + " . " + third), (3, scattered), (4, item[:60] + gap),
+                         (5, item + ". " + other + ". " + third), (6, gap + " . " + other)])
+    got = {r.doc_id: r for r in contaminated(docs, bench).collect()}
+    assert set(got) == {1, 2, 5, 6} and all(r.consistency == 1 and r.windows <= 20 for r in got.values())
+
+
 def test_preference_rows(spark):
     from panelforge.llm.chat import preference_rows, turns_of, with_weaker_reply
     pairs = [("chosen", 0, "user", "hi"), ("rejected", 0, "user", "hi"), ("chosen", 1, "assistant", "yes"),
