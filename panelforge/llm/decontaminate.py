@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from panelforge.llm.common import cut, drop_ids
 
 WIDTH = 5
-#: Placeholders that a window may hold; windows with more say too little about an item.
-MAX_SLOTS = 2
 #: An item is found when so many of its windows match, or this share of them if it has fewer.
 ENOUGH_WINDOWS, ENOUGH_SHARE = 9, 0.8
 #: Share of an item's slot occurrences that must follow one assignment of values.
@@ -49,10 +47,12 @@ def _marked(text: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(t, _NUMBER, "<num=$0>"), _NAME, "<name=$0>"))
 
 
-def template_windows(rows: DataFrame, key: str, width: int = WIDTH) -> DataFrame:
-    """(key, pos, h, slots): every window of the row's template with few placeholders; slots are their values or null.
+def template_windows(rows: DataFrame, key: str, width: int = WIDTH, shorter: tuple[int, ...] = ()) -> DataFrame:
+    """(key, pos, h, slots, n, bare, inner): every window of the row's template; slots are their values or null.
 
-    Rows with fewer words than ``width`` have one window, rows without words none.
+    Rows with fewer words than ``width`` have one window of their ``n`` words, rows without words none.
+    Windows of the lengths in ``shorter`` that are a part of the row only are ``inner``.  The hash of
+    a window made of placeholders only (``bare``) is that of its values, as its template says nothing.
     """
     words = rows.select(key, _marked(F.col("text")).alias("_m"))
     words = words.select(key, F.when(F.contains("_m", F.lit("<num=")), F.regexp_replace("_m", _UNIT, "$1<unit=$2>"))
@@ -70,17 +70,31 @@ def template_windows(rows: DataFrame, key: str, width: int = WIDTH) -> DataFrame
     slot = F.transform(valued, lambda t: F.when(F.startswith(t, F.lit("<")) | t.isin(*NUMBER_WORDS), t))
     words = words.select(key, "_c", F.when(F.contains("_m", F.lit("<")) | F.array_contains("_c", number), slot).alias("_v"))
     # shifted slices side by side: windows are then rows of plain columns, hashed in generated code
-    count = F.greatest(F.size("_c") - width + 1, F.lit(1))
+    size = F.size("_c")
+    count = F.greatest(size if shorter else size - width + 1, F.lit(1))
     shifted = [F.slice("_c", k + 1, count).alias(f"c{k}") for k in range(width)]
     values = F.coalesce("_v", F.array().cast("array<string>"))
     shifted += [F.slice(values, k + 1, count).alias(f"v{k}") for k in range(width)]
-    out = words.select(key, F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_x"))
-    slots = F.array(*[F.col(f"_x.v{k}") for k in range(width)])
-    some = F.coalesce(*[F.col(f"_x.v{k}") for k in range(width)]).isNotNull()
-    out = out.select(key, "pos", F.xxhash64(*[F.col(f"_x.c{k}") for k in range(width)]).alias("h"), F.when(some, slots).alias("slots"))
-    held = F.size(F.filter("slots", lambda v: v.isNotNull()))
-    out = out.withColumn("_n", F.when(F.col("slots").isNull(), 0).otherwise(held)).where(F.col("_n") <= MAX_SLOTS)
-    return out.drop("_n")
+    out = words.select(key, size.alias("_size"), F.posexplode(F.arrays_zip(*shifted)).alias("pos", "_x"))
+    out = out.select(key, "_size", "pos", *[F.col(f"_x.{c}{k}").alias(f"{c}{k}") for c in "cv" for k in range(width)])
+
+    def window(n: int, inner: bool) -> list[Column]:
+        codes, own = [F.col(f"c{k}") for k in range(n)], [F.col(f"v{k}") for k in range(n)]
+        some = F.coalesce(*own).isNotNull()
+        # a place is bare if it has a value or lies behind the last word
+        bare = some
+        for c, v in zip(codes, own, strict=True):
+            bare = bare & (v.isNotNull() | c.isNull())
+        h = F.when(bare, F.xxhash64(F.lit("bare"), *own)).otherwise(F.xxhash64(*codes))
+        slots = F.array(*own, *[F.lit(None).cast("string")] * (width - n))
+        length = F.lit(n) if inner else F.least("_size", F.lit(n))
+        return [h.alias("h"), F.when(some, slots).alias("slots"), length.alias("n"), bare.alias("bare"), F.lit(inner).alias("inner")]
+
+    whole = out.where(F.col("pos") <= F.greatest(F.col("_size") - width, F.lit(0))) if shorter else out
+    found = whole.select(key, "pos", *window(width, False))
+    for n in shorter:
+        found = found.union(out.where((F.col("pos") + n <= F.col("_size")) & (F.col("_size") > n)).select(key, "pos", *window(n, True)))
+    return found
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -93,24 +107,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> D
     else the text holds (consistency 1).  Otherwise ``consistency`` is the share of slot occurrences
     within the region and NEAR item lengths around it that follow one assignment (1 without
     placeholders).  Rows with the same doc_id are judged together, each from its first word.  Null
-    doc_ids and item_ids, null, empty and blank texts match nothing; items whose windows are all
-    made of placeholders match nothing.
+    doc_ids and item_ids, null, empty and blank texts match nothing.
+
+    All windows of an item count, but those made of placeholders only match their own values, and a
+    region with other values needs enough of the rest, as if that were half of the item's
+    windows at least.  An item shorter than ``width`` is found inside longer texts with its own values.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
     bench = cut(template_windows(items, "item_id", width).withColumnRenamed("slots", "item_slots"))
-    need = cut(bench.groupBy("item_id").agg(F.countDistinct("h").alias("total"), (F.max("pos") + 1).alias("length")))
+    shorter = tuple(r["n"] for r in bench.where(F.col("n") < width).select("n").distinct().orderBy("n").collect())
+    need = cut(bench.groupBy("item_id").agg(F.countDistinct("h").alias("total"), (F.max("pos") + 1).alias("length"),
+                                            F.countDistinct(F.when(~F.col("bare"), F.col("h"))).alias("worded")))
     bench = cut(bench.select("item_id", "h", "item_slots").distinct().join(need.select("item_id", "length"), "item_id"))
     side = F.broadcast(bench) if bench.count() <= BROADCAST_WINDOWS else bench
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    hits = cut(template_windows(texts, "doc_id", width).join(side, "h")
+    hits = cut(template_windows(texts, "doc_id", width, shorter).join(side, "h")
+               .where(~F.col("inner") | F.col("slots").eqNullSafe(F.col("item_slots")))
                .select("doc_id", "item_id", "h", F.floor(F.col("pos") / F.col("length")).alias("place"),
                        F.col("slots").eqNullSafe(F.col("item_slots")).cast("int").alias("same"), "slots", "item_slots").distinct())
     region = ["doc_id", "item_id", "region"]
     each = hits.withColumn("region", F.explode(F.array(F.col("place") - 1, F.col("place"))))
     each = each.groupBy(*region, "h").agg(F.max("same").alias("same"))
     found = each.groupBy(*region).agg(F.count(F.lit(1)).alias("windows"), F.sum("same").alias("exact")).join(need, "item_id")
-    enough = F.least(F.lit(ENOUGH_WINDOWS), F.ceil(F.col("total") * ENOUGH_SHARE))
-    found = cut(found.where(F.col("windows") >= enough).withColumn("verbatim", F.col("exact") >= enough))
+    verbatim, enough = (F.least(F.lit(ENOUGH_WINDOWS), F.ceil(n * ENOUGH_SHARE))
+                        for n in (F.col("total"), F.greatest(F.col("worded"), F.col("total") / 2)))
+    found = cut(found.where(F.col("windows") >= enough).withColumn("verbatim", F.col("exact") >= verbatim))
     filled = hits.where("slots is not null and item_slots is not null").withColumn(
         "region", F.explode(F.sequence(F.col("place") - 1 - NEAR, F.col("place") + NEAR)))
     filled = filled.join(found.where("not verbatim").select(*region), region, "left_semi")

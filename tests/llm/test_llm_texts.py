@@ -199,6 +199,20 @@ def test_decontamination_judges_regions(spark):
     assert set(got) == {1, 2, 5, 6} and all(r.consistency == 1 and r.windows <= 20 for r in got.values())
 
 
+def test_decontamination_keeps_dense_and_short_windows(spark):
+    from panelforge.llm.decontaminate import contaminated
+    dense = "we saw grey owls near 4 5 6 7 8 9 10 11 12 13 14 15"
+    bench = spark.createDataFrame([(1, "12 + 7 * 3 = ?"), (2, dense), (3, "blue whales sing"), (4, "sum of 3 4 5 and 6 7 8 is 33")],
+                                  "item_id long, text string")
+    gap = " nothing to see here" * 20
+    docs = _docs(spark, [(1, gap + " 12 + 7 * 3 = ?" + gap), (2, gap + " 13 + 7 * 3 = ?" + gap), (3, gap + " " + dense + gap),
+                         (4, "we saw grey owls near 9 houses" + gap), (5, gap + " blue whales sing" + gap), (6, "Blue whales sing"),
+                         (7, gap + " whales sing blue" + gap), (8, gap + " sum of 8 9 1 and 2 3 4 is 27" + gap),
+                         (9, gap + " sum of 3 4 5 and 6 7 8 is 33"), (10, gap + " we hear blue whales sing")])
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs, bench).collect()}
+    assert got == {(1, 1), (3, 2), (5, 3), (6, 3), (8, 4), (9, 4), (10, 3)}
+
+
 def test_preference_rows(spark):
     from panelforge.llm.chat import preference_rows, turns_of, with_weaker_reply
     pairs = [("chosen", 0, "user", "hi"), ("rejected", 0, "user", "hi"), ("chosen", 1, "assistant", "yes"),
