@@ -3,31 +3,35 @@
 Counts of character n-grams are gathered over all training rows, one map-side combined
 aggregate; lower orders are continuation counts derived from the distinct n-grams.  The
 interpolated probabilities of every n-gram that occurs in any language are laid out in
-sorted arrays of 64-bit n-gram hashes, which are broadcast; scoring looks every n-gram of a
-text up by binary search and falls back through the shorter arrays.  The language of the
-lowest cross-entropy per character wins.
+sorted arrays of 64-bit n-gram hashes; scoring looks every n-gram of a text up by binary search
+and falls back through the shorter arrays.  The language of the lowest cross-entropy per
+character wins.
+
+All n-grams of all languages are kept.  The model is cut into shards of a bounded size by language and by
+the last but one character, which an n-gram shares with its context and with all shorter
+n-grams and contexts that it falls back to; single characters are in every shard.  Shards are
+made one after another and broadcast; a task holds one at a time and adds up their scores.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import cut, fold_of, mix64, share, tidy
+from panelforge.llm.common import cut, fold_of, hand_back, mix64, tidy
 
 ORDER = 4
 DISCOUNT = 0.75
-#: Bound of the broadcast model: n-grams kept per language and order, the most frequent first, and probabilities
-#: kept per order over all languages.  Dropped n-grams fall back to the next shorter order, whose weight is computed
-#: from the kept ones, so each model stays normalised.
-KEPT_NGRAMS = 120_000
-KEPT_CELLS = 1 << 23
-#: Bound of the number of languages, the most frequent first.
-KEPT_LANGUAGES = 64
+#: Languages of a shard, and its n-grams of all orders times its languages.  One character of one group of languages is
+#: not divided further.
+SHARD_LANGUAGES = 16
+SHARD_CELLS = 1 << 22
 CHUNK_CHARS = 1 << 18
 #: Bins of the lead over the second language (nats per character, scaled by length) for the calibrated score.
 BINS = 32
@@ -140,46 +144,95 @@ class Model:
     context: list[np.ndarray]   # per order from 1: sorted hashes of contexts of that length
     backoff: list[np.ndarray]   # per order: log weight of the next shorter order per context and language
     floor: np.ndarray           # log probability of a character never seen, per language
+    chars: np.ndarray | None = None  # last but one characters of the n-grams it scores, None: all
+    others: bool = False        # whether it scores all but these
 
 
 def fit(docs: DataFrame, order: int = ORDER) -> Model:
-    """Kneser-Ney models of all languages from (lang, text) rows; the model's size is bounded by its parameters."""
-    top = cut(count_ngrams(docs, order))
-    langs = [r["lang"] for r in top.groupBy("lang").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(KEPT_LANGUAGES).collect()]
-    langs.sort()
-    if not langs:
-        return Model([], order, [], [], [], [], np.zeros(0))
-    tables, counts = {}, top
+    """Kneser-Ney models of all languages from (lang, text) rows in one piece, whatever its size."""
+    langs, tables, seen = _tables(docs, order)
+    return _shard(tables, langs, order, seen, None, False)
+
+
+def _tables(docs: DataFrame, order: int) -> tuple[list[str], dict[int, DataFrame], int]:
+    """All languages, per length all n-grams (lang, gram, n, total of the context, last but one character c), and the
+    number of single characters seen in any language."""
+    counts = cut(count_ngrams(docs, order))
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    tables = {}
     for length in range(order, 0, -1):
         ranked = counts.withColumn("context", F.expr(f"left(gram, {length - 1})") if length > 1 else F.lit(""))
         total = ranked.groupBy("lang", "context").agg(F.sum("n").alias("total"))
-        tables[length] = _kept(cut(ranked.join(total, ["lang", "context"])), langs)
+        before = F.expr(f"substring(gram, {length - 1}, 1)") if length > 1 else F.lit("")
+        tables[length] = cut(ranked.join(total, ["lang", "context"]).select("lang", "gram", "n", "total", before.alias("c")))
         if length > 1:  # continuation counts: distinct left neighbours
             counts = cut(counts.groupBy("lang", F.expr(f"right(gram, {length - 1})").alias("gram"))
                          .agg(F.count(F.lit(1)).alias("n")))
-    return _layout(tables, langs, order)
-
-
-def _kept(counts: DataFrame, langs: list[str]) -> dict[str, tuple]:
-    """Per language: n-grams as code points, counts and totals of their contexts, as many as the bounds allow."""
-    out = {}
-    bound = max(1, min(KEPT_NGRAMS, KEPT_CELLS // max(1, len(langs)) ** 2))
-    for lang in langs:
-        rows = (counts.where(F.col("lang") == lang).select("gram", "n", "total")
-                .orderBy(F.desc("n"), "gram").limit(bound).toArrow())
-        grams = rows.column("gram").to_pylist()
-        width = len(grams[0]) if grams else 0
-        codes = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(grams), width)
-        out[lang] = codes, rows.column("n").to_numpy().astype(float), rows.column("total").to_numpy().astype(float)
+    return langs, tables, tables[1].select("gram").distinct().count()
+
+
+def _plan(tables: dict[int, DataFrame], langs: list[str]) -> list[tuple[list[str], list[str] | None, bool]]:
+    """(languages, characters or None, whether all but these) of every shard."""
+    sizes: dict[str, dict[str, int]] = {}
+    for length, table in tables.items():
+        if length > 1:
+            for r in table.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("k")).collect():
+                own = sizes.setdefault(r["lang"], {})
+                own[r["c"]] = own.get(r["c"], 0) + r["k"]
+    out = []
+    for at in range(0, len(langs), SHARD_LANGUAGES):
+        group = langs[at: at + SHARD_LANGUAGES]
+        total: dict[str, int] = {}
+        for lang in group:
+            for c, k in sizes.get(lang, {}).items():
+                total[c] = total.get(c, 0) + k
+        bins: list[list[str]] = []
+        room = 0
+        for c, k in sorted(total.items()):
+            if not bins or k * len(group) > room:
+                bins.append([])
+                room = SHARD_CELLS
+            bins[-1].append(c)
+            room -= k * len(group)
+        if len(bins) < 2:
+            out.append((group, None, False))
+        else:  # the first one also scores n-grams of characters that these languages don't have
+            out.append((group, [c for b in bins[1:] for c in b], True))
+            out += [(group, b, False) for b in bins[1:]]
     return out
 
 
-def _layout(tables: dict, langs: list[str], order: int) -> Model:
+def _shard(tables: dict[int, DataFrame], langs: list[str], order: int, seen: int,
+           chars: list[str] | None, others: bool) -> Model:
+    if not langs:
+        return Model([], order, [], [], [], [], np.zeros(0))
+    own = {}
+    for length, table in tables.items():
+        rows = table.where(F.col("lang").isin(langs))
+        if length > 1 and chars is not None:
+            rows = rows.where(~F.col("c").isin(chars) if others else F.col("c").isin(chars))
+        own[length] = _codes(rows.select("lang", "gram", "n", "total").toArrow(), langs, length)
+    model = _layout(own, langs, order, seen)
+    if chars is not None:
+        model.chars, model.others = np.unique(np.array([ord(c) for c in chars], np.uint32)), others
+    return model
+
+
+def _codes(rows: pa.Table, langs: list[str], length: int) -> list[tuple]:
+    """Per language: n-grams as code points, counts and totals of their contexts."""
+    codes = np.frombuffer("".join(rows.column("gram").to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = codes.reshape(rows.num_rows, length)
+    place = {lang: k for k, lang in enumerate(langs)}
+    who = np.array([place[x] for x in rows.column("lang").to_pylist()], np.int64)
+    n, total = (rows.column(c).to_numpy().astype(float) for c in ("n", "total"))
+    return [(codes[who == k], n[who == k], total[who == k]) for k in range(len(langs))]
+
+
+def _layout(tables: dict, langs: list[str], order: int, seen: int) -> Model:
     n = len(langs)
     model = Model(langs, order, [], [], [], [], np.zeros(n))
     for length in range(1, order + 1):
-        own = [tables[length][lang] for lang in langs]
+        own = tables[length]
         keys = np.unique(np.concatenate([hash_rows(c) for c, _, _ in own])) if own else np.empty(0, np.uint64)
         heads = np.unique(np.concatenate([hash_rows(c[:, :-1]) for c, _, _ in own])) if own else keys
         weight = np.zeros((len(heads), n))  # 0: the context was never seen, all mass goes to the shorter order
@@ -189,8 +242,7 @@ def _layout(tables: dict, langs: list[str], order: int) -> Model:
             weight[:, k] = np.log(np.maximum(1 - used, 1e-9))
         if length == 1:
             spare = np.exp(weight[0]) if len(heads) else np.ones(n)
-            seen = max(1, len(keys))
-            model.floor = np.log(np.maximum(spare, 1e-6) / (seen + 1))
+            model.floor = np.log(np.maximum(spare, 1e-6) / (max(1, seen) + 1))
             probs = np.tile(np.exp(model.floor), (len(keys), 1))
         else:  # interpolation: weight of the context times the shorter order
             all_codes = np.concatenate([c for c, _, _ in own])
@@ -235,7 +287,10 @@ def _lookup(model: Model, codes: np.ndarray) -> np.ndarray:
 
 
 def score_batch(model: Model, texts) -> tuple[np.ndarray, np.ndarray]:
-    """Cross-entropy (nats per character) of each text under every language, and the characters scored."""
+    """Cross-entropy (nats per character) of each text under every language, and the characters scored.
+
+    A shard gives its share of the cross-entropy, that of the n-grams it holds.
+    """
     size, order = len(texts), model.order
     entropy, count = np.zeros((size, len(model.langs))), np.zeros(size, np.int64)
     for rows, parts in _chunks(texts):
@@ -248,16 +303,30 @@ def score_batch(model: Model, texts) -> tuple[np.ndarray, np.ndarray]:
                 padded = np.concatenate([np.zeros(order - 2, np.uint32), p])
                 blocks.append(np.lib.stride_tricks.sliding_window_view(padded, order))
         window = np.concatenate(blocks)
+        n = np.bincount(who, minlength=len(parts))
+        if model.chars is not None:
+            mine = np.isin(window[:, -2], model.chars) != model.others
+            window, who = window[mine], who[mine]
         key = hash_rows(window)
         distinct, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         logs = _lookup(model, window[first])[inverse]
         total = np.stack([np.bincount(who, logs[:, k], len(parts)) for k in range(len(model.langs))], axis=1)
-        n = np.bincount(who, minlength=len(parts))
         entropy[rows] = -total / np.maximum(n, 1)[:, None]
         count[rows] = n
     return entropy, count
 
 
+def _sent(spark: SparkSession, model: Model):
+    """Broadcast a shard; the function returned reads it inside a task and keeps nothing of it."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+    def read() -> Model:
+        out = pickle.loads(held.value)
+        vars(held).pop("_value", None)  # it is read from its file again when it is needed again
+        return out
+    return read
+
+
 def identify(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Language of every row's whole text: doc_id, held_out, lang_pred, score, cross_entropy, rejected.
 
@@ -272,20 +341,27 @@ def identify(docs: DataFrame, order: int = ORDER) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.withColumn("held_out", F.coalesce(fold_of(F.col("doc_id")) == 2, F.lit(False)))
-    model = fit(rows.where("not held_out"), order)
-    spark = docs.sparkSession
-    shared = share(spark, model)
+    langs, tables, seen = _tables(rows.where("not held_out"), order)
+    shards = []
+    for group, chars, others in _plan(tables, langs):
+        model = _shard(tables, group, order, seen, chars, others)
+        shards.append((langs.index(group[0]), len(group), _sent(docs.sparkSession, model)))
+        del model
+        hand_back()
 
     def run(batches):
+        one = shards[0][2]() if len(shards) == 1 else None
         for batch in batches:
-            m = shared()
             n = batch.num_rows
-            if m.langs:
-                entropy, count = score_batch(m, batch.column("text"))
+            if langs:
+                entropy = np.zeros((n, len(langs)))
+                for at, width, read in shards:
+                    part, count = score_batch(one or read(), batch.column("text"))
+                    entropy[:, at: at + width] += part
                 ranked = np.sort(entropy, axis=1)
                 best = entropy.argmin(axis=1)
-                lead = (ranked[:, 1] - ranked[:, 0]) * np.sqrt(count) if len(m.langs) > 1 else np.sqrt(count)
-                names = [m.langs[k] if c else "und" for k, c in zip(best, count, strict=True)]
+                lead = (ranked[:, 1] - ranked[:, 0]) * np.sqrt(count) if len(langs) > 1 else np.sqrt(count)
+                names = [langs[k] if c else "und" for k, c in zip(best, count, strict=True)]
                 low = ranked[:, 0]
             else:
                 names, lead, low = ["und"] * n, np.zeros(n), np.zeros(n)
@@ -304,11 +380,10 @@ def identify(docs: DataFrame, order: int = ORDER) -> DataFrame:
         n, right = bins.get(b, (0, 0))
         best = max(best, (right + 1) / (n + 2)) if n else best
         reliability.append(best or 0.5)
-    limits = {r["lang_pred"]: r["q"] for r in learned.where("lang = lang_pred").groupBy("lang_pred").agg(
-        F.percentile_approx("cross_entropy", REJECT_QUANTILE, 1000).alias("q")).collect()}
-    beyond = F.lit(False)
-    for lang in model.langs:
-        beyond = beyond | ((F.col("lang_pred") == lang) & (F.col("cross_entropy") > limits.get(lang, float("inf"))))
+    limits = cut(learned.where("lang = lang_pred").groupBy("lang_pred").agg(
+        F.percentile_approx("cross_entropy", REJECT_QUANTILE, 1000).alias("_limit")))
+    scored = scored.join(F.broadcast(limits), "lang_pred", "left")  # one row a language
+    beyond = F.coalesce(F.col("cross_entropy") > F.col("_limit"), F.lit(False))
     und = F.col("lang_pred") == "und"
     return scored.select(
         "doc_id", "held_out", "lang_pred",

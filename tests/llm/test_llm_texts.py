@@ -97,6 +97,29 @@ def test_language_models_are_normalised_and_identify(spark):
     assert identify(_docs(spark, [])).count() == 0
 
 
+def test_languages_and_shards_have_no_cap(spark, monkeypatch):
+    from panelforge.llm import langid
+    rnd = random.Random(5)
+
+    def text(k):  # neighbouring languages share half of their letters
+        return " ".join("".join(chr(0x4E00 + 6 * k + rnd.randrange(12)) for _ in range(4)) for _ in range(30))
+    rows = [(i, text(i % 70), f"l{i % 70:02d}") for i in range(700)] + [(i, chr(0x3042) * 3, None) for i in range(700, 704)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = {r.doc_id: r for r in langid.identify(docs).collect()}
+    assert len(whole) == 704 and all(whole[i].lang_pred == lang for i, _, lang in rows if lang)
+    few = docs.where("doc_id % 70 < 5")
+    whole = {r.doc_id: r for r in langid.identify(few).collect()}
+    monkeypatch.setattr(langid, "SHARD_LANGUAGES", 2)
+    monkeypatch.setattr(langid, "SHARD_CELLS", 2000)
+    langs, tables, _ = langid._tables(few, 4)
+    assert len(langid._plan(tables, langs)) > 6
+    cut = {r.doc_id: r for r in langid.identify(few).collect()}
+    assert set(cut) == set(whole)
+    for i, r in cut.items():
+        assert (r.lang_pred, r.rejected) == (whole[i].lang_pred, whole[i].rejected)
+        assert r.cross_entropy == pytest.approx(whole[i].cross_entropy, abs=1e-5)
+
+
 def _distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
