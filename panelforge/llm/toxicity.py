@@ -23,8 +23,7 @@ from panelforge.llm.tokencount import slices
 
 #: Labelled rows that the lexicon and the model are fitted on: those with the smallest hash of doc_id.
 TRAINING_ROWS = 30_000
-#: Terms of the lexicon and harmless look-alikes, the strongest first.
-LEXICON_TERMS = 20_000
+#: Harmless look-alikes, the most frequent first.
 LOOK_ALIKES = 50_000
 #: A term stands in this many unlike toxic documents and its likelihood ratio against chance is this high.
 MIN_DOCUMENTS, MIN_RATIO = 6, 30.0
@@ -218,8 +217,8 @@ def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
                        fold_of(F.col("doc_id")).cast("int").alias("fold")))
 
 
-def _toxic_words(rows: DataFrame) -> dict[str, int]:
-    """Words of toxic rows with the number of unlike documents they stand in; near copies count once."""
+def _toxic_words(rows: DataFrame) -> DataFrame:
+    """(word, t): words of toxic rows that may be terms, and the unlike documents they stand in; near copies count once."""
     def run(batches):
         hasher = WordHasher()
         for batch in batches:
@@ -230,14 +229,12 @@ def _toxic_words(rows: DataFrame) -> dict[str, int]:
                     words: set[str] = set()
                     for part in slices(text.as_py()):
                         words.update(_WORD.findall(part.lower()))
-                    out += [(w, int(own[0])) for w in words]
+                    out += [(w, int(own[0])) for w in words if len(w) > 2 and not w.isdigit()]
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()),
                                               pa.array([k for _, k in out], pa.int64())], ["word", "kind"])
 
     found = rows.where("toxic = 1").select("text").mapInArrow(tidy(run), "word string, kind long").distinct()
-    top = (found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_DOCUMENTS)
-           .orderBy(F.desc("n"), "word").limit(LEXICON_TERMS))
-    return {r["word"]: r["n"] for r in top.collect()}
+    return found.groupBy("word").agg(F.count(F.lit(1)).alias("t")).where(F.col("t") >= MIN_DOCUMENTS)
 
 
 def _counted(rows: DataFrame, choose) -> DataFrame:
@@ -259,14 +256,23 @@ def _counted(rows: DataFrame, choose) -> DataFrame:
     return rows.select("text").mapInArrow(tidy(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _likelihood_ratio(t: float, n_t: float, c: float, n_c: float) -> float:
+def _likelihood_ratio(t: Column, n_t: int, c: Column, n_c: int) -> Column:
     """Twice the log likelihood ratio of separate against common rates."""
-    def part(k: float, n: float, p: float) -> float:
-        return (k * math.log(p) if k else 0.0) + ((n - k) * math.log(1 - p) if n - k else 0.0)
+    def part(k: Column, n: int, p: Column) -> Column:
+        return F.when(k > 0, k * F.log(p)).otherwise(0.0) + F.when(k < n, (n - k) * F.log(1 - p)).otherwise(0.0)
     p = (t + c) / (n_t + n_c)
-    if p <= 0 or p >= 1:
-        return 0.0
-    return 2 * (part(t, n_t, t / n_t) + part(c, n_c, c / n_c) - part(t, n_t, p) - part(c, n_c, p))
+    ratio = 2 * (part(t, n_t, t / n_t) + part(c, n_c, c / n_c) - part(t, n_t, p) - part(c, n_c, p))
+    return F.when((p > 0) & (p < 1), ratio).otherwise(0.0)
+
+
+def _terms(rows: DataFrame, n_t: int, n_c: int) -> dict[str, float]:
+    """Every word that is much more frequent in toxic than in clean rows, with its strength."""
+    clean = _counted(rows.where("toxic = 0"), lambda: lambda w: True).withColumnRenamed("n", "c")
+    both = _toxic_words(rows).join(clean, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    odds = F.log((F.col("t") + 0.5) / (n_t + 1)) - F.log((F.col("c") + 0.5) / (n_c + 1))
+    ratio = _likelihood_ratio(F.least("t", F.lit(n_t)), n_t, F.col("c"), n_c)
+    strong = both.withColumn("odds", odds).where((F.col("odds") > math.log(5)) & (ratio >= MIN_RATIO))
+    return {r["word"]: min(6.0, r["odds"]) for r in strong.select("word", "odds").orderBy("word").collect()}
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -278,17 +284,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     prior = math.log((n_t + 0.5) / (n_c + 9.5))
     if not n_t or not n_c:
         return Model({}, frozenset(), prior if n_t + n_c else -3.0, (0.0, 0.0, 0.0))
-    toxic = _toxic_words(rows)
-    candidates = share(spark, frozenset(toxic))
-    clean = {r["word"]: r["n"] for r in _counted(rows.where("toxic = 0"), lambda: candidates().__contains__).collect()}
-    terms = {}
-    for word, t in toxic.items():
-        c = clean.get(word, 0)
-        if word.isdigit() or len(word) < 3:
-            continue
-        odds = math.log((t + 0.5) / (n_t + 1)) - math.log((c + 0.5) / (n_c + 1))
-        if odds > math.log(5) and _likelihood_ratio(min(t, n_t), n_t, c, n_c) >= MIN_RATIO:
-            terms[word] = min(6.0, odds)
+    terms = _terms(rows, n_t, n_c)
     if not terms:
         return Model({}, frozenset(), prior, (0.0, 0.0, 0.0))
     shared = share(spark, terms)
@@ -316,7 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if sample.num_rows:
         model.bias, model.weights = _logistic(np.column_stack([sample.column(c).to_numpy() for c in "adq"]),
                                               sample.column("toxic").to_numpy())
-    del sample, clean, toxic
+    del sample
     hand_back()
     return model
 

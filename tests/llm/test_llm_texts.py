@@ -167,6 +167,16 @@ def test_toxicity_on_held_out_labels_and_quotes(spark):
     assert none.terms == {} and score_documents(_docs(spark, []), none).count() == 0
 
 
+def test_rare_strong_terms_are_learned(spark, monkeypatch):
+    from panelforge.llm import toxicity
+    monkeypatch.setattr(toxicity, "LEXICON_TERMS", 5, raising=False)  # a cap by frequency has no effect
+    rnd = random.Random(4)
+    common = [f"word{chr(97 + k)}" for k in range(12)]
+    rows = [(i, " ".join(rnd.choices(common, k=30)) + (" zorgblat" if i < 60 else "")) for i in range(800)]
+    labels = spark.createDataFrame([(i, int(i < 200)) for i in range(800)], "doc_id long, toxic int")
+    assert set(toxicity.fit(_docs(spark, rows), labels).terms) == {"zorgblat"}
+
+
 def test_quality_keeps_clean_documents(spark):
     from panelforge.llm.quality import LABELLERS, accuracies, drop_rejected, fit, score_documents, votes
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
