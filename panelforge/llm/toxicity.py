@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +39,7 @@ REPORTING = frozenset("said says say wrote writes called calls calling quote quo
 ADDRESSING = frozenset("you your yours u ur youre du dich dir dein euch ihr tu te toi vous votre usted eres vos".split())
 _WORD = re.compile(r"\w+")
 _QUOTES = {"“": "”", "«": "»", "„": "“", "‹": "›"}
+_MARK = re.compile("[\n\"" + "".join({*_QUOTES, *_QUOTES.values()}) + "]")
 _LEET = str.maketrans("013457@$", "oieastas")
 
 
@@ -148,25 +150,56 @@ class _Matches(dict):
         return found
 
 
-def _quoted(text: str, start: int, end: int) -> bool:
-    """Whether the span stands between quotation marks on its line, at most 200 characters away."""
-    left = text[max(text.rfind("\n", 0, start) + 1, start - 200): start]
-    stop = text.find("\n", end)
-    right = text[end: min(stop if stop >= 0 else len(text), end + 200)]
-    if left.count('"') % 2 and '"' in right:
-        return True
-    return any(left.rfind(a) > left.rfind(b) and b in right for a, b in _QUOTES.items())
+def _quotations(text: str) -> tuple[list[int], list[int]]:
+    """Starts and ends of the quotations of a text, in order and apart; each begins and ends on one line.
+
+    A straight mark opens where a word may begin and closes otherwise; a mark that opens
+    again takes the place of one left open.  A mark that closes one kind does not open another.
+    """
+    spans, begun = [], {}
+    for m in _MARK.finditer(text):
+        c, at = m.group(), m.start()
+        if c == "\n":
+            begun.clear()
+        elif c == '"':
+            after_word = at > 0 and not text[at - 1].isspace()
+            before_word = at + 1 < len(text) and text[at + 1].isalnum()
+            if c in begun and (after_word or not before_word):
+                spans.append((begun.pop(c), at))
+            elif not (after_word and text[at - 1].isalnum()):
+                begun[c] = at
+        else:
+            closed = [a for a, b in _QUOTES.items() if b == c and a in begun]
+            spans += [(begun.pop(a), at) for a in closed]
+            if c in _QUOTES and not closed:
+                begun.setdefault(c, at)
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def _quoted(quotations: tuple[list[int], list[int]], at: int) -> bool:
+    """Whether the position stands inside one of the quotations."""
+    k = bisect_right(quotations[0], at) - 1
+    return k >= 0 and at < quotations[1][k]
 
 
 def features(text: str, matches: _Matches) -> tuple[float, float, float, int]:
     """(abuse, densest window, quoted, hits) of a whole text."""
     abuse = densest = quoted = 0.0
-    hits = 0
+    hits, begin, end, quotations = 0, 0, 0, None
     for part in slices(text):
+        begin, end = end, end + len(part)
         words = _WORD.findall(part)
         found = [i for i, m in enumerate(map(matches.__getitem__, words)) if m]
         if not found:
             continue
+        quotations = quotations or _quotations(text)
         hits += len(found)
         lower = [w.lower() for w in words] if len(found) * WINDOW * 4 > len(words) else None
         wanted, spans = set(found), {}
@@ -180,7 +213,7 @@ def features(text: str, matches: _Matches) -> tuple[float, float, float, int]:
             around = [lower[j] if lower else words[j].lower() for j in near if j != i]
             strength = matches[words[i]][0]
             factor = 1.0
-            if _quoted(part, *spans[i]):
+            if _quoted(quotations, begin + spans[i][0]):
                 quoted += strength
                 factor *= QUOTE_FACTOR
             if any(w in REPORTING for w in around):

@@ -167,6 +167,19 @@ def test_toxicity_on_held_out_labels_and_quotes(spark):
     assert none.terms == {} and score_documents(_docs(spark, []), none).count() == 0
 
 
+def test_quotations_reach_along_the_line():
+    from panelforge.llm.toxicity import FuzzyLexicon, _Matches, features
+    matches, far = _Matches(FuzzyLexicon({"moron": 5.0})), "so it went on and on " * 20
+
+    def quoted(text):
+        return features(text, matches)[2] > 0
+    assert quoted(f'he told "{far} moron {far}" again') and quoted(f"er rief „{far} moron {far}“ laut")
+    closed = '"' + far[:180] + '"' + far[:100]  # 200 characters before the word lie inside the closed quotation
+    assert not quoted(f'{closed} moron "yes"') and not quoted(f'a 5" pipe, a moron and a 6" pipe')
+    assert not quoted('"open\nmoron" closed') and not quoted('"left open, moron') and quoted(f'"moron" {far}')
+    assert quoted("word " * 70_000 + '"a moron"') and not quoted("word " * 70_000 + '"a" moron "b"')
+
+
 def test_rare_strong_terms_are_learned(spark, monkeypatch):
     from panelforge.llm import toxicity
     monkeypatch.setattr(toxicity, "LEXICON_TERMS", 5, raising=False)  # a cap by frequency has no effect
