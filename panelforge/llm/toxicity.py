@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,13 +38,19 @@ REPORTING = frozenset("said says say wrote writes called calls calling quote quo
                       "slur sagte sagt nannte wort begriff dit mot terme insulte dijo dice palabra insulto".split())
 ADDRESSING = frozenset("you your yours u ur youre du dich dir dein euch ihr tu te toi vous votre usted eres vos".split())
 _WORD = re.compile(r"\w+")
+#: Words of a text that is scored: @ and $ may stand for letters.
+_SPELLED = re.compile(r"[@$]*\w+(?:[@$]+\w+)*[@$]*")
 _QUOTES = {"“": "”", "«": "»", "„": "“", "‹": "›"}
 _MARK = re.compile("[\n\"" + "".join({*_QUOTES, *_QUOTES.values()}) + "]")
 _LEET = str.maketrans("013457@$", "oieastas")
 
 
+#: Terms of fewer letters match as they are only; terms of so many match with an edit beside an address or another hit.
+SHORT = 4
+
+
 def edits_allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
+    return 0 if len(term) < SHORT else 1 if len(term) < 10 else 2
 
 
 class FuzzyLexicon:
@@ -53,7 +59,7 @@ class FuzzyLexicon:
     def __init__(self, terms: dict[str, float], harmless: frozenset[str] = frozenset()):
         self.terms, self.harmless = terms, harmless
         self.child: list[dict[str, int]] = [{}]
-        self.weight, self.allowed, self.slack = [0.0], [0], [0]
+        self.weight, self.allowed, self.slack, self.size = [0.0], [0], [0], [0]
         for term, weight in terms.items():
             at, k = 0, edits_allowed(term)
             self.slack[0] = max(self.slack[0], k)
@@ -66,6 +72,7 @@ class FuzzyLexicon:
                     self.weight.append(0.0)
                     self.allowed.append(0)
                     self.slack.append(0)
+                    self.size.append(self.size[at] + 1)
                 at = to
                 self.slack[at] = max(self.slack[at], k)
             self.weight[at], self.allowed[at] = weight, k
@@ -74,7 +81,7 @@ class FuzzyLexicon:
     def _reset(self) -> None:
         self.ids: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
-        self.accept: list[tuple[float, int]] = []
+        self.accept: list[tuple[float, int, float]] = []
         self.step: dict[tuple[int, str], int] = {}
         self.start = self._state({0: 0}) if self.terms else -1
 
@@ -94,10 +101,10 @@ class FuzzyLexicon:
         if key not in self.ids:
             self.ids[key] = len(self.sets)
             self.sets.append(key)
-            ends = [(self.weight[v] * EDIT_FACTOR ** e, -e) for v, e in reach.items()
+            ends = [(self.weight[v] * EDIT_FACTOR ** e, -e, e == 0 or self.size[v] > SHORT) for v, e in reach.items()
                     if self.weight[v] and e <= self.allowed[v]]
-            best = max(ends, default=(0.0, 0))
-            self.accept.append((best[0], -best[1]))
+            best = max(ends, default=(0.0, 0, True))
+            self.accept.append((best[0], -best[1], max((x for x, _, sure in ends if sure), default=0.0)))
         return self.ids[key]
 
     def _next(self, state: int, c: str) -> int:
@@ -113,26 +120,34 @@ class FuzzyLexicon:
             add(v, e + 1)
         return self._state(reach)
 
-    def match(self, word: str) -> tuple[float, int]:
-        """(strength, edits) of the best term within its allowed edits; strength 0 if there is none."""
+    def match(self, word: str) -> tuple[float, int, float]:
+        """(strength, edits, strength without edited SHORT terms) of the best term within its allowed edits; 0 if none."""
         word = word.lower()
+        found = self._match(word)
+        if "@" in word or "$" in word:  # the signs may also divide words
+            found = max(found, *(self._match(w) for w in _WORD.findall(word)))
+        return found
+
+    def _match(self, word: str) -> tuple[float, int, float]:
         if word in self.terms:
-            return self.terms[word], 0
+            return self.terms[word], 0, self.terms[word]
+        if word in self.harmless:
+            return 0.0, 0, 0.0
         if any(c.isdigit() or c in "@$" for c in word) and any(c.isalpha() for c in word):
             word = word.translate(_LEET)
-        if word in self.harmless:
-            return 0.0, 0
+            if word in self.harmless:
+                return 0.0, 0, 0.0
         if len(self.sets) > _STATES:
             self._reset()
         state = self.start
         for c in word:
             if state < 0:
-                return 0.0, 0
+                return 0.0, 0, 0.0
             to = self.step.get((state, c))
             if to is None:
                 to = self.step[state, c] = self._next(state, c)
             state = to
-        return self.accept[state] if state >= 0 else (0.0, 0)
+        return self.accept[state] if state >= 0 else (0.0, 0, 0.0)
 
 
 class _Matches(dict):
@@ -140,7 +155,7 @@ class _Matches(dict):
         super().__init__()
         self.lexicon = lexicon
 
-    def __missing__(self, word: str) -> tuple[float, int] | None:
+    def __missing__(self, word: str) -> tuple[float, int, float] | None:
         if len(self) >= _REMEMBERED:
             self.clear()
         found = self.lexicon.match(word)
@@ -195,15 +210,15 @@ def features(text: str, matches: _Matches) -> tuple[float, float, float, int]:
     hits, begin, end, quotations = 0, 0, 0, None
     for part in slices(text):
         begin, end = end, end + len(part)
-        words = _WORD.findall(part)
+        words = _SPELLED.findall(part)
         found = [i for i, m in enumerate(map(matches.__getitem__, words)) if m]
         if not found:
             continue
         quotations = quotations or _quotations(text)
-        hits += len(found)
+        certain = [i for i in found if matches[words[i]][2]]
         lower = [w.lower() for w in words] if len(found) * WINDOW * 4 > len(words) else None
         wanted, spans = set(found), {}
-        for i, m in enumerate(_WORD.finditer(part)):
+        for i, m in enumerate(_SPELLED.finditer(part)):
             if i in wanted:
                 spans[i] = m.span()
         recent: list[tuple[int, float]] = []
@@ -211,7 +226,14 @@ def features(text: str, matches: _Matches) -> tuple[float, float, float, int]:
         for i in found:
             near = range(max(0, i - WINDOW), min(len(words), i + WINDOW + 1))
             around = [lower[j] if lower else words[j].lower() for j in near if j != i]
-            strength = matches[words[i]][0]
+            strength, _, sure = matches[words[i]]
+            k = bisect_left(certain, i - WINDOW)
+            beside = any(j != i for j in certain[k: k + 2] if j <= i + WINDOW)
+            if strength > sure and not beside and not any(w in ADDRESSING for w in around):
+                strength = sure
+            if not strength:
+                continue
+            hits += 1
             factor = 1.0
             if _quoted(quotations, begin + spans[i][0]):
                 quoted += strength
@@ -270,8 +292,8 @@ def _toxic_words(rows: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.count(F.lit(1)).alias("t")).where(F.col("t") >= MIN_DOCUMENTS)
 
 
-def _counted(rows: DataFrame, choose) -> DataFrame:
-    """(word, n): documents in which a word that ``choose`` (built in the task) accepts stands."""
+def _counted(rows: DataFrame, choose, word: re.Pattern = _WORD) -> DataFrame:
+    """(word, n): documents in which a ``word`` that ``choose`` (built in the task) accepts stands."""
     def run(batches):
         chosen = choose()
         for batch in batches:
@@ -279,7 +301,7 @@ def _counted(rows: DataFrame, choose) -> DataFrame:
             for text in batch.column("text"):
                 words: set[str] = set()
                 for part in slices(text.as_py()):
-                    words.update(_WORD.findall(part.lower()))
+                    words.update(word.findall(part.lower()))
                 for w in words:
                     if chosen(w):
                         total[w] = total.get(w, 0) + 1
@@ -324,11 +346,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     def look_alike():
         matches = _Matches(FuzzyLexicon(shared()))
-        return lambda w: (matches[w] or (0.0, 0))[1] > 0
+        return lambda w: (matches[w] or (0.0, 0, 0.0))[1] > 0
 
     # look-alikes come from other rows than the weights, so that the weights see unknown look-alikes as they occur
-    harmless = frozenset(r["word"] for r in _counted(rows.where("toxic = 0 and fold = 0"), look_alike)
-                         .orderBy(F.desc("n"), "word").limit(LOOK_ALIKES).collect())
+    own = {r["toxic"]: r["n"] for r in rows.where("fold = 0").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    alike = [_counted(rows.where(f"toxic = {k} and fold = 0"), look_alike, _SPELLED).withColumnRenamed("n", f"n{k}") for k in (0, 1)]
+    both = alike[0].join(alike[1], "word", "left").withColumn("n1", F.coalesce("n1", F.lit(0)))
+    cleaner = (F.col("n1") == 0) | (F.col("n0") * own.get(1, 0) > F.col("n1") * own.get(0, 0))
+    harmless = frozenset(r["word"] for r in both.where(cleaner).orderBy(F.desc("n0"), "word").limit(LOOK_ALIKES).collect())
     model = Model(terms, harmless, prior, (0.0, 0.0, 0.0))
     held = share(spark, model)
 

@@ -167,6 +167,24 @@ def test_toxicity_on_held_out_labels_and_quotes(spark):
     assert none.terms == {} and score_documents(_docs(spark, []), none).count() == 0
 
 
+def test_misspellings_with_signs_short_terms_and_look_alikes(spark):
+    from panelforge.llm.toxicity import FuzzyLexicon, _Matches, features, fit
+    matches = _Matches(FuzzyLexicon({"bastard": 5.0, "moron": 5.0, "dumb": 4.0}))
+
+    def hits(text):
+        return features(text, matches)[3]
+    assert hits("b@$tard") == hits("what a ba$t@rd he is") == hits("see moron@example.org") == hits("@moron") == 1
+    assert hits("a dunb idea") == 0 and hits("you are dunb") == 1 and hits("a dunb moron") == 2 and hits("a dumb idea") == 1
+    import zlib
+    rnd, first = random.Random(6), [i for i in range(900) if zlib.crc32(str(i).encode()) % 4 == 0]
+    # zorgblatt: in five toxic rows and a clean one, too few for a term; zorgblot: in a clean row only
+    extra = dict.fromkeys(range(200), "zorgblat") | dict.fromkeys(first[:5], "zorgblatt") | {first[-1]: "zorgblatt", first[-2]: "zorgblot"}
+    words = [f"word{chr(97 + k)}" for k in range(12)]
+    docs = _docs(spark, [(i, " ".join(rnd.choices(words, k=30) + [extra.get(i, "")])) for i in range(900)])
+    model = fit(docs, spark.createDataFrame([(i, int(i < 200)) for i in range(900)], "doc_id long, toxic int"))
+    assert set(model.terms) == {"zorgblat"} and model.harmless == {"zorgblot"}
+
+
 def test_quotations_reach_along_the_line():
     from panelforge.llm.toxicity import FuzzyLexicon, _Matches, features
     matches, far = _Matches(FuzzyLexicon({"moron": 5.0})), "so it went on and on " * 20
