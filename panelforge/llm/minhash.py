@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from panelforge.llm.common import WordHasher, cut, drop_ids, id_bitmap, list_array, possible, release, shingle_hashes, tidy
 from panelforge.llm.graph import components
@@ -70,6 +71,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, k:
     alone.  Rows with a null doc_id stand alone with a null component.  Repeated
     doc_ids are independent rows.  Other columns are ignored.
     """
+    return _placed(docs, width, threshold, k).drop("sig")
+
+
+def _placed(docs: DataFrame, width: int, threshold: float, k: int = SKETCH) -> DataFrame:
+    """The rows of ``near_duplicates`` with the signature of their class."""
     percent = round(threshold * 100)
     some = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     # sketches are written once a class; the rows of all documents are made without them
@@ -96,9 +102,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, k:
                 .select("sig", F.coalesce("least", "rep").alias("component_id")))
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     placed = (full.select("doc_id", "n_shingles", "sig").join(heads, "sig")
-              .select("doc_id", "n_shingles", "component_id"))
-    out = placed.union(base.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+              .select("doc_id", "n_shingles", "component_id", "sig"))
+    out = placed.union(base.where(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "sig"))
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"), "sig")
 
 
 def _needed(n: Column, percent: int, k: int) -> Column:
@@ -267,7 +274,37 @@ def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, com
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """One document of each component, with all its columns; rows that repeat doc_id and text are kept once."""
-    found = cut(near_duplicates(docs, width, threshold))
-    doubled = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return drop_ids(docs, found.where("doc_id is not null and not kept"), doubled)
+    """One document of each component, with all its columns; rows that repeat doc_id and text are kept once.
+
+    An id may stand for several texts: of these the rows go that are not kept themselves.
+    """
+    found = cut(_placed(docs, width, threshold))
+    known = found.where("doc_id is not null")
+    # ids that repeat and that a kept row has: their rows are told apart by the signature of the text
+    mixed = cut(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("some"))
+                .where("n > 1 and some").select("doc_id"))
+    gone = known.where("not kept").select("doc_id")
+    if mixed.isEmpty():
+        return drop_ids(docs, gone)
+    stay = (known.where("kept").join(mixed, "doc_id", "left_semi").groupBy("doc_id", F.expr("n_shingles = 0").alias("_blank"))
+            .agg(F.min("sig").alias("_sig")).withColumnRenamed("doc_id", "_id"))
+    rows = possible(docs, "doc_id", cut(id_bitmap(mixed, "doc_id"))).where("_possible").drop("_possible")
+    rows = _signed(rows.withColumn("_id", F.col("doc_id").cast("long")), width).join(stay, ["_id", "_blank", "_sig"], "left_semi")
+    rows = rows.withColumn("_text", F.when(F.col("_blank"), F.col("text"))).dropDuplicates(["_id", "_blank", "_text"])
+    return drop_ids(docs, gone.union(mixed)).unionByName(rows.select(*docs.columns))
+
+
+def _signed(rows: DataFrame, width: int) -> DataFrame:
+    """The rows with _sig, the signature of the text's shingles, and _blank, whether it has none."""
+    at = rows.columns.index("text")
+
+    def run(batches):
+        hasher = WordHasher()
+        for batch in batches:
+            own = [shingle_hashes(words, width) for _, words in hasher.rows(batch.column(at))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([_signature(x) for x in own], pa.int64()), pa.array([not len(x) for x in own], pa.bool_())],
+                [*batch.schema.names, "_sig", "_blank"])
+
+    return rows.mapInArrow(tidy(run), StructType([*rows.schema.fields, StructField("_sig", LongType()),
+                                                  StructField("_blank", BooleanType())]))

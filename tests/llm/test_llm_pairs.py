@@ -79,6 +79,19 @@ def test_one_document_of_each_group_stays(spark):
         [(1, long + " end"), (2, "other words here now and then"), (5, ""), (6, ""), (0, long)])
 
 
+def test_rows_of_repeated_ids_are_dropped_one_by_one(spark):
+    from panelforge.llm.minhash import drop_near_duplicates
+    a, b, c = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    rows = [(3, b), (5, a), (5, b + " end"), (5, a.upper()), (5, a + " end"), (7, a), (8, c), (8, c), (8, ""), (8, None), (9, c), (None, a)]
+    docs = spark.createDataFrame([(i, t, None, None, None, 1, 2, "", "") for i, t in rows], DOCS)
+    got = drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    of_a = [t for i, t in got if i == 5]
+    assert len(of_a) == 1 and of_a[0].lower().startswith("a0 ")
+    assert sorted((i or 0, t or "") for i, t in got if i != 5) == sorted([(3, b), (8, c), (8, ""), (8, ""), (0, a)])
+
+
 def test_block_links_join_what_brute_force_joins():
     from panelforge.llm.minhash import block_links
     rnd = np.random.default_rng(3)
