@@ -41,8 +41,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, piece_ids and n_pieces of every document."""
-    coded = pieces.encode(docs, pieces.Pieces.load(), ["doc_id"])
+    """doc_id, piece_ids, n_pieces of every document and exact, whether the ids decode to its text."""
+    coded = pieces.encode(docs, pieces.Pieces.load(), ["doc_id"], check=True)
     return coded.withColumn("n_pieces", F.when(F.col("piece_ids").isNull(), 0).otherwise(F.size("piece_ids")))
 
 
@@ -51,7 +51,7 @@ STAGES = [
     ("toxicity", toxicity_stage),
     ("minhash near-dedup", near_dedup_stage),
     ("benchmark decontamination", decontamination_stage),
-    ("sentencepiece encoding", encoding_stage),
+    ("sentencepiece encoding and decoding", encoding_stage),
 ]
 
 

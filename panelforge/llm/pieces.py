@@ -265,27 +265,32 @@ class Decoder:
         return out
 
 
-def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIONARY) -> DataFrame:
-    """The ``keep`` columns and piece_ids (array<int>) of every row.
+def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIONARY, check: bool = False) -> DataFrame:
+    """The ``keep`` columns and piece_ids (array<int>) of every row; with ``check`` also exact (decoding gives the text back).
 
     Texts get a leading space mark and every space becomes one, as the public library does
     for this kind of model; characters without a piece are spelled in bytes.  A null text
-    has null ids, an empty one an empty array.  Null and repeated doc_ids make no difference.
+    has null ids and a null exact, an empty one an empty array.  Null and repeated doc_ids make no difference.
     """
     shared = share(docs.sparkSession, (build_dictionary(docs, pieces, bound), pieces))
     hand_back()
 
     def run(batches):
-        encoder = Encoder(*shared())
+        known, own = shared()
+        encoder, decoder = Encoder(known, own), Decoder(own.surface)
         for batch in _sliced(batches):
             texts = batch.column("text").to_pylist()
-            ids = list_array([encoder.ids(t or "") for t in texts], pa.int32())
+            parts = [encoder.ids(t or "") for t in texts]
+            exact = [pa.array([None if t is None else t == u for t, u in zip(texts, decoder.texts(parts), strict=True)],
+                              pa.bool_())] if check else []
+            ids = list_array(parts, pa.int32())
             if None in texts:
                 ids = pa.ListArray.from_arrays(ids.offsets, ids.values, mask=pa.array([t is None for t in texts]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "piece_ids"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids, *exact],
+                                             [*keep, "piece_ids", *(["exact"] if check else [])])
 
     rows = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    return rows.mapInArrow(tidy(run), f"{_kinds(docs, keep)}, piece_ids array<int>")
+    return rows.mapInArrow(tidy(run), f"{_kinds(docs, keep)}, piece_ids array<int>" + (", exact boolean" if check else ""))
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -303,6 +303,14 @@ def test_preference_rows(spark):
     assert preference_rows(long.limit(0)).count() == 0
 
 
+def test_last_stage_decodes_what_it_encodes(spark):
+    import corpus_pipeline as P
+    from panelforge.llm.pieces import SPACE
+    rows = [(1, "plain  words\nஅ😀 "), (2, ""), (3, None), (4, f"a{SPACE}b")]
+    got = {r.doc_id: r for r in P.STAGES[-1][1](spark, _docs(spark, rows), SF001).collect()}
+    assert [got[i].exact for i in (1, 2, 3, 4)] == [True, True, None, False] and got[3].n_pieces == 0 < got[1].n_pieces
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline as P
     from panelforge.llm.decontaminate import contaminated
