@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm import chat, decontaminate, embed_join, langid, minhash, pieces, quality, sharding, tokencount, toxicity
+from panelforge.llm import (
+    centroids, chat, codes, decontaminate, embed_join, langid, minhash, packing, pieces, quality, sharding, tokencount, toxicity, twins,
+)
 from panelforge.llm.common import read_table
 from panelforge.session import prepare
 
@@ -147,3 +149,22 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("pair_id", "part", F.col("prompt_turns").cast("long").alias("prompt_turns"),
                        *[F.md5(F.col(c).cast("binary")).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
                        loss("chosen_spans").alias("chosen_loss_chars"), loss("rejected_spans").alias("rejected_loss_chars"))
+
+
+@_register("op11_geometric_drift_clustering", twins.centroids_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds, with exact distances."""
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+@_register("op12_vector_best_fit_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    digest = F.crc32("ids").alias("ids_crc32")
+    return packing.pack(read_table(spark, sf_dir, "documents"), packing.byte_pair_file(), 2048, columns=[digest])
+
+
+@_register("op13_norm_of_sum_codes", twins.codes_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors under four codebooks of 256 entries."""
+    return codes.compress(read_table(spark, sf_dir, "embeddings"))

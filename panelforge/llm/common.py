@@ -7,6 +7,7 @@ bounded number of bytes, so a task's memory does not follow the length of a text
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -16,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelforge.session import checkpoint_dir
+from panelforge.session import checkpoint_dir, scratch_path
 
 SEGMENT_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -34,6 +35,44 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_table(df: DataFrame, name: str) -> str:
+    """Write rows under a fresh name to the shared folder; their path."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return path
+
+
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+class Rounds:
+    """Tables of an iterative job in the shared folder; a table is deleted by name when the next but one is written.
+
+    A written table carries no plan, so plans do not grow with the rounds, and columns that
+    a later step does not read stay on disk.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.paths = spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}"), []
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        if len(self.paths) > 2:
+            self._delete(self.paths[-3])
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Delete all tables."""
+        self._delete(self.folder)
+
+    def _delete(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fold_of(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4; remainder 2 is held out of all learning."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
