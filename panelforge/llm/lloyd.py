@@ -32,7 +32,7 @@ SLACK = 1e-5
 _FAR = 1e300
 _CHUNK = 2048
 _STATE = "row long, code array<int>, upper array<double>, made array<int>, lower array<float>, stamp array<int>"
-_SUMS = "part int, entry int, dim int, delta long"
+_SUMS = "part int, entry int, delta array<long>"
 
 
 def integer_vectors(vectors: DataFrame, usable: Column, keep: list[str]) -> DataFrame:
@@ -110,15 +110,15 @@ def lloyd(vectors: DataFrame, books: np.ndarray, rounds: int, groups: int, bound
             table = kept.unionByName(_scan(read, books, groups, turn), allowMissingColumns=True)
         table = tables.write(table)
         state = table.where("row is not null").select("row", "code", "upper", "made", "lower", "stamp")
-        moved = table.where("row is null").groupBy("part", "entry", "dim").agg(F.sum("delta").alias("delta")).collect()
+        moved = (table.where("row is null").groupBy("part", "entry")
+                 .agg(*[F.sum(F.get("delta", F.lit(d))).alias(f"d{d}") for d in range(books.shape[2] + 1)]).collect())
         work.append((0, 0))
-        for r in moved:
-            if r.entry < 0:
-                work[-1] = (work[-1][0] + (r.delta if r.dim == 0 else 0), work[-1][1] + (r.delta if r.dim == 1 else 0))
-            elif r.dim == 0:
-                counts[r.part, r.entry] += r.delta
+        for part, entry, *delta in moved:
+            if entry < 0:
+                work[-1] = tuple(delta[:2])
             else:
-                totals[r.part, r.entry, r.dim - 1] += r.delta
+                counts[part, entry] += delta[0]
+                totals[part, entry] += np.array(delta[1:], np.int64)
         if turn == rounds:
             break
         new = np.where(counts[:, :, None] > 0, totals // np.maximum(counts, 1)[:, :, None], books)
@@ -145,16 +145,16 @@ def _below(x: np.ndarray) -> np.ndarray:
 
 
 def _scan(work: DataFrame, books: np.ndarray, groups: int, turn: int) -> DataFrame:
-    """New state rows of (row, x, code, ..., least), then a task's changes of sums by part, entry and dim (0: the count).
+    """New state rows of (row, x, code, ..., least), then a task's changes by part and entry: count and sums.
 
-    Rows of entry -1 count the parts read (dim 0) and the distances computed (dim 1).
+    The row of entry -1 holds the number of parts read and of distances computed.
     """
     parts, entries, size = books.shape
     starts = group_bounds(entries, groups)
     group_of = np.repeat(np.arange(groups), np.diff(starts))
     schema = pa.schema([("row", pa.int64()), ("code", pa.list_(pa.int32())), ("upper", pa.list_(pa.float64())),
                         ("made", pa.list_(pa.int32())), ("lower", pa.list_(pa.float32())), ("stamp", pa.list_(pa.int32())),
-                        ("part", pa.int32()), ("entry", pa.int32()), ("dim", pa.int32()), ("delta", pa.int64())])
+                        ("part", pa.int32()), ("entry", pa.int32()), ("delta", pa.list_(pa.int64()))])
 
     def matrix(column: pa.Array, n: int) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1).copy()
@@ -222,14 +222,13 @@ def _scan(work: DataFrame, books: np.ndarray, groups: int, turn: int) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row"), list_array(list(code), pa.int32()), list_array(list(upper), pa.float64()),
                      list_array(list(made), pa.int32()), list_array(list(lower), pa.float32()),
-                     list_array(list(stamp), pa.int32()), none, none, none, pa.nulls(n, pa.int64())], schema=schema)
-        p, e, d = np.nonzero(sums)
-        delta = np.concatenate([sums[p, e, d], seen])
+                     list_array(list(stamp), pa.int32()), none, none, pa.nulls(n, schema.field(8).type)], schema=schema)
+        p, e = np.nonzero(sums.any(axis=2))
+        delta = [*sums[p, e], np.append(seen, np.zeros(size - 1, np.int64))]
         n = len(delta)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, schema.field(k).type) for k in range(6)]
-            + [pa.array(np.concatenate([p, [0, 0]]), pa.int32()), pa.array(np.concatenate([e, [-1, -1]]), pa.int32()),
-               pa.array(np.concatenate([d, [0, 1]]), pa.int32()), pa.array(delta, pa.int64())], schema=schema)
+            [*[pa.nulls(n, schema.field(k).type) for k in range(6)], pa.array(np.append(p, 0), pa.int32()),
+             pa.array(np.append(e, -1), pa.int32()), list_array(delta, pa.int64())], schema=schema)
 
     return work.mapInArrow(scan, f"{_STATE}, {_SUMS}")
 
