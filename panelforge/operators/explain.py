@@ -1,191 +1,23 @@
 """Model explanation (XAI-1..7).
 
-Tree attributions use the published path-dependent TreeSHAP recursion
-(Lundberg, Erion & Lee, 2018) over the fitted Spark tree ensemble: the trees are
-read once on the driver (structure and node covers), broadcast, and every data
-partition is attributed in ``mapInPandas``.  Local accuracy holds:
-Σφ + expected value = prediction.
+Tree attributions are path-dependent Shapley values (Lundberg, Erion & Lee, 2018) computed
+on relations, see ``attribution``.  Local accuracy holds: Σφ + expected value = prediction.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_NODES = 2_000_000  # bound on the broadcast ensemble size
-
-
-# ------------------------------------------------------------------ ensemble extraction
-def extract_ensemble(model) -> dict:
-    """Flatten a Spark tree-ensemble regressor into arrays (one dict per tree) plus tree weights.
-
-    The model is written with its own writer to the shared folder and its node table
-    (id, prediction, impurity statistics, children, split) is read back as a DataFrame —
-    one job instead of a walk over JVM objects.  The node count is checked against the
-    broadcast bound.  RandomForest predictions are the mean of the trees; GBT the weighted sum.
-    """
-    from pyspark.ml.regression import RandomForestRegressionModel
-
-    from panelforge.sources.sinks import new_scratch
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    path = new_scratch(spark, "ensemble")
-    model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    n = nodes.count()
-    if n > MAX_NODES:
-        raise ValueError(f"ensemble has {n} nodes, above the broadcast bound {MAX_NODES}")
-    pdf = nodes.select("treeID", F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("prediction"),
-                       F.col("nodeData.impurityStats").alias("stats"), F.col("nodeData.rawCount").alias("raw"),
-                       F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-                       F.col("nodeData.split.featureIndex").alias("feature"),
-                       F.col("nodeData.split.leftCategoriesOrThreshold").alias("thr")).toPandas()
-    trees = []
-    for tid in sorted(pdf["treeID"].unique()):
-        t = pdf[pdf["treeID"] == tid].sort_values("id")
-        leaf = t["left"].to_numpy() < 0
-        thr = np.array([float(v[0]) if v is not None and len(v) else 0.0 for v in t["thr"]])
-        cover = np.array([float(st[0]) if st is not None and len(st) else float(r) for st, r in zip(t["stats"], t["raw"])])
-        trees.append({"left": t["left"].to_numpy().astype(int), "right": t["right"].to_numpy().astype(int),
-                      "feature": np.where(leaf, -1, t["feature"].to_numpy()).astype(int),
-                      "threshold": np.where(leaf, 0.0, thr), "value": t["prediction"].to_numpy(dtype=float),
-                      "cover": cover})
-    w = np.array(model.treeWeights, dtype=float)
-    if isinstance(model, RandomForestRegressionModel):
-        w = w / w.sum()
-    return {"trees": trees, "weights": w}
-
-
-def _expected(tree: dict, j: int = 0) -> float:
-    if tree["feature"][j] < 0:
-        return tree["value"][j]
-    l, r = tree["left"][j], tree["right"][j]
-    cl, cr = tree["cover"][l], tree["cover"][r]
-    return (cl * _expected(tree, l) + cr * _expected(tree, r)) / (cl + cr)
-
-
-def expected_value(ens: dict) -> float:
-    return float(sum(w * _expected(t) for t, w in zip(ens["trees"], ens["weights"])))
-
-
-def predict_one(ens: dict, x: np.ndarray) -> float:
-    out = 0.0
-    for t, w in zip(ens["trees"], ens["weights"]):
-        j = 0
-        while t["feature"][j] >= 0:
-            j = t["left"][j] if x[t["feature"][j]] <= t["threshold"][j] else t["right"][j]
-        out += w * t["value"][j]
-    return out
-
-
-# ------------------------------------------------------------------ TreeSHAP (path-dependent)
-def _extend(d, z, o, w, pz, po, pi):
-    l = len(d)
-    d.append(pi)
-    z.append(pz)
-    o.append(po)
-    w.append(1.0 if l == 0 else 0.0)
-    for i in range(l - 1, -1, -1):
-        w[i + 1] += po * w[i] * (i + 1) / (l + 1)
-        w[i] = pz * w[i] * (l - i) / (l + 1)
-
-
-def _unwind(d, z, o, w, i):
-    l = len(d) - 1
-    n = w[l]
-    for j in range(l - 1, -1, -1):
-        if o[i] != 0:
-            t = w[j]
-            w[j] = n * (l + 1) / ((j + 1) * o[i])
-            n = t - w[j] * z[i] * (l - j) / (l + 1)
-        else:
-            w[j] = (w[j] * (l + 1)) / (z[i] * (l - j))
-    for j in range(i, l):
-        d[j], z[j], o[j] = d[j + 1], z[j + 1], o[j + 1]
-    del d[l], z[l], o[l], w[l]
-
-
-def _unwound_sum(z, o, w, i):
-    l = len(w) - 1
-    total = 0.0
-    if o[i] != 0:
-        n = w[l]
-        for j in range(l - 1, -1, -1):
-            tmp = n * (l + 1) / ((j + 1) * o[i])
-            total += tmp
-            n = w[j] - tmp * z[i] * (l - j) / (l + 1)
-    else:
-        for j in range(l - 1, -1, -1):
-            total += w[j] * (l + 1) / (z[i] * (l - j))
-    return total
-
-
-def tree_shap(tree: dict, x: np.ndarray, phi: np.ndarray, scale: float = 1.0) -> None:
-    left, right, feat, thr, val, cov = (tree[k] for k in ("left", "right", "feature", "threshold", "value", "cover"))
-
-    def recurse(j, d, z, o, w, pz, po, pi):
-        d, z, o, w = list(d), list(z), list(o), list(w)
-        _extend(d, z, o, w, pz, po, pi)
-        if feat[j] < 0:
-            for i in range(1, len(w)):
-                phi[d[i]] += scale * _unwound_sum(z, o, w, i) * (o[i] - z[i]) * val[j]
-            return
-        hot, cold = (left[j], right[j]) if x[feat[j]] <= thr[j] else (right[j], left[j])
-        iz = io = 1.0
-        k = next((i for i in range(1, len(d)) if d[i] == feat[j]), None)
-        if k is not None:
-            iz, io = z[k], o[k]
-            _unwind(d, z, o, w, k)
-        recurse(hot, d, z, o, w, iz * cov[hot] / cov[j], io, feat[j])
-        recurse(cold, d, z, o, w, iz * cov[cold] / cov[j], 0.0, feat[j])
-
-    recurse(0, [], [], [], [], 1.0, 1.0, -1)
-
-
-def shap_values(ens: dict, X: np.ndarray) -> np.ndarray:
-    out = np.zeros_like(X, dtype=float)
-    for r in range(X.shape[0]):
-        for t, w in zip(ens["trees"], ens["weights"]):
-            tree_shap(t, X[r], out[r], w)
-    return out
+from panelforge.operators import attribution
 
 
 def attributions(df: DataFrame, model, features: Sequence[str], ids: Sequence[str]) -> DataFrame:
-    """XAI-1: long rows (ids…, feature, value, phi) plus per-row ``expected`` and ``prediction``."""
-    ens = extract_ensemble(model)
-    bc = df.sparkSession.sparkContext.broadcast(ens)
-    base = expected_value(ens)
-    feats = list(features)
-    id_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in ids)
-    schema = (id_schema + ", " if id_schema else "") + \
-        "feature string, value double, phi double, expected double, prediction double"
-
-    def run(it):
-        e = bc.value
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = pdf[feats].to_numpy(dtype=float)
-            phi = shap_values(e, X)
-            pred = np.array([predict_one(e, x) for x in X])
-            n, k = X.shape
-            out = pd.DataFrame({c: np.repeat(pdf[c].to_numpy(), k) for c in ids})
-            out["feature"] = np.tile(np.array(feats, dtype=object), n)
-            out["value"] = X.reshape(-1)
-            out["phi"] = phi.reshape(-1)
-            out["expected"] = base
-            out["prediction"] = np.repeat(pred, k)
-            yield out
-
-    data = df.select(*ids, *feats).dropna()
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < par:  # small inputs: spread the per-row recursion over all cores
-        data = data.repartition(par)
-    return data.mapInPandas(run, schema)
+    """XAI-1: long rows (ids…, feature, value, phi) plus per-row ``expected`` and ``prediction`` of a fitted ensemble."""
+    nodes, depth = attribution.model_nodes(model)
+    return attribution.attributions(df, nodes, depth, features, ids)
 
 
 def mean_abs_shap(attr: DataFrame, top: int | None = None) -> DataFrame:
@@ -235,32 +67,58 @@ def distributed_positions(df: DataFrame, order: str, name: str = "_pos") -> Data
             .withColumn(name, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off"))
 
 
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Rows numbered from 0 without gaps, written, and their number: ids within a partition plus the counts of those before."""
+    from pyspark.sql import Window
+
+    from panelforge.session import materialize
+    rows = materialize(df.withColumn("_id", F.monotonically_increasing_id()))
+    part, local = F.call_function("shiftright", F.col("_id"), F.lit(33)), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # one row a partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = materialize(counts.select("_part", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift")))
+    total = shifts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    out = (rows.withColumn("_part", part).join(shifts.drop("_n"), "_part")
+           .withColumn(name, (local + F.col("_shift")).cast("long")).drop("_id", "_part", "_shift"))
+    return out, int(total)
+
+
+def keyed_permutation(number: Column, n: int, key: Column, rounds: int = 40) -> Column:
+    """A bijection of 0..n-1 for every key, computed row by row: no sort, no window.
+
+    Swap-or-not (Hoang, Morris & Rogaway, 2012): a round pairs x with (k - x) mod n, and a bit
+    hashed from the larger of the two says for both whether they change places.
+    """
+    n_ = F.lit(n).cast("long")
+
+    def step(x: Column, i: Column) -> Column:
+        pair = F.pmod(F.pmod(F.xxhash64(key, i), n_) - x, n_)
+        bit = F.xxhash64(key, i, F.greatest(x, pair)).bitwiseAND(F.lit(1))
+        return F.when(bit == 1, pair).otherwise(x)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), number.cast("long"), step)
+
+
 def permutation_importance(df: DataFrame, model, features: Sequence[str], label: str, repeats: int = 20,
                            seed: int = 42) -> DataFrame:
     """XAI-5: R² drop when one feature is permuted; mean and std over repeats.
 
-    All (feature, repeat) copies are built in one plan: rows are exploded once per copy,
-    each copy numbers its rows twice (by a seeded random key and by row id, windows
-    partitioned by copy), and the permuted feature value is joined from the random
-    order.  One transform and one grouped metric aggregate score every copy.
+    Rows get gapless numbers once.  In the copy of a (feature, repeat) a row takes the
+    feature's value from the row that a keyed bijection of these numbers names, so a shuffle of
+    a whole column is one join on the number, dealt evenly, and no copy is sorted in one task.
     """
-    from pyspark.sql import Window
-
     from panelforge.operators.ml import assemble, regression_metrics
     from panelforge.session import materialize
     feats = list(features)
-    base_df = materialize(df.select(*feats, label).dropna().withColumn("_rid", F.monotonically_increasing_id()))
-    base_r2 = regression_metrics(model.transform(assemble(base_df, feats)), label).select("r2").scalar()
-    n_copies = len(feats) * repeats
-    copies = base_df.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(n_copies - 1))))
-    copies = copies.withColumn("_fidx", (F.col("_copy") / repeats).cast("int"))
-    vals = F.array(*[F.col(f).cast("double") for f in feats])
-    src = copies.select("_copy", F.element_at(vals, F.col("_fidx") + 1).alias("_perm"),
-                        F.row_number().over(Window.partitionBy("_copy").orderBy(
-                            F.xxhash64(F.lit(seed), F.col("_copy"), F.col("_rid")), "_rid")).alias("_p"))
-    dst = copies.withColumn("_p", F.row_number().over(Window.partitionBy("_copy").orderBy("_rid")))
-    perm = dst.join(src, ["_copy", "_p"]).withColumns(
-        {f: F.when(F.col("_fidx") == i, F.col("_perm")).otherwise(F.col(f).cast("double")) for i, f in enumerate(feats)})
+    base, n = numbered(df.select(*feats, label).dropna(), "_row")
+    base = materialize(base)
+    base_r2 = regression_metrics(model.transform(assemble(base, feats)), label).select("r2").scalar()
+    copies = base.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(len(feats) * repeats - 1))))
+    copies = (copies.withColumn("_fidx", (F.col("_copy") / repeats).cast("int"))
+              .withColumn("_from", keyed_permutation(F.col("_row"), max(n, 1), F.col("_copy") + F.lit(seed) * 1_000_003)))
+    source = base.select(F.col("_row").alias("_from"), F.array(*[F.col(f).cast("double") for f in feats]).alias("_values"))
+    perm = copies.join(source, "_from").withColumns(
+        {f: F.when(F.col("_fidx") == i, F.get("_values", F.lit(i))).otherwise(F.col(f).cast("double"))
+         for i, f in enumerate(feats)})
     scored = model.transform(assemble(perm, feats))
     m = regression_metrics(scored, label, by=["_fidx", "_copy"])
     names = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("_fidx") + 1)

@@ -21,7 +21,7 @@ from panelforge.sources.panel import panel, with_panel
 
 TARGET = "entity_growth_yoy"
 IDS = ["k", "yr"]
-RF = {"numTrees": 60, "maxDepth": 6}
+RF = {"numTrees": 300, "maxDepth": 6}
 GBT = {"maxIter": 30, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8}
 
 

@@ -42,6 +42,6 @@ def query(name: str, covers: tuple[str, ...] | str = (), sql: str | None = None)
 def load_all() -> dict[str, Registered]:
     """Import every plan module (registration happens at import)."""
     from panelforge.plans import (  # noqa: F401
-        q_causal, q_cluster, q_features, q_forecast, q_ml, q_prep, q_relational, q_serve, q_stats,
+        q_attribution, q_causal, q_cluster, q_features, q_forecast, q_ml, q_prep, q_relational, q_serve, q_stats,
     )
     return REGISTRY
