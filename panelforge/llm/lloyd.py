@@ -47,7 +47,13 @@ def integer_vectors(vectors: DataFrame, usable: Column, keep: list[str]) -> Data
     x = F.when(fits, F.transform("v", lambda a: F.floor(a * SCALE).cast("int"))).otherwise(
         F.raise_error(F.lit(f"a component is {LARGEST} or more: its squared distances do not fit a long")))
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", *keep, x.alias("x"))
-    return cut(rows.repartition(partitions(vectors.sparkSession), "row").sortWithinPartitions("row"))
+    conf, key = vectors.sparkSession.conf, "spark.sql.adaptive.enabled"
+    adaptive = conf.get(key)
+    conf.set(key, "false")  # a plan fixed beforehand tells the rounds' joins how its rows are dealt and sorted
+    try:
+        return cut(rows.repartition(partitions(vectors.sparkSession), "row").sortWithinPartitions("row"))
+    finally:
+        conf.set(key, adaptive)
 
 
 def finite(size: int | None = None) -> Column:
