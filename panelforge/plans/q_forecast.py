@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelforge.operators import forecast as FC
+from panelforge.operators import unitroot as UR
 from panelforge.plans.registry import query
 from panelforge.session import materialize
 from panelforge.sources.panel import panel, with_panel
@@ -56,7 +57,43 @@ def q_fc3(spark, sf_dir):
 
 @query("fc3_adf", "FC-3")
 def q_fc3b(spark, sf_dir):
-    return FC.adf(materialize(series(spark, sf_dir)), "user_id", max_lag=2)
+    return UR.adf(materialize(series(spark, sf_dir)), "user_id")
+
+
+def _lag_table_sql(top: int = 3) -> str:
+    """t of the level and AIC of the nested orders 0..top on one sample, by orthogonalizing column after column."""
+    cols = [f"b{i}" for i in range(1, top + 1)]
+    steps, prior = [], "c0"
+    for i, own in enumerate(cols):
+        later = [*cols[i + 1:], *[f"{v}{i}" for v in ("r", "s")]]
+        made = [f"{v} - sum({v} * {own}) OVER w / sum({own} * {own}) OVER w * {own} AS {v if v[0] == 'b' else f'{v[0]}{i + 1}'}"
+                for v in later]
+        kept = [c for c in [*cols[: i + 1], *[f"{v}{k}" for k in range(i + 1) for v in ("r", "s")]]]
+        steps.append(f"c{i + 1} AS (SELECT user_id, v, {', '.join(kept)}, {', '.join(made)} FROM {prior} WINDOW w AS (PARTITION BY user_id))")
+        prior = f"c{i + 1}"
+    rows = " UNION ALL ".join(
+        f"SELECT user_id, {p} AS lag, count(*) AS n, sum(r{p} * s{p}) AS rs, sum(r{p} * r{p}) AS rr, sum(s{p} * s{p}) AS ss, "
+        f"any_value(v) AS v FROM {prior} GROUP BY user_id" for p in range(top + 1))
+    centred = ", ".join(f"{v} - avg({v}) OVER w AS {n}" for v, n in [*[(c, c) for c in cols], ("lv", "r0"), ("dy", "s0")])
+    return f"""
+WITH k AS (SELECT user_id, var_pop(y) AS v FROM s GROUP BY user_id HAVING count(*) >= {2 * (top + 2)}),
+d AS (SELECT user_id, v, row_number() OVER w AS pos, lag(y) OVER w AS lv, y - lag(y) OVER w AS dy
+      FROM s JOIN k USING (user_id) WINDOW w AS (PARTITION BY user_id ORDER BY t)),
+l AS (SELECT *, {", ".join(f"lag(dy, {i}) OVER w AS b{i}" for i in range(1, top + 1))} FROM d
+      WINDOW w AS (PARTITION BY user_id ORDER BY pos)),
+c0 AS (SELECT user_id, v, {centred} FROM l WHERE pos > {top + 1} WINDOW w AS (PARTITION BY user_id)),
+{", ".join(steps)},
+f AS (SELECT *, ss - rs * rs / rr AS e FROM ({rows}))
+SELECT user_id, CAST(lag AS INTEGER) AS lag, n, rs / rr / sqrt(e / (n - lag - 2) / rr) AS adf_t,
+       n * ln(e / v / n) + 2 * (lag + 2) AS aic FROM f"""
+
+
+@query("fc3_adf_lag_table", "FC-3", with_ser(_lag_table_sql()))
+def q_fc3c(spark, sf_dir):
+    """Every order 0..3 of the unit-root regression on one sample per series, from one cross-product table."""
+    s = materialize(series(spark, sf_dir))
+    long_enough = s.groupBy("user_id").agg(F.count("y").alias("_n")).where("_n >= 10").select("user_id")
+    return UR.lag_table(s.join(long_enough, "user_id"), "user_id", max_lag=3)[0].select("user_id", "lag", "n", "adf_t", "aic")
 
 
 @query("fc4_arima_order", "FC-4")
