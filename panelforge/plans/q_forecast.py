@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelforge.operators import forecast as FC
+from panelforge.operators import statespace as SS
 from panelforge.operators import unitroot as UR
 from panelforge.plans.registry import query
 from panelforge.session import materialize
@@ -98,13 +99,37 @@ def q_fc3c(spark, sf_dir):
 
 @query("fc4_arima_order", "FC-4")
 def q_fc4(spark, sf_dir):
-    return FC.arima_select(materialize(series(spark, sf_dir)), "user_id")
+    s = materialize(series(spark, sf_dir))
+    return SS.select_order(SS.fit(s, "user_id")[0], s, "user_id").select("user_id", "p", "d", "q", "aic", "ll")
+
+
+def _arima(s, steps):
+    """Forecasts of every series at its best order."""
+    fits, parts = SS.fit(s, "user_id")
+    return SS.forecast(s, materialize(SS.select_order(fits, s, "user_id")), parts, "user_id", steps=steps)
+
+
+@query("fc4_ar1_likelihood", "FC-4", with_ser("""
+WITH z AS (SELECT user_id, t, (y - avg(y) OVER w) / stddev_pop(y) OVER w AS z FROM s WINDOW w AS (PARTITION BY user_id)),
+l AS (SELECT user_id, z, lag(z) OVER (PARTITION BY user_id ORDER BY t) AS b FROM z),
+g AS (SELECT user_id, c, phi, count(*) AS n, sum(CASE WHEN b IS NULL THEN (1 - phi * phi) * z * z
+             ELSE (z - phi * b) ** 2 END) AS e
+      FROM l, (VALUES (0, -0.5), (1, 0.0), (2, 0.4), (3, 0.9)) AS f(c, phi) GROUP BY user_id, c, phi)
+SELECT user_id, CAST(c AS INTEGER) AS c, -0.5 * (n * (ln(2 * pi() * e / n) + 1) - ln(1 - phi * phi)) AS ll, e / n AS var FROM g"""))
+def q_fc4b(spark, sf_dir):
+    """Exact likelihood of first-order models with given coefficients, each series folded in chunks of 8 and combined."""
+    import math
+    parts = materialize(SS.chunks(series(spark, sf_dir), "user_id", width=8))
+    rows = [(1, 0, 0, c, [0.0, math.atanh(phi)]) for c, phi in enumerate((-0.5, 0.0, 0.4, 0.9))]
+    table = spark.createDataFrame(rows, "p int, d int, q int, c int, raw array<double>")
+    cands = parts.where("d = 0").select("user_id", "d").distinct().join(F.broadcast(table), "d")
+    return SS.likelihoods(parts, cands, "user_id").select("user_id", "c", "ll", "var")
 
 
 @query("fc5_arima_forecast", "FC-5,FC-6")
 def q_fc5(spark, sf_dir):
     s = materialize(series(spark, sf_dir))
-    return FC.arima_forecast(s, FC.arima_select(s, "user_id"), "user_id", steps=3)
+    return _arima(s, 3)
 
 
 @query("fc6_random_walk", "FC-6", with_ser("""
@@ -119,7 +144,7 @@ def q_fc7(spark, sf_dir):
     s = materialize(series(spark, sf_dir))
     train, test = FC.split_tail(s, "user_id", "t", 2)
     train = materialize(train)
-    fc = FC.arima_forecast(train, FC.arima_select(train, "user_id"), "user_id", steps=2)
+    fc = _arima(train, 2)
     return FC.holdout_metrics(test, fc, "user_id", by=["user_id"])
 
 
@@ -198,7 +223,7 @@ def q_fc12v(spark, sf_dir):
 @query("snk4_save_forecasts", "SNK-4,SET-1")
 def q_snk4(spark, sf_dir):
     s = materialize(series(spark, sf_dir))
-    per_key = FC.arima_forecast(s, FC.arima_select(s, "user_id"), "user_id", steps=3)
+    per_key = _arima(s, 3)
     g = FC.global_series(s, "user_id").filter(F.col("user_id") == "GLOBAL")
     glob = FC.linear_trend(g, "user_id", steps=3)
     rows = (per_key.select(F.col("user_id").cast("string").alias("key"), "t", F.lit("arima").alias("model"), "forecast")
