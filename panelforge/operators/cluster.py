@@ -1,8 +1,8 @@
 """Clustering entities (CLU-1..10) with Spark ML k-means.
 
 Silhouette: the Euclidean form needs every point's distance to every other point;
-points are dealt to blocks, pairs of blocks give distance sums per point and cluster,
-and these are added up.  The squared-Euclidean form decomposes into per-cluster sums
+points are dealt to strips, pairs of strips meet in tiles that give distance sums per point
+and cluster, and these are added up.  The squared-Euclidean form decomposes into per-cluster sums
 (count, Σy, Σ‖y‖²) and costs one pass.  The metric is a parameter and means the same at any size.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,7 +22,7 @@ from panelforge.operators.features import zscore
 from panelforge.operators.filters import numeric_columns
 from panelforge.session import materialize
 
-SILHOUETTE_BLOCK = 1024  # points per block of the Euclidean silhouette
+SILHOUETTE_STRIP = 32_768  # points of a strip of the Euclidean silhouette; a tile holds two strips
 FEATURES = "features"
 
 
@@ -66,34 +66,56 @@ def silhouette(df: DataFrame, label: str, metric: str = "euclidean", id_col: str
         return _silhouette_sq(pts, label, id_col)
     if metric != "euclidean":
         raise ValueError(f"unknown metric {metric}")
-    return _silhouette_blocks(pts, label, id_col)
+    return _silhouette_tiles(pts, label, id_col)
 
 
-def _silhouette_blocks(pts: DataFrame, label: str, id_col: str | None) -> DataFrame:
+def strips_of(n: int) -> int:
+    """Strips for n points: as many as a strip's size bound needs, at least a few for parallel tiles."""
+    return max(1, -(-n // SILHOUETTE_STRIP), min(8, -(-n // 256)))
+
+
+def _silhouette_tiles(pts: DataFrame, label: str, id_col: str | None) -> DataFrame:
+    """Distance sums from a triangle of tiles: points are dealt to g strips, and a tile holds two strips (or one, on the diagonal).
+
+    Every pair of strips meets in one tile, which adds its distances to both sides, so a point
+    is copied g times, about the square root of twice the number of tiles, and no distance is
+    computed twice.  A strip has a bounded number of points whatever the size of the data.
+    """
     keep = [*([id_col] if id_col else []), label]
     pts = materialize(pts.withColumn("_pid", F.monotonically_increasing_id()))
-    blocks = max(1, -(-pts.count() // SILHOUETTE_BLOCK))
-    own = pts.select("_pid", F.col(label).alias("_l"), "_x", F.pmod(F.xxhash64("_pid"), F.lit(blocks)).cast("int").alias("_b"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = own.select("_b", every.alias("_o"), F.lit(0).alias("_side"), "_pid", "_l", "_x")
-    right = own.select(every.alias("_b"), F.col("_b").alias("_o"), F.lit(1).alias("_side"), "_pid", "_l", "_x")
+    g = strips_of(pts.count())
+    own = pts.select("_pid", F.col(label).alias("_l"), "_x", F.pmod(F.xxhash64("_pid"), F.lit(g)).cast("int").alias("_s"))
+    tiles = own.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(g - 1)))).select(
+        F.least("_s", "_o").alias("_i"), F.greatest("_s", "_o").alias("_j"), "_s", "_pid", "_l", "_x")
     kind = pts.schema[label].dataType.simpleString()
 
-    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]
-        out = []
-        if len(a) and len(b):
-            x, y = np.vstack(a["_x"].to_numpy()).astype(float), np.vstack(b["_x"].to_numpy()).astype(float)
-            for lab, rows in b.groupby("_l").indices.items():
-                total = np.zeros(len(x))
-                for at in range(0, len(rows), 64):
-                    total += np.sqrt(((x[:, None, :] - y[rows[at: at + 64]][None, :, :]) ** 2).sum(-1)).sum(1)
-                out.append(pd.DataFrame({"_pid": a["_pid"].to_numpy(), "_l": a["_l"].to_numpy(), "_m": lab,
-                                         "_total": total, "_n": len(rows)}))
-        return pd.concat(out) if out else pd.DataFrame({"_pid": [], "_l": [], "_m": [], "_total": [], "_n": []})
-
-    part = left.union(right).groupBy("_b", "_o").applyInPandas(
-        sums, f"_pid long, _l {kind}, _m {kind}, _total double, _n long")
+    def sums(table: pa.Table) -> pa.Table:
+        strip, pid = table.column("_s").to_numpy(), table.column("_pid").to_numpy()
+        codes = table.column("_l").combine_chunks().dictionary_encode()
+        lab, names = codes.indices.to_numpy(zero_copy_only=False), codes.dictionary
+        x = table.column("_x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(pid), -1)
+        rows = np.flatnonzero(strip == table.column("_i")[0].as_py())
+        cols = np.flatnonzero(strip == table.column("_j")[0].as_py())
+        same = table.column("_i")[0] == table.column("_j")[0]
+        member = np.eye(len(names))[lab]
+        total = np.zeros((len(pid), len(names)))
+        for at in range(0, len(rows), 64):
+            r = rows[at: at + 64]
+            for start in range(0, len(cols), 1024):
+                c = cols[start: start + 1024]
+                d = np.sqrt(((x[r][:, None, :] - x[c][None, :, :]) ** 2).sum(-1))
+                total[r] += d @ member[c]
+                if not same:
+                    total[c] += d.T @ member[r]
+        seen = np.zeros_like(total)
+        seen[rows] = member[cols].sum(axis=0)
+        if not same:
+            seen[cols] = member[rows].sum(axis=0)
+        p, m = np.nonzero(seen)
+        return pa.table({"_pid": pid[p], "_l": names.take(pa.array(lab[p])), "_m": names.take(pa.array(m)),
+                         "_total": total[p, m], "_n": seen[p, m].astype(np.int64)})
+
+    part = tiles.groupBy("_i", "_j").applyInArrow(sums, f"_pid long, _l {kind}, _m {kind}, _total double, _n long")
     per = part.groupBy("_pid", "_l", "_m").agg(F.sum("_total").alias("_total"), F.sum("_n").alias("_n"))
     same = F.col("_l") == F.col("_m")
     ab = per.groupBy("_pid").agg(
@@ -106,38 +128,23 @@ def _silhouette_blocks(pts: DataFrame, label: str, id_col: str | None) -> DataFr
 
 
 def _silhouette_sq(pts: DataFrame, label: str, id_col: str | None) -> DataFrame:
-    # per-cluster count, Σ‖y‖² and per-dimension sums: k·d numbers, whatever the data size
-    st = pts.groupBy(label).agg(F.count(F.lit(1)).alias("_n"),
-                                F.sum(F.aggregate("_x", F.lit(0.0), lambda a, v: a + v * v)).alias("_ss")).collect()
-    dims = (pts.select(label, F.posexplode("_x").alias("_d", "_v")).groupBy(label, "_d")
-            .agg(F.sum("_v").alias("_s")).collect())
-    by = {}
-    for r in st:
-        d = sorted((x["_d"], x["_s"]) for x in dims if x[label] == r[label])
-        by[r[label]] = (r["_n"], np.array([v for _, v in d]), r["_ss"])
-    bc = pts.sparkSession.sparkContext.broadcast(by)
-    fields = [f for f in pts.schema.fields if f.name != "_x"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", silhouette double"
-    cols = [f.name for f in fields]
-
-    def run(it):
-        b_ = bc.value
-        for pdf in it:
-            out = []
-            for x, lab in zip(pdf["_x"], pdf[label]):
-                x = np.asarray(x, dtype=float)
-                xx = x @ x
-                mean_d = {c: (xx * n - 2 * x @ s + ss) / n for c, (n, s, ss) in b_.items()}
-                n_own = b_[lab][0]
-                a = mean_d[lab] * n_own / (n_own - 1) if n_own > 1 else 0.0
-                others = [v for c, v in mean_d.items() if c != lab]
-                b = min(others) if others else 0.0
-                out.append((b - a) / max(a, b) if n_own > 1 and max(a, b) > 0 else 0.0)
-            res = pdf[cols].copy()
-            res["silhouette"] = out
-            yield res
-
-    return pts.mapInPandas(run, schema)
+    """The squared-Euclidean form from per-cluster count, sum and sum of squares: one row of k * d numbers, joined to all points."""
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda t, v: t + v)
+
+    per_dim = (pts.select(label, F.posexplode("_x").alias("_d", "_v")).groupBy(label, "_d").agg(F.sum("_v").alias("_s"))
+               .groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("_d", "_s"))), lambda r: r["_s"]).alias("s")))
+    sizes = pts.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum(dot(F.col("_x"), F.col("_x"))).alias("ss"))
+    stats = sizes.join(per_dim, label).agg(F.collect_list(F.struct(F.col(label).alias("l"), "n", "ss", "s")).alias("_stats"))
+    rows = pts.join(F.broadcast(materialize(stats))).withColumn("_xx", dot(F.col("_x"), F.col("_x")))
+    mean = F.transform("_stats", lambda c: F.struct(c["l"].alias("l"), c["n"].alias("n"), (
+        (F.col("_xx") * c["n"] - 2 * dot(F.col("_x"), c["s"]) + c["ss"]) / c["n"]).alias("m")))
+    rows = rows.withColumn("_means", mean)
+    own = F.get(F.filter("_means", lambda c: c["l"] == F.col(label)), F.lit(0))
+    a = own["m"] * F.try_divide(own["n"], own["n"] - 1)
+    b = F.coalesce(F.array_min(F.transform(F.filter("_means", lambda c: c["l"] != F.col(label)), lambda c: c["m"])), F.lit(0.0))
+    value = F.when((own["n"] > 1) & (F.greatest(a, b) > 0), F.try_divide(b - a, F.greatest(a, b))).otherwise(0.0)
+    return rows.select(*([id_col] if id_col else []), label, value.alias("silhouette"))
 
 
 def select_k(df: DataFrame, ks: Sequence[int], restarts: int = 5, seed: int = 42) -> DataFrame:

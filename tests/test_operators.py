@@ -215,3 +215,32 @@ def test_quantile_scalars_stacked_columns(spark):
     got = spark.range(1).select(s["a"].alias("a"), s["b"].alias("b")).first()
     np.testing.assert_allclose(got["a"], np.quantile(a, [0.01, 0.5, 0.99]), rtol=1e-12)
     np.testing.assert_allclose(got["b"], np.quantile(b[~np.isnan(b)], [0.01, 0.5, 0.99]), rtol=1e-12)
+
+
+@pytest.mark.parametrize("strips", [1, 3, 7])
+def test_silhouette_tiles_use_every_pair_once(spark, monkeypatch, strips):
+    from panelforge.operators import cluster
+    monkeypatch.setattr(cluster, "strips_of", lambda n: strips)
+    rng = np.random.default_rng(strips)
+    X = rng.normal(size=(41, 3))
+    lab = np.array([str(v) for v in rng.integers(0, 3, 40)] + ["lone"])
+    df = cluster.vectors(spark.createDataFrame(pd.DataFrame(
+        {"i": np.arange(41), "x0": X[:, 0], "x1": X[:, 1], "x2": X[:, 2], "l": lab})), ["x0", "x1", "x2"])
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    for metric, dist in (("euclidean", D), ("sqeuclidean", D ** 2)):
+        got = _pdf(cluster.silhouette(df, "l", metric, id_col="i")).sort_values("i")["silhouette"].to_numpy()
+        exp = []
+        for i in range(41):
+            same = lab == lab[i]
+            a = dist[i, same].sum() / max(same.sum() - 1, 1)
+            b = min(dist[i, lab == o].mean() for o in set(lab) - {lab[i]})
+            exp.append((b - a) / max(a, b) if same.sum() > 1 else 0.0)
+        np.testing.assert_allclose(got, exp, rtol=1e-9)
+
+
+def test_strips_grow_with_the_square_root_of_the_tiles():
+    from panelforge.operators.cluster import SILHOUETTE_STRIP, strips_of
+    assert strips_of(0) == 1 and strips_of(100) == 1 and strips_of(2000) == 8
+    for n in (10**6, 10**8):
+        g = strips_of(n)
+        assert g == -(-n // SILHOUETTE_STRIP) and g <= (g * (g + 1)) ** 0.5
