@@ -17,7 +17,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import cut, list_array, partitions
@@ -44,6 +44,15 @@ def principal_axes(classes: DataFrame, leading: int) -> np.ndarray:
     return vectors[:, ::-1][:, :leading].T
 
 
+def _scaled(v: Column) -> Column:
+    """The vector times the power of two that brings its largest component near 1: exact, and no norm over- or underflows."""
+    largest = F.array_max(F.transform(v, lambda x: F.abs(x)))
+    up = -F.floor(F.log2(largest))
+    half = F.floor(up / 2)
+    one, two = F.pow(F.lit(2.0), half), F.pow(F.lit(2.0), up - half)
+    return F.transform(v, lambda x: x * one * two)
+
+
 def similar_vectors(vectors: DataFrame, threshold: float = 0.93, leading: int = 6) -> DataFrame:
     """Links of all vectors with equal labels and a cosine of at least ``threshold``, one row per input row.
 
@@ -59,6 +68,7 @@ def similar_vectors(vectors: DataFrame, threshold: float = 0.93, leading: int =
               & F.exists("v", lambda x: x != 0))
     rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"),
                            v.alias("v")).withColumn("ok", F.coalesce(usable, F.lit(False))))
+    rows = rows.withColumn("v", F.when(F.col("ok"), _scaled(F.col("v"))))
     rows = rows.withColumn("sig", F.xxhash64("label", F.size("v"), "v"))
     rows = cut(rows)
     classes = cut(rows.where("ok").groupBy("sig").agg(

@@ -181,3 +181,14 @@ def test_spanning_links_connect_what_is_linked():
         nodes = range(16)
         assert _components(nodes, [(i, 9 + j) for i, j in zip(one, two, strict=True)]) == _components(
             nodes, [(i, 9 + j) for i, j in zip(*np.nonzero(linked), strict=True)])
+
+
+def test_vectors_of_any_magnitude_are_linked(spark):
+    from panelforge.llm.embed_join import similar_vectors
+    rnd = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rnd.normal(size=8)], 0) for i in range(40)]
+    rows += [(50, [1e-200] * 8, 1), (51, [1e200] * 8, 2), (52, [5e-324] * 8, 2), (53, [1.0] * 8, 2),
+             (54, [1.7e308] * 7 + [1.6e308], 2), (55, [3e-310] * 8, 2), (56, [-1e200] * 8, 2)]
+    got = {r.vec_id: r for r in similar_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert len(got) == len(rows) and got[50].n_links == 0 and got[56].n_links == 0
+    assert all(got[i].n_links == 4 and got[i].component_id == 51 for i in (51, 52, 53, 54, 55))
