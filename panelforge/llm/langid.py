@@ -46,7 +46,7 @@ def _classes() -> np.ndarray:
     global _LETTER
     if _LETTER is None:
         table = np.zeros(0x110000, np.uint32)
-        for c in range(0x30000):
+        for c in range(len(table)):
             s = chr(c)
             if s.isalpha():
                 low = s.lower()

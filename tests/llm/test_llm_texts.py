@@ -329,3 +329,9 @@ def test_pipeline_stages_take_effect(spark):
     want = {r.doc_id: encoder.ids(r.text).tolist() for r in docs.collect()}
     got = {r.doc_id: r.piece_ids for r in P.run(spark, SF001).collect()}
     assert got == want
+
+
+def test_letters_of_all_planes():
+    from panelforge.llm.langid import letters
+    assert (letters("\U00030000\U00030001\U000323AF") != 0).sum() == 3
+    assert (letters("12 \U0001F600 !") != 0).sum() == 0
