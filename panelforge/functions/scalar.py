@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -129,3 +129,8 @@ def is_placeholder_name(c: ColumnOrName, pattern: str = r"^Country_\d+$") -> Col
 def norm_key(c: ColumnOrName) -> Column:
     """PRJ-16: trim + lower for case-insensitive equality."""
     return F.lower(F.trim(col(c)))
+
+
+def rounded(df: DataFrame, digits: Mapping[str, int]) -> DataFrame:
+    """PRJ-3, WIN-2, FEA-1/2/6: the named columns rounded half up to their number of digits, the others as they are."""
+    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})

@@ -245,6 +245,50 @@ def history(trials: DataFrame) -> DataFrame:
     return running_best(trials, "trial", "cv_r2")
 
 
+def best_trial(trials: DataFrame) -> DataFrame:
+    """(params, cv_r2) of the trial with the highest score, ties to the first one."""
+    return trials.agg(F.max_by("params", F.struct("cv_r2", -F.col("trial"))).alias("params"), F.max("cv_r2").alias("cv_r2"))
+
+
+def best_parameters(searches: Mapping[str, DataFrame]) -> DataFrame:
+    """ML-19: one row per parameter, one column per search strategy with its best trial's value; null where it has none."""
+    rows = None
+    for name, trials in searches.items():
+        pairs = F.explode(F.split("params", ";")).alias("pair")
+        own = best_trial(trials).select(F.lit(name).alias("strategy"), pairs).where("pair <> ''")
+        rows = own if rows is None else rows.unionByName(own)
+    split = F.split("pair", "=", 2)
+    return (rows.select("strategy", split[0].alias("parameter"), split[1].alias("value"))
+            .groupBy("parameter").pivot("strategy", list(searches)).agg(F.first("value")))
+
+
+def parameters(params: str) -> dict:
+    """A trial's parameter text as values."""
+    def value(v: str):
+        for kind in (int, float):
+            try:
+                return kind(v)
+            except ValueError:
+                pass
+        return v
+    return {k: value(v) for k, v in (pair.split("=", 1) for pair in params.split(";") if pair)}
+
+
+def choose_strategy(evaluated: DataFrame, score: str = "cv_r2_mean") -> DataFrame:
+    """ML-20: rows (family, strategy, scores) flagged best within their family; ties to the first strategy by name."""
+    best = evaluated.groupBy(F.col("family").alias("_f")).agg(
+        F.min_by("strategy", F.struct(-F.coalesce(F.col(score), F.lit(float("-inf"))), F.col("strategy"))).alias("_best"))
+    return (evaluated.join(F.broadcast(best), F.col("family") == F.col("_f"))  # one row a model family
+            .withColumn("chosen", F.col("strategy") == F.col("_best")).drop("_f", "_best"))
+
+
+def final_leaderboard(evaluated: DataFrame, score: str = "cv_r2_mean") -> DataFrame:
+    """ML-20: the baseline and the chosen strategy of every family, best score first, with the gap between train and CV R²."""
+    rows = choose_strategy(evaluated, score).where(F.col("chosen") | (F.col("strategy") == "baseline"))
+    return rows.withColumn("overfit_gap", F.col("train_r2") - F.col("cv_r2_mean")).orderBy(
+        F.col(score).desc_nulls_last(), "family", "strategy")
+
+
 def score_or_rule(df: DataFrame, model, features: Sequence[str], fallback: Column) -> DataFrame:
     """ML-21: batch scoring with the model when given, else the rule-based score (PRJ-14)."""
     if model is None:

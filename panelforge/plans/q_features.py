@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelforge.functions import scalar as S
 from panelforge.operators import features as FE
 from panelforge.plans.registry import query
 from panelforge.sources.panel import panel, with_panel
@@ -190,6 +191,24 @@ def q_fea_g1(spark, sf_dir):
                       "digital_readiness_score", "investment_efficiency", "economic_momentum", "pandemic_interaction")
 
 
+@query("fea_g1_rounded", "FEA-1,FEA-2,FEA-6", f"""
+SELECT k, yr, round(innovation_score, 4) AS innovation_score, round(digital_readiness_score, 4) AS digital_readiness_score,
+       round(investment_efficiency, 4) AS investment_efficiency FROM ({G1_SQL})""")
+def q_fea_g1_rounded(spark, sf_dir):
+    """The first group's scores as they are stored, with four digits."""
+    cols = ["innovation_score", "digital_readiness_score", "investment_efficiency"]
+    return S.rounded(q_fea_g1(spark, sf_dir).select("k", "yr", *cols), dict.fromkeys(cols, 4))
+
+
+@query("prj3_rounded_ratio", "PRJ-3", with_panel("""
+SELECT k, yr, round(funding / nullif(entity_count, 0), 4) AS funding_per_entity, round(entity_growth_yoy, 2) AS entity_growth_yoy
+FROM panel"""))
+def q_prj3_rounded(spark, sf_dir):
+    p = panel(spark, sf_dir).select("k", "yr", F.try_divide("funding", F.nullif("entity_count", F.lit(0))).alias("funding_per_entity"),
+                                    "entity_growth_yoy")
+    return S.rounded(p, {"funding_per_entity": 4, "entity_growth_yoy": 2})
+
+
 G2_SQL = with_panel(f"""
 WITH {PP_SQL},
 f AS (SELECT k, yr, period, entity_growth_yoy,

@@ -9,6 +9,7 @@ from panelforge.operators import statespace as SS
 from panelforge.operators import unitroot as UR
 from panelforge.plans.registry import query
 from panelforge.session import materialize
+from panelforge.sources import sinks
 from panelforge.sources.panel import panel, with_panel
 from panelforge.sources.tables import read_table
 
@@ -228,4 +229,5 @@ def q_snk4(spark, sf_dir):
     glob = FC.linear_trend(g, "user_id", steps=3)
     rows = (per_key.select(F.col("user_id").cast("string").alias("key"), "t", F.lit("arima").alias("model"), "forecast")
             .unionByName(glob.select(F.col("user_id").alias("key"), "t", F.lit("linear").alias("model"), "forecast")))
-    return rows.withColumn("forecast", F.round("forecast", 1))
+    path = sinks.save_stage(rows.withColumn("forecast", F.round("forecast", 1)), sinks.new_scratch(spark, "forecasts"))
+    return spark.read.parquet(path)

@@ -113,20 +113,60 @@ def q_ml14(spark, sf_dir):
     return M.learning_curve(df, feats, TARGET, "rf", RF, [0.2, 0.4, 0.6, 0.8, 1.0], IDS)
 
 
-@query("ml15_grid_search", "ML-15,ML-18,ML-19,WIN-10")
+GBT_GRID = {"maxIter": [10, 20], "maxDepth": [3, 4, 5], "stepSize": [0.05, 0.1], "subsamplingRate": [0.8, 1.0]}
+GBT_SPACE = {"maxIter": lambda r: int(r.integers(10, 31)), "maxDepth": lambda r: int(r.integers(2, 7)),
+             "stepSize": lambda r: round(float(r.uniform(0.01, 0.26)), 4),
+             "subsamplingRate": lambda r: round(float(r.uniform(0.6, 1.0)), 4),
+             "minInstancesPerNode": lambda r: int(r.integers(1, 9))}
+RF_SPACE = {"numTrees": lambda r: int(r.integers(20, 80)), "maxDepth": lambda r: int(r.integers(3, 9)),
+            "minInstancesPerNode": lambda r: int(r.integers(1, 6)),
+            "featureSubsetStrategy": lambda r: str(r.choice(["sqrt", "onethird", "0.5", "all"]))}
+DRAWS = 12
+
+
+def _grid_trials(df, feats):
+    return M.search(df.filter(F.col("split") == "train"), feats, TARGET, "gbt", M.grid(GBT_GRID))
+
+
+def _random_trials(df, feats, kind, space):
+    return M.search(df.filter(F.col("split") == "train"), feats, TARGET, kind, M.random_maps(space, DRAWS))
+
+
+@query("ml15_grid_search", "ML-15,ML-18,WIN-10")
 def q_ml15(spark, sf_dir):
-    df, feats = ml_frame(spark, sf_dir)
-    g = M.grid({"maxIter": [10, 20], "maxDepth": [3, 4, 5], "stepSize": [0.05, 0.1], "subsamplingRate": [0.8, 1.0]})
-    return M.history(M.search(df.filter(F.col("split") == "train"), feats, TARGET, "gbt", g))
+    return M.history(_grid_trials(*ml_frame(spark, sf_dir)))
 
 
 @query("ml16_random_search", "ML-16,ML-17,ML-18")
 def q_ml16(spark, sf_dir):
+    return M.history(_random_trials(*ml_frame(spark, sf_dir), "rf", RF_SPACE))
+
+
+@query("ml16_random_search_boosted", "ML-16,ML-18")
+def q_ml16b(spark, sf_dir):
+    return M.history(_random_trials(*ml_frame(spark, sf_dir), "gbt", GBT_SPACE))
+
+
+@query("ml19_best_parameters", "ML-19")
+def q_ml19(spark, sf_dir):
+    """The best parameters of the boosted trees by search strategy."""
+    df, feats = ml_frame(spark, sf_dir)
+    return M.best_parameters({"grid": _grid_trials(df, feats), "random": _random_trials(df, feats, "gbt", GBT_SPACE)})
+
+
+@query("ml20_final_leaderboard", "ML-20")
+def q_ml20(spark, sf_dir):
+    """Baselines and the chosen search strategy of boosted trees and forests."""
     df, feats = ml_frame(spark, sf_dir)
-    space = {"numTrees": lambda r: int(r.integers(20, 80)), "maxDepth": lambda r: int(r.integers(3, 9)),
-             "minInstancesPerNode": lambda r: int(r.integers(1, 6)),
-             "featureSubsetStrategy": lambda r: str(r.choice(["sqrt", "onethird", "0.5", "all"]))}
-    return M.history(M.search(df.filter(F.col("split") == "train"), feats, TARGET, "rf", M.random_maps(space, 12)))
+    plans = [("gbt", "baseline", GBT), ("rf", "baseline", RF)]
+    for kind, name, trials in (("gbt", "grid", _grid_trials(df, feats)), ("gbt", "random", _random_trials(df, feats, "gbt", GBT_SPACE)),
+                               ("rf", "random", _random_trials(df, feats, "rf", RF_SPACE))):
+        plans.append((kind, name, M.parameters(M.best_trial(trials).first()["params"])))
+    rows = None
+    for kind, name, params in plans:
+        own = M.fit_evaluate(df, feats, TARGET, kind, params).withColumn("family", F.lit(kind)).withColumn("strategy", F.lit(name))
+        rows = own if rows is None else rows.unionByName(own)
+    return M.final_leaderboard(rows.drop("model"))
 
 
 @query("ml21_batch_scoring", "ML-21,PRJ-14")

@@ -122,6 +122,25 @@ def q_snk3(spark, sf_dir):
                                        "funding": "total_funding_usd", "is_post": "pandemic_period"})
 
 
+@query("snk3_store_contract", "SNK-3", with_panel("""
+SELECT nation AS country, CAST(yr AS BIGINT) AS year, CAST(entity_count AS DOUBLE) AS startup_count,
+       funding AS total_funding_usd, CAST(is_post AS BIGINT) AS pandemic_period FROM panel"""))
+def q_snk3_store(spark, sf_dir):
+    """A contract table in the shared folder: loaded with old rows, emptied and loaded again, then read."""
+    names = {"nation": "country", "yr": "year", "entity_count": "startup_count", "funding": "total_funding_usd",
+             "is_post": "pandemic_period"}
+    p = panel(spark, sf_dir)
+    path = sinks.new_scratch(spark, "contract")
+    table = "contract_" + path.rsplit("-", 1)[1]
+    old = sinks.conform(p, CONTRACT, names).where("year < 1994")
+    sinks.replace_table(old, table, path)
+    try:
+        sinks.store(p, table, CONTRACT, names)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files of an external table stay
+    return spark.read.parquet(path)
+
+
 @query("snk6_summary_rows", "SNK-6,DQ-7", with_ev("""
 SELECT 'total_cells' AS key, CAST(count(*) * 7 AS VARCHAR) AS value FROM ev
 UNION ALL SELECT 'missing_cells', CAST(sum((value_h IS NULL)::INT + (props_h IS NULL)::INT + (sparse IS NULL)::INT)

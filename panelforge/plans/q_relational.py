@@ -386,6 +386,16 @@ def q_win2(spark, sf_dir):
     return windows.growth(cy, ["o_custkey"], "yr", ["spend"])
 
 
+@query("win2_growth_rounded", "WIN-2", """
+WITH cy AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS yr, sum(o_totalprice) AS spend
+            FROM orders GROUP BY 1, 2)
+SELECT o_custkey, yr, round((spend - lag(spend) OVER w) / nullif(lag(spend) OVER w, 0) * 100, 2) AS spend_growth
+FROM cy WINDOW w AS (PARTITION BY o_custkey ORDER BY yr)""")
+def q_win2_rounded(spark, sf_dir):
+    from panelforge.functions.scalar import rounded
+    return rounded(q_win2(spark, sf_dir).select("o_custkey", "yr", "spend_growth"), {"spend_growth": 2})
+
+
 @query("win3_rolling_mean", "WIN-3", """
 SELECT event_id, user_id,
        avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS value_roll3

@@ -37,6 +37,28 @@ def q_srv3(spark, sf_dir):
     return SV.forecast_rows(fc, "user_id", s.select(F.min("user_id")).scalar(), "linear")
 
 
+@query("srv3_forecast_global", "SRV-3,FC-9", with_ser("""
+WITH g AS (SELECT t, sum(y) AS y FROM s GROUP BY t), i AS (SELECT t, y, row_number() OVER (ORDER BY t) AS pos FROM g),
+f AS (SELECT regr_slope(y, pos) b, regr_intercept(y, pos) a, max(pos) n, max(t) lt, arg_max(y, t) AS v FROM i)
+SELECT 'GLOBAL' AS user_id, CAST(h AS INTEGER) AS step, CAST(lt + h AS INTEGER) AS t, a + b * (n + h) AS forecast, 'linear' AS model
+FROM f, range(1, 4) r(h)"""))
+def q_srv3g(spark, sf_dir):
+    """The global forecast, asked for by key and model among all keys' rows of two models."""
+    g = FC.global_series(series(spark, sf_dir), "user_id")
+    rows = FC.linear_trend(g, "user_id", steps=3).withColumn("model", F.lit("linear"))
+    rows = rows.unionByName(FC.random_walk(g, "user_id", steps=3).withColumn("model", F.lit("walk")))
+    return SV.forecast_rows(rows, "user_id", "GLOBAL", "linear")
+
+
+@query("srv4_cluster_of_key", "SRV-4", """
+SELECT vec_id, label AS cluster_id, 'Cluster ' || CAST(label + 1 AS VARCHAR) AS cluster_label FROM embeddings
+WHERE vec_id = (SELECT min(vec_id) FROM embeddings)""")
+def q_srv4k(spark, sf_dir):
+    from panelforge.operators.cluster import assignments
+    e = read_table(spark, sf_dir, "embeddings")
+    return SV.cluster_of(assignments(e, "vec_id", "label"), "vec_id", e.select(F.min("vec_id")).scalar())
+
+
 @query("srv4_clusters", "SRV-4,SNK-5", """
 SELECT vec_id, label AS cluster_id, 'Cluster ' || CAST(label + 1 AS VARCHAR) AS cluster_label FROM embeddings
 WHERE label = 3""")

@@ -244,3 +244,20 @@ def test_strips_grow_with_the_square_root_of_the_tiles():
     for n in (10**6, 10**8):
         g = strips_of(n)
         assert g == -(-n // SILHOUETTE_STRIP) and g <= (g * (g + 1)) ** 0.5
+
+
+def test_best_parameters_and_final_leaderboard(spark):
+    from panelforge.operators import ml
+    trials = "trial int, params string, cv_r2 double"
+    grid = spark.createDataFrame([(0, "a=1;b=0.5", 0.1), (1, "a=2;b=0.7", 0.4), (2, "a=3;b=0.7", 0.4)], trials)
+    rand = spark.createDataFrame([(0, "a=5;c=sqrt", -0.2)], trials)
+    got = {r.parameter: (r.grid, r["random"]) for r in ml.best_parameters({"grid": grid, "random": rand}).collect()}
+    assert got == {"a": ("2", "5"), "b": ("0.7", None), "c": (None, "sqrt")}
+    assert ml.parameters("a=2;b=0.7;c=sqrt") == {"a": 2, "b": 0.7, "c": "sqrt"} and ml.parameters("") == {}
+    rows = spark.createDataFrame(
+        [("gbt", "baseline", 0.1, 0.9), ("gbt", "grid", 0.3, 0.8), ("gbt", "random", 0.3, 0.7), ("rf", "baseline", 0.5, 0.6),
+         ("rf", "random", None, 0.6)], "family string, strategy string, cv_r2_mean double, train_r2 double")
+    board = ml.final_leaderboard(rows).collect()
+    assert [(r.family, r.strategy, r.chosen) for r in board] == [
+        ("rf", "baseline", True), ("gbt", "grid", True), ("gbt", "baseline", False)]
+    assert board[1].overfit_gap == pytest.approx(0.5)
