@@ -1,9 +1,7 @@
 """Forecasting many series at once (FC-1..12).
 
-Every series is a key; fits are grouped least squares (one aggregate for all keys
-and all candidate orders), forecasts are per-key recursions over a handful of
-coefficients.  ARIMA is fitted in regression form (conditional least squares,
-MA terms by Hannan–Rissanen), AIC = n·ln(SSR/n) + 2k on a common sample per key.
+Every series is a key.  Unit-root tests over all lags are in ``unitroot``, ARIMA by exact
+likelihood in ``statespace``; here are loading, the plain forecasts, hold-outs and metrics.
 """
 
 from __future__ import annotations
@@ -16,9 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.functions.linalg import ols
 from panelforge.operators.aggs import coverage_filter
-from panelforge.session import materialize
 
 
 def load_series(df: DataFrame, key: str, period, value: str, slack: int = 1, period_name: str = "t") -> DataFrame:
@@ -59,42 +55,6 @@ def adf_pvalue(t: float) -> float:
     return norm_cdf(sum(c * t ** i for i, c in enumerate(coefs)))
 
 
-def adf(series: DataFrame, key: str, period: str = "t", max_lag: int = 1, min_rows: int = 4) -> DataFrame:
-    """FC-3: ADF with constant; lag order by AIC on a common sample, then refit; p from MacKinnon.
-
-    Constant series or fewer than ``min_rows`` points → p = 1 (as the reference).
-    """
-    w = Window.partitionBy(key).orderBy(period)
-    base = series.withColumns({"_dy": F.col("y") - F.lag("y").over(w), "_ylag": F.lag("y").over(w),
-                               "_pos": F.row_number().over(w)})
-    for i in range(1, max_lag + 1):
-        base = base.withColumn(f"_dy{i}", F.lag("_dy", i).over(w))
-    base = materialize(base)
-    fits = None
-    for p in range(max_lag + 1):
-        xs = ["_ylag", *[f"_dy{i}" for i in range(1, p + 1)]]
-        common = base.filter(F.col("_pos") > max_lag + 1)
-        r = (ols(common, "_dy", xs, [key]).filter(F.col("term") == "_ylag")
-             .select(key, F.lit(p).alias("lag"), F.col("n").alias("_n"), F.col("ssr").alias("_ssr")))
-        fits = r if fits is None else fits.unionByName(r)
-    fits = fits.withColumn("aic", F.col("_n") * F.log(F.try_divide(F.col("_ssr"), F.col("_n"))) + 2 * (F.col("lag") + 2))
-    # one small row per (key, lag); materialized so the refits below do not re-run every candidate fit
-    best = materialize(fits.groupBy(key).agg(F.min_by("lag", F.struct("aic", "lag")).alias("lag")))
-    out = None
-    for p in range(max_lag + 1):
-        xs = ["_ylag", *[f"_dy{i}" for i in range(1, p + 1)]]
-        keys_p = best.filter(F.col("lag") == p).select(key)
-        r = (ols(base.join(keys_p, key, "left_semi"), "_dy", xs, [key]).filter(F.col("term") == "_ylag")
-             .select(key, F.lit(p).alias("lag"), F.col("stat").alias("adf_stat"), "n"))
-        out = r if out is None else out.unionByName(r)
-    info = series.groupBy(key).agg(F.count(F.lit(1)).alias("n_points"), F.countDistinct("y").alias("_nd"))
-    res = info.join(out, key, "left")
-    pv = F.udf(adf_pvalue, "double")
-    res = res.withColumn("p_value", F.when((F.col("n_points") < min_rows) | (F.col("_nd") <= 1), F.lit(1.0))
-                         .otherwise(pv(F.col("adf_stat"))))
-    return res.withColumn("stationary", F.col("p_value") < 0.05).drop("_nd")
-
-
 def adf_t_lag0(series: DataFrame, key: str, period: str = "t") -> DataFrame:
     """FC-3 at lag 0 in closed form: t of β in Δy = α + β·y₋₁ (one aggregate)."""
     w = Window.partitionBy(key).orderBy(period)
@@ -107,145 +67,6 @@ def adf_t_lag0(series: DataFrame, key: str, period: str = "t") -> DataFrame:
     return g.select(key, "n", F.try_divide(F.col("b"), se).alias("adf_t"))
 
 
-# ------------------------------------------------------------------ ARIMA in regression form
-ORDERS = [(p, d, q) for p in range(3) for d in range(2) for q in range(3)]
-
-
-def arima_select(series: DataFrame, key: str, period: str = "t", orders: Sequence[tuple] = ORDERS,
-                 hr_order: int = 3) -> DataFrame:
-    """FC-4: per key, the (p, d, q) with the lowest AIC; a constant only when d = 0; (1,1,1) if none fits.
-
-    Design rows are exploded once per candidate order and every (key, order) is one
-    group of a single grouped least-squares fit (unused regressors zeroed).
-    """
-    w = Window.partitionBy(key).orderBy(period)
-    max_p = max(o[0] for o in orders)
-    max_q = max(o[2] for o in orders)
-    base = series.withColumns({"_pos": F.row_number().over(w), "_dy": F.col("y") - F.lag("y").over(w)})
-    fr = []
-    for d in (0, 1):
-        v = "y" if d == 0 else "_dy"
-        # Hannan–Rissanen stage 1: long AR residuals of the (differenced) series
-        cols = {f"_a{i}": F.lag(v, i).over(w) for i in range(1, hr_order + 1)}
-        st = base.withColumns(cols)
-        ar = ols(st, v, list(cols), [key]).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "coef")))
-                                                             .alias("_beta"))
-        resid = F.col(v) - F.element_at("_beta", F.lit("const"))
-        for c in cols:
-            resid = resid - F.element_at("_beta", F.lit(c)) * F.col(c)
-        st = st.join(ar, key, "left").withColumn("_e", resid)
-        st = st.withColumns({**{f"_w{i}": F.lag(v, i).over(w) for i in range(1, max_p + 1)},
-                             **{f"_e{i}": F.lag("_e", i).over(w) for i in range(1, max_q + 1)}})
-        start = d + hr_order + max_q + 1  # common sample: every candidate's regressors exist
-        st = st.filter(F.col("_pos") > start).withColumn("_d", F.lit(d)).withColumn("_v", F.col(v))
-        fr.append(st.select(key, "_pos", "_d", "_v", *[f"_w{i}" for i in range(1, max_p + 1)],
-                            *[f"_e{i}" for i in range(1, max_q + 1)]))
-    rows = fr[0].unionByName(fr[1])
-    # every row is copied once per candidate order of its differencing; regressors an order does
-    # not use are zeroed (the pseudo-inverse drops them), the constant is a column present only when
-    # d = 0 — so all (key, order) pairs are the groups of ONE grouped least-squares aggregate
-    ords = list(orders)
-    ids = {d: [i for i, o in enumerate(ords) if o[1] == d] for d in (0, 1)}
-    ex = rows.withColumn("_o", F.explode(F.when(F.col("_d") == 0, F.array(*[F.lit(i) for i in ids[0]]))
-                                         .otherwise(F.array(*[F.lit(i) for i in ids[1]]))))
-    p_of = F.element_at(F.array(*[F.lit(o[0]) for o in ords]), F.col("_o") + 1)
-    q_of = F.element_at(F.array(*[F.lit(o[2]) for o in ords]), F.col("_o") + 1)
-    ex = ex.withColumns({"_c": F.when(F.col("_d") == 0, F.lit(1.0)).otherwise(F.lit(0.0)),
-                         **{f"_w{i}": F.when(p_of >= i, F.col(f"_w{i}")).otherwise(F.lit(0.0))
-                            for i in range(1, max_p + 1)},
-                         **{f"_e{i}": F.when(q_of >= i, F.col(f"_e{i}")).otherwise(F.lit(0.0))
-                            for i in range(1, max_q + 1)}})
-    xs = ["_c", *[f"_w{i}" for i in range(1, max_p + 1)], *[f"_e{i}" for i in range(1, max_q + 1)]]
-    fit = ols(materialize(ex), "_v", xs, [key, "_o"], intercept=False)
-    out = (fit.groupBy(key, "_o").agg(F.first("ssr").alias("ssr"), F.first("n").alias("n"))
-           .select(key, p_of.alias("p"), F.element_at(F.array(*[F.lit(o[1]) for o in ords]), F.col("_o") + 1).alias("d"),
-                   q_of.alias("q"), "ssr", "n"))
-    k = F.col("p") + F.col("q") + F.when(F.col("d") == 0, 1).otherwise(0)
-    out = out.withColumn("aic", F.when((F.col("n") > k) & (F.col("ssr") > 0),
-                                       F.col("n") * F.log(F.col("ssr") / F.col("n")) + 2 * k))
-    best = out.filter(F.col("aic").isNotNull()).groupBy(key).agg(
-        F.min_by(F.struct("p", "d", "q"), F.struct("aic", "p", "d", "q")).alias("o"), F.min("aic").alias("aic"))
-    keys = series.select(key).distinct()
-    return keys.join(best, key, "left").select(
-        key, F.coalesce(F.col("o.p"), F.lit(1)).alias("p"), F.coalesce(F.col("o.d"), F.lit(1)).alias("d"),
-        F.coalesce(F.col("o.q"), F.lit(1)).alias("q"), "aic")
-
-
-def arima_forecast(series: DataFrame, orders: DataFrame, key: str, period: str = "t", steps: int = 3,
-                   alpha: float = 0.2) -> DataFrame:
-    """FC-5 / FC-6: fit the chosen order per key (CSS) and iterate forward ``steps``; (1−α) interval.
-
-    One ``applyInPandas`` call per key over that key's series (a few values per key).
-    """
-    from panelforge.functions.dist import norm_ppf
-    z = norm_ppf(1 - alpha / 2)
-    j = series.join(orders.select(key, "p", "d", "q"), key)
-    kt = series.schema[key].dataType.simpleString()
-    tt = series.schema[period].dataType.simpleString()
-    schema = f"`{key}` {kt}, step int, `{period}` {tt}, forecast double, lo double, hi double, p int, d int, q int"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(period)
-        y = pdf["y"].to_numpy(dtype=float)
-        p, d, q = int(pdf["p"].iloc[0]), int(pdf["d"].iloc[0]), int(pdf["q"].iloc[0])
-        fc, se = _css_forecast(y, p, d, q, steps)
-        last = pdf[period].iloc[-1]
-        per = [last + h for h in range(1, steps + 1)]
-        return pd.DataFrame({key: pdf[key].iloc[0], "step": np.arange(1, steps + 1, dtype="int32"), period: per,
-                             "forecast": fc, "lo": fc - z * se, "hi": fc + z * se, "p": p, "d": d, "q": q})
-
-    return j.groupBy(key).applyInPandas(run, schema)
-
-
-def _css_forecast(y: np.ndarray, p: int, d: int, q: int, steps: int):
-    """Least-squares AR(p) with Hannan–Rissanen MA(q) terms on the d-th difference, iterated forward."""
-    w = np.diff(y) if d == 1 else y.copy()
-    n = len(w)
-    e = np.zeros(n)
-    if q and n > 6:
-        m = min(3, n // 3)
-        X = np.column_stack([np.ones(n - m)] + [w[m - i:n - i] for i in range(1, m + 1)])
-        b = np.linalg.lstsq(X, w[m:], rcond=None)[0]
-        e[m:] = w[m:] - X @ b
-    start = max(p, q)
-    const = d == 0
-    cols = ([np.ones(n - start)] if const else []) + [w[start - i:n - i] for i in range(1, p + 1)] + \
-        [e[start - i:n - i] for i in range(1, q + 1)]
-    if cols and n - start > len(cols):
-        X = np.column_stack(cols)
-        beta = np.linalg.lstsq(X, w[start:], rcond=None)[0]
-        resid = w[start:] - X @ beta
-        sigma2 = resid @ resid / max(len(resid) - len(cols), 1)
-    else:
-        beta = np.zeros(len(cols))
-        resid = w[start:] - (w[start:].mean() if const and n > start else 0.0)
-        sigma2 = resid @ resid / max(len(resid), 1) if len(resid) else 0.0
-    c = beta[0] if const else 0.0
-    phi = beta[(1 if const else 0):(1 if const else 0) + p]
-    theta = beta[(1 if const else 0) + p:]
-    hist_w, hist_e = list(w), list(e)
-    out_w = []
-    for h in range(steps):
-        v = c + sum(phi[i] * hist_w[-1 - i] for i in range(p)) + sum(
-            theta[i] * hist_e[-1 - i] for i in range(q) if len(hist_e) > i)
-        out_w.append(v)
-        hist_w.append(v)
-        hist_e.append(0.0)
-    # psi weights of the ARMA part for the forecast variance
-    psi = [1.0]
-    for j in range(1, steps):
-        s = (theta[j - 1] if j - 1 < q else 0.0) + sum(phi[i] * psi[j - 1 - i] for i in range(min(p, j)))
-        psi.append(s)
-    if d == 1:
-        fc = y[-1] + np.cumsum(out_w)
-        cum = np.cumsum(psi)
-        var = sigma2 * np.cumsum(cum ** 2)
-    else:
-        fc = np.array(out_w)
-        var = sigma2 * np.cumsum(np.array(psi) ** 2)
-    return fc, np.sqrt(var)
-
-
 def random_walk(series: DataFrame, key: str, period: str = "t", steps: int = 3) -> DataFrame:
     """FC-6: last value carried forward ``steps`` periods."""
     last = series.groupBy(key).agg(F.max_by("y", period).alias("forecast"), F.max(period).alias("_last"))
