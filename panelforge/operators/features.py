@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
 from panelforge.functions.quantile import grouped_quantiles, median, quantile_scalars, quantiles
+from panelforge.operators.joins import bounded_broadcast
+from panelforge.operators.ordered import positions
+from panelforge.session import materialize
+
+#: Most levels that become columns of their own.
+MAX_DENSE_LEVELS = 1_000
 
 
 # ---------------------------------------------------------------- outliers
@@ -130,17 +136,46 @@ def unscale_minmax(c: Column, lo: Column, hi: Column) -> Column:
 
 
 # ---------------------------------------------------------------- encoding
+def level_index(df: DataFrame, column: str) -> DataFrame:
+    """(level, level_index): the distinct non-null values in order, numbered from 0 across range partitions."""
+    levels = df.select(F.col(column).alias("level")).where("level is not null").distinct()
+    return positions(levels, [], "level").select("level", (F.col("_pos") - 1).alias("level_index"))
+
+
+def one_hot_sparse(df: DataFrame, column: str, name: str | None = None, drop_first: bool = False) -> DataFrame:
+    """ENC-1 / ENC-2 for any number of levels: a sparse vector struct(size, indices, values) per row.
+
+    The levels never reach the driver: their index is a distributed table, joined to the rows
+    (broadcast only below a counted bound; else AQE splits a hot level).  A null and, with
+    ``drop_first``, the first level have no entry.
+    """
+    name = name or f"{column}_vector"
+    index = materialize(level_index(df, column))
+    first = int(drop_first)
+    size = F.greatest(F.lit(0), index.agg(F.count(F.lit(1))).scalar() - first).cast("long")
+    at = F.col("_level_index") - first
+    held = F.coalesce(at >= 0, F.lit(False))
+    vector = F.struct(size.alias("size"), F.when(held, F.array(at)).otherwise(F.array().cast("array<bigint>")).alias("indices"),
+                      F.when(held, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"))
+    side = bounded_broadcast(index.select(F.col("level").alias("_level"), F.col("level_index").alias("_level_index")))
+    return df.join(side, F.col(column) == F.col("_level"), "left").withColumn(name, vector).drop("_level", "_level_index")
+
+
 def one_hot(df: DataFrame, column: str, prefix: str | None = None, drop_first: bool = False,
-            levels: Sequence | None = None) -> DataFrame:
+            levels: Sequence | None = None, max_levels: int = MAX_DENSE_LEVELS) -> DataFrame:
     """ENC-1 / ENC-2: one 0/1 column per distinct value (sorted); optionally drop the first.
 
-    The distinct levels are a small driver round trip (one row per level).
+    Columns are part of the plan, so at most ``max_levels`` of them are made; a column with
+    more levels is an error that names ``one_hot_sparse``.
     """
     prefix = prefix or column
     if levels is None:
         levels = [r[0] for r in df.select(column).distinct().filter(F.col(column).isNotNull())
-                  .orderBy(column).collect()]
-    levels = list(levels)[1:] if drop_first else list(levels)
+                  .orderBy(column).limit(max_levels + 1).collect()]
+    levels = list(levels)
+    if len(levels) > max_levels:
+        raise ValueError(f"{column} has more than {max_levels} levels: use one_hot_sparse")
+    levels = levels[1:] if drop_first else levels
     return df.withColumns({f"{prefix}_{v}": (F.col(column) == F.lit(v)).cast("int") for v in levels})
 
 

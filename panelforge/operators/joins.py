@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
-from panelforge.operators.missing import ffill_bfill
+from panelforge.operators.ordered import earlier, ranges
 
 # Upper bound of rows for which an explicit broadcast hint is allowed.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -66,45 +66,42 @@ def align_both(a: DataFrame, b: DataFrame, key: str, names: tuple[str, str]) ->
 
 
 def nearest_match(treated: DataFrame, control: DataFrame, id_col: str, score: str,
-                  n_buckets: int = 1024) -> DataFrame:
+                  n_ranges: int | None = None) -> DataFrame:
     """JN-7: each treated row → the control with the smallest |Δ score| (with replacement).
 
-    No pairs are formed: both sides are unioned and ordered by score; the
-    nearest control below / above a treated row is a forward / backward fill of
-    the control over that order.  Score buckets split the order into many
-    tasks, a small per-bucket table carries controls across bucket borders.
-    Ties in |Δ| go to the smaller control id (first control wins).
+    No pairs are formed: both sides are unioned and dealt to ranges of the score that hold
+    about equally many rows, however skewed the scores are.  The nearest control below and
+    above a treated row is the last and the next control of its range or, past the border,
+    of the ranges before and after (a scan over one row per range).  Ties in |Δ| go to the
+    smaller control id, equal scores to the smallest.  Without a score or a control there is no match.
     """
-    ctrl = (control.groupBy(F.col(score).alias("_s"))
-            .agg(F.min(id_col).alias("_cid")))  # equal scores: the first control wins
-    st = ctrl.agg(F.struct(F.min("_s").alias("lo"), F.max("_s").alias("hi"))).scalar()
-    t = treated.select(F.col(id_col).alias("_tid"), F.col(score).alias("_s"))
-    u = (ctrl.select("_s", F.lit(0).alias("_side"), F.lit(None).cast(t.schema["_tid"].dataType).alias("_tid"),
-                     F.struct(F.col("_s").alias("s"), F.col("_cid").alias("id")).alias("_c"))
-         .unionByName(t.select("_s", F.lit(1).alias("_side"), "_tid",
-                               F.lit(None).cast("struct<s:double,id:" + ctrl.schema["_cid"].dataType.simpleString()
-                                                + ">").alias("_c"))))
-    width = (st["hi"] - st["lo"]) / n_buckets
-    bucket = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.greatest(F.floor((F.col("_s") - st["lo"]) / width), F.lit(-1)), F.lit(n_buckets)))
-    below = ffill_bfill(u.withColumn("_o", F.struct("_s", "_side")).withColumn("_b", F.col("_c")),
-                        [], "_o", ["_b"], bucket=bucket)
-    # forward fill alone gives "below"; run the mirror order for "above"
-    above = ffill_bfill(u.withColumn("_o", F.struct((-F.col("_s")).alias("ns"), "_side")).withColumn("_a", F.col("_c")),
-                        [], "_o", ["_a"], bucket=-bucket)
-    b = below.filter(F.col("_side") == 1).select("_tid", "_s", "_b")
-    a = above.filter(F.col("_side") == 1).select("_tid", "_a")
-    j = b.join(a, "_tid")
-    db = F.col("_s") - F.col("_b.s")
-    da = F.col("_a.s") - F.col("_s")
-    # after ffill+bfill "_b" may hold a control above when none is below (and vice versa): use |Δ|
-    db, da = F.abs(db), F.abs(da)
-    pick_b = (F.col("_a").isNull() | (db < da) | ((db == da) & (F.col("_b.id") <= F.col("_a.id"))))
-    pick_b = F.col("_b").isNotNull() & pick_b
-    best = F.when(pick_b, F.col("_b")).otherwise(F.col("_a"))
-    return j.select(F.col("_tid").alias(f"treated_{id_col}"), F.col("_s").alias("treated_score"),
-                    best["id"].alias(f"control_{id_col}"), best["s"].alias("control_score"),
-                    F.abs(F.col("_s") - best["s"]).alias("score_diff"))
+    ctrl = (control.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s"))
+            .agg(F.min(id_col).alias("_cid")))
+    ids = ctrl.schema["_cid"].dataType
+    none = F.lit(None).cast("struct<s:double,id:" + ids.simpleString() + ">")
+    t = treated.select(F.col(score).cast("double").alias("_s"), F.lit(1).alias("_side"), F.col(id_col).alias("_tid"),
+                       none.alias("_c"))
+    u = t.unionByName(ctrl.select("_s", F.lit(0).alias("_side"), F.lit(None).cast(t.schema["_tid"].dataType).alias("_tid"),
+                                  F.struct(F.col("_s").alias("s"), F.col("_cid").alias("id")).alias("_c")))
+    order = ["_s", "_side", "_tid"]
+    ranged = ranges(u, [], order, n_ranges)
+    ends = ranged.groupBy("_range").agg(F.max("_c").alias("_hi"), F.min("_c").alias("_lo"))
+    after = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select("_range", F.last("_hi", True).over(earlier([])).alias("_before"),
+                        F.last("_lo", True).over(after).alias("_after"))
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("_range")
+    below = F.last("_c", True).over(inside.orderBy(*order).rowsBetween(*upto))
+    above = F.last("_c", True).over(inside.orderBy(*[F.col(c).desc() for c in order]).rowsBetween(*upto))
+    near = (ranged.withColumns({"_b": below, "_a": above}).filter(F.col("_side") == 1)
+            .join(F.broadcast(carry), "_range")  # one row per range
+            .withColumns({"_b": F.coalesce("_b", "_before"), "_a": F.coalesce("_a", "_after")}))
+    db, da = F.abs(F.col("_s") - F.col("_b.s")), F.abs(F.col("_a.s") - F.col("_s"))
+    pick_b = F.col("_b").isNotNull() & (F.col("_a").isNull() | (db < da) | ((db == da) & (F.col("_b.id") <= F.col("_a.id"))))
+    best = F.when(F.col("_s").isNotNull(), F.when(pick_b, F.col("_b")).otherwise(F.col("_a")))
+    return near.select(F.col("_tid").alias(f"treated_{id_col}"), F.col("_s").alias("treated_score"),
+                       best["id"].alias(f"control_{id_col}"), best["s"].alias("control_score"),
+                       F.abs(F.col("_s") - best["s"]).alias("score_diff"))
 
 
 def group_pairs(stats: DataFrame, group: str) -> DataFrame:

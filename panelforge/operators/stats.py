@@ -17,6 +17,7 @@ from panelforge.functions import dist
 from panelforge.functions import scalar as S
 from panelforge.functions.linalg import ols
 from panelforge.functions.quantile import grouped_quantiles, quantile_scalars
+from panelforge.operators.ordered import average_ranks
 from panelforge.session import materialize
 
 
@@ -70,13 +71,31 @@ def with_p(df: DataFrame, stat: str, dof: Column, name: str = "p_value") -> Data
 
 
 def spearman(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
-    """STA-2: Pearson correlation of average ranks, per feature on its pairwise non-null rows."""
-    out = None
-    for f in features:
-        sub = df.select(F.col(f).cast("double").alias("_x"), F.col(target).cast("double").alias("_y")).dropna()
-        sub = with_average_rank(with_average_rank(sub, "_x", "_rx"), "_y", "_ry")
-        r = sub.agg(F.lit(f).alias("feature"), F.corr("_rx", "_ry").alias("rho"), F.count(F.lit(1)).alias("n"))
-        out = r if out is None else out.unionByName(r)
+    """STA-2: Pearson correlation of average ranks, per feature on its pairwise non-null rows.
+
+    The pairs of all features are stacked and counted; one range partition over (feature,
+    side, value) ranks every column of every feature at once.
+    """
+    pair = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_x"), F.col(target).cast("double").alias("_y"))
+            for f in features]
+    pairs = materialize(df.select(F.explode(F.array(*pair)).alias("s")).select("s.*").dropna()
+                        .groupBy("feature", "_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
+    sides = F.array(*[F.struct(F.lit(s).alias("_side"), F.col(s).alias("_v")) for s in ("_x", "_y")])
+    values = (pairs.select("feature", "_n", F.explode(sides).alias("s")).groupBy("feature", "s._side", "s._v")
+              .agg(F.sum("_n").alias("_t")))
+    ranks = average_ranks(values, ["feature", "_side"], "_v", "_t", "_rank")
+    for s in ("_x", "_y"):
+        own = ranks.where(F.col("_side") == s).select("feature", F.col("_v").alias(s), F.col("_rank").alias(f"_r{s}"))
+        pairs = pairs.join(own, ["feature", s])
+    # the mean rank is (n + 1) / 2 with or without ties, so the sums are centred exactly
+    n = pairs.groupBy("feature").agg(F.sum("_n").alias("n"))
+    dx, dy = (F.col(f"_r{s}") - (F.col("n") + 1) / 2.0 for s in ("_x", "_y"))
+    sums = (pairs.join(F.broadcast(n), "feature").groupBy("feature", "n")
+            .agg(F.sum(F.col("_n") * dx * dy).alias("_xy"), F.sum(F.col("_n") * dx * dx).alias("_xx"),
+                 F.sum(F.col("_n") * dy * dy).alias("_yy")))
+    rho = F.try_divide(F.col("_xy"), F.sqrt(F.col("_xx")) * F.sqrt(F.col("_yy")))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
+    out = names.join(sums, "feature", "left").select("feature", rho.alias("rho"), F.coalesce("n", F.lit(0)).alias("n"))
     return out.withColumn("t", F.col("rho") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("rho") * F.col("rho"))))
 
 

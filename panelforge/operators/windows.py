@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
+from panelforge.operators.ordered import attach, earlier, positions, ranges
+from panelforge.operators.spectral import SHORT_SERIES, lagged_products
+from panelforge.session import materialize
+
+#: Rows per block of a spread window.
+BLOCK_ROWS = 1 << 16
 
 
 def spec(keys: Sequence[str], order: str | Column) -> Window:
@@ -54,10 +60,24 @@ def growth(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str
 
 
 def rolling_mean(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], size: int = 3,
-                 suffix: str = "_roll") -> DataFrame:
-    """WIN-3: trailing ``size``-row mean (min_periods = 1, NULL skipped)."""
-    w = spec(keys, order).rowsBetween(-(size - 1), Window.currentRow)
-    return df.withColumns({f"{c}{suffix}{size}": F.avg(c).over(w) for c in columns})
+                 suffix: str = "_roll", spread: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """WIN-3: trailing ``size``-row mean (min_periods = 1, NULL skipped).
+
+    With ``spread`` rows are numbered across tasks and the window runs per (key, block of
+    positions); the last ``size`` - 1 rows of a block are copied to the next one as its border,
+    so no task holds a hot key and every frame has the same rows as in the plain window.
+    """
+    if not spread:
+        w = spec(keys, order).rowsBetween(-(size - 1), Window.currentRow)
+        return df.withColumns({f"{c}{suffix}{size}": F.avg(c).over(w) for c in columns})
+    rows = max(block_rows, size)
+    at = F.col("_pos") - 1
+    own, border = F.floor(at / rows), at % rows > rows - size
+    homes = F.when(border, F.array(own, own + 1)).otherwise(F.array(own))
+    placed = positions(df, keys, order).select("*", F.posexplode(homes).alias("_copy", "_block"))
+    w = Window.partitionBy(*keys, "_block").orderBy("_pos").rowsBetween(-(size - 1), Window.currentRow)
+    means = {f"{c}{suffix}{size}": F.avg(c).over(w) for c in columns}
+    return placed.withColumns(means).where("_copy = 0").drop("_pos", "_copy", "_block")
 
 
 def first_difference(df: DataFrame, keys: Sequence[str], order: str, column: str, name: str = "diff") -> DataFrame:
@@ -128,12 +148,23 @@ def top_rank(df: DataFrame, order: Column, name: str = "rank", keys: Sequence[st
 
 
 def running_best(df: DataFrame, order: str, value: str, keys: Sequence[str] = (), name: str = "best_so_far",
-                 maximize: bool = True) -> DataFrame:
-    """WIN-10: cumulative max (or min) over the order."""
-    base = Window.partitionBy(*keys).orderBy(order) if keys else Window.orderBy(order)
-    w = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    f = F.max if maximize else F.min
-    return df.withColumn(name, f(value).over(w))
+                 maximize: bool = True, spread: bool = False) -> DataFrame:
+    """WIN-10: cumulative max (or min) over the order.
+
+    With ``spread`` it runs inside ranges of (key, order) and takes the best of the key's
+    earlier ranges from a table of one row per key and range.
+    """
+    f, better = (F.max, F.greatest) if maximize else (F.min, F.least)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if not spread:
+        base = Window.partitionBy(*keys).orderBy(order) if keys else Window.orderBy(order)
+        return df.withColumn(name, f(value).over(base.rowsBetween(*upto)))
+    ranged = ranges(df, keys, [order])
+    carry = (ranged.groupBy(*keys, "_range").agg(f(value).alias("_best"))
+             .select(*keys, "_range", f("_best").over(earlier(keys)).alias("_carry")))
+    inside = f(value).over(Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(*upto))
+    return (attach(ranged.withColumn("_inside", inside), carry, [*keys, "_range"])
+            .withColumn(name, better("_inside", "_carry")).drop("_range", "_inside", "_carry"))
 
 
 def group_transform(df: DataFrame, keys: Sequence[str], column: str, how: str = "avg", name: str | None = None) -> DataFrame:
@@ -146,28 +177,25 @@ def group_transform(df: DataFrame, keys: Sequence[str], column: str, how: str =
     return df.join(stats, keys, "left")
 
 
-def acf(df: DataFrame, keys: Sequence[str], order: str, column: str, max_lag: int | None = None) -> DataFrame:
-    """WIN-12: sample autocorrelation per key at lags 1..L (L = n/2 − 1 by default).
+def acf(df: DataFrame, keys: Sequence[str], order: str, column: str, max_lag: int | None = None,
+        short: int = SHORT_SERIES) -> DataFrame:
+    """WIN-12: sample autocorrelation per key at lags 1..L (L = n/2 − 1 by default, below n always).
 
-    r_k = Σ (x_t − x̄)(x_{t+k} − x̄) / Σ (x_t − x̄)²; rows (key…, lag, acf).
-    Positions come from row_number; the lag pairs are a self-join on position.
+    r_k = Σ (x_t − x̄)(x_{t+k} − x̄) / Σ (x_t − x̄)²; rows (key…, lag, acf).  All lags come from the
+    power spectrum (``spectral``): n log n operations, and a series of more than ``short`` points
+    is spread over many tasks.  A constant series has NULL at every lag.
     """
     keys = list(keys)
-    w = spec(keys, order)
-    base = df.filter(F.col(column).isNotNull()).select(*keys, F.row_number().over(w).alias("_pos"),
-                                                        F.col(column).cast("double").alias("_x"))
-    st = base.groupBy(*keys).agg(F.avg("_x").alias("_mu"), F.count(F.lit(1)).alias("_n"))
-    c = base.join(st, keys).withColumn("_d", F.col("_x") - F.col("_mu"))
-    denom = c.groupBy(*keys).agg(F.sum(F.col("_d") * F.col("_d")).alias("_ss"), F.max("_n").alias("_n"))
-    lim = F.lit(max_lag) if max_lag is not None else (F.floor(F.col("_n") / 2) - 1)
-    lags = denom.select(*keys, "_ss", F.explode(F.sequence(F.lit(1), F.greatest(lim, F.lit(1)))).alias("lag"),
-                        lim.alias("_lim"))
-    a = c.select(*keys, "_pos", "_d")
-    b = c.select(*keys, F.col("_pos").alias("_pos2"), F.col("_d").alias("_d2"))
-    pairs = (a.join(lags, keys).filter(F.col("lag") <= F.col("_lim"))
-             .join(b, [*keys]).filter(F.col("_pos2") == F.col("_pos") + F.col("lag")))
-    return (pairs.groupBy(*keys, "lag").agg(F.sum(F.col("_d") * F.col("_d2")).alias("_num"), F.max("_ss").alias("_ss"))
-            .select(*keys, "lag", F.try_divide(F.col("_num"), F.col("_ss")).alias("acf")))
+    x = df.where(F.col(column).isNotNull()).select(*keys, F.col(order).alias("_order"),
+                                                   F.col(column).cast("double").alias("_x"))
+    placed = materialize(positions(x, keys, "_order").drop("_order"))
+    lim = F.lit(max_lag) if max_lag is not None else F.floor(F.col("_n") / 2) - 1
+    size = placed.groupBy(*keys).agg(F.avg("_x").alias("_mu"), F.count(F.lit(1)).alias("_n"))
+    size = size.withColumn("_lim", F.least(lim, F.col("_n") - 1).cast("long"))
+    centred = attach(placed, size, keys).select(*keys, "_pos", (F.col("_x") - F.col("_mu")).alias("_d"), "_n", "_lim")
+    spread = centred.groupBy(*keys).agg(F.sum(F.col("_d") * F.col("_d")).alias("_ss"))
+    return (attach(lagged_products(centred, keys, short), spread, keys)
+            .select(*keys, F.col("lag").cast("int").alias("lag"), F.try_divide(F.col("num"), F.col("_ss")).alias("acf")))
 
 
 def pacf_from_acf(acf_df: DataFrame, keys: Sequence[str]) -> DataFrame:

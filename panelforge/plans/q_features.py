@@ -169,6 +169,19 @@ def q_enc2(spark, sf_dir):
     return FE.one_hot(e, "event_type", drop_first=True).drop("event_type")
 
 
+@query("enc1_sparse", "ENC-1,ENC-2", """
+WITH x AS (SELECT user_id, dense_rank() OVER (ORDER BY user_id) - 1 AS i FROM (SELECT DISTINCT user_id FROM events))
+SELECT event_id, (SELECT count(*) FROM x) AS size, i AS "index", i - 1 AS index_drop_first
+FROM events LEFT JOIN x USING (user_id)""")
+def q_enc_sparse(spark, sf_dir):
+    """One level per user: vectors instead of columns, with all levels and with the first dropped (-1: no entry)."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id")
+    v = FE.one_hot_sparse(FE.one_hot_sparse(e, "user_id", "v"), "user_id", "w", drop_first=True)
+    entry = F.get("w.indices", F.lit(0))
+    return v.select("event_id", F.col("v.size").alias("size"), F.get("v.indices", F.lit(0)).alias("index"),
+                    F.when(F.col("user_id").isNotNull(), F.coalesce(entry, F.lit(-1))).alias("index_drop_first"))
+
+
 # ------------------------------------------------------------------ composite features
 G1_SQL = with_panel(f"""
 WITH {PP_SQL}

@@ -402,7 +402,7 @@ SELECT event_id, user_id,
 FROM events""")
 def q_win3(spark, sf_dir):
     e = _events_ordered(spark, sf_dir)
-    return windows.rolling_mean(e, ["user_id"], "_ord", ["value"], 3).select("event_id", "user_id", "value_roll3")
+    return windows.rolling_mean(e, ["user_id"], "_ord", ["value"], 3, spread=True).select("event_id", "user_id", "value_roll3")
 
 
 @query("win4_first_difference", "WIN-4", with_panel("""
@@ -450,7 +450,8 @@ SELECT o_orderkey, o_custkey,
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best_so_far FROM orders""")
 def q_win10(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders").withColumn("_ord", F.struct("o_orderdate", "o_orderkey"))
-    return windows.running_best(o, "_ord", "o_totalprice", ["o_custkey"]).select("o_orderkey", "o_custkey", "best_so_far")
+    return windows.running_best(o, "_ord", "o_totalprice", ["o_custkey"], spread=True).select(
+        "o_orderkey", "o_custkey", "best_so_far")
 
 
 @query("win11_group_transform", "WIN-11", """
@@ -473,6 +474,20 @@ def q_win12(spark, sf_dir):
     return windows.acf(panel(spark, sf_dir), ["k"], "yr", "entity_count")
 
 
+@query("win12_acf_daily", "WIN-12", """
+WITH y AS (SELECT o_orderdate AS d, sum(CAST(o_totalprice AS DOUBLE)) AS x FROM orders GROUP BY 1),
+b AS (SELECT row_number() OVER (ORDER BY d) AS pos, x - (SELECT avg(x) FROM y) AS d FROM y),
+l AS (SELECT CAST(unnest(range(1, CAST(floor(count(*) / 2) AS BIGINT))) AS INTEGER) AS lag FROM y)
+SELECT 'orders' AS series, lag, round(sum(a.d * b.d) / (SELECT sum(d * d) FROM b), 6) AS acf
+FROM l, b a JOIN b ON TRUE WHERE b.pos = a.pos + lag GROUP BY lag""")
+def q_win12_daily(spark, sf_dir):
+    """All lags of daily revenue: one long series through the transform in two passes."""
+    daily = (read_table(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").alias("d"))
+             .agg(F.sum(F.col("o_totalprice").cast("double")).alias("x")).withColumn("series", F.lit("orders")))
+    out = windows.acf(daily, ["series"], "d", "x", short=256)
+    return out.withColumn("acf", F.round("acf", 6) + 0.0)
+
+
 @query("win13_pacf", "WIN-13")
 def q_win13(spark, sf_dir):
     return windows.pacf_from_acf(windows.acf(panel(spark, sf_dir), ["k"], "yr", "entity_count"), ["k"])
