@@ -179,14 +179,16 @@ def profiles(df: DataFrame, label: str, features: Sequence[str], eps: float = 1e
 
 
 def name_clusters(df: DataFrame, label: str, key: str, features: Sequence[str]) -> DataFrame:
-    """CLU-7: members (sorted) and the most distinctive feature (largest |mean| of z-scored features)."""
-    members = df.groupBy(label).agg(F.sort_array(F.collect_list(key)).alias("members"),
-                                    F.count(F.lit(1)).alias("size"))
+    """CLU-7: every member with its cluster's size and most distinctive feature (largest |mean| of z-scored features).
+
+    One row per member: a cluster is never gathered, only its size and means are.
+    """
+    size = df.groupBy(label).agg(F.count(F.lit(1)).alias("size"))
     means = df.groupBy(label).agg(*[F.avg(c).alias(c) for c in features]).unpivot(
         [label], list(features), "feature", "mean")
     top = means.groupBy(label).agg(F.max_by("feature", F.struct(F.abs("mean"), F.col("feature"))).alias("top_feature"),
                                    F.max_by("mean", F.struct(F.abs("mean"), F.col("feature"))).alias("top_mean"))
-    return members.join(top, label)
+    return df.select(label, key).join(size.join(top, label), label)
 
 
 def pre_post_by_cluster(df: DataFrame, assignments: DataFrame, key: str, label: str, value: str,

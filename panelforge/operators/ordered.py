@@ -2,9 +2,10 @@
 shifted by the counts of the ranges before.
 
 A range holds about the same number of rows whatever the keys' sizes, so a key with a third
-of all rows is spread over a third of the ranges.  What crosses range borders is a table of
-one row per key and range.  Rows that are equal in key and order share a range: an order
-that names each row once is what lets a hot key spread.
+of all rows is spread over a third of the ranges.  Ranges ascend with the keys, so at most one
+key crosses each border: what is carried over borders has fewer rows than there are ranges
+and is broadcast, however many keys there are.  Rows that are equal in key and order share a
+range: an order that names each row once is what lets a hot key spread.
 """
 
 from __future__ import annotations
@@ -39,6 +40,16 @@ def earlier(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
 
 
+def carry_over(rows: DataFrame, per_range: DataFrame, keys: Sequence[str], **carried: Column) -> DataFrame:
+    """Add ``carried`` columns, taken over ``earlier``, to the rows of ranges that continue a key; null elsewhere.
+
+    ``per_range`` has one row per key and range.  Only ranges that continue a key are joined: one per border at most.
+    """
+    table = (per_range.withColumns({**carried, "_first": F.count(F.lit(1)).over(earlier(keys)) == 0})
+             .where("not _first").select(*keys, "_range", *carried))
+    return attach(rows, F.broadcast(table), [*keys, "_range"])
+
+
 def positions(df: DataFrame, keys: Sequence[str], order: str, name: str = "_pos", n_ranges: int | None = None) -> DataFrame:
     """Add ``name``: the row's place in its key's order, gapless from 1.  Null keys are a key; null orders come first.
 
@@ -46,11 +57,11 @@ def positions(df: DataFrame, keys: Sequence[str], order: str, name: str = "_pos"
     """
     keys = list(keys)
     ranged = ranges(df, keys, [order], n_ranges)
-    before = (ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
-              .select(*keys, "_range", F.coalesce(F.sum("_rows").over(earlier(keys)), F.lit(0)).alias("_before")))
+    per_range = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
     inside = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(order))
-    return (attach(ranged.withColumn("_inside", inside), before, [*keys, "_range"])
-            .withColumn(name, (F.col("_inside") + F.col("_before")).cast("long")).drop("_range", "_inside", "_before"))
+    out = carry_over(ranged.withColumn("_inside", inside), per_range, keys, _before=F.sum("_rows").over(earlier(keys)))
+    return (out.withColumn(name, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("long"))
+            .drop("_range", "_inside", "_before"))
 
 
 def average_ranks(counts: DataFrame, keys: Sequence[str], value: str, n: str, name: str = "avg_rank",
@@ -61,10 +72,9 @@ def average_ranks(counts: DataFrame, keys: Sequence[str], value: str, n: str, na
     """
     keys = list(keys)
     ranged = ranges(counts, keys, [value], n_ranges)
-    before = (ranged.groupBy(*keys, "_range").agg(F.sum(n).alias("_rows"))
-              .select(*keys, "_range", F.coalesce(F.sum("_rows").over(earlier(keys)), F.lit(0)).alias("_before")))
+    per_range = ranged.groupBy(*keys, "_range").agg(F.sum(n).alias("_rows"))
     upto = F.sum(n).over(Window.partitionBy(*keys, "_range").orderBy(value)
                          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (attach(ranged.withColumn("_upto", upto), before, [*keys, "_range"])
-            .withColumn(name, F.col("_before") + F.col("_upto") - (F.col(n) - 1) / 2.0)
+    out = carry_over(ranged.withColumn("_upto", upto), per_range, keys, _before=F.sum("_rows").over(earlier(keys)))
+    return (out.withColumn(name, F.coalesce("_before", F.lit(0)) + F.col("_upto") - (F.col(n) - 1) / 2.0)
             .drop("_range", "_upto", "_before"))

@@ -73,13 +73,13 @@ def with_p(df: DataFrame, stat: str, dof: Column, name: str = "p_value") -> Data
 def spearman(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
     """STA-2: Pearson correlation of average ranks, per feature on its pairwise non-null rows.
 
-    The pairs of all features are stacked and counted; one range partition over (feature,
-    side, value) ranks every column of every feature at once.
+    The pairs of all features are stacked; one range partition over (feature, side, value)
+    ranks every column of every feature at once.  ``df`` is read three times: write it first
+    if it is dear.
     """
     pair = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_x"), F.col(target).cast("double").alias("_y"))
             for f in features]
-    pairs = materialize(df.select(F.explode(F.array(*pair)).alias("s")).select("s.*").dropna()
-                        .groupBy("feature", "_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
+    pairs = df.select(F.explode(F.array(*pair)).alias("s")).select("s.*").dropna().withColumn("_n", F.lit(1))
     sides = F.array(*[F.struct(F.lit(s).alias("_side"), F.col(s).alias("_v")) for s in ("_x", "_y")])
     values = (pairs.select("feature", "_n", F.explode(sides).alias("s")).groupBy("feature", "s._side", "s._v")
               .agg(F.sum("_n").alias("_t")))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
-from panelforge.operators.ordered import attach, earlier, positions, ranges
+from panelforge.functions.quantile import grouped_quantiles
+from panelforge.operators.ordered import attach, carry_over, earlier, positions, ranges
 from panelforge.operators.spectral import SHORT_SERIES, lagged_products
 from panelforge.session import materialize
 
@@ -151,8 +152,8 @@ def running_best(df: DataFrame, order: str, value: str, keys: Sequence[str] = ()
                  maximize: bool = True, spread: bool = False) -> DataFrame:
     """WIN-10: cumulative max (or min) over the order.
 
-    With ``spread`` it runs inside ranges of (key, order) and takes the best of the key's
-    earlier ranges from a table of one row per key and range.
+    With ``spread`` it runs inside ranges of (key, order); a range that continues a key takes
+    the best of the key's earlier ranges.
     """
     f, better = (F.max, F.greatest) if maximize else (F.min, F.least)
     upto = (Window.unboundedPreceding, Window.currentRow)
@@ -160,10 +161,9 @@ def running_best(df: DataFrame, order: str, value: str, keys: Sequence[str] = ()
         base = Window.partitionBy(*keys).orderBy(order) if keys else Window.orderBy(order)
         return df.withColumn(name, f(value).over(base.rowsBetween(*upto)))
     ranged = ranges(df, keys, [order])
-    carry = (ranged.groupBy(*keys, "_range").agg(f(value).alias("_best"))
-             .select(*keys, "_range", f("_best").over(earlier(keys)).alias("_carry")))
+    per_range = ranged.groupBy(*keys, "_range").agg(f(value).alias("_best"))
     inside = f(value).over(Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(*upto))
-    return (attach(ranged.withColumn("_inside", inside), carry, [*keys, "_range"])
+    return (carry_over(ranged.withColumn("_inside", inside), per_range, keys, _carry=f("_best").over(earlier(keys)))
             .withColumn(name, better("_inside", "_carry")).drop("_range", "_inside", "_carry"))
 
 
@@ -171,9 +171,11 @@ def group_transform(df: DataFrame, keys: Sequence[str], column: str, how: str =
     """WIN-11: per-key statistic beside each row (grouped aggregate joined back)."""
     keys = list(keys)
     name = name or f"{column}_{how}"
-    agg = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count,
-           "std": F.stddev_samp, "median": lambda c: F.percentile(F.col(c).cast("double"), F.lit(0.5))}[how]
-    stats = df.groupBy(*keys).agg(agg(column).alias(name))
+    if how == "median":
+        stats = grouped_quantiles(df, column, [0.5], keys).withColumnRenamed("q0", name)
+    else:
+        agg = {"avg": F.avg, "sum": F.sum, "min": F.min, "max": F.max, "count": F.count, "std": F.stddev_samp}[how]
+        stats = df.groupBy(*keys).agg(agg(column).alias(name))
     return df.join(stats, keys, "left")
 
 

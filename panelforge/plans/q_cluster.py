@@ -94,12 +94,12 @@ def q_clu6(spark, sf_dir):
 @query("clu7_name_clusters", "CLU-7", """
 WITH e AS (SELECT vec_id, label, """ + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS d{i}" for i in _D) + """
            FROM embeddings),
-mem AS (SELECT label, list_sort(list(vec_id)) AS members, count(*) AS size FROM e GROUP BY label),
+mem AS (SELECT label, count(*) AS size FROM e GROUP BY label),
 m AS (SELECT label, """ + ", ".join(f"avg(d{i}) AS d{i}" for i in _D) + """ FROM e GROUP BY label),
 l AS (UNPIVOT m ON """ + ", ".join(f"d{i}" for i in _D) + """ INTO NAME feature VALUE mean),
 t AS (SELECT label, arg_max(feature, (abs(mean), feature)) AS top_feature, arg_max(mean, (abs(mean), feature)) AS top_mean
       FROM l GROUP BY label)
-SELECT mem.label, members, size, top_feature, top_mean FROM mem JOIN t USING (label)""")
+SELECT label, vec_id, size, top_feature, top_mean FROM e JOIN mem USING (label) JOIN t USING (label)""")
 def q_clu7(spark, sf_dir):
     return CL.name_clusters(_emb_dims(spark, sf_dir), "label", "vec_id", [f"d{i}" for i in _D])
 
@@ -117,7 +117,7 @@ def q_clu8(spark, sf_dir):
 @query("clu9_bootstrap_stability", "CLU-9")
 def q_clu9(spark, sf_dir):
     e = materialize(_emb(spark, sf_dir))
-    draws = CL.bootstrap_stability(e, 2, n_boot=10)
+    draws = CL.bootstrap_stability(e, 2)
     return draws.agg(F.avg("silhouette").alias("silhouette_mean"), F.stddev_samp("silhouette").alias("silhouette_std"),
                      F.count(F.lit(1)).alias("n_draws"))
 

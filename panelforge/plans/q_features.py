@@ -253,12 +253,21 @@ def q_fea_g2(spark, sf_dir):
                       "unicorn_pipeline", "funding_per_deal", "year_idx", "strong_recovery", "high_innovation")
 
 
-@query("fea11_feature_list", "FEA-11")
+_LISTED = ["funding_scaled", "disc_scaled", "density", "intensity", "period", "period_during", "period_post",
+           "period_pre"]
+
+
+@query("fea11_feature_list", "FEA-11", with_panel(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{n}' AS feature, count({n.removesuffix('_scaled').split('_')[0]}) AS n_values FROM panel"
+    for i, n in enumerate(_LISTED))))
 def q_fea11(spark, sf_dir):
+    """The list with the number of rows that have a value, from one aggregate over the frame."""
     p = FE.zscore(proxied_panel(spark, sf_dir), ["funding", "disc"])
     p = FE.one_hot(p, "period", "period")
     names = FE.feature_list(p, ["density", "intensity", "period"])
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, feature string")
+    counts = p.agg(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("feature"), F.count(n).alias("n_values")).alias(f"f{i}")
+                     for i, n in enumerate(names)])
+    return counts.select(F.inline(F.array(*counts.columns)))
 
 
 @query("fea12_feature_summary", "FEA-12", with_panel(" UNION ALL ".join(f"""

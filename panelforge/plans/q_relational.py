@@ -234,11 +234,10 @@ def q_agg6(spark, sf_dir):
 SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.01) AS p01,
        quantile_cont(l_extendedprice, 0.99) AS p99 FROM lineitem GROUP BY l_returnflag""")
 def q_agg7(spark, sf_dir):
-    from panelforge.functions.quantile import quantiles
+    from panelforge.functions.quantile import grouped_quantiles
     li = read_table(spark, sf_dir, "lineitem")
-    q = li.groupBy("l_returnflag").agg(quantiles("l_extendedprice", [0.5, 0.01, 0.99]).alias("q"))
-    return q.select("l_returnflag", F.col("q")[0].alias("median"), F.col("q")[1].alias("p01"),
-                    F.col("q")[2].alias("p99"))
+    q = grouped_quantiles(li, "l_extendedprice", [0.5, 0.01, 0.99], ["l_returnflag"])
+    return q.withColumnsRenamed({"q0": "median", "q1": "p01", "q2": "p99"})
 
 
 @query("agg8_var_std", "AGG-8", """
@@ -576,8 +575,8 @@ SELECT event_id, value - (SELECT quantile_cont(value, 0.5) FROM events) AS dev_f
        value / (SELECT max(value) FROM events) AS share_of_max FROM events""")
 def q_jn9(spark, sf_dir):
     """Global scalars attached to every row as scalar subqueries (no cross join, no global window)."""
-    from panelforge.functions.quantile import median
+    from panelforge.functions.quantile import quantile_scalars
     e = read_table(spark, sf_dir, "events")
-    st = e.agg(F.struct(median("value").alias("med"), F.max("value").alias("mx"))).scalar()
-    return e.select("event_id", (F.col("value") - st["med"]).alias("dev_from_median"),
-                    F.try_divide(F.col("value"), st["mx"]).alias("share_of_max"))
+    median = quantile_scalars(e, ["value"], [0.5])["value"][0]
+    return e.select("event_id", (F.col("value") - median).alias("dev_from_median"),
+                    F.try_divide(F.col("value"), e.agg(F.max("value")).scalar()).alias("share_of_max"))

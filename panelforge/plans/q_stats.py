@@ -25,12 +25,28 @@ def q_sta1(spark, sf_dir):
     return ST.pearson(_li(spark, sf_dir), "l_extendedprice", _FEATS)
 
 
-@query("sta1_pearson_pvalues", "STA-1,PRJ-13,STA-19")
+@query("sta1_pearson_pvalues", "STA-1,PRJ-13")
 def q_sta1p(spark, sf_dir):
     r = ST.with_p(ST.pearson(_li(spark, sf_dir), "l_extendedprice", _FEATS), "t", F.col("n") - 2)
     return r.withColumn("stars", S.stars("p_value"))
 
 
+_PANEL = ["entity_count", "disc", "tax", "density", "big_deals", "volume", "price", "intensity"]
+
+
+@query("sta19_significant_features", "STA-19", with_panel("""
+WITH r AS (""" + " UNION ALL ".join(f"""
+SELECT '{f}' AS feature, corr({f}, funding) AS r, count(*) FILTER (WHERE {f} IS NOT NULL AND funding IS NOT NULL) AS n
+FROM panel""" for f in _PANEL) + """)
+SELECT feature, r, n FROM r
+-- the 5 % point of Student's t from the normal one, first terms of its expansion
+WHERE abs(r) * sqrt((n - 2) / (1 - r * r)) > 1.959964 + (1.959964 ** 3 + 1.959964) / (4 * (n - 2))"""))
+def q_sta19(spark, sf_dir):
+    """Features whose correlation with funding differs from zero at 5 %."""
+    tests = ST.with_p(ST.pearson(panel(spark, sf_dir), "funding", _PANEL), "t", F.col("n") - 2)
+    return ST.significant(tests).select("feature", "r", "n")
+
+
 def _rank_sql(col: str, src: str) -> str:
     return f"rank() OVER (ORDER BY {col}) + (count(*) OVER (PARTITION BY {col}) - 1) / 2.0"
 
