@@ -20,10 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import hand_back, share, tidy
-
 from panelforge.llm.tokencount import slices
 
-#: Documents that the linear scorer is fitted on, chosen by a hash of doc_id; at most twice as many.
+#: Documents that the linear scorer is fitted on, chosen by a hash of doc_id and text; at most twice as many.
 SAMPLE = 4_000
 WORD_CELLS, SHAPE_CELLS = 1 << 15, 1 << 12
 #: Documents whose score is below are rejected.
@@ -52,16 +51,39 @@ _SYMBOL = _byte_set(b"#$%&*+/<=>@\\^_`{|}~")
 _MARK = _SYMBOL | _byte_set(b"!\"'(),-.:;?[]")
 
 
+class Distinct:
+    """Number of distinct words in bounded memory.
+
+    Exact up to ``most`` words; beyond, only words whose checksum ends in ``level`` zero bits
+    are remembered and stand for 2^level each (an error of about 0.3 %).
+    """
+
+    def __init__(self, most: int = _REMEMBERED):
+        self.most, self.level, self.words = most, 0, set()
+
+    def add(self, words: list[str]) -> None:
+        self.words.update(self._chosen(words) if self.level else words)
+        while len(self.words) > self.most:
+            self.level += 1
+            self.words = set(self._chosen(self.words))
+
+    def _chosen(self, words):
+        mask = (1 << self.level) - 1
+        return (w for w in words if not zlib.crc32(w.encode("utf-8", "replace")) & mask)
+
+    def __len__(self) -> int:
+        return len(self.words) << self.level
+
+
 def votes(text: str | None) -> str:
     """One character per labeller: 1 good, 0 bad, 2 abstains.  Texts under 5 words only get votes on their form."""
     n = repeated = functions = separators = upper = letters = bangs = symbols = chars = suffixes = 0
-    seen: set[str] = set()
+    seen = Distinct()
     for part in slices(text or ""):
         words = part.split()
         n += len(words)
         repeated += sum(map(eq, words, words[1:]))
-        if len(seen) < _REMEMBERED:
-            seen.update(words)
+        seen.add(words)
         functions += sum(map(_CASED.__contains__, words))
         x = np.frombuffer(part.encode("utf-8", "replace") + b"\n", np.uint8)
         counts = np.bincount(x, minlength=256)
@@ -83,7 +105,7 @@ def votes(text: str | None) -> str:
     short = n < 5
     return "".join((
         "2" if short else vote(repeated / n, 0.05, 0.3),
-        "2" if n < 50 else vote(n / max(1, min(len(seen), _REMEMBERED)) / np.log2(n + 2), 0.8, 3.0),
+        "2" if n < 50 else vote(n / max(1, len(seen)) / np.log2(n + 2), 0.8, 3.0),
         vote(upper / max(1, letters), 0.2, 0.6),
         vote(bangs / n, 0.05, 0.5),
         vote(symbols / max(1, chars), 0.03, 0.12),
@@ -166,6 +188,17 @@ def _sparse(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.array(list(counts), np.int32), np.array(list(counts.values()), float) / max(1, n)
 
 
+def sampled(texts: DataFrame, total: int) -> DataFrame:
+    """(text): about SAMPLE of ``total`` rows(doc_id, text), those with the smallest hashes of id and text.
+
+    Rows without an id differ by their texts.  Rows equal in both come in together, and if
+    that gives more than twice SAMPLE rows, the smallest hashes stay.
+    """
+    cut_off = min(1 << 30, int((1 << 30) * SAMPLE / max(1, total)) + 1)
+    return (texts.withColumn("_h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))).where(F.col("_h") < cut_off)
+            .orderBy("_h", "text").limit(2 * SAMPLE).select("text"))
+
+
 def fit(docs: DataFrame) -> Model:
     """Accuracies from the votes of all rows, and a scorer from a bounded sample of them."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -182,8 +215,6 @@ def fit(docs: DataFrame) -> Model:
     patterns = {r["pattern"]: r["n"] for r in texts.select("text").mapInArrow(tidy(vote), "pattern string, n long")
                 .groupBy("pattern").agg(F.sum("n").alias("n")).collect()}
     good, table, posterior = accuracies(patterns)
-    total = max(1, sum(patterns.values()))
-    cut_off = min(1 << 30, int((1 << 30) * SAMPLE / total) + 1)
 
     def describe(batches):
         for batch in batches:
@@ -196,7 +227,7 @@ def fit(docs: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(cells, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float64())),
                                               pa.array(post, pa.float64())], ["cells", "shares", "post"])
 
-    sample = (texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < cut_off).limit(2 * SAMPLE).select("text")
+    sample = (sampled(texts, sum(patterns.values()))
               .mapInArrow(tidy(describe), "cells array<int>, shares array<double>, post double").toArrow().combine_chunks())
     weights, bias = _linear(*(c.chunk(0) if c.num_chunks else None for c in sample.columns)) if sample.num_rows else _linear()
     del sample

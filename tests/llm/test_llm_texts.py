@@ -335,3 +335,24 @@ def test_letters_of_all_planes():
     from panelforge.llm.langid import letters
     assert (letters("\U00030000\U00030001\U000323AF") != 0).sum() == 3
     assert (letters("12 \U0001F600 !") != 0).sum() == 0
+
+
+def test_distinct_words_beyond_what_is_remembered():
+    from panelforge.llm.quality import Distinct
+    exact, spread = Distinct(1000), Distinct(1000)
+    for i in range(0, 50_000, 500):
+        exact.add([f"w{j % 900}" for j in range(i, i + 500)])
+        spread.add([f"word{j}" for j in range(i, i + 500)] * 2)
+    assert len(exact) == 900 and len(spread.words) <= 1000
+    assert abs(len(spread) - 50_000) < 0.15 * 50_000
+
+
+def test_sample_takes_rows_without_ids_like_others(spark):
+    from panelforge.llm.quality import SAMPLE, sampled
+    rows = spark.range(22_000).selectExpr("if(id < 10000, null, id) as doc_id", "concat('text ', id) as text")
+    got = sampled(rows, 22_000).collect()
+    without = sum(int(r.text.split()[1]) < 10_000 for r in got)
+    assert 0.9 * SAMPLE < len(got) < 1.1 * SAMPLE and 0.4 < without / len(got) < 0.51
+    assert sorted(got) == sorted(sampled(rows.repartition(7), 22_000).collect())
+    same = spark.range(9000).selectExpr("cast(null as long) as doc_id", "'one' as text")
+    assert sampled(same, 9000).count() <= 2 * SAMPLE
