@@ -3,7 +3,8 @@
 Documents that share a group key (here: equal texts) are linked with each other.  The
 links are never listed: a group's vote is its number of members in every shard, so the
 state of the propagation is (key, shard, n), at most one row per group and shard however
-many documents a group has.  In each round portions of a group move to the shards that
+many documents a group has.  Rounds go on until no row moves or two of them in turn cut no link
+less than the best before; that best is taken.  In each round portions of a group move to the shards that
 hold most of it, as far as the target's free capacity (quota) allows; documents without
 links fill what is left, which makes the row counts exact.
 """
@@ -21,7 +22,7 @@ SUBGROUPS = 512
 QUOTA_PARTS = 64
 
 
-def shard_rows(rows: DataFrame, shards: int, rounds: int = 6) -> DataFrame:
+def shard_rows(rows: DataFrame, shards: int) -> DataFrame:
     """Add shard (int) and slot (long, gapless from 0 in each shard) to rows(doc_id, key, ...).
 
     Row counts of shards differ by one at most.  Rows with equal non-null keys are linked;
@@ -37,10 +38,7 @@ def shard_rows(rows: DataFrame, shards: int, rounds: int = 6) -> DataFrame:
     sub = cut(sub.join(sizes, "key"))
     state = cut(sub.withColumn("shard", F.pmod(F.xxhash64("key", "_sub"), F.lit(shards)).cast("int"))
                 .groupBy("key", "shard").agg(F.sum("n").alias("n")))
-    for _ in range(rounds):
-        state, moved = _round(state, capacity)
-        if not moved:
-            break
+    state = _propagated(state, capacity)
     linked = _placed(rows, sub, state)
     load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # one row a shard
     kept = [min(load.get(s, 0), capacity[s]) for s in range(shards)]
@@ -74,6 +72,25 @@ def _by_shard(shard: Column, values: list[int]) -> Column:
     return F.get(_longs(values), shard)
 
 
+def _propagated(state: DataFrame, capacity: list[int]) -> DataFrame:
+    """The state with the fewest cut links that rounds of moves reach."""
+    best, kept, idle = state, _inside(state), 0
+    while idle < 2:
+        state, moved = _round(state, capacity)
+        if not moved:
+            break
+        now = _inside(state)
+        idle = 0 if now > kept else idle + 1
+        if now > kept:
+            best, kept = state, now
+    return best
+
+
+def _inside(state: DataFrame) -> float:
+    """Links inside shards, but for a constant: the sum of the squared portions."""
+    return state.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0.0
+
+
 def _round(state: DataFrame, capacity: list[int]) -> tuple[DataFrame, int]:
     """One round of moves under quotas; (new state, rows moved)."""
     shards = len(capacity)
@@ -134,7 +151,7 @@ def _placed(rows: DataFrame, sub: DataFrame, state: DataFrame) -> DataFrame:
     return cut(own.unionByName(rows.where("key is null").withColumn("shard", F.lit(None).cast("int"))))
 
 
-def document_shards(docs: DataFrame, shards: int = 40, rounds: int = 6) -> DataFrame:
+def document_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
     """All documents in shards 0 to ``shards`` - 1 under the law ``rows``; documents with equal texts are linked.
 
     Returns doc_id, size (UTF-8 bytes of the text plus 16; a null text has none), text_crc32
@@ -147,6 +164,6 @@ def document_shards(docs: DataFrame, shards: int = 40, rounds: int = 6) -> DataF
                        (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
                        F.md5(text.cast("binary")).alias("key"))
-    out = shard_rows(rows, shards, rounds)
+    out = shard_rows(rows, shards)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, sig long, n long, v string, key string"
 
@@ -192,3 +193,15 @@ def test_vectors_of_any_magnitude_are_linked(spark):
     got = {r.vec_id: r for r in similar_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
     assert len(got) == len(rows) and got[50].n_links == 0 and got[56].n_links == 0
     assert all(got[i].n_links == 4 and got[i].component_id == 51 for i in (51, 52, 53, 54, 55))
+
+
+def test_propagation_runs_until_the_cut_stays(spark):
+    from panelforge.llm.sharding import cut_links, document_shards
+    texts = [f"group {i % 60}" for i in range(1200)] + [f"alone {i}" for i in range(400)] + [None] * 7
+    docs = spark.createDataFrame([(i if i % 13 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = document_shards(docs, 8)
+    links = cut_links(out.withColumn("key", F.col("text_crc32"))).first()
+    assert links.links == 60 * 190 and links.across <= 0.1 * links.links
+    sizes = [r["count"] for r in out.groupBy("shard").count().collect()]
+    assert len(sizes) == 8 and max(sizes) - min(sizes) <= 1
+    assert document_shards(docs.limit(0), 8).count() == 0
