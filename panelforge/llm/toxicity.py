@@ -24,8 +24,6 @@ from panelforge.llm.tokencount import slices
 
 #: Labelled rows that the lexicon and the model are fitted on: those with the smallest hash of doc_id.
 TRAINING_ROWS = 30_000
-#: Harmless look-alikes, the most frequent first.
-LOOK_ALIKES = 50_000
 #: A term stands in this many unlike toxic documents and its likelihood ratio against chance is this high.
 MIN_DOCUMENTS, MIN_RATIO = 6, 30.0
 THRESHOLD = 0.3
@@ -348,12 +346,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         matches = _Matches(FuzzyLexicon(shared()))
         return lambda w: (matches[w] or (0.0, 0, 0.0))[1] > 0
 
-    # look-alikes come from other rows than the weights, so that the weights see unknown look-alikes as they occur
+    # all harmless look-alikes of the bounded training rows; they come from other rows than the weights, so that the weights see unknown look-alikes as they occur
     own = {r["toxic"]: r["n"] for r in rows.where("fold = 0").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     alike = [_counted(rows.where(f"toxic = {k} and fold = 0"), look_alike, _SPELLED).withColumnRenamed("n", f"n{k}") for k in (0, 1)]
     both = alike[0].join(alike[1], "word", "left").withColumn("n1", F.coalesce("n1", F.lit(0)))
     cleaner = (F.col("n1") == 0) | (F.col("n0") * own.get(1, 0) > F.col("n1") * own.get(0, 0))
-    harmless = frozenset(r["word"] for r in both.where(cleaner).orderBy(F.desc("n0"), "word").limit(LOOK_ALIKES).collect())
+    harmless = frozenset(r["word"] for r in both.where(cleaner).select("word").collect())
     model = Model(terms, harmless, prior, (0.0, 0.0, 0.0))
     held = share(spark, model)
 
