@@ -278,6 +278,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: list[str], bound: int = DICTIO
     def run(batches):
         known, own = shared()
         encoder, decoder = Encoder(known, own), Decoder(own.surface)
+        del known  # the encoder has its own copy
         for batch in _sliced(batches):
             texts = batch.column("text").to_pylist()
             parts = [encoder.ids(t or "") for t in texts]
