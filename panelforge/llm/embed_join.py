@@ -1,11 +1,13 @@
 """Similar vectors by an epsilon grid order join.
 
 Unit vectors whose cosine reaches the threshold lie within epsilon = sqrt(2 - 2 * threshold).
-The leading principal coordinates of the vectors are cut into cells of side epsilon and all
-vectors are sorted by cell; the sorted sequence is cut into blocks.  Pairs of sequence
-intervals are refined recursively, from whole labels down to blocks, and a pair whose
-bounding boxes lie further apart than epsilon is skipped with all it contains.  Only the
-block pairs that remain are compared, as matrices inside tasks.
+The leading principal coordinates of the vectors, on axes of their own label, are cut into
+cells of side epsilon and all vectors are sorted by cell; the sorted sequence is cut into
+blocks.  Pairs of sequence intervals are refined recursively, from whole labels down to
+blocks, and a pair whose bounding boxes lie further apart than epsilon is skipped with all it
+contains; the boxes hold the norm of the remaining coordinates as one more dimension.  The
+block pairs that remain are compared as matrices inside tasks, where one task takes all pairs
+between two intervals of blocks, so a vector is sent once to each interval it may link with.
 
 Equal vectors form one class with a multiplicity; a block pair hands out, per class, a
 count of partners, and as few links as connect what it found, never all pairs.
@@ -17,31 +19,46 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import cut, list_array, partitions
 from panelforge.llm.graph import components
 
 BLOCK = 512
-#: Vectors that the principal axes are fitted on; the axes steer what is skipped, never what is found.
-AXES_SAMPLE = 4096
-#: Sequence intervals are refined by this power of two at a time.
+#: Vectors (about) that the axes of one label are fitted on; axes steer what is skipped, never what is found.
+AXES_SAMPLE = 2048
+#: The largest labels with axes of their own; vectors of the others use the axes of all vectors.
+AXES_LABELS = 256
+#: Sequence intervals are refined by this power of two at a time; the last step's intervals are what a task compares.
 FAN_BITS = 4
 _SEQ_BITS = 24
 
 
-def principal_axes(classes: DataFrame, leading: int) -> np.ndarray:
-    """Leading principal axes (rows) of unit vectors, from a bounded sample; of the most common length only."""
-    rows = classes.orderBy(F.xxhash64("sig")).limit(AXES_SAMPLE).select("v").toPandas()["v"]
-    if not len(rows):
-        return np.zeros((0, 0))
-    lengths = rows.map(len)
-    width = int(lengths.mode()[0])
-    x = np.array([np.asarray(v, float) for v in rows[lengths == width]])
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    _, vectors = np.linalg.eigh(np.cov(x.T, bias=True).reshape(width, width))
-    return vectors[:, ::-1][:, :leading].T
+def principal_axes(classes: DataFrame, leading: int) -> dict[tuple[str | None, int], np.ndarray]:
+    """Leading principal axes (rows) of unit vectors by (label, length), and by (None, length) of all labels together.
+
+    Fitted in tasks on bounded samples by hash; at most ``AXES_LABELS`` small matrices a kind reach the driver.
+    """
+    def fit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        x = np.array([np.asarray(v.values.to_numpy(), float) for v in table.column("v")])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        _, vectors = np.linalg.eigh(np.cov(x.T, bias=True).reshape(x.shape[1], x.shape[1]))
+        axes = np.ascontiguousarray(vectors[:, ::-1][:, :leading].T).ravel()
+        return pa.table({"label": pa.array([key[0].as_py()], pa.string()), "width": pa.array([x.shape[1]], pa.int32()),
+                         "axes": list_array([axes], pa.float64())})
+
+    out = {}
+    for label in (F.col("label"), F.lit(None).cast("string")):
+        rows = classes.select(label.alias("label"), F.size("v").alias("width"), "sig", "v")
+        largest = (rows.groupBy(F.col("label").alias("_label"), F.col("width").alias("_width")).agg(F.count(F.lit(1)).alias("_n"))
+                   .orderBy(F.desc("_n"), "_label", "_width").limit(AXES_LABELS))
+        drawn = F.pmod(F.xxhash64(F.lit(11), "sig"), F.lit(1 << 20)) * F.col("_n") < (AXES_SAMPLE << 20)
+        sample = rows.join(F.broadcast(largest), F.col("label").eqNullSafe(F.col("_label")) & (F.col("width") == F.col("_width")))
+        found = (sample.where(drawn).select("label", "width", "v").groupBy("label", "width")
+                 .applyInArrow(fit, "label string, width int, axes array<double>"))
+        out |= {(r.label, r.width): np.array(r.axes).reshape(-1, r.width) for r in found.collect()}
+    return out
 
 
 def _scaled(v: Column) -> Column:
@@ -53,7 +70,7 @@ def _scaled(v: Column) -> Column:
     return F.transform(v, lambda x: x * one * two)
 
 
-def similar_vectors(vectors: DataFrame, threshold: float = 0.93, leading: int = 6) -> DataFrame:
+def similar_vectors(vectors: DataFrame, threshold: float = 0.93, leading: int = 8) -> DataFrame:
     """Links of all vectors with equal labels and a cosine of at least ``threshold``, one row per input row.
 
     Returns vec_id, n_links (other rows linked directly), component_id (smallest vec_id
@@ -75,7 +92,7 @@ def similar_vectors(vectors: DataFrame, threshold: float = 0.93, leading: int =
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("mult"), F.first("label").alias("label"),
         F.first("v").alias("v")))
     epsilon = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
-    sequence = cut(_grid_order(classes, principal_axes(classes, leading), epsilon))
+    sequence = _grid_order(classes, principal_axes(classes, leading), leading, epsilon)
     pairs = _block_pairs(sequence, epsilon)
     found = cut(_compared(sequence, pairs, threshold))
     partners = found.where("b is null").groupBy(F.col("a").alias("sig")).agg(F.sum("n").alias("partners"))
@@ -92,20 +109,24 @@ def similar_vectors(vectors: DataFrame, threshold: float = 0.93, leading: int =
     return placed.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _grid_order(classes: DataFrame, axes: np.ndarray, epsilon: float) -> DataFrame:
-    """Classes with their leading coordinates p and the block of the grid order they fall into."""
-    leading = max(1, len(axes))
+def _grid_order(classes: DataFrame, axes: dict[tuple[str | None, int], np.ndarray], leading: int, epsilon: float) -> DataFrame:
+    """Classes with leading coordinates and residual norm p, and the block of the grid order they fall into, from 0 without gaps."""
+    none = np.zeros((0, 0))
 
     def project(batches):
         for batch in batches:
             coordinates, cells = [], []
-            for own in batch.column("v"):
+            for label, own in zip(batch.column("label").to_pylist(), batch.column("v"), strict=True):
                 x = np.asarray(own.values.to_numpy(), float)
-                p = np.zeros(leading)
-                if len(axes) and len(x) == axes.shape[1]:
-                    p = axes @ (x / np.linalg.norm(x))
+                x = x / np.linalg.norm(x)
+                p = np.zeros(leading + 1)
+                lead = axes.get((label, len(x)), axes.get((None, len(x)), none))
+                if len(lead):
+                    p[: len(lead)] = lead @ x
+                    x = x - p[: len(lead)] @ lead
+                p[leading] = np.linalg.norm(x)
                 coordinates.append(p)
-                cells.append(np.floor(p / epsilon))
+                cells.append(np.floor(p[:leading] / epsilon))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, list_array(coordinates, pa.float64()),
                  list_array([c.astype(np.int32) for c in cells], pa.int32())], [*batch.schema.names, "p", "cell"])
@@ -132,12 +153,20 @@ def _grid_order(classes: DataFrame, axes: np.ndarray, epsilon: float) -> DataFra
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())],
                                              [*batch.schema.names, "block"])
 
-    return placed.mapInArrow(block, f"{kinds}, p array<double>, cell array<int>, width int, block long").drop("cell")
+    placed = cut(placed.mapInArrow(block, f"{kinds}, p array<double>, cell array<int>, width int, block long").drop("cell"))
+    # one row a range, so at most the number of partitions
+    ranges = placed.groupBy(F.shiftright("block", _SEQ_BITS).alias("_range")).agg(
+        ((F.max("block") % (1 << _SEQ_BITS)) + 1).alias("_blocks"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = cut(ranges.select("_range", F.coalesce(F.sum("_blocks").over(before), F.lit(0)).alias("_before")))
+    return (placed.join(F.broadcast(ranges), F.shiftright("block", _SEQ_BITS) == F.col("_range"))
+            .withColumn("block", F.col("_before") + F.col("block") % (1 << _SEQ_BITS)).drop("_range", "_before"))
 
 
 def _block_pairs(sequence: DataFrame, epsilon: float) -> DataFrame:
     """Pairs of blocks (i <= j) that may hold vectors within epsilon, by recursive refinement of intervals."""
-    leading = len(sequence.select("p").first()[0]) if sequence.take(1) else 1
+    some = sequence.select("p").first()
+    leading = len(some[0]) if some else 1
     box = [F.min(F.get("p", F.lit(d))).alias(f"lo{d}") for d in range(leading)]
     box += [F.max(F.get("p", F.lit(d))).alias(f"hi{d}") for d in range(leading)]
     blocks = cut(sequence.groupBy("label", "width", "block").agg(*box))
@@ -165,33 +194,51 @@ def _block_pairs(sequence: DataFrame, epsilon: float) -> DataFrame:
 
 
 def _compared(sequence: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, n): with b null, a has n partner rows in a block pair; else a link that connects what was found."""
-    own = sequence.select("block", "sig", "mult", "v")
-    left = own.join(pairs, own["block"] == pairs["i"]).select("i", "j", F.lit(0).alias("side"), "sig", "mult", "v")
-    right = (own.join(pairs.where("i != j"), own["block"] == F.col("j"))
-             .select("i", "j", F.lit(1).alias("side"), "sig", "mult", "v"))
+    """(a, b, n): with b null, a has n partner rows in two intervals of blocks; else a link that connects what was found."""
+    fan = 1 << FAN_BITS
+    tile = [F.shiftright("i", FAN_BITS).alias("ti"), F.shiftright("j", FAN_BITS).alias("tj")]
+    partner = F.lit(2).cast("double") ** (F.col("j") % fan)
+    needed = (pairs.select(*tile, F.col("i").alias("block"), partner.cast("int").alias("m"))
+              .union(pairs.select(*tile, F.col("j").alias("block"), F.lit(0).alias("m")))
+              .groupBy("ti", "tj", "block").agg(F.bit_or("m").alias("partners")))
+    rows = sequence.select("block", "sig", "mult", "v").join(needed, "block")
 
     def compare(table: pa.Table) -> pa.Table:
-        side, sig, mult = (table.column(c).to_numpy() for c in ("side", "sig", "mult"))
-        x = np.array([np.asarray(v.values.to_numpy(), float) for v in table.column("v")])
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        same = not len(b)
-        b = a if same else b
-        norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-        linked = (x[a] @ x[b].T) / np.outer(norm[a], norm[b]) >= threshold
-        if same:
-            np.fill_diagonal(linked, False)
-            rows, counts = sig[a], linked @ mult[a]
-        else:
-            rows = np.concatenate([sig[a], sig[b]])
-            counts = np.concatenate([linked @ mult[b], linked.T @ mult[a]])
+        table = table.take(pa.array(np.argsort(table.column("block").to_numpy(), kind="stable"))).combine_chunks()
+        block, sig, mult, partners = (table.column(c).to_numpy() for c in ("block", "sig", "mult", "partners"))
+        vectors = table.column("v").combine_chunks()
+        offsets, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy()
+        names, starts = np.unique(block, return_index=True)
+        ends = dict(zip(names.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(block)], strict=True), strict=True))
+        base = int(table.column("tj")[0].as_py()) * fan
+        counts, one, two = np.zeros(len(block), np.int64), [], []
+
+        def with_norms(at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+            x = flat[offsets[at]: offsets[to]].reshape(to - at, -1)
+            return x, np.sqrt(np.einsum("ij,ij->i", x, x))
+
+        for i in names.tolist():
+            at, to = ends[i]
+            x, nx = with_norms(at, to)
+            for j in (base + k for k in range(fan) if int(partners[at]) >> k & 1):
+                first, last = ends[j]
+                y, ny = with_norms(first, last)
+                linked = (x @ y.T) / np.outer(nx, ny) >= threshold
+                if i == j:
+                    np.fill_diagonal(linked, False)
+                else:
+                    counts[first:last] += linked.T @ mult[at:to]
+                counts[at:to] += linked @ mult[first:last]
+                rows, cols = spanning(linked)
+                one.append(sig[at + rows])
+                two.append(sig[first + cols])
         some = counts > 0
-        one, two = spanning(linked)
-        return pa.table({"a": pa.array(np.concatenate([rows[some], sig[a][one]]), pa.int64()),
-                         "b": pa.array([None] * int(some.sum()) + sig[b][two].tolist(), pa.int64()),
+        one, two = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (one, two))
+        return pa.table({"a": pa.array(np.concatenate([sig[some], one]), pa.int64()),
+                         "b": pa.array([None] * int(some.sum()) + two.tolist(), pa.int64()),
                          "n": pa.array(np.concatenate([counts[some], np.zeros(len(one), np.int64)]), pa.int64())})
 
-    return left.union(right).groupBy("i", "j").applyInArrow(compare, "a long, b long, n long")
+    return rows.groupBy("ti", "tj").applyInArrow(compare, "a long, b long, n long")
 
 
 def spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
