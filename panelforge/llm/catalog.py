@@ -125,16 +125,17 @@ b AS (SELECT t.*, i.last, CASE WHEN role = 'assistant' AND turn = last THEN
                     ELSE array_to_string(string_split(text, ' ')[1:len(string_split(text, ' ')) // 2], ' ') END
              ELSE text END AS weak
       FROM t JOIN i USING (conv_id) WHERE last IS NULL OR turn <= last),
-s AS (SELECT conv_id, turn, role, text, 1 AS c, 0 AS r FROM b UNION ALL SELECT conv_id, turn, role, weak, 0, 1 FROM b),
-m AS (SELECT conv_id, turn, role, text, max(c) AS c, max(r) AS r FROM s GROUP BY ALL),
-e AS (SELECT conv_id, min(turn) FILTER (WHERE c <> r) AS split FROM m GROUP BY conv_id),
-x AS (SELECT m.*, (split IS NULL OR turn < split) AS shared,
+s AS (SELECT conv_id, turn, role, text, 1 AS c FROM b UNION SELECT conv_id, turn, role, weak, 0 FROM b),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, c ORDER BY turn, role, text) - 1 AS place FROM s),
+m AS (SELECT conv_id, place, role, text, max(c) AS c, max(1 - c) AS r FROM o GROUP BY ALL),
+e AS (SELECT conv_id, min(place) FILTER (WHERE c <> r) AS split FROM m GROUP BY conv_id),
+x AS (SELECT m.*, split IS NOT NULL AS preference, (split IS NULL OR place < split) AS shared,
              '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered FROM m JOIN e USING (conv_id))
-SELECT conv_id AS pair_id, CAST(floor(greatest(turn, 0) / 64) AS BIGINT) AS part,
+SELECT conv_id AS pair_id, CAST(place // 64 AS BIGINT) AS part, bool_or(preference) AS preference,
        count(*) FILTER (WHERE shared) AS prompt_turns,
-       md5(coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (WHERE shared), '')) AS prompt_md5,
-       md5(coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (WHERE NOT shared AND c = 1), '')) AS chosen_md5,
-       md5(coalesce(string_agg(rendered, '' ORDER BY turn, role, text) FILTER (WHERE NOT shared AND r = 1), '')) AS rejected_md5,
+       md5(coalesce(string_agg(rendered, '' ORDER BY place) FILTER (WHERE shared), '')) AS prompt_md5,
+       md5(coalesce(string_agg(rendered, '' ORDER BY place) FILTER (WHERE NOT shared AND c = 1), '')) AS chosen_md5,
+       md5(coalesce(string_agg(rendered, '' ORDER BY place) FILTER (WHERE NOT shared AND r = 1), '')) AS rejected_md5,
        CAST(coalesce(sum(length(text) + 10) FILTER (WHERE NOT shared AND c = 1 AND role = 'assistant'), 0) AS BIGINT) AS chosen_loss_chars,
        CAST(coalesce(sum(length(text) + 10) FILTER (WHERE NOT shared AND r = 1 AND role = 'assistant'), 0) AS BIGINT) AS rejected_loss_chars
 FROM x GROUP BY 1, 2
@@ -146,7 +147,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     def loss(spans: str) -> Column:
         return F.aggregate(F.transform(spans, lambda s: (s["end"] - s["start"]).cast("long")), F.lit(0).cast("long"),
                            lambda a, b: a + b)
-    return rows.select("pair_id", "part", F.col("prompt_turns").cast("long").alias("prompt_turns"),
+    return rows.select("pair_id", "part", "preference", F.col("prompt_turns").cast("long").alias("prompt_turns"),
                        *[F.md5(F.col(c).cast("binary")).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
                        loss("chosen_spans").alias("chosen_loss_chars"), loss("rejected_spans").alias("rejected_loss_chars"))
 

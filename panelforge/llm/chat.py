@@ -1,8 +1,9 @@
 """Preference data from pairs of conversations: shared prompt once, two completions, loss masks.
 
-Turns are compared as rows: a turn of a pair is marked by the sides that hold it, the first
-turn that one side lacks ends the longest common prefix, and everything before is the
-prompt.  No conversation is collected; only parts of a bounded number of turns become strings.
+Turns are compared as rows: the turns of a side are numbered in their order, a place of a pair is
+marked by the sides that hold its turn, the first place where they differ ends the longest common
+prefix, and everything before is the prompt.  No conversation is collected or numbered in one
+task; only parts of a bounded number of turns become strings.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import cut
+from panelforge.operators.ordered import positions
 
-#: Turn numbers per part; a longer conversation continues in further rows.
+#: Turns per part; a longer conversation continues in further rows.
 PART_TURNS = 64
 HEAD, TAIL = "<|im_start|>", "<|im_end|>\n"
 
@@ -52,22 +54,30 @@ def with_weaker_reply(turns: DataFrame) -> DataFrame:
 def preference_rows(pairs: DataFrame) -> DataFrame:
     """One row per pair and part: prompt, chosen and rejected text, and the spans that bear loss.
 
-    ``pairs`` holds (pair_id, side 'chosen' or 'rejected', turn, role, text).  The prompt is
+    ``pairs`` holds (pair_id, side 'chosen' or 'rejected', turn, role, text).  Turn numbers order the
+    turns of a side and mean nothing else: gaps, other first numbers and shifts between the sides
+    make no difference; turns of one number stand in the order of role and text, rows repeated exactly
+    count once, a missing turn number comes first and a missing role or text is empty.  The prompt is
     the longest common prefix of turns, rendered once; chosen and rejected are what follows
     on either side.  Spans are [start, end) in characters of the part's completion and cover
-    the assistant's texts with their end marks; everything else is masked.  Equal
-    conversations have a prompt only.  Rows with a null pair_id or side are ignored.
+    the assistant's texts with their end marks; everything else is masked.  ``preference`` is false
+    for pairs of equal conversations, which have a prompt only.  Rows with a null pair_id or side are
+    ignored, as are other columns.
     """
-    rows = pairs.where("pair_id is not null and side in ('chosen', 'rejected')")
-    both = rows.groupBy("pair_id", "turn", "role", "text").agg(
+    rows = (pairs.where("pair_id is not null and side in ('chosen', 'rejected')")
+            .select("pair_id", "side", F.struct(F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"),
+                                                F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+                                                F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).alias("at")).distinct())
+    placed = positions(rows, ["pair_id", "side"], "at", "place")
+    both = placed.groupBy("pair_id", F.col("place") - 1, "at.role", "at.text").agg(
         F.max((F.col("side") == "chosen").cast("int")).alias("c"), F.max((F.col("side") == "rejected").cast("int")).alias("r"))
-    both = cut(both)
-    ends = cut(both.groupBy("pair_id").agg(F.min(F.when(F.col("c") != F.col("r"), F.col("turn"))).alias("split")))
-    part = F.floor(F.greatest(F.col("turn"), F.lit(0)) / PART_TURNS).cast("long").alias("part")
+    both = cut(both.toDF("pair_id", "place", "role", "text", "c", "r"))
+    ends = cut(both.groupBy("pair_id").agg(F.min(F.when(F.col("c") != F.col("r"), F.col("place"))).alias("split")))
+    part = F.floor(F.col("place") / PART_TURNS).cast("long").alias("part")
     rendered = F.concat(F.lit(HEAD), "role", F.lit("\n"), "text", F.lit(TAIL))
     head = F.length(F.concat(F.lit(HEAD), "role", F.lit("\n")))
-    shared = F.col("split").isNull() | (F.col("turn") < F.col("split"))
-    cell = F.struct("turn", "role", "text", rendered.alias("rendered"), head.alias("head"))
+    shared = F.col("split").isNull() | (F.col("place") < F.col("split"))
+    cell = F.struct("place", "role", "text", rendered.alias("rendered"), head.alias("head"))
 
     def gathered(own: Column, name: str) -> Column:
         return F.sort_array(F.collect_list(F.when(own, cell))).alias(name)
@@ -75,8 +85,9 @@ def preference_rows(pairs: DataFrame) -> DataFrame:
     parts = (both.join(ends, "pair_id").withColumn("_shared", shared)
              .groupBy("pair_id", part).agg(gathered(F.col("_shared"), "_p"),
                                            gathered(~F.col("_shared") & (F.col("c") == 1), "_c"),
-                                           gathered(~F.col("_shared") & (F.col("r") == 1), "_r")))
-    return parts.select("pair_id", "part", F.size("_p").alias("prompt_turns"), _joined("_p").alias("prompt"),
+                                           gathered(~F.col("_shared") & (F.col("r") == 1), "_r"),
+                                           F.max(F.col("split").isNotNull()).alias("preference")))
+    return parts.select("pair_id", "part", "preference", F.size("_p").alias("prompt_turns"), _joined("_p").alias("prompt"),
                         _joined("_c").alias("chosen"), _spans("_c").alias("chosen_spans"),
                         _joined("_r").alias("rejected"), _spans("_r").alias("rejected_spans"))
 

@@ -303,6 +303,24 @@ def test_preference_rows(spark):
     assert preference_rows(long.limit(0)).count() == 0
 
 
+def test_preference_rows_go_by_order_not_by_number(spark):
+    from panelforge.llm.chat import preference_rows
+    turns = [("user", "q"), ("assistant", "a"), ("user", "r"), ("assistant", "b")]
+    rows = [(1, "chosen", n, *t) for n, t in enumerate(turns)] + [(1, "rejected", 7 + 3 * n, *t) for n, t in enumerate(turns[:3])]
+    rows += [(1, "rejected", 90, "assistant", "worse")]
+    rows += [(2, "chosen", n, *t) for n, t in enumerate(turns)] + [(2, "rejected", n - 5, *t) for n, t in enumerate(turns)]
+    rows += [(3, "chosen", 0, *turns[0]), (4, "rejected", None, None, None), (4, "chosen", 0, "", "")]
+    df = spark.createDataFrame(rows, "pair_id long, side string, turn long, role string, text string")
+    clash = df.selectExpr("*", "1 as place", "'x' as part", "0 as c", "1 as split", "2 as _range", "3 as at")
+    got = {r.pair_id: r for r in preference_rows(clash.repartition(3)).collect()}
+    assert set(got) == {1, 2, 3, 4} and got[1].prompt_turns == 3 and got[1].preference
+    assert got[1].prompt == "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in turns[:3])
+    assert "b<|im_end|>" in got[1].chosen and "worse<|im_end|>" in got[1].rejected
+    assert got[2].prompt_turns == 4 and not got[2].preference and got[2].chosen == got[2].rejected == ""
+    assert got[3].preference and got[3].rejected == "" and got[3].prompt == "" and "q" in got[3].chosen
+    assert not got[4].preference and got[4].prompt_turns == 1
+
+
 def test_last_stage_decodes_what_it_encodes(spark):
     import corpus_pipeline as P
     from panelforge.llm.pieces import SPACE
