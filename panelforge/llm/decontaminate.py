@@ -1,8 +1,8 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 Words are canonicalised to templates: numbers, units and names become typed placeholders,
-everything else its lower-case letters.  Windows of the templates are hash-joined with the
-benchmark's, counted by region of the document; where a matched window holds other values than
+everything else its lower-case letters.  Items that differ in values only form one class.  Windows
+of the templates are hash-joined with the classes', counted by region of the document; where a matched window holds other values than
 the item, these are checked: around a region, one value of the item must stand for one value
 of the document.
 """
@@ -97,6 +97,76 @@ def template_windows(rows: DataFrame, key: str, width: int = WIDTH, shorter: tup
     return found
 
 
+def _classes(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Items by class: (item_id, class, members), the classes' windows and the valued windows of every item.
+
+    A class holds items of the same windows whose slots repeat in the same pattern: other values of the
+    same question.  ``pattern`` lists a window's slots k with the place where their value first
+    stands in the item.  Items shorter than ``width`` must agree in their values too.
+    """
+    windows = cut(template_windows(items, "item_id", width).select("item_id", "pos", "h", "slots", "n", "bare").distinct())
+    valued = windows.where("slots is not null").select("item_id", "pos", "h", "slots", F.posexplode("slots").alias("k", "v")).where("v is not null")
+    first = valued.groupBy("item_id", "v").agg(F.min(F.col("pos") + F.col("k")).alias("first"))
+    pattern = (valued.join(first, ["item_id", "v"]).groupBy("item_id", "pos", "h", "slots")
+               .agg(F.sort_array(F.collect_list(F.struct("k", "first"))).alias("pattern")))  # at most ``width`` entries
+    windows = (windows.join(pattern, ["item_id", "pos", "h", "slots"], "left")
+               .withColumn("own", F.when(F.col("n") < width, F.col("slots"))))
+    windows = cut(windows)
+    sign = [F.bit_xor(F.xxhash64(F.lit(k), "pos", "h", "pattern", "own")).alias(f"x{k}") for k in (1, 2)]
+    items = windows.groupBy("item_id").agg(*sign, F.count(F.lit(1)).alias("c"))
+    named = items.groupBy("x1", "x2", "c").agg(F.min("item_id").alias("class"), F.count(F.lit(1)).alias("members"))
+    named = cut(items.join(named, ["x1", "x2", "c"]).select("item_id", "class", "members"))
+    of_class = windows.join(named.where("item_id = class").select("item_id", "class"), "item_id").drop("item_id", "slots")
+    of_item = windows.where("slots is not null").join(named, "item_id").select("class", "item_id", "h", "slots").distinct()
+    return named, of_class, of_item
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes by item, (doc_id, class, windows, total, consistency) of classes found whole, and the same with
+    item_id of single items found by their own values."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
+    named, bench, valued = _classes(items, width)
+    bench = cut(bench)
+    shorter = tuple(r["n"] for r in bench.where(F.col("n") < width).select("n").distinct().orderBy("n").collect())
+    need = cut(bench.groupBy("class").agg(F.countDistinct("h").alias("total"), (F.max("pos") + 1).alias("length"),
+                                          F.countDistinct(F.when(~F.col("bare"), F.col("h"))).alias("worded")))
+    bench = cut(bench.select("class", "h", "pattern", "own").distinct().join(need.select("class", "length"), "class"))
+    side = F.broadcast(bench) if bench.count() <= BROADCAST_WINDOWS else bench
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    hits = cut(template_windows(texts, "doc_id", width, shorter).join(side, "h")
+               .where(~F.col("inner") | F.col("slots").eqNullSafe(F.col("own")))
+               .select("doc_id", "class", "h", F.floor(F.col("pos") / F.col("length")).alias("place"), "slots", "pattern").distinct())
+    region = ["doc_id", "class", "region"]
+    around = hits.withColumn("region", F.explode(F.array(F.col("place") - 1, F.col("place"))))
+    found = around.groupBy(*region).agg(F.countDistinct("h").alias("windows")).join(need, "class")
+    verbatim, enough = (F.least(F.lit(ENOUGH_WINDOWS), F.ceil(n * ENOUGH_SHARE))
+                        for n in (F.col("total"), F.greatest(F.col("worded"), F.col("total") / 2)))
+    found = cut(found.where(F.col("windows") >= enough).withColumn("verbatim", verbatim))
+    filled = hits.where("slots is not null and pattern is not null").withColumn(
+        "region", F.explode(F.sequence(F.col("place") - 1 - NEAR, F.col("place") + NEAR)))
+    filled = filled.join(found.select(*region), region, "left_semi")
+    pairs = (filled.select(*region, "h", "slots", "pattern").distinct().select(*region, "slots", F.explode("pattern").alias("p"))
+             .select(*region, F.col("p.first").alias("theirs"), F.get("slots", F.col("p.k")).alias("ours")).where("ours is not null"))
+    each = pairs.groupBy(*region, "theirs", "ours").agg(F.count(F.lit(1)).alias("n"))
+    each = each.groupBy(*region, "theirs").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
+    each = each.groupBy(*region).agg((F.sum("top") / F.sum("n")).alias("consistency"))
+    judged = cut(found.join(each, region, "left").withColumn("consistency", F.coalesce("consistency", F.lit(1.0)))
+                 .select(*region, "windows", "total", "verbatim", "consistency"))
+    # where values differ, windows without values count for all items of the class and others for the items that hold them
+    mixed = judged.where("consistency < 1")
+    inside = around.join(mixed.select(*region), region, "left_semi").select(*region, "h", "slots").distinct()
+    plain = inside.where("slots is null").groupBy(*region).agg(F.countDistinct("h").alias("plain"))
+    judged = judged.join(plain, region, "left").withColumn("plain", F.coalesce("plain", F.lit(0)))
+    judged = cut(judged.withColumn("consistency", F.when(F.col("plain") >= F.col("verbatim"), 1.0).otherwise(F.col("consistency"))))
+    whole = (judged.where(F.col("consistency") >= CONSISTENT_SHARE).groupBy("doc_id", "class")
+             .agg(F.max("windows").alias("windows"), F.max("total").alias("total"), F.max("consistency").alias("consistency")))
+    equal = inside.join(valued, ["class", "h", "slots"]).groupBy(*region, "item_id").agg(F.countDistinct("h").alias("equal"))
+    single = (equal.join(judged.where("consistency < 1"), region).where(F.col("plain") + F.col("equal") >= F.col("verbatim"))
+              .groupBy("doc_id", "class", "item_id").agg(F.max("windows").alias("windows"), F.max("total").alias("total"))
+              .withColumn("consistency", F.lit(1.0)))
+    return named, cut(whole), cut(single)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, item_id, windows, share, consistency): the items found in documents.
 
@@ -112,46 +182,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> D
     All windows of an item count, but those made of placeholders only match their own values, and a
     region with other values needs enough of the rest, as if that were half of the item's
     windows at least.  An item shorter than ``width`` is found inside longer texts with its own values.
+
+    Items that differ in values only are one class until the end, so work follows the classes a
+    document meets; this list has a row for each of their items, ``document_report`` counts them by class.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
-    bench = cut(template_windows(items, "item_id", width).withColumnRenamed("slots", "item_slots"))
-    shorter = tuple(r["n"] for r in bench.where(F.col("n") < width).select("n").distinct().orderBy("n").collect())
-    need = cut(bench.groupBy("item_id").agg(F.countDistinct("h").alias("total"), (F.max("pos") + 1).alias("length"),
-                                            F.countDistinct(F.when(~F.col("bare"), F.col("h"))).alias("worded")))
-    bench = cut(bench.select("item_id", "h", "item_slots").distinct().join(need.select("item_id", "length"), "item_id"))
-    side = F.broadcast(bench) if bench.count() <= BROADCAST_WINDOWS else bench
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    hits = cut(template_windows(texts, "doc_id", width, shorter).join(side, "h")
-               .where(~F.col("inner") | F.col("slots").eqNullSafe(F.col("item_slots")))
-               .select("doc_id", "item_id", "h", F.floor(F.col("pos") / F.col("length")).alias("place"),
-                       F.col("slots").eqNullSafe(F.col("item_slots")).cast("int").alias("same"), "slots", "item_slots").distinct())
-    region = ["doc_id", "item_id", "region"]
-    each = hits.withColumn("region", F.explode(F.array(F.col("place") - 1, F.col("place"))))
-    each = each.groupBy(*region, "h").agg(F.max("same").alias("same"))
-    found = each.groupBy(*region).agg(F.count(F.lit(1)).alias("windows"), F.sum("same").alias("exact")).join(need, "item_id")
-    verbatim, enough = (F.least(F.lit(ENOUGH_WINDOWS), F.ceil(n * ENOUGH_SHARE))
-                        for n in (F.col("total"), F.greatest(F.col("worded"), F.col("total") / 2)))
-    found = cut(found.where(F.col("windows") >= enough).withColumn("verbatim", F.col("exact") >= verbatim))
-    filled = hits.where("slots is not null and item_slots is not null").withColumn(
-        "region", F.explode(F.sequence(F.col("place") - 1 - NEAR, F.col("place") + NEAR)))
-    filled = filled.join(found.where("not verbatim").select(*region), region, "left_semi")
-    pairs = (filled.select(*region, "h", "slots", "item_slots").distinct()
-             .select(*region, F.explode(F.arrays_zip("item_slots", "slots")).alias("p"))
-             .select(*region, F.col("p.item_slots").alias("theirs"), F.col("p.slots").alias("ours"))
-             .where("theirs is not null and ours is not null"))
-    each = pairs.groupBy(*region, "theirs", "ours").agg(F.count(F.lit(1)).alias("n"))
-    each = each.groupBy(*region, "theirs").agg(F.max("n").alias("top"), F.sum("n").alias("n"))
-    each = each.groupBy(*region).agg((F.sum("top") / F.sum("n")).alias("consistency"))
-    out = found.join(each, region, "left").withColumn("consistency", F.coalesce("consistency", F.lit(1.0)))
-    return (out.where(F.col("consistency") >= CONSISTENT_SHARE)
-            .groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.max("total").alias("total"),
-                                              F.max("consistency").alias("consistency"))
+    named, whole, single = _found(docs, benchmark, width)
+    cells = ["doc_id", "item_id", "windows", "total", "consistency"]
+    out = whole.join(named, "class").select(*cells).union(single.select(*cells))
+    return (out.groupBy("doc_id", "item_id").agg(F.max("windows").alias("windows"), F.max("total").alias("total"),
+                                                 F.max("consistency").alias("consistency"))
             .select("doc_id", "item_id", "windows", (F.col("windows") / F.col("total")).alias("share"), "consistency"))
 
 
 def document_report(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, contaminated and n_items of every row of ``docs``; rows with a null doc_id are not contaminated."""
-    found = cut(contaminated(docs, benchmark, width).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_items")))
+    named, whole, single = _found(docs, benchmark, width)
+    sizes = named.where("item_id = class").select("class", "members")
+    alone = single.join(whole, ["doc_id", "class"], "left_anti").select("doc_id", F.lit(1).cast("long").alias("members"))
+    found = cut(whole.join(sizes, "class").select("doc_id", "members").union(alone)
+                .groupBy("doc_id").agg(F.sum("members").alias("n_items")))
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(found, "doc_id", "left")
             .select("doc_id", F.col("n_items").isNotNull().alias("contaminated"),
                     F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items")))
@@ -159,4 +208,5 @@ def document_report(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found, with all their columns."""
-    return drop_ids(docs, cut(contaminated(docs, benchmark, width).select("doc_id").distinct()))
+    _, whole, single = _found(docs, benchmark, width)
+    return drop_ids(docs, cut(whole.select("doc_id").union(single.select("doc_id")).distinct()))

@@ -277,6 +277,33 @@ def test_decontamination_keeps_dense_and_short_windows(spark):
     assert got == {(1, 1), (3, 2), (5, 3), (6, 3), (8, 4), (9, 4), (10, 3)}
 
 
+def test_items_that_differ_in_values_only_are_judged_as_one_class(spark):
+    from panelforge.llm.decontaminate import contaminated, document_report, drop_contaminated
+
+    def question(a, b, c, again):
+        return f"a shed with {a} old doors and {b} new windows was sold for {c} coins by the man who built {again} more sheds last spring"
+    items = [(k, question(k, 100 + k, 200 + k, k)) for k in range(30)] + [(40 + k, question(k, 100 + k, 200 + k, 300 + k)) for k in range(5)]
+    items += [(None, question(1, 2, 3, 4)), (60, None), (61, "")]
+    gap = " " + "plain words between both texts go on and on " * 12
+    texts = [question(901, 902, 903, 901),  # follows the pattern of the first 30, and of the others as well
+             question(901, 902, 903, 904),  # breaks the first pattern in one slot of several
+             question(3, 103, 203, 3), question(901, 902, 903, 901) + gap + question(2, 102, 202, 302), gap, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 as class", "2 as members", "3 as item_id")
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as class", "'x' as pattern", "0 as h")
+    rows = contaminated(docs, bench).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, set()).add(r.item_id)
+    first, other = set(range(30)), set(range(40, 45))
+    assert got[0] == first | other and got[2] == first | other and got[3] == first | other
+    assert other <= got[1] and 4 not in got and 5 not in got
+    report = {r.doc_id: (r.contaminated, r.n_items) for r in document_report(docs, bench).collect()}
+    assert report == {i: (i in got, len(got.get(i, ()))) for i in range(6)}
+    kept = drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {4, 5}
+    assert contaminated(docs, bench.limit(0)).count() == 0 and contaminated(docs.limit(0), bench).count() == 0
+
+
 def test_preference_rows(spark):
     from panelforge.llm.chat import preference_rows, turns_of, with_weaker_reply
     pairs = [("chosen", 0, "user", "hi"), ("rejected", 0, "user", "hi"), ("chosen", 1, "assistant", "yes"),
