@@ -9,8 +9,10 @@ folded in parallel, the chunks of a series are combined in a tree, and the stati
 of the first state turns a summary into the likelihood, the last state and its covariance.
 
 Parameters are searched for all series and orders at once: a round scores a handful of
-candidates each, one job over the chunks, and moves every search by the parabola through
-its scores.  The driver sees no scores.
+candidates each and moves every search by the parabola through its scores.  Searches of one
+order are moved as arrays, not one by one.  A series that one chunk holds has all its rounds in
+the task that has the chunk; longer ones take one job a round over the chunks.  The driver sees
+no scores.
 """
 
 from __future__ import annotations
@@ -34,10 +36,12 @@ STATE = 3
 
 
 def coefficients(raw: np.ndarray) -> np.ndarray:
-    """Coefficients of a stationary polynomial from unbounded numbers, through partial autocorrelations."""
-    out = np.zeros(0)
-    for r in np.tanh(raw):
-        out = np.append(out - r * out[::-1], r)
+    """Coefficients of stationary polynomials from unbounded numbers (the last axis), through partial autocorrelations."""
+    r = np.tanh(np.asarray(raw, float))
+    out = r[..., :0]
+    for k in range(r.shape[-1]):
+        own = r[..., k: k + 1]
+        out = np.concatenate([out - own * out[..., ::-1], own], axis=-1)
     return out
 
 
@@ -50,12 +54,15 @@ class Arma:
         self.step = np.zeros((n, STATE, STATE))
         self.gain = np.zeros((n, STATE))
         self.gain[:, 0] = 1
-        for k, ((p, d, q), raw) in enumerate(zip(orders, raws)):
-            raw = np.asarray(raw, float)
+        places = {}
+        for at, order in enumerate(orders):
+            places.setdefault(tuple(order), []).append(at)
+        for (p, d, q), at in places.items():
+            raw = np.array([raws[k] for k in at], float).reshape(len(at), -1)
             if d == 0:
-                self.mean[k], raw = raw[0], raw[1:]
-            self.step[k, :p, 0] = coefficients(raw[:p])
-            self.gain[k, 1: q + 1] = -coefficients(raw[p: p + q])
+                self.mean[at], raw = raw[:, 0], raw[:, 1:]
+            self.step[at, :p, 0] = coefficients(raw[:, :p])
+            self.gain[at, 1: q + 1] = -coefficients(raw[:, p: p + q])
         self.step[:, np.arange(STATE - 1), np.arange(1, STATE)] = 1
         self.first = self.step[:, 0, :]
         self.closed = self.step - self.gain[:, :, None] * self.first[:, None, :]
@@ -69,10 +76,14 @@ class Arma:
 
     def fold(self, values: np.ndarray) -> np.ndarray:
         """Summary rows (A, b, J, e, s, number of values) of one stretch, one per candidate."""
+        return self.fold_each(np.broadcast_to(np.asarray(values, float), (len(self.mean), len(values))))
+
+    def fold_each(self, values: np.ndarray) -> np.ndarray:
+        """The same for a stretch of its own for every candidate, all of one length: row k of ``values`` is that of candidate k."""
         n = len(self.mean)
         a, b = np.tile(np.eye(STATE), (n, 1, 1)), np.zeros((n, STATE))
         j, e, s = np.zeros((n, STATE, STATE)), np.zeros((n, STATE)), np.zeros(n)
-        for y in values:
+        for y in values.T:
             z = y - self.mean
             u = z - (self.first * b).sum(axis=1)
             g = np.einsum("ni,nij->nj", self.first, a)
@@ -81,7 +92,7 @@ class Arma:
             s += u * u
             b = np.einsum("nij,nj->ni", self.closed, b) + self.gain * z[:, None]
             a = self.closed @ a
-        return pack(a, b, j, e, s, np.full(n, float(len(values))))
+        return pack(a, b, j, e, s, np.full(n, float(values.shape[1])))
 
 
 def pack(a, b, j, e, s, n) -> np.ndarray:
@@ -192,34 +203,104 @@ def likelihoods(parts: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
         run, f"`{key}` {kind}, p int, d int, q int, c int, ll double, var double")
 
 
-_SEARCH = "p int, d int, q int, c int, raw array<double>, step double, ll double"
-
-
-def _next(key: str):
-    def move(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The next candidates of one search: c = 0 is the best so far, then both sides of each parameter, then the parabolas' vertex."""
-        pdf = pdf.sort_values("c")
-        p, d, q, step = (pdf[c].iloc[0] for c in ("p", "d", "q", "step"))
-        raws = [np.asarray(r, float) for r in pdf["raw"]]
-        model = Arma([(p, d, q)] * len(raws), raws)
-        ll = conclude(np.array([np.asarray(s, float) for s in pdf["summary"]]), model.prior())["ll"]
-        ll = np.where(np.isfinite(ll), ll, -1e300)
-        best = int(np.argmax(ll))
-        centre, size = raws[0], len(raws[0])
-        made = []
-        if size:
-            low, high = ll[1: 2 * size: 2], ll[2: 2 * size + 1: 2]
-            bend = low - 2 * ll[0] + high
-            shift = np.where(bend < 0, step / 2 * (low - high) / np.where(bend < 0, bend, -1.0), np.where(high > low, step, -step))
-            vertex = centre + np.clip(shift, -3 * step, 3 * step)
-            if best == 0:
-                step = step / 2
-            now = raws[best]
-            made = [now + sign * step * np.eye(size)[i] for i in range(size) for sign in (-1, 1)] + [vertex, (vertex + now) / 2]
-        out = [raws[best], *made]
-        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(out), "p": p, "d": d, "q": q, "c": range(len(out)),
-                             "raw": [r.tolist() for r in out], "step": step, "ll": ll[best]})
-    return move
+_SEARCH = "p int, d int, q int, step double, ll double, raws array<array<double>>"
+#: Candidates scored at once in a task, and values they read.
+BATCH, BATCH_VALUES = 4096, 2**20
+FIRST_STEP = 0.4
+
+
+def first_candidates(size: int) -> np.ndarray:
+    """The first candidates of a search over ``size`` numbers: all zero, both sides of each, and zero again for the parabolas."""
+    sides = [sign * FIRST_STEP * np.eye(size)[i] for i in range(size) for sign in (-1, 1)]
+    return np.stack([np.zeros(size), *sides, *[np.zeros(size)] * (2 if size else 0)])
+
+
+def moved(raws: np.ndarray, step: np.ndarray, ll: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The next candidates, steps and best scores of searches of one order from their candidates (search, c, number) and scores.
+
+    Candidate 0 is the best so far, then both sides of each number, then the parabolas' vertex and the middle to it.
+    """
+    n, _, size = raws.shape
+    ll = np.where(np.isfinite(ll), ll, -1e300)
+    best, every = ll.argmax(axis=1), np.arange(n)
+    top = ll[every, best]
+    if not size:
+        return raws[:, :1], step, top
+    low, high = ll[:, 1: 2 * size: 2], ll[:, 2: 2 * size + 1: 2]
+    bend = low - 2 * ll[:, :1] + high
+    own = step[:, None]
+    shift = np.where(bend < 0, own / 2 * (low - high) / np.where(bend < 0, bend, -1.0), np.where(high > low, own, -own))
+    vertex = raws[:, 0] + np.clip(shift, -3 * own, 3 * own)
+    step = np.where(best == 0, step / 2, step)
+    now = raws[every, best]
+    sides = [now + sign * step[:, None] * np.eye(size)[i] for i in range(size) for sign in (-1, 1)]
+    return np.stack([now, *sides, vertex, (vertex + now) / 2], axis=1), step, top
+
+
+def _search_whole(values: np.ndarray, order: tuple[int, int, int], rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(best numbers, best scores) of one order for series of one length (rows), all rounds."""
+    p, d, q = order
+    size = p + q + (d == 0)
+    start = first_candidates(size)
+    raws, step = np.tile(start, (len(values), 1, 1)), np.full(len(values), FIRST_STEP)
+    top = np.full(len(values), -1e300)
+    for _ in range(rounds):
+        c = raws.shape[1]
+        model = Arma([order] * (len(values) * c), raws.reshape(len(values) * c, size))
+        ll = conclude(model.fold_each(np.repeat(values, c, axis=0)), model.prior())["ll"].reshape(-1, c)
+        raws, step, top = moved(raws, step, ll)
+    return raws[:, 0], top
+
+
+def _fit_short(parts: DataFrame, key: str, orders: Sequence[tuple], rounds: int) -> DataFrame:
+    """(key, p, d, q, raw, ll) of series that one chunk holds: their rounds need no other task."""
+    kind = dict(parts.dtypes)[key]
+
+    def run(batches):
+        for batch in batches:
+            keys, ds, lists = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
+            values = [v.values.to_numpy(zero_copy_only=False) for v in lists]
+            alike = {}
+            for at, (d, v) in enumerate(zip(ds, values)):
+                alike.setdefault((int(d), len(v)), []).append(at)
+            for (d, length), places in alike.items():
+                for order in (o for o in orders if o[1] == d):
+                    width = max(1, min(BATCH, BATCH_VALUES // length) // (2 * (order[0] + order[2] + 1) + 3))
+                    for begin in range(0, len(places), width):
+                        at = places[begin: begin + width]
+                        raw, ll = _search_whole(np.stack([values[i] for i in at]), order, rounds)
+                        n = len(at)
+                        yield pa.RecordBatch.from_arrays(
+                            [keys.take(pa.array(at)), *[pa.array([v] * n, pa.int32()) for v in order],
+                             pa.array(raw.tolist(), pa.list_(pa.float64())), pa.array(ll)], [key, "p", "d", "q", "raw", "ll"])
+
+    return parts.select(key, "d", "values").mapInArrow(run, f"`{key}` {kind}, p int, d int, q int, raw array<double>, ll double")
+
+
+def _fit_long(parts: DataFrame, key: str, orders: Sequence[tuple], rounds: int) -> DataFrame:
+    """(key, p, d, q, raw, ll) of series of many chunks, one job a round."""
+    spark = parts.sparkSession
+    table = spark.createDataFrame([(p, d, q, FIRST_STEP, None, first_candidates(p + q + (d == 0)).tolist()) for p, d, q in orders], _SEARCH)
+    search = parts.select(key, "d").distinct().join(F.broadcast(table), "d").select(key, *table.columns)
+    by = [key, "p", "d", "q"]
+    schema = f"`{key}` {dict(parts.dtypes)[key]}, {_SEARCH}"
+
+    def move(batches):
+        for pdf in batches:
+            for (p, d, q), own in pdf.groupby(["p", "d", "q"], sort=False):
+                rows = [sorted(held, key=lambda x: x["c"]) for held in own["held"]]
+                raws = np.array([[x["raw"] for x in held] for held in rows], float)
+                n, c, size = raws.shape
+                model = Arma([(p, d, q)] * (n * c), raws.reshape(n * c, size))
+                ends = conclude(np.array([x["summary"] for held in rows for x in held], float), model.prior())
+                raws, step, top = moved(raws, own["step"].to_numpy(), ends["ll"].reshape(n, c))
+                yield pd.DataFrame({key: own[key].to_numpy(), "p": p, "d": d, "q": q, "step": step, "ll": top, "raws": raws.tolist()})
+
+    for _ in range(rounds):
+        cands = search.select(*by, F.posexplode("raws").alias("c", "raw"))
+        held = summaries(parts, cands, key).groupBy(*by).agg(F.collect_list(F.struct("c", "raw", "summary")).alias("held"))
+        search = materialize(held.join(search.select(*by, "step"), by).mapInPandas(move, schema))
+    return search.select(*by, F.get("raws", F.lit(0)).alias("raw"), "ll")
 
 
 def fit(series: DataFrame, key: str, period: str = "t", orders: Sequence[tuple] = ORDERS, rounds: int = 14,
@@ -229,23 +310,17 @@ def fit(series: DataFrame, key: str, period: str = "t", orders: Sequence[tuple]
     d = 0 has a mean, d = 1 is the same model of the differences.  ll is that of the series in
     its own units.  Series without variation have no fits.
     """
-    spark = series.sparkSession
     parts = materialize(chunks(series, key, period, width))
-    table = spark.createDataFrame([(p, d, q, [0.0] * (p + q + (d == 0))) for p, d, q in orders],
-                                  "p int, d int, q int, raw array<double>")
-    search = (parts.select(key, "d").distinct().join(F.broadcast(table), "d")
-              .select(key, "p", "d", "q", F.explode(F.sequence(F.lit(0), 2 * F.size("raw") + 2)).alias("c"), "raw"))
-    side = F.floor((F.col("c") - 1) / 2)
-    start = F.transform("raw", lambda v, i: F.when((i == side) & (F.col("c") > 0) & (F.col("c") <= 2 * F.size("raw")),
-                                                   F.when(F.col("c") % 2 == 1, -0.4).otherwise(0.4)).otherwise(v))
-    search = search.where((F.size("raw") > 0) | (F.col("c") == 0)).withColumn("raw", start).withColumn("step", F.lit(0.4))
-    kind = dict(parts.dtypes)[key]
-    for _ in range(rounds):
-        scored = summaries(parts, search, key).join(search.select(key, "p", "d", "q", "c", "step"), [key, "p", "d", "q", "c"])
-        search = materialize(scored.groupBy(key, "p", "d", "q").applyInPandas(_next(key), f"`{key}` {kind}, {_SEARCH}"))
+    most = parts.withColumn("_most", F.max("chunk").over(Window.partitionBy(key)))
+    short, long = most.where("_most = 0").drop("_most"), most.where("_most > 0").drop("_most")
+    n = 2 * series.sparkSession.sparkContext.defaultParallelism  # little data, much work: not by size
+    fits = _fit_short(short.repartition(n, key, "d"), key, orders, rounds)
+    if long.limit(1).count():
+        fits = fits.unionByName(_fit_long(materialize(long), key, orders, rounds))
+    fits = materialize(fits)
     n = series.where("y is not null").groupBy(key).agg(F.count("y").alias("_n"), F.stddev_pop("y").alias("_s"))
     k = F.size("raw") + 1
-    out = search.where("c = 0").join(n, key)
+    out = fits.join(n, key)
     ll = F.col("ll") - (F.col("_n") - F.col("d")) * F.log("_s")
     return out.select(key, "p", "d", "q", "raw", ll.alias("ll"), (-2 * ll + 2 * k).alias("aic"), k.alias("n_params")), parts
 

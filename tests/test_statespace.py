@@ -102,3 +102,31 @@ def test_forecasts_of_known_models(spark):
         assert r.t == 59 + h and r.forecast == pytest.approx(series["walk"][-1])
         assert r.hi - r.forecast == pytest.approx(1.2815515655 * sd * np.sqrt(h), rel=1e-6)
         assert rows[("noise", h)].forecast == pytest.approx(series["noise"].mean(), abs=1e-3)
+
+
+def test_short_series_take_no_job_a_round_and_equal_long_ones(spark, monkeypatch):
+    from panelforge.operators import statespace as ss
+    rng = np.random.default_rng(9)
+    series = {f"s{i}": rng.normal(size=24 + i % 3).cumsum() for i in range(7)}
+    df = _frame(spark, series).checkpoint()
+    orders = [(0, 0, 0), (0, 1, 0), (1, 0, 1), (2, 1, 1)]
+    whole = {(r.k, r.p, r.d, r.q): r for r in ss.fit(df, "k", orders=orders, rounds=6, width=8)[0].collect()}
+    jobs = []
+    own = ss.materialize
+    monkeypatch.setattr(ss, "materialize", lambda x: jobs.append(1) or own(x))
+    short = {(r.k, r.p, r.d, r.q): r for r in ss.fit(df, "k", orders=orders, rounds=6)[0].collect()}
+    assert len(jobs) == 2  # the chunks and the fits, however many rounds
+    assert set(short) == set(whole) and len(short) == 28
+    for name, r in short.items():
+        assert r.ll == pytest.approx(whole[name].ll, abs=1e-6)
+
+
+def test_searches_move_as_arrays():
+    from panelforge.operators.statespace import first_candidates, moved
+    raws = np.tile(first_candidates(2), (3, 1, 1))
+    ll = np.array([[0, -1, -1, -1, -1, 0, 0], [0, 1, -1, -3, 2, 0, 0], [np.nan] * 7], float)
+    now, step, top = moved(raws, np.full(3, 0.4), ll)
+    assert now.shape == (3, 7, 2) and step.tolist() == [0.2, 0.4, 0.2] and top.tolist() == [0, 2, -1e300]
+    assert now[0, 0].tolist() == [0, 0] and now[1, 0].tolist() == [0, 0.4]
+    np.testing.assert_allclose(now[1, 5], [-0.4, 0.4 / 2 * (-3 - 2) / (-3 + 2)])
+    assert [len(first_candidates(n)) for n in (0, 1, 5)] == [1, 5, 13]
