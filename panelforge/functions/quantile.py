@@ -52,6 +52,7 @@ def grouped_quantiles(df, value: str, probs: Sequence[float], by: Sequence[str]
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
+    from panelforge.operators.joins import bounded_broadcast
     from panelforge.session import materialize
     by = list(by)
     spark = df.sparkSession
@@ -59,7 +60,7 @@ def grouped_quantiles(df, value: str, probs: Sequence[float], by: Sequence[str]
     data = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     counts = data.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_t"))
     ranged = materialize(counts.repartitionByRange(n_ranges, *by, "_v").withColumn("_pid", F.spark_partition_id()))
-    part = ranged.groupBy(*by, "_pid").agg(F.sum("_t").alias("_pt"))
+    part = materialize(ranged.groupBy(*by, "_pid").agg(F.sum("_t").alias("_pt")))
     wp = (Window.partitionBy(*by).orderBy("_pid") if by else Window.orderBy("_pid")).rowsBetween(
         Window.unboundedPreceding, -1)  # over groups × ranges rows only
     offs = part.select(*by, "_pid", F.coalesce(F.sum("_pt").over(wp), F.lit(0)).alias("_off"))
@@ -81,7 +82,8 @@ def grouped_quantiles(df, value: str, probs: Sequence[float], by: Sequence[str]
     for t in targets[1:]:
         tg = tg.unionByName(t)
     if by:
-        hit = pos.join(tg, by)  # AQE broadcasts the targets or splits a hot group's partition
+        # not left to AQE: few groups leave most shuffle partitions empty, and then it does not broadcast but sorts a hot group in one task
+        hit = pos.join(bounded_broadcast(tg), by)
     else:
         hit = pos.withColumn("_g", F.lit(0)).join(F.broadcast(tg.withColumn("_g", F.lit(0))), "_g")
     hit = hit.filter((F.col("_k") >= F.col("_start")) & (F.col("_k") <= F.col("_end")))
