@@ -89,10 +89,11 @@ def fill_key_median(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
     the per-key table is broadcast by AQE when small.
     """
     keys = list(keys)
-    meds = None
-    for c in columns:  # exact medians from distributed order statistics (hot keys spread over tasks)
-        m = grouped_quantiles(df, c, [0.5], keys).select(*keys, F.col("q0").alias(f"_med_{c}"))
-        meds = m if meds is None else meds.join(m, keys, "full_outer")
+    # exact medians from distributed order statistics (hot keys spread over tasks), all columns in one pass
+    own = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns])
+    long = df.select(*keys, F.explode(own).alias("_s")).select(*keys, "_s._col", "_s._v")
+    meds = grouped_quantiles(long, "_v", [0.5], [*keys, "_col"]).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_col") == c, F.col("q0"))).alias(f"_med_{c}") for c in columns])
     out = df.join(meds, keys, "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c)
                         for c in df.columns])
