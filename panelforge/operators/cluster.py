@@ -12,13 +12,12 @@ and cluster, and these are added up.  Several clusterings of the same points sha
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import RDD, StorageLevel, inheritable_thread_target
+from pyspark import RDD, StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,13 +26,12 @@ from pyspark.sql import functions as F
 
 from panelforge.operators.features import zscore
 from panelforge.operators.filters import numeric_columns
-from panelforge.session import materialize
+from panelforge.session import at_once, materialize
 
 SILHOUETTE_STRIP = 32_768  # points of a strip of the Euclidean silhouette; a tile holds two strips
 #: Squared distances below this share of the squared norms are taken from the differences instead of the products.
 NEAR = 1e-6
 BLOCK = 2048  # points that a k-means round multiplies at once
-STARTS_AT_ONCE = 8
 FEATURES = "features"
 
 
@@ -78,15 +76,13 @@ def _squares(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 def first_centers(jobs: Sequence[tuple[DataFrame, int, int]], weight: str | None = None) -> list[np.ndarray]:
     """First centers of k-means (k-means|| init) for each (points, k, seed), several at a time."""
-    def start(job: tuple[DataFrame, int, int]) -> np.ndarray:
-        points, k, seed = job
+    def start(points: DataFrame, k: int, seed: int) -> np.ndarray:
         km = KMeans(k=k, seed=seed, featuresCol=FEATURES, maxIter=0, initMode="k-means||")
         if weight:
             km = km.setWeightCol(weight)
         return np.array(km.fit(points).clusterCenters(), dtype=float)
 
-    with ThreadPool(min(STARTS_AT_ONCE, len(jobs))) as pool:
-        return pool.map(inheritable_thread_target(jobs[0][0].sparkSession)(start), jobs)
+    return at_once(jobs[0][0].sparkSession, [lambda job=job: start(*job) for job in jobs])
 
 
 def point_blocks(df: DataFrame, weights: str | None = None) -> RDD:

@@ -14,12 +14,12 @@ from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.operators.features import one_hot
 from panelforge.operators.filters import numeric_columns
+from panelforge.session import at_once
 
 FEATURES = "features"
 
@@ -115,16 +115,17 @@ def fit_evaluate(df: DataFrame, features: Sequence[str], label: str, kind: str,
     train = data.filter(F.col(split) == "train")
     stats = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
     est = lambda: estimator(kind, label, params, seed, stats["n"], stats["sd"])
-    cv_r2 = []
-    for f in range(n_folds):
+    def fold_r2(f: int) -> list:
         tr, va = train.filter(F.col(fold) != f), train.filter(F.col(fold) == f)
-        if va.limit(1).count() == 0:
-            continue
-        m = est().fit(tr)
-        cv_r2.append(regression_metrics(m.transform(va), label).first()["r2"])
-    model = est().fit(train)
-    test = regression_metrics(model.transform(data.filter(F.col(split) == "test")), label).first()
-    train_r2 = regression_metrics(model.transform(train), label).first()["r2"]
+        return [] if va.limit(1).count() == 0 else [regression_metrics(est().fit(tr).transform(va), label).first()["r2"]]
+
+    def whole():
+        model = est().fit(train)
+        return (regression_metrics(model.transform(data.filter(F.col(split) == "test")), label).first(),
+                regression_metrics(model.transform(train), label).first()["r2"])
+
+    (test, train_r2), *folds = at_once(df.sparkSession, [whole, *[lambda f=f: fold_r2(f) for f in range(n_folds)]])
+    cv_r2 = [r2 for own in folds for r2 in own]
     arr = np.array([v for v in cv_r2 if v is not None], dtype=float)
     row = (kind, float(arr.mean()) if arr.size else None, float(arr.std(ddof=1)) if arr.size > 1 else None,
            test["rmse"], test["mae"], test["r2"], train_r2)
@@ -203,25 +204,49 @@ def learning_curve(df: DataFrame, features: Sequence[str], label: str, kind: str
 
 
 def search(df: DataFrame, features: Sequence[str], label: str, kind: str, grid: Sequence[Mapping],
-           fold: str = "fold", parallelism: int = 8, seed: int = 42) -> DataFrame:
-    """ML-15/16/17/18: cross-validated search over parameter maps with Spark's CrossValidator
-    (shared fold column → identical folds for every strategy).  Rows: trial, params, cv_r2, cv_r2_std."""
+           fold: str = "fold", parallelism: int = 16, seed: int = 42) -> DataFrame:
+    """ML-15/16/17/18: cross-validated search over parameter maps
+    (shared fold column → identical folds for every strategy).  Rows: trial, params, cv_r2, cv_r2_std.
+
+    The fits of all folds and maps run ``parallelism`` at a time.  Boosted trees that differ in their
+    number of rounds only are one fit: the shorter ones are its first rounds.
+    """
     data = assemble(df, features).select(FEATURES, label, fold)
     est = estimator(kind, label, {}, seed)
     stage = est.getStages()[-1] if isinstance(est, Pipeline) else est
-    maps = []
-    for g in grid:
-        pm = {}
-        for k, v in g.items():
-            pm[stage.getParam(k)] = v
-        maps.append(pm)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    n_folds = data.select(F.max(fold)).first()[0] + 1
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold, numFolds=int(n_folds),
-                        parallelism=parallelism, seed=seed)  # folds come from the shared fold column
-    model = cv.fit(data)
+    n_folds = int(data.select(F.max(fold)).first()[0]) + 1
+    alike: dict[tuple, list[int]] = {}
+    for i, g in enumerate(grid):
+        own = tuple(sorted((k, str(v)) for k, v in g.items() if k != "maxIter")) if kind == "gbt" and "maxIter" in g else (i,)
+        alike.setdefault(own, []).append(i)
+    folds = []
+    for f in range(n_folds):
+        tr, va = data.filter(F.col(fold) != f).persist(), data.filter(F.col(fold) == f).persist()
+        n, spread = va.agg(F.count(label), F.var_samp(label)).first()
+        if not n or not tr.limit(1).count():
+            raise ValueError(f"fold {f} has no rows to {'test' if not n else 'train'} on")
+        folds.append((tr, va, n, spread))
+
+    def scores(f: int, places: Sequence[int]) -> list[tuple[int, int, float]]:
+        tr, va, n, spread = folds[f]
+        longest = max(places, key=lambda i: grid[i].get("maxIter", 0))
+        model = est.fit(tr, {stage.getParam(k): v for k, v in grid[longest].items()})
+        if len(places) == 1:
+            return [(f, longest, ev.evaluate(model.transform(va)))]
+        mse = model.evaluateEachIteration(va, "squared")
+        with np.errstate(all="ignore"):
+            return [(f, i, float(1 - np.float64(mse[grid[i]["maxIter"] - 1]) * n / (np.float64(spread or 0.0) * (n - 1)))) for i in places]
+
+    r2 = np.zeros((n_folds, len(grid)))
+    for own in at_once(df.sparkSession, [lambda f=f, at=at: scores(f, at) for at in alike.values() for f in range(n_folds)], parallelism):
+        for f, i, v in own:
+            r2[f, i] = v
+    for tr, va, _, _ in folds:
+        tr.unpersist()
+        va.unpersist()
     rows = [(i, ";".join(f"{k}={v}" for k, v in sorted(g.items())), float(m), float(s))
-            for i, (g, m, s) in enumerate(zip(grid, model.avgMetrics, model.stdMetrics))]
+            for i, (g, m, s) in enumerate(zip(grid, r2.mean(axis=0), r2.std(axis=0)))]
     return df.sparkSession.createDataFrame(rows, "trial int, params string, cv_r2 double, cv_r2_std double")
 
 

@@ -7,6 +7,9 @@ reference defaults live in ``operators.ml.estimator``).
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions import scalar as S
@@ -16,7 +19,7 @@ from panelforge.operators.features import engineer_features_g2
 from panelforge.operators.missing import fill_key_median
 from panelforge.plans.q_features import G2_ROLES, proxied_panel
 from panelforge.plans.registry import query
-from panelforge.session import materialize
+from panelforge.session import at_once, materialize
 from panelforge.sources.panel import panel, with_panel
 
 TARGET = "entity_growth_yoy"
@@ -27,7 +30,8 @@ GBT = {"maxIter": 30, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8}
 
 def ml_frame(spark, sf_dir):
     """Feature panel with the target filled per key, split and fold columns (materialized once)."""
-    p = engineer_features_g2(proxied_panel(spark, sf_dir), G2_ROLES, "k", "yr")
+    # the features read the panel many times (extremes, medians, levels); it is made once
+    p = materialize(engineer_features_g2(materialize(proxied_panel(spark, sf_dir)), G2_ROLES, "k", "yr"))
     p = fill_key_median(p, ["k"], [TARGET, "funding_growth_yoy", "startup_momentum", "funding_momentum"])
     p, feats = M.prepare_features(p, TARGET, IDS, categorical="period", exclude_substrings=["nation"])
     p = M.hash_folds(M.hash_split(p, IDS), IDS)
@@ -151,21 +155,27 @@ def q_ml16b(spark, sf_dir):
 def q_ml19(spark, sf_dir):
     """The best parameters of the boosted trees by search strategy."""
     df, feats = ml_frame(spark, sf_dir)
-    return M.best_parameters({"grid": _grid_trials(df, feats), "random": _random_trials(df, feats, "gbt", GBT_SPACE)})
+    grid, random = at_once(spark, [lambda: _grid_trials(df, feats), lambda: _random_trials(df, feats, "gbt", GBT_SPACE)])
+    return M.best_parameters({"grid": grid, "random": random})
 
 
 @query("ml20_final_leaderboard", "ML-20")
 def q_ml20(spark, sf_dir):
     """Baselines and the chosen search strategy of boosted trees and forests."""
     df, feats = ml_frame(spark, sf_dir)
-    plans = [("gbt", "baseline", GBT), ("rf", "baseline", RF)]
-    for kind, name, trials in (("gbt", "grid", _grid_trials(df, feats)), ("gbt", "random", _random_trials(df, feats, "gbt", GBT_SPACE)),
-                               ("rf", "random", _random_trials(df, feats, "rf", RF_SPACE))):
-        plans.append((kind, name, M.parameters(M.best_trial(trials).first()["params"])))
-    rows = None
-    for kind, name, params in plans:
-        own = M.fit_evaluate(df, feats, TARGET, kind, params).withColumn("family", F.lit(kind)).withColumn("strategy", F.lit(name))
-        rows = own if rows is None else rows.unionByName(own)
+
+    def evaluated(kind, name, params):
+        return M.fit_evaluate(df, feats, TARGET, kind, params).withColumn("family", F.lit(kind)).withColumn("strategy", F.lit(name))
+
+    def searched(kind, name, trials):
+        return evaluated(kind, name, M.parameters(M.best_trial(trials()).first()["params"]))
+
+    plans = at_once(spark, [  # in the order of the rows
+        lambda: evaluated("gbt", "baseline", GBT), lambda: evaluated("rf", "baseline", RF),
+        lambda: searched("gbt", "grid", lambda: _grid_trials(df, feats)),
+        lambda: searched("gbt", "random", lambda: _random_trials(df, feats, "gbt", GBT_SPACE)),
+        lambda: searched("rf", "random", lambda: _random_trials(df, feats, "rf", RF_SPACE))])
+    rows = reduce(DataFrame.unionByName, plans)
     return M.final_leaderboard(rows.drop("model"))
 
 

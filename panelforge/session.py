@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -86,3 +89,10 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def at_once(spark: SparkSession, jobs: Sequence[Callable[[], object]], n: int = 8) -> list:
+    """Results of ``jobs``, ``n`` at a time: fits of many small jobs each wait for each other, not for the cluster."""
+    run = inheritable_thread_target(spark)(lambda job: job())
+    with ThreadPool(max(1, min(n, len(jobs)))) as pool:
+        return pool.map(run, jobs, chunksize=1)
