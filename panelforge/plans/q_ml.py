@@ -35,7 +35,7 @@ def ml_frame(spark, sf_dir):
     p = fill_key_median(p, ["k"], [TARGET, "funding_growth_yoy", "startup_momentum", "funding_momentum"])
     p, feats = M.prepare_features(p, TARGET, IDS, categorical="period", exclude_substrings=["nation"])
     p = M.hash_folds(M.hash_split(p, IDS), IDS)
-    p = p.na.fill(0.0, subset=feats)
+    p = p.na.fill(0.0, subset=feats).repartition(IDS[0]).sortWithinPartitions(*IDS)  # bagging draws by place: one order of the rows
     return materialize(p.select(*IDS, "nation", TARGET, *feats, "split", "fold")), feats
 
 
