@@ -32,6 +32,7 @@ SILHOUETTE_STRIP = 32_768  # points of a strip of the Euclidean silhouette; a ti
 #: Squared distances below this share of the squared norms are taken from the differences instead of the products.
 NEAR = 1e-6
 BLOCK = 2048  # points that a k-means round multiplies at once
+TASK = 2 * BLOCK  # least points of a task of such a round, while there are more cores than that takes
 FEATURES = "features"
 
 
@@ -86,8 +87,11 @@ def first_centers(jobs: Sequence[tuple[DataFrame, int, int]], weight: str | None
 
 
 def point_blocks(df: DataFrame, weights: str | None = None) -> RDD:
-    """Points as blocks (x, w): a matrix of features and, per point, its weights (an array column) or None.  Spread over all cores."""
-    n = df.sparkSession.sparkContext.defaultParallelism
+    """Points as blocks (x, w): a matrix of features and, per point, its weights (an array column) or None.
+
+    Spread over all cores, but no thinner than TASK points a task: a round over few points is as long as its tasks take to start.
+    """
+    n = min(df.sparkSession.sparkContext.defaultParallelism, max(1, -(-df.count() // TASK)))
     rows = df.select(vector_to_array(FEATURES), *([F.col(weights).cast("array<double>")] if weights else [])).repartition(n)
 
     def blocks(rows: Iterator) -> Iterator:

@@ -38,6 +38,16 @@ def test_restarts_share_rounds_and_equal_single_fits(spark):
     assert best.cost == min(f.cost for f in fits[4:])
 
 
+@pytest.mark.parametrize("n, tasks", [(90, 1), (3 * 4096, 3), (9 * 4096, 4)])
+def test_a_round_over_few_points_starts_few_tasks(spark, n, tasks):
+    from panelforge.operators import cluster
+    df = cluster.vectors(spark.range(0, n, 1, 8).selectExpr("array(cast(id as double), 1d) AS x"), "x")
+    blocks = cluster.point_blocks(df)
+    assert blocks.getNumPartitions() == min(tasks, spark.sparkContext.defaultParallelism)
+    assert blocks.map(lambda b: len(b[0])).sum() == n
+    blocks.unpersist()
+
+
 def test_selection_over_k_reads_all_distances_once(spark, monkeypatch):
     from panelforge.operators import cluster
     rng = np.random.default_rng(5)
