@@ -11,7 +11,7 @@ and cluster, and these are added up.  Several clusterings of the same points sha
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +28,7 @@ from panelforge.operators.features import zscore
 from panelforge.operators.filters import numeric_columns
 from panelforge.session import at_once, materialize
 
-SILHOUETTE_STRIP = 32_768  # points of a strip of the Euclidean silhouette; a tile holds two strips
+SILHOUETTE_STRIP = 16_384  # points of a strip of the Euclidean silhouette; a tile holds two strips and is a task of its own
 #: Squared distances below this share of the squared norms are taken from the differences instead of the products.
 NEAR = 1e-6
 BLOCK = 2048  # points that a k-means round multiplies at once
@@ -191,7 +191,7 @@ def silhouette(df: DataFrame, label: str, metric: str = "euclidean", id_col: str
 
 def strips_of(n: int) -> int:
     """Strips for n points: as many as a strip's size bound needs, at least a few for parallel tiles."""
-    return max(1, -(-n // SILHOUETTE_STRIP), min(8, -(-n // 256)))
+    return max(1, -(-n // SILHOUETTE_STRIP), min(12, -(-n // 256)))
 
 
 def _tiles(pts: DataFrame, n: int) -> DataFrame:
@@ -202,6 +202,19 @@ def _tiles(pts: DataFrame, n: int) -> DataFrame:
     return both.withColumns({"_i": F.least("_s", "_o"), "_j": F.greatest("_s", "_o")}).drop("_o")
 
 
+def _by_tile(tiles: DataFrame, n: int, sums: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``sums`` of every tile of n points, one task a tile: a hash would deal several to some tasks, and few bytes of a tile are long work."""
+    g = strips_of(n)
+    tile = (F.col("_j") * (F.col("_j") + 1) / 2).cast("int") + F.col("_i")
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield from sums(pa.Table.from_batches(held)).to_batches(max_chunksize=BLOCK)
+
+    return tiles.repartitionById(g * (g + 1) // 2, tile).mapInArrow(whole, schema)
+
+
 def _strips(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids, points, places of strip _i, places of strip _j) of a tile."""
     strip, pid = table.column("_s").to_numpy(), table.column("_pid").to_numpy()
@@ -252,7 +265,8 @@ def _silhouette_tiles(pts: DataFrame, label: str, id_col: str | None) -> DataFra
     """
     keep = [*([id_col] if id_col else []), label]
     pts = materialize(pts.withColumn("_pid", F.monotonically_increasing_id()))
-    tiles = _tiles(pts.select("_pid", F.col(label).alias("_l"), "_x"), pts.count())
+    n = pts.count()
+    tiles = _tiles(pts.select("_pid", F.col(label).alias("_l"), "_x"), n)
     kind = pts.schema[label].dataType.simpleString()
 
     def sums(table: pa.Table) -> pa.Table:
@@ -268,7 +282,7 @@ def _silhouette_tiles(pts: DataFrame, label: str, id_col: str | None) -> DataFra
         return pa.table({"_pid": pid[p], "_l": names.take(pa.array(lab[p])), "_m": names.take(pa.array(m)),
                          "_total": total[p, m], "_n": seen[p, m].astype(np.int64)})
 
-    part = tiles.groupBy("_i", "_j").applyInArrow(sums, f"_pid long, _l {kind}, _m {kind}, _total double, _n long")
+    part = _by_tile(tiles, n, sums, f"_pid long, _l {kind}, _m {kind}, _total double, _n long")
     per = part.groupBy("_pid", "_l", "_m").agg(F.sum("_total").alias("_total"), F.sum("_n").alias("_n"))
     same = F.col("_l") == F.col("_m")
     ab = per.groupBy("_pid").agg(
@@ -310,7 +324,8 @@ def mean_silhouettes(df: DataFrame, fits: Sequence[Centers], weights: str | None
     centers, q, one = [f.centers for f in fits], ends[-1], weights is None
     pts = df.select(vector_to_array(FEATURES).alias("_x"), *([] if one else [F.col(weights).cast("array<double>").alias("_w")]))
     pts = materialize(pts.withColumn("_pid", F.monotonically_increasing_id()))
-    tiles = _tiles(pts, pts.count())
+    n_points = pts.count()
+    tiles = _tiles(pts, n_points)
 
     def members(x: np.ndarray, w: pa.ChunkedArray | pa.Array | None) -> np.ndarray:
         out, at = np.zeros((len(x), q)), np.arange(len(x))
@@ -355,7 +370,7 @@ def mean_silhouettes(df: DataFrame, fits: Sequence[Centers], weights: str | None
                 n[f] += weight.sum()
         yield pa.RecordBatch.from_pydict({"f": np.arange(len(centers), dtype=np.int32), "s": score, "n": n})
 
-    part = tiles.groupBy("_i", "_j").applyInArrow(sums, "_pid long, _t array<double>")
+    part = _by_tile(tiles, n_points, sums, "_pid long, _t array<double>")
     whole = part.groupBy("_pid").agg(F.array(*[F.sum(F.get("_t", F.lit(m))) for m in range(q)]).alias("_t"))
     rows = pts.join(whole, "_pid").mapInArrow(scores, "f int, s double, n double")
     means = dict(rows.groupBy("f").agg(F.try_divide(F.sum("s"), F.sum("n"))).collect())  # one row a fit

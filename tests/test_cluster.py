@@ -48,6 +48,26 @@ def test_a_round_over_few_points_starts_few_tasks(spark, n, tasks):
     blocks.unpersist()
 
 
+def test_every_tile_is_a_task_of_its_own(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from panelforge.operators import cluster
+    n = 2000
+    g = cluster.strips_of(n)
+    pts = spark.range(n).select(F.col("id").alias("_pid"))
+    tiles = cluster._tiles(pts, n)
+
+    def seen(table):
+        pairs = set(zip(table.column("_i").to_pylist(), table.column("_j").to_pylist()))
+        assert len(pairs) == 1
+        return pa.table({"i": [min(pairs)[0]], "j": [min(pairs)[1]], "n": [table.num_rows]})
+
+    got = cluster._by_tile(tiles, n, seen, "i long, j long, n long")
+    rows = got.withColumn("task", F.spark_partition_id()).collect()
+    assert g > 1 and sorted((r.i, r.j) for r in rows) == [(i, j) for i in range(g) for j in range(i, g)]
+    assert len({r.task for r in rows}) == len(rows) and sum(r.n for r in rows) == n * g
+
+
 def test_selection_over_k_reads_all_distances_once(spark, monkeypatch):
     from panelforge.operators import cluster
     rng = np.random.default_rng(5)
