@@ -36,7 +36,8 @@ ZIPF_OFFSET = 2.7
 UNKNOWN_MARGIN = 10.0
 _UNITS = rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+"
 _SLICE = 1 << 20
-_REMEMBERED = 1 << 18
+#: Paths of rarer units that a task remembers, about 300 bytes each.
+_REMEMBERED = 1 << 16
 #: Rows of a batch that are encoded or decoded at once.
 _ROWS = 1024
 

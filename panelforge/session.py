@@ -17,6 +17,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Bytes of an Arrow batch sent to a Python worker; Spark's 10,000 rows are tens of MB of texts, held by the executor and by the worker.
+BATCH_BYTES = 4 << 20
 
 
 def build_session(master: str | None = None, app_name: str = "panelforge",
@@ -58,6 +60,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by their bytes; batches of narrow rows stay as they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
